@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arbora.llm import packing, setsketch
+from arbora.llm import packing, repeats, setsketch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
