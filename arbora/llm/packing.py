@@ -30,6 +30,10 @@ class Limits:
     loss_tokens: int = 2048
 
 
+#: A demand that fits nowhere.
+PLACED = 1e18
+
+
 @dataclass
 class Packer:
     """Pieces in, closed sequences out. cut: a piece may be split to fill a sequence to its last token."""
@@ -50,24 +54,25 @@ class Packer:
         """
         top = np.array([self.limits.tokens, self.limits.segments, self.limits.loss_tokens], float)
         order = np.argsort(-self.demand[:, 0], kind="stable")
-        names, want = [self.names[i] for i in order], self.demand[order] / top
-        waiting = np.ones(len(names), bool)
-        rest = want.sum(0)
-        while waiting.any() and (last or rest[0] >= 2):
+        names = [self.names[i] for i in order]
+        want = np.ascontiguousarray((self.demand[order] / top).T)  # a row per limit; a placed piece wants too much
+        rest, n_waiting = want.sum(1), len(names)
+        while n_waiting and (last or rest[0] >= 2):
             room, taken = np.ones(3), []
-            while True:
-                fits = np.flatnonzero(waiting & (want <= room + 1e-12).all(1))
-                if len(fits):
-                    weight = rest / max(rest.sum(), 1e-12)
-                    k = fits[np.argmax(want[fits] @ (weight * room))]
-                    waiting[k] = False
-                    amount = want[k]
-                elif self.cut and (n := self._slice(want, waiting, room, top)):
-                    k, part = n
-                    amount = want[k] * part / round(want[k, 0] * top[0])
+            while n_waiting:
+                weight = room * rest
+                fits = (want[0] <= room[0] + 1e-12) & (want[1] <= room[1] + 1e-12) & (want[2] <= room[2] + 1e-12)
+                k = int(np.argmax(np.where(fits, want[0] * weight[0] + want[1] * weight[1] + want[2] * weight[2], -1.0)))
+                if fits[k]:
+                    amount = want[:, k].copy()
+                    want[:, k] = PLACED
+                    n_waiting -= 1
+                elif self.cut and (found := self._slice(want, room, top)):
+                    k, part = found
+                    amount = want[:, k] * part / round(want[0, k] * top[0])
                     amount[1] = 1 / top[1]
-                    want[k] -= amount
-                    want[k, 1] = 1 / top[1]
+                    want[:, k] -= amount
+                    want[1, k] = 1 / top[1]
                     rest[1] += 1 / top[1]
                 else:
                     break
@@ -76,17 +81,18 @@ class Packer:
             if not taken:
                 raise ValueError("a piece is over the limits of an empty sequence")
             yield taken
+        waiting = want[0] < PLACED
         self.names = [names[i] for i in np.flatnonzero(waiting)]
-        self.demand = want[waiting] * top
+        self.demand = want[:, waiting].T * top
 
     @staticmethod
-    def _slice(want: np.ndarray, waiting: np.ndarray, room: np.ndarray, top: np.ndarray) -> tuple[int, int] | None:
+    def _slice(want: np.ndarray, room: np.ndarray, top: np.ndarray) -> tuple[int, int] | None:
         """The longest waiting piece and how many of its tokens still fit."""
-        if room[1] * top[1] < 1 - 1e-9 or not waiting.any():
+        if room[1] * top[1] < 1 - 1e-9:
             return None
-        k = int(np.argmax(np.where(waiting, want[:, 0], -1)))
-        share = min(room[d] / want[k, d] for d in (0, 2) if want[k, d] > 0)
-        part = int(round(want[k, 0] * top[0]) * share + 1e-9)
+        k = int(np.argmax(np.where(want[0] < PLACED, want[0], -1)))
+        share = min(room[d] / want[d, k] for d in (0, 2) if want[d, k] > 0)
+        part = int(round(want[0, k] * top[0]) * share + 1e-9)
         return (k, part) if part else None
 
 

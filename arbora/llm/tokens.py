@@ -9,6 +9,7 @@ space is the one exception, and such texts are encoded as a whole.
 from __future__ import annotations
 
 import base64
+import functools
 import zlib
 
 import numpy as np
@@ -23,12 +24,14 @@ def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
 class ChunkEncoder:
     """ids(text) -> uint32 array, the ids that the tokenizers library gives for the same vocabulary."""
 
-    def __init__(self, path: str, pattern: str, specials: dict[str, int], most: int = 150_000):
+    def __init__(self, path: str, pattern: str, specials: dict[str, int], most: int = 400_000):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.specials = specials
+        self.widths = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.widths[list(ranks.values())] = [len(x) for x in ranks]
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens=specials)
         self.most = most
         self._clear()
@@ -41,19 +44,21 @@ class ChunkEncoder:
         self.awkward: set[int] = set()
         self.end = 0
 
-    def _learn(self, chunks: set[str]) -> None:
-        for c in chunks:
-            ids = self.encoding.encode_ordinary(c)
-            k, n = len(self.place), len(ids)
-            if k == len(self.starts):
-                self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.sizes))
-            while self.end + n > len(self.joined):
-                self.joined = np.concatenate([self.joined, np.empty_like(self.joined)])
-            self.joined[self.end : self.end + n] = ids
-            self.place[c], self.starts[k], self.sizes[k] = k, self.end, n
-            self.end += n
-            if c[-1].isspace():
-                self.awkward.add(k)
+    def _learn(self, chunks: list[str]) -> None:
+        """Encodes new chunks in one call; the bytes of the tokens tell where each chunk ends."""
+        ids = np.frombuffer(self.encoding.encode_to_numpy("".join(chunks), allowed_special=set(), disallowed_special=()), np.uint32)
+        ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(c.encode()) for c in chunks])) + 1
+        k, n, m = len(self.place), len(ids), len(chunks)
+        while k + m > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.sizes))
+        while self.end + n > len(self.joined):
+            self.joined = np.concatenate([self.joined, np.empty_like(self.joined)])
+        self.joined[self.end : self.end + n] = ids
+        self.sizes[k : k + m] = np.diff(ends, prepend=0)
+        self.starts[k : k + m] = self.end + ends - self.sizes[k : k + m]
+        self.place.update(zip(chunks, range(k, k + m), strict=True))
+        self.awkward.update(k + i for i, c in enumerate(chunks) if c[-1].isspace())
+        self.end += n
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.encoding.encode(text, allowed_special="all"), np.uint32)
@@ -70,7 +75,11 @@ class ChunkEncoder:
         if first:
             chunks.insert(0, first)
         if new := set(chunks).difference(self.place):
-            self._learn(new)
+            if first in new:  # without a space before it, it can only stand at the front
+                new.remove(first)
+                self._learn([first])
+            if new:
+                self._learn(list(new))
         at = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
         if self.awkward and not self.awkward.isdisjoint(at[:-1].tolist()):
             return self.whole(text)
@@ -79,6 +88,7 @@ class ChunkEncoder:
         return self.joined[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1])]
 
 
+@functools.lru_cache(1)
 def byte_bpe_50k(path: str | None = None) -> ChunkEncoder:
     import public_tokenizers
 
