@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arbora.llm import packing, repeats, setsketch
+from arbora.llm import langid, packing, repeats, setsketch
+from arbora.llm.text import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(fold(F.col("doc_id"), 5) != 0))
+    return langid.identify(docs, model, ["doc_id"]).withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
+
+
 def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), setsketch.Params(words=2))
 
