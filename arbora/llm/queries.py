@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.llm import langid, packing, repeats, setsketch
+from arbora.llm import langid, mixing, packing, quality, repeats, setsketch
 from arbora.llm.text import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +17,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(fold(F.col("doc_id"), 5) != 0))
     return langid.identify(docs, model, ["doc_id"]).withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    # the text served to order the rows; only the plan goes on
+    plan = mixed.select("row.doc_id", "size", "source_size", "target", "taken", "positions")
+    return mixing.in_training_order(plan)
+
+
 def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), setsketch.Params(words=2))
 
