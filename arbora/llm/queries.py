@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.llm import langid, mixing, packing, quality, repeats, setsketch
+from arbora.llm import embedding_join, langid, mixing, packing, quality, repeats, setsketch
 from arbora.llm.text import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.in_training_order(plan)
 
 
+def op4_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), setsketch.Params(words=2))
 
