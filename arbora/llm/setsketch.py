@@ -26,7 +26,8 @@ class Params:
     """words: of a shingle. percent: links need 100 * intersection >= percent * union.
 
     registers, band: a pair at similarity 0.8 shares none of its 32 bands once in 2e7. slack: how far below the
-    threshold an estimate still leads to a check, five standard errors. block: members of a bucket compared at once.
+    threshold an estimate still leads to a check, five standard errors. small: members of a bucket whose pairs are
+    looked at one by one; larger ones are compared in blocks of about `block` documents.
     """
 
     words: int = 5
@@ -36,6 +37,7 @@ class Params:
     base: float = 1.001
     rate: float = 20.0
     slack: float = 0.18
+    small: int = 64
     block: int = 256
     seed: int = 20240517
 
@@ -169,50 +171,100 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-BLOCK_PAIRS = "a long, b long, est double"
+def _small_bucket_pairs(members: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
+    """Promising pairs of different components within buckets of at most p.small members.
 
-
-def _open_bucket_pairs(members: DataFrame, parts_of: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
-    """Promising pairs of different components within buckets that the first links left in several components.
-
-    Members stand in blocks, and blocks of a bucket meet each other; only promising pairs become rows, so a large bucket
-    costs arithmetic in many tasks and never its square in rows.
+    A pair that shares several bands is proposed by the first of them only.
     """
-    placed = members.join(parts_of, F.col("rep") == F.col("node"), "left").select("key", "rep", "bucket_n", F.coalesce("component", "rep").alias("part"))
-    open_ = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("k")).where("lo <> hi and k > 2").select("key")
-    rows = placed.join(open_, "key").join(reps.select("rep", "n", "registers"), "rep")
-    blocks = rows.withColumn("blocks", F.ceil(F.col("bucket_n") / p.block).cast("int")).withColumn("block", F.expr("int(pmod(xxhash64(rep), blocks))"))
-    blocks = blocks.withColumn("item", F.struct("rep", "part", "n", "registers"))
-    # each member goes to the pairs of blocks that hold its own block
-    dealt = blocks.select("key", "block", "item", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).alias("second"), "item.*")
 
     def compare(group: pa.Table) -> pa.Table:
-        n = group.column("n").to_numpy().astype(float)
-        part, rep = group.column("part").to_numpy(), group.column("rep").to_numpy()
+        n, part, rep = group.column("n").to_numpy().astype(float), group.column("part").to_numpy(), group.column("rep").to_numpy()
         regs = np.frombuffer(b"".join(group.column("registers").to_pylist()), "<u2").reshape(len(n), -1)
-        second = group.column("second").to_numpy(zero_copy_only=False)
-        same = group.column("i")[0] == group.column("j")[0]
-        left = np.arange(len(n)) if same else np.flatnonzero(~second)
-        right = np.arange(len(n)) if same else np.flatnonzero(second)
-        out = [[], [], []]
-        for x in left:
-            y = right[(part[right] != part[x]) & (np.minimum(n[right], n[x]) * 100 >= np.maximum(n[right], n[x]) * p.percent)]
-            if same:
-                y = y[y > x]
-            if not len(y):
-                continue
-            equal = (regs[y] == regs[x]).sum(1)
-            more = (regs[y] < regs[x]).sum(1)
-            est = estimate(more, regs.shape[1] - equal - more, equal, np.full(len(y), n[x]), n[y], p.base)
-            good = est >= p.percent / 100 - p.slack
-            lo, hi = np.minimum(rep[x], rep[y[good]]), np.maximum(rep[x], rep[y[good]])
-            for o, v in zip(out, (lo, hi, est[good]), strict=True):
-                o.append(v)
-        cols = [np.concatenate(o) if o else np.empty(0, t) for o, t in zip(out, (np.int64, np.int64, float), strict=True)]
-        return pa.table(cols, names=["a", "b", "est"])
+        i, j = np.triu_indices(len(n), 1)
+        fit = (part[i] != part[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * p.percent)
+        i, j = i[fit], j[fit]
+        equal = regs[i] == regs[j]
+        bands = equal[:, : p.registers // p.band * p.band].reshape(len(i), -1, p.band).all(2)
+        first = bands.argmax(1) == group.column("band")[0].as_py() if len(i) else np.zeros(0, bool)
+        i, j, equal = i[first], j[first], equal[first].sum(1)
+        more = (regs[i] > regs[j]).sum(1)
+        good = estimate(more, regs.shape[1] - equal - more, equal, n[i], n[j], p.base) >= p.percent / 100 - p.slack
+        return pa.table([np.minimum(rep[i], rep[j])[good], np.maximum(rep[i], rep[j])[good]], names=["a", "b"])
+
+    rows = members.where(F.col("bucket_n").between(3, p.small)).join(reps.select("rep", "n", "registers"), "rep")
+    return rows.select("key", "band", "rep", "part", "n", "registers").groupBy("key").applyInArrow(compare, "a long, b long")
+
+
+def _crowd_links(members: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
+    """(rep, crowd) of the documents that larger buckets hold together, and links between components within a crowd.
+
+    The members of a crowd stand in blocks, each pair of blocks is a task, and the full shingle sets of a pair of blocks
+    are intersected by products of 0/1 matrices. Only links that join two components become rows.
+    """
+    large = members.where(F.col("bucket_n") > p.small)
+    crowds = connected(large.select(F.col("rep").alias("a"), F.col("lo").alias("b")))
+    sizes = crowds.groupBy("component").agg(F.count("*").alias("size"))
+    parts = large.select("rep", "part").distinct()
+    crowds = stored(crowds.join(sizes, "component").join(parts, F.col("node") == F.col("rep")).select("rep", "part", F.col("component").alias("crowd"), "size"), "crowds")
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, BLOCK_PAIRS)
+    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketcher = Sketcher(p)
+        for part in batches:
+            sets = [sketcher.shingles(t).tobytes() for t in byte_texts(part.column("text"))]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("rep", "part", "crowd", "size")), pa.array(sets, pa.binary())], names=["rep", "part", "crowd", "size", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    sets = stored(crowds.join(texts, "rep").select("rep", "part", "crowd", "size", "text").mapInArrow(load, "rep long, part long, crowd long, size long, shingles binary"), "crowd_sets")
+    blocks = sets.withColumn("blocks", F.ceil(F.col("size") / p.block).cast("int")).withColumn("own", F.expr("int(pmod(xxhash64(rep), blocks))"))
+    dealt = blocks.select("crowd", "rep", "part", "shingles", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "rep", "part", "shingles")
+
+    def meet(group: pa.Table) -> pa.Table:
+        rep, part = group.column("rep").to_numpy(), group.column("part").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+        size = np.array([len(x) for x in sets])
+        same = group.column("i")[0] == group.column("j")[0]
+        second = group.column("second").to_numpy(zero_copy_only=False)
+        left = np.arange(len(rep)) if same else np.flatnonzero(~second)
+        right = left if same else np.flatnonzero(second)
+        found = links_between(sets, left, right, p)
+        both = part[left][:, None] != part[right][None, :]
+        out: list[tuple[int, int]] = []
+        root = {int(x): int(x) for x in part}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for x, y in zip(*np.nonzero(found & both), strict=True):
+            i, j = int(left[x]), int(right[y])
+            a, b = find(int(part[i])), find(int(part[j]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((int(rep[i]), int(rep[j])))
+        assert len(size) == len(rep)
+        return pa.table([pa.array([min(x) for x in out], pa.int64()), pa.array([max(x) for x in out], pa.int64())], names=["a", "b"])
+
+    return crowds.select("rep", "crowd"), dealt.groupBy("crowd", "i", "j").applyInArrow(meet, "a long, b long")
+
+
+def links_between(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, p: Params, columns: int = 4096) -> np.ndarray:
+    """Which documents of left and right are linked by their full sets."""
+    size = np.array([len(x) for x in sets])
+    known, index = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(index, kind="stable")
+    index, owner = index[order], owner[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(known), columns):
+        a, b = np.searchsorted(index, [at, at + columns])
+        here = np.zeros((len(sets), min(columns, len(known) - at)), np.float32)
+        here[owner[a:b], index[a:b] - at] = 1
+        both += here[left] @ here[right].T
+    union = size[left][:, None] + size[right][None, :] - both
+    return (100 * both >= p.percent * union) & (both > 0)
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -231,7 +283,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     reps = stored(filled.withColumnRenamed("doc_id", "rep").join(classes, [*same, "rep"]).dropDuplicates([*same, "rep"]).select("rep", "n", "registers"), "reps")
     width = 2 * p.band
     keys = F.expr(f"transform(sequence(0, {p.registers // p.band - 1}), i -> xxhash64(i, substring(registers, i * {width} + 1, {width})))")
-    banded = reps.select("rep", F.explode(keys).alias("key"))
+    banded = reps.select("rep", F.posexplode(keys).alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("bucket_n"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("bucket_n > 1 and lo <> hi")
     members = stored(banded.join(buckets, "key"), "members")
     pivot = F.explode(F.array("lo", "hi")).alias("pivot")
@@ -243,12 +295,18 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     best = stored(best.select((-F.col("x.na")).alias("a"), (-F.col("x.nb")).alias("b")).distinct(), "best")
     linked = stored(_confirmed(best, docs, p), "linked")
     parts_of = stored(connected(linked), "parts")
-    rest = hopeful.select("a", "b").union(_open_bucket_pairs(members, parts_of, reps, p).select("a", "b")).distinct()
+    placed = members.join(parts_of, F.col("rep") == F.col("node"), "left").withColumn("part", F.coalesce("component", "rep"))
+    placed = stored(placed.select("key", "band", "rep", "bucket_n", members["lo"], "part"), "placed")
+    split = placed.groupBy("key").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least <> most").select("key")
+    placed = stored(placed.join(split, "key"), "split_buckets")
+    crowds, crowd_links = _crowd_links(placed, docs, p)
+    rest = hopeful.select("a", "b").union(_small_bucket_pairs(placed, reps, p)).distinct()
     rest = rest.join(best, ["a", "b"], "left_anti")
     for side in "ab":
         rest = rest.join(parts_of.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
-    rest = stored(rest.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), "rest")
-    linked = linked.union(_confirmed(rest, docs, p))
+        rest = rest.join(crowds.select(F.col("rep").alias(side), F.col("crowd").alias(f"d{side}")), side, "left")
+    rest = stored(rest.where("coalesce(ca, a) <> coalesce(cb, b) and not coalesce(da = db, false)").select("a", "b"), "rest")
+    linked = stored(linked.union(_confirmed(rest, docs, p)).union(crowd_links), "all_links")
     final = connected(linked)
     named = classes.join(final, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("class_component"))
     out = sk.drop("registers").join(named, same, "left")

@@ -51,7 +51,7 @@ def corpus(seed):
 def test_equals_comparing_every_pair(spark, k):
     docs = corpus(k)
     frame = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, n long, rep string")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in setsketch.near_duplicates(frame, Params(words=k, block=8)).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in setsketch.near_duplicates(frame, Params(words=k, small=5, block=8)).collect()}
     assert got == brute(docs, k)
 
 
