@@ -184,7 +184,7 @@ def _small_bucket_pairs(members: DataFrame, reps: DataFrame, p: Params) -> DataF
         fit = (part[i] != part[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * p.percent)
         i, j = i[fit], j[fit]
         equal = regs[i] == regs[j]
-        bands = equal[:, : p.registers // p.band * p.band].reshape(len(i), -1, p.band).all(2)
+        bands = equal[:, : p.registers // p.band * p.band].reshape(len(i), p.registers // p.band, p.band).all(2)
         first = bands.argmax(1) == group.column("band")[0].as_py() if len(i) else np.zeros(0, bool)
         i, j, equal = i[first], j[first], equal[first].sum(1)
         more = (regs[i] > regs[j]).sum(1)
