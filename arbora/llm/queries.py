@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.llm import embedding_join, langid, mixing, packing, pitman_yor, quality, repeats, setsketch
+from arbora.llm import embedding_join, langid, mixing, packing, pitman_yor, quality, repeats, rollup, setsketch, toxicity
 from arbora.llm.text import fold
+from arbora.llm.workspace import stored, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,10 +39,56 @@ def op4_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in under two tokenizer versions; those labelled of low quality go; counts of the toxic ones,
+    of which only the lines are to count, are revised; and two of the batches are sent again."""
+    docs = table(spark, sf_dir, "documents")
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    counts = docs.select("doc_id", "source", "lang", rollup.word_tokens(F.col("text")).alias("words"), rollup.piece_tokens(F.col("text")).alias("pieces"), lines.alias("lines"))
+    counts = stored(counts.join(labels, "doc_id", "left"), "counts")
+    of = lambda rows, c, name: rows.select("source", "lang", F.lit(name).alias("tokenizer"), F.col(c).alias("tokens"))
+    words = lambda rows: of(rows, "words", "words-1")
+    pieces = lambda rows: of(rows, "pieces", "pieces-1")
+    low = counts.where("quality = 0")
+    toxic = counts.where("toxic = 1 and not coalesce(quality = 0, false)")
+    revised = toxic.select("source", "lang", F.lit("words-1").alias("tokenizer"), F.col("words").alias("old_tokens"), F.col("lines").alias("tokens"))
+    kept = rollup.Rollup(spark, table_path(spark, "rollup"))
+    first = rollup.changes(inserted=words(counts))
+    kept.commit("words", first)
+    kept.commit("pieces", rollup.changes(inserted=pieces(counts)))
+    kept.commit("low-quality", rollup.changes(deleted=words(low).unionByName(pieces(low))))
+    kept.commit("words", first)
+    kept.commit("toxic", rollup.changes(revised=revised))
+    kept.commit("toxic", rollup.changes(revised=revised))
+    return kept.totals()
+
+
+OP5_SQL = r"""
+WITH l AS (SELECT doc_id, min(quality) quality, max(toxic) toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT d.source, d.lang, coalesce(l.quality = 0, false) low, coalesce(l.toxic = 1, false) toxic,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) words,
+    len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) pieces,
+    len(string_split(coalesce(text, ''), chr(10))) lines
+  FROM documents d LEFT JOIN l USING (doc_id))
+SELECT source, lang, 'words-1' AS tokenizer, count(*) AS documents, CAST(sum(CASE WHEN toxic THEN lines ELSE words END) AS BIGINT) AS tokens
+FROM d WHERE NOT low GROUP BY source, lang
+UNION ALL
+SELECT source, lang, 'pieces-1', count(*), CAST(sum(pieces) AS BIGINT) FROM d WHERE NOT low GROUP BY source, lang
+"""
+
+
 def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), setsketch.Params(words=2))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(fold(F.col("doc_id"), 3) != 1).select("doc_id", "toxic"))
+    return toxicity.score(docs, model, ["doc_id"]).withColumn("held_out", fold(F.col("doc_id"), 3) == 1)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -61,4 +108,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_rollup": OP5_SQL}
