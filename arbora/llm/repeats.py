@@ -277,17 +277,21 @@ def _crowded(asked: DataFrame, p: Params) -> DataFrame:
     return placed.select("doc", "loc", F.lit(p.length).cast("long").alias("length"), F.xxhash64("w1", "w2").alias("repeat"), F.expr("doc = d and loc = l").alias("first"))
 
 
-def _packed_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc, code, body): each row's text compressed, for its way through a shuffle."""
+def _packed_texts(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(kept_0, ..., doc, code, body): each row's text compressed for its way through a shuffle, with some columns."""
+    names = [f"kept_{i}" for i in range(len(keep))]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for part in parts:
-            ids, texts = part.column("doc_id").cast(pa.int64()), byte_texts(part.column("text"))
-            order = pa.array([NO_ID if i is None else i for i in ids.to_pylist()], pa.int64())
-            yield pa.record_batch([ids, order, pa.array([code(t) for t in texts], pa.int64()), pa.array([press.compress(t) for t in texts], pa.binary())], names=["doc_id", "doc", "code", "body"])
+            column = part.column("text")
+            texts = byte_texts(column)
+            order = pa.array([NO_ID if i is None else i for i in part.column("doc").to_pylist()], pa.int64())
+            bodies = pa.array([press.compress(t) if ok else None for t, ok in zip(texts, column.is_valid().to_pylist(), strict=True)], pa.binary())
+            yield pa.record_batch([*(part.column(n) for n in names), order, pa.array([code(t) for t in texts], pa.int64()), bodies], names=[*names, "doc", "code", "body"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, doc long, code long, body binary")
+    source = docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), F.col("doc_id").cast("long").alias("doc"), F.col("text").alias("text"))
+    return source.mapInArrow(run, ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)), "doc long, code long, body binary"]))
 
 
 def _cut_clips(asked: DataFrame, docs: DataFrame) -> DataFrame:
@@ -327,24 +331,26 @@ def occurrences(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataF
     return whole, found
 
 
-def deduplicate(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc_id, text, n_bytes, n_removed, n_spans, kept_sha256, spans) of each row of docs.
+def deduplicate(docs: DataFrame, p: Params = Params(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keep` of each row of docs with text, n_bytes, n_removed, n_spans, kept_sha256 and spans.
 
-    docs has doc_id and text; other columns are ignored. text is what is left, without the parts of characters that a
-    cut went through; the digest is of the bytes that are left. A null text counts as empty and has nothing removed.
-    Repeated rows of a document are that one document; different texts under one id are ordered by a hash of the text;
-    rows without an id come last. Of no rows, none. spans: [start, end) in bytes of the maximal removed runs.
+    Uses doc_id and text; other columns matter only where named in keep. text is what is left, without the parts of
+    characters that a cut went through; the digest is of the bytes that are left. A null text counts as empty, has
+    nothing removed and stays null. Repeated rows of a document are that one document; different texts under one id are
+    ordered by a hash of the text; rows without an id come last. Of no rows, none. spans: [start, end) in bytes of the
+    maximal removed runs.
     """
     whole, found = occurrences(docs, p)
     spans = whole.union(found.where("not first").select("doc", "loc", "length")).distinct()
     by_doc = spans.groupBy("doc", F.shiftright("loc", AT).alias("code")).agg(F.collect_list(F.struct(F.expr(f"loc & {(1 << AT) - 1}L").alias("at"), "length")).alias("items"))
+    names = [f"kept_{i}" for i in range(len(keep))]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for part in parts:
             rows = []
             for body, items in zip(part.column("body").to_pylist(), part.column("items").to_pylist(), strict=True):
-                text, runs = unpack.decompress(body), []
+                text, runs = b"" if body is None else unpack.decompress(body), []
                 for at, end in sorted((x["at"], x["at"] + x["length"]) for x in items or ()):
                     if runs and at <= runs[-1][1]:
                         runs[-1][1] = max(runs[-1][1], end)
@@ -352,10 +358,15 @@ def deduplicate(docs: DataFrame, p: Params = Params()) -> DataFrame:
                         runs.append([at, end])
                 ends = [0, *(e for _, e in runs)]
                 left = b"".join(text[a:b] for a, b in zip(ends, [*(s for s, _ in runs), len(text)], strict=True))
-                rows.append((left.decode("utf-8", "ignore"), len(text), len(text) - len(left), len(runs), hashlib.sha256(left).hexdigest(), [{"start": a, "end": b} for a, b in runs]))
+                rows.append((None if body is None else left.decode("utf-8", "ignore"), len(text), len(text) - len(left), len(runs), hashlib.sha256(left).hexdigest(), [{"start": a, "end": b} for a, b in runs]))
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
-            yield pa.record_batch([part.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+            yield pa.record_batch([*(part.column(n) for n in names), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=[*names, *OUT])
 
-    joined = _packed_texts(docs).join(by_doc, ["doc", "code"], "left")
-    return joined.select("doc_id", "body", "items").mapInArrow(run, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")
+    joined = _packed_texts(docs, keep).join(by_doc, ["doc", "code"], "left").select(*names, "body", "items")
+    types = "text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
+    out = joined.mapInArrow(run, ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)), types]))
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, keep, strict=True)), *OUT)
+
+
+OUT = ["text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
