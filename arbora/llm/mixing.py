@@ -57,17 +57,17 @@ def _moment(share: Column, slope: Column) -> Column:
     return F.when(slope == 0, share).otherwise(curved)
 
 
-def mix(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(row, size, source_size, target, taken, positions) of each row of docs; row is the whole row as a struct.
+def mix(docs: DataFrame, p: Params = Params(), keep: tuple[str, ...] | None = None) -> DataFrame:
+    """(row, size, source_size, target, taken, positions) of each row of docs; row is a struct of the columns `keep`.
 
-    Uses doc_id, text and source. size counts words, of a null text 0. taken is how many of a document's words the mix
+    Uses doc_id, text and source; keep is all columns unless given. size counts words, of a null text 0. taken is how many of a document's words the mix
     takes: all of them once per full pass over the source, and in the last pass those before the target is met, so at
     most one document of a source is taken in part. positions: of each pass that takes it. A null source is a source;
     repeated rows are taken like different ones; of no rows there is no mix.
     """
     key = F.when(F.col("source").isNull(), "0").otherwise(F.concat(F.lit("1"), F.col("source").cast("string")))
     order = F.xxhash64("doc_id", F.xxhash64("text")).bitwiseAND(F.lit(2**60 - 1))
-    sized = docs.select(F.struct(*docs.columns).alias("row"), F.size(word_array(F.col("text"))).cast("long").alias("size"), key.alias("source_key"), F.col("source").cast("string").alias("source"), order.alias("draw"))
+    sized = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col("doc_id").alias("doc"), F.size(word_array(F.col("text"))).cast("long").alias("size"), key.alias("source_key"), F.col("source").cast("string").alias("source"), order.alias("draw"))
     narrow = stored(sized.select("source_key", "source", "size", F.shiftright("draw", 40).alias("fine")).groupBy("source_key", "source", "fine").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "sizes")
     bits = max(0, ((narrow.agg(F.sum("n")).first()[0] or 0) // p.per_class).bit_length())
     place = F.shiftright("draw", 60 - min(bits, 20))
@@ -77,7 +77,7 @@ def mix(docs: DataFrame, p: Params = Params()) -> DataFrame:
     in_source = W.partitionBy("source_key").orderBy("class").rowsBetween(W.unboundedPreceding, -1)
     starts = classes.withColumn("begin", F.coalesce(F.sum("size").over(in_source), F.lit(0))).drop("size", "source").join(goals, "source_key")
     starts = stored(starts, "starts")
-    in_class = W.partitionBy("source_key", "class").orderBy("draw", "row.doc_id").rowsBetween(W.unboundedPreceding, -1)
+    in_class = W.partitionBy("source_key", "class").orderBy("draw", "doc").rowsBetween(W.unboundedPreceding, -1)
     rows = sized.drop("source").withColumn("class", place).withColumn("within", F.coalesce(F.sum("size").over(in_class), F.lit(0)))
     rows = rows.join(starts, ["source_key", "class"]).withColumn("before", F.col("begin") + F.col("within"))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)

@@ -29,8 +29,7 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    # the text served to order the rows; only the plan goes on
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=("doc_id",))
     plan = mixed.select("row.doc_id", "size", "source_size", "target", "taken", "positions")
     return mixing.in_training_order(plan)
 
@@ -103,9 +102,36 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+OP4_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e) AND isfinite(list_dot_product(e, e)) AND list_dot_product(e, e) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.b FROM reach r JOIN links l ON l.a = r.y),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+c AS (SELECT x, min(y) AS component FROM reach GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component AS component_id, vec_id = component AS kept
+FROM v JOIN c ON c.x = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM w),
+t AS (SELECT doc_id, word, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS after, count(*) OVER (PARTITION BY doc_id) AS n FROM p),
+s AS (SELECT DISTINCT doc_id, CASE WHEN n = 1 THEN word ELSE word || ' ' || after END AS g FROM t WHERE n = 1 OR after IS NOT NULL),
+k AS (SELECT doc_id, count(*) AS k FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN k x ON x.doc_id = a JOIN k y ON y.doc_id = b WHERE 100 * m >= 80 * (x.k + y.k - m)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, l.b FROM reach r JOIN links l ON l.a = r.y),
+c AS (SELECT x, min(y) AS component FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(k.k, 0) AS n_shingles, component AS component_id, w.doc_id = component AS kept
+FROM w JOIN c ON c.x = w.doc_id LEFT JOIN k ON k.doc_id = w.doc_id
+"""
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_rollup": OP5_SQL}
+    return {"op4_embedding_join": OP4_SQL, "op5_rollup": OP5_SQL, "op6_setsketch": OP6_SQL}
