@@ -31,7 +31,7 @@ class Params:
 
     order: int = 5
     documents: int = 1500
-    strictness: float = 8.0
+    strictness: float = 20.0
 
 
 def letters(word: bytes) -> str:
@@ -267,7 +267,7 @@ def _calibrate(model: Model, docs: DataFrame) -> None:
     for k in range(width):
         if (own := per[(truth == k) & (n >= 50)]).size >= 5:
             middle = np.median(own)
-            model.usual[k], model.spread[k] = middle, max(1.4826 * np.median(np.abs(own - middle)), own.std() / 2, 0.02)
+            model.usual[k], model.spread[k] = middle, max(1.4826 * np.median(np.abs(own - middle)), own.std() / 2, 0.04)
 
 
 PREDICTED = "lang_pred string, score double, cross_entropy double, rejected boolean"
