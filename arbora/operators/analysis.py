@@ -160,3 +160,58 @@ def header_filter(games: DataFrame) -> DataFrame:
     rows = rows.where(calm("white_diff") & calm("black_diff") & slow & human("white_title") & human("black_title") & F.col("result").isin("1-0", "0-1", "1/2-1/2"))
     average = F.floor((F.col("w") + F.col("b")) / 2)
     return rows.select("game_id", R.rating_band(average).alias("bucket"), (F.col("result") == "1-0").cast("int").alias("ww"), (F.col("result") == "1/2-1/2").cast("int").alias("d"))
+
+
+def edge_kinds(edges: DataFrame, depths: DataFrame) -> DataFrame:
+    """Edges of the nodes in depths: TREE one step down, BACK to a node seen before, THIN out of them, TERM and AGG."""
+    to = depths.select(F.col("node").alias("child"), F.col("depth").alias("to"))
+    rows = edges.select("node", "move", "child").distinct().join(depths, "node").join(to, "child", "left")
+    kind = F.when(F.col("move") == TERM, "TERM").when(F.col("move") == AGG, "AGG").when(F.col("to").isNull(), "THIN").when(F.col("to") == F.col("depth") + 1, "TREE").otherwise("BACK")
+    return rows.select("node", "move", "child", "depth", kind.alias("kind"))
+
+
+def target_value(edges: DataFrame, target: str, plies: int, best: bool) -> DataFrame:
+    """(node, bucket, value): chance of reaching the target within so many plies. best: White picks, else all follow the crowd."""
+    step = stored(shares(edges).where(R.is_real(F.col("move"))), "shares")
+    value = step.select("node", "bucket").distinct().withColumn("value", F.lit(0.0))
+    hit = F.when(F.col("child") == target, 1.0).otherwise(F.coalesce("below", F.lit(0.0)))
+    for _ in range(plies):
+        rows = step.join(value.select(F.col("node").alias("child"), "bucket", F.col("value").alias("below")), ["child", "bucket"], "left").withColumn("hit", hit)
+        crowd = F.sum(F.col("share") * F.col("hit"))
+        pick = F.when(F.substring(F.col("node"), 1, 1) == "w", F.max("hit")).otherwise(crowd) if best else crowd
+        value = stored(rows.groupBy("node", "bucket").agg(pick.alias("value")), "value")
+    return value
+
+
+def beam(edges: DataFrame, root: str, depth: int, width: int) -> DataFrame:
+    """(bucket, node, mass) after `depth` moves, of which only the `width` nodes of the largest mass in any band go on."""
+    step = stored(shares(edges).where(R.is_real(F.col("move"))), "shares")
+    at = step.where(F.col("node") == root).select("bucket", "node").distinct().withColumn("mass", F.lit(1.0))
+    for _ in range(depth):
+        rows = stored(at.join(step, ["node", "bucket"]).groupBy("bucket", F.col("child").alias("node")).agg(F.sum(F.col("mass") * F.col("share")).alias("mass")), "mass")
+        top = rows.groupBy("node").agg(F.round(F.max("mass"), 12).alias("m")).orderBy(F.desc("m"), "node").limit(width)
+        at = stored(rows.join(top.select("node"), "node", "left_semi"), "beam")
+    return at
+
+
+def offenders(checked: DataFrame, most: int = 15) -> DataFrame:
+    """The largest deviations of a verification."""
+    return checked.orderBy(F.desc(F.round("delta", 9)), "node", "bucket").limit(most)
+
+
+def rates(events: DataFrame) -> DataFrame:
+    """Change of the value per second since the user's event before; null for the first."""
+    w = W.partitionBy("user_id").orderBy("ts", "event_id")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    seconds = (at - F.lag(at).over(w)) / F.lit(1e6)
+    return events.select("event_id", ((F.col("value") - F.lag("value").over(w)) / seconds).alias("rate"))
+
+
+def flagged_moves(lines: DataFrame) -> DataFrame:
+    """(node, move, reason) from text lines `node | move | reason`; blank lines and lines that start with # are skipped.
+
+    A line without three parts raises.
+    """
+    rows = lines.select(F.trim("value").alias("line")).where("line <> '' and not startswith(line, '#')").withColumn("part", F.split("line", r"\s*\|\s*"))
+    checked = F.when(F.size("part") == 3, F.col("part")).otherwise(F.raise_error(F.concat(F.lit("not `node | move | reason`: "), "line")).cast("array<string>"))
+    return rows.select(checked.alias("part")).select(*(F.col("part")[k].alias(c) for k, c in enumerate(("node", "move", "reason"))))

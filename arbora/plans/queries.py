@@ -333,4 +333,56 @@ def header_filters(spark, sf_dir):
     return A.header_filter(heads)
 
 
+_DENSE = "RECURSIVE " + ",\n".join([*GRAPH, "kept AS (SELECT node FROM edges GROUP BY node HAVING sum(n) >= 50)", "reach AS (SELECT node, 0 AS depth FROM kept WHERE node = 'w:^' UNION SELECT e.child, r.depth + 1 FROM reach r JOIN edges e ON e.node = r.node JOIN kept k ON k.node = e.child WHERE r.depth < 5)", "depths AS (SELECT node, min(depth) AS depth FROM reach GROUP BY node)"])
+
+
+@query(f"WITH {_DENSE}\nSELECT DISTINCT e.node, e.move, e.child, CAST(a.depth AS INT) AS depth, CASE WHEN e.move = '(TERM)' THEN 'TERM' WHEN e.move = '(AGG)' THEN 'AGG' WHEN b.depth IS NULL THEN 'THIN' WHEN b.depth = a.depth + 1 THEN 'TREE' ELSE 'BACK' END AS kind FROM edges e JOIN depths a ON a.node = e.node LEFT JOIN depths b ON b.node = e.child")
+def edge_kinds(spark, sf_dir):
+    edges = _edges(spark, sf_dir)
+    classes = T.classify(edges, 50, 50)
+    return A.edge_kinds(edges, G.reachable(edges, classes, ROOT, 5))
+
+
+def _value_sql(plies: int, best: bool) -> list[str]:
+    hit = f"CASE WHEN s.child = '{TARGET}' THEN 1.0::DOUBLE ELSE coalesce(v.value, 0.0) END"
+    crowd = f"sum(share * ({hit}))"
+    pick = f"CASE WHEN left(s.node, 1) = 'w' THEN max({hit}) ELSE {crowd} END" if best else crowd
+    out = [SHARES, "real AS (SELECT * FROM shares WHERE move NOT IN ('(TERM)', '(AGG)'))", "u0 AS (SELECT DISTINCT node, bucket, 0.0::DOUBLE AS value FROM real)"]
+    return out + [f"u{k} AS (SELECT s.node, s.bucket, {pick} AS value FROM real s LEFT JOIN u{k - 1} v ON v.node = s.child AND v.bucket = s.bucket GROUP BY s.node, s.bucket)" for k in range(1, plies + 1)]
+
+
+@query(_with(*GRAPH, *_value_sql(3, False)) + "SELECT node, bucket, round(value, 6) AS value FROM u3")
+def target_value_field(spark, sf_dir):
+    return rounded(A.target_value(_edges(spark, sf_dir), TARGET, 3, False))
+
+
+@query(_with(*GRAPH, *_value_sql(3, True)) + "SELECT node, bucket, round(value, 6) AS value FROM u3")
+def target_value_best(spark, sf_dir):
+    return rounded(A.target_value(_edges(spark, sf_dir), TARGET, 3, True))
+
+
+def _beam_sql(depth: int, width: int) -> list[str]:
+    out = [SHARES, "b0 AS (SELECT DISTINCT bucket, node, 1.0::DOUBLE AS mass FROM shares WHERE node = 'w:^/')"]
+    for k in range(1, depth + 1):
+        out.append(f"r{k} AS (SELECT s.bucket, s.child AS node, sum(mass * share) AS mass FROM b{k - 1} m JOIN shares s USING (node, bucket) WHERE s.move NOT IN ('(TERM)', '(AGG)') GROUP BY ALL)")
+        out.append(f"b{k} AS (SELECT * FROM r{k} WHERE node IN (SELECT node FROM r{k} GROUP BY node ORDER BY round(max(mass), 12) DESC, node LIMIT {width}))")
+    return out
+
+
+@query(_with(*TREE, *_beam_sql(3, 10)) + "SELECT bucket, node, round(mass, 6) AS mass FROM b3")
+def beam_spread(spark, sf_dir):
+    return rounded(A.beam(_edges(spark, sf_dir, True), TREE_ROOT, 3, 10))
+
+
+@query(_with(*SOLVE, f"checked AS (SELECT a.node, a.bucket, greatest(abs(a.eval_w - b.eval_w), abs(a.eval_b - b.eval_b)) AS delta FROM v{SWEEPS + 1} a JOIN v{SWEEPS} b USING (node, bucket))") + "SELECT node, bucket, round(delta, 6) AS delta FROM checked ORDER BY round(delta, 9) DESC, node, bucket LIMIT 15")
+def top_offenders(spark, sf_dir):
+    edges = _edges(spark, sf_dir)
+    return rounded(A.offenders(G.verify(edges, G.solve(edges, SWEEPS))).select("node", "bucket", "delta"))
+
+
+@query("SELECT event_id, round((value - lag(value) OVER w) / ((epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6), 6) AS rate FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
+def rate_per_second(spark, sf_dir):
+    return rounded(A.rates(_table(spark, sf_dir, "events")))
+
+
 assert {AGG, TERM} == {"(AGG)", "(TERM)"}

@@ -93,3 +93,10 @@ def test_allowance_and_counters(spark):
     assert spend(tokens, 5.0, 5.0) == (0.0, False, 0.125)
     got = counter_totals(spark.createDataFrame([("pl=412,ch=3,cm=1",), ("ch=2,zz=x,=4",), (None,)], "header string")).collect()
     assert {r.k: r.total for r in got} == {"pl": 412, "ch": 5, "cm": 1}
+
+
+def test_flagged_moves(spark):
+    lines = spark.createDataFrame([("# note",), ("",), ("w:^ | click | too thin",)], "value string")
+    assert [tuple(r) for r in analysis.flagged_moves(lines).collect()] == [("w:^", "click", "too thin")]
+    with pytest.raises(Exception, match="node"):
+        analysis.flagged_moves(spark.createDataFrame([("a | b",)], "value string")).collect()
