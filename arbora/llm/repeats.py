@@ -109,7 +109,8 @@ def code(text: bytes) -> int:
 
 MARKS = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("loc", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("settled", pa.bool_())])
 MARK_TYPES = "h long, c long, doc long, loc long, left int, right int, settled boolean"
-PIECE = 1_000_000
+#: Bytes that are hashed, and clips that are compared with each other, at a time.
+PIECE, HELD = 400_000, 300_000
 AT = 40  # loc: the text's code above this bit, the place in bytes below
 
 
@@ -119,10 +120,42 @@ def clips(docs: DataFrame, p: Params) -> DataFrame:
     A settled row says that [loc - left, loc + right) has an earlier occurrence; its hash is only a spread-out key.
     """
 
+    def settle(found: list[list]) -> Iterator[pa.RecordBatch]:
+        h, c, doc, loc, left, right = (np.concatenate(x) for x in found)
+        order = np.lexsort((loc, doc, c, h))
+        same = np.zeros(len(h), bool)
+        a, b = order[1:], order[:-1]
+        same[a] = (h[a] == h[b]) & (c[a] == c[b]) & ((doc[a] != doc[b]) | (loc[a] != loc[b]))
+        again = np.zeros(len(h), bool)
+        again[a] = (h[a] == h[b]) & (c[a] == c[b]) & (doc[a] == doc[b]) & (loc[a] == loc[b])
+        free = np.flatnonzero(~same & ~again)
+        # settled clips that touch become one row
+        k = np.flatnonzero(same)
+        k = k[np.lexsort((loc[k], doc[k]))]
+        lo, hi = loc[k] - left[k], loc[k] + right[k]
+        fresh = np.ones(len(k), bool)
+        fresh[1:] = (doc[k][1:] != doc[k][:-1]) | (lo[1:] > hi[:-1])
+        begin = np.flatnonzero(fresh)
+        stop = np.append(begin[1:], len(k)) - 1 if len(k) else begin
+        s_doc, s_lo, s_hi = doc[k][begin], lo[begin], hi[stop]
+        key = signed(s_doc.astype(np.uint64) * ODD[0] + s_lo.astype(np.uint64) * ODD[1])
+        cols = (
+            np.concatenate([signed(h[free]), key]),
+            np.concatenate([signed(c[free]), np.zeros(len(key), np.int64)]),
+            np.concatenate([doc[free], s_doc]),
+            np.concatenate([loc[free], s_lo]),
+            np.concatenate([left[free], np.zeros(len(key), np.int64)]).astype(np.int32),
+            np.concatenate([right[free], s_hi - s_lo]).astype(np.int32),
+            np.concatenate([np.zeros(len(free), bool), np.ones(len(key), bool)]),
+        )
+        for b in pa.table([pa.array(x) for x in cols], schema=MARKS).to_batches(max_chunksize=50_000):
+            yield b
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             ids, texts = part.column("doc_id").to_pylist(), byte_texts(part.column("text"))
             found: list[list] = [[] for _ in range(6)]
+            held = 0
             base = [(code(t) << AT) for t in texts]
             docs_ = np.array([NO_ID if i is None else i for i in ids], np.int64)
             # a very long text stands in pieces that overlap by one byte less than a string
@@ -148,38 +181,13 @@ def clips(docs: DataFrame, p: Params) -> DataFrame:
                     origin = np.array([base[k] + o for k, o, _ in some], np.int64)[owner]
                     for o, v in zip(found, (h, c, docs_[text_of], origin + place - starts[owner], place - first, stop - place), strict=True):
                         o.append(v)
+                    held += len(h)
+                if held > HELD:
+                    yield from settle(found)
+                    found, held = [[] for _ in range(6)], 0
                 at = end
-            if not found[0]:
-                continue
-            h, c, doc, loc, left, right = (np.concatenate(x) for x in found)
-            order = np.lexsort((loc, doc, c, h))
-            same = np.zeros(len(h), bool)
-            a, b = order[1:], order[:-1]
-            same[a] = (h[a] == h[b]) & (c[a] == c[b]) & ((doc[a] != doc[b]) | (loc[a] != loc[b]))
-            again = np.zeros(len(h), bool)
-            again[a] = (h[a] == h[b]) & (c[a] == c[b]) & (doc[a] == doc[b]) & (loc[a] == loc[b])
-            free = np.flatnonzero(~same & ~again)
-            # settled clips that touch become one row
-            k = np.flatnonzero(same)
-            k = k[np.lexsort((loc[k], doc[k]))]
-            lo, hi = loc[k] - left[k], loc[k] + right[k]
-            fresh = np.ones(len(k), bool)
-            fresh[1:] = (doc[k][1:] != doc[k][:-1]) | (lo[1:] > hi[:-1])
-            begin = np.flatnonzero(fresh)
-            stop = np.append(begin[1:], len(k)) - 1 if len(k) else begin
-            s_doc, s_lo, s_hi = doc[k][begin], lo[begin], hi[stop]
-            key = signed(s_doc.astype(np.uint64) * ODD[0] + s_lo.astype(np.uint64) * ODD[1])
-            cols = (
-                np.concatenate([signed(h[free]), key]),
-                np.concatenate([signed(c[free]), np.zeros(len(key), np.int64)]),
-                np.concatenate([doc[free], s_doc]),
-                np.concatenate([loc[free], s_lo]),
-                np.concatenate([left[free], np.zeros(len(key), np.int64)]).astype(np.int32),
-                np.concatenate([right[free], s_hi - s_lo]).astype(np.int32),
-                np.concatenate([np.zeros(len(free), bool), np.ones(len(key), bool)]),
-            )
-            for b in pa.table([pa.array(x) for x in cols], schema=MARKS).to_batches(max_chunksize=50_000):
-                yield b
+            if held:
+                yield from settle(found)
 
     return docs.select("doc_id", "text").mapInArrow(run, MARK_TYPES)
 
