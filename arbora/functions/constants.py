@@ -14,5 +14,5 @@ DROP, LEAF = 50, 150
 MERGE_FLOOR = 5
 #: Calibration: least games of a target cell and of a drift cell, and the cap of the strength.
 TARGET_MIN, N_DRIFT, S_CAP = 200, 500, 2000.0
-GRID = [0.0, 0.1, 0.225, 0.3, 0.45, 0.6, 0.75, 0.85, 0.9, 0.95, 1.0]
+GRID = [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.75, 0.9]
 EXCELLENT_MARGIN, SIDELINE_SHARE = 0.02, 0.05
