@@ -90,9 +90,14 @@ def mix(docs: DataFrame, p: Params = Params(), keep: tuple[str, ...] | None = No
     return rows.select("row", "size", "source_size", "target", "taken", times.alias("positions"))
 
 
-def in_training_order(mixed: DataFrame) -> DataFrame:
-    """Every document of a mix once, range-sorted by its first position; those that the mix leaves out come last."""
-    return mixed.withColumn("position", F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))).repartitionByRange("position").sortWithinPartitions("position")
+def in_training_order(plan: DataFrame, tie: str = "doc_id") -> DataFrame:
+    """The rows of a plan once each, range-sorted by first position; those that the mix leaves out come last.
+
+    tie: a column whose hash orders rows of one position, so that the left-out rows are spread over tasks as well.
+    """
+    order = ["position", "tie"]
+    rows = plan.withColumn("position", F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))).withColumn("tie", F.xxhash64(tie))
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
 
 
 def curriculum(docs: DataFrame, p: Params = Params()) -> DataFrame:

@@ -66,3 +66,11 @@ def test_curriculum_rows(spark):
     assert mixing.mix(empty).count() == 0 and mixing.curriculum(empty).count() == 0
     blank = spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")
     assert [(r.taken, r.target) for r in mixing.mix(blank).collect()] == [(0, 0.0)] * 2
+
+
+def test_training_order(spark):
+    _, docs = table(spark, 7)
+    plan = mixing.mix(docs, keep=("doc_id",)).select("row.doc_id", "taken", "positions")
+    got = mixing.in_training_order(plan).collect()
+    assert [r.position for r in got] == sorted(r.position for r in got) and len(got) == docs.count()
+    assert all((r.position == 2.0) == (not r.positions) for r in got)
