@@ -1,13 +1,18 @@
 """A nested hierarchical Pitman-Yor language model.
 
-Words are dishes of one restaurant. Its base measure spells a word byte by byte: a restaurant for every context of up
+Every word has a restaurant of the words that follow it; the end token's has the first words of texts. These share one
+parent, the word restaurant. Its base measure spells a word byte by byte: a restaurant for every context of up
 to order - 1 bytes, each with the next shorter context as its parent, down to a uniform choice. The tables of a
 restaurant are the customers of its parent; the tables of the word restaurant are the words that get spelled. All
 words that training has not seen are one event: it has the base measure's weight outside the words that were seen.
 
 Seating is sampled by Gibbs sweeps. In a sweep each dish's customers get up and sit down again one after another, by
 the Chinese restaurant's rule, given the other dishes' tables of the sweep before; that makes dishes independent, so
-the word restaurant is swept in parallel over all distinct words. Probabilities are averaged over the kept samples.
+the word restaurant is swept in parallel over all distinct words. Word probabilities and the followers' tables are
+averaged over the kept samples; the followers' probabilities come from both averages.
+
+Pairs of words are dealt to buckets by the first word's hash and travel as packed arrays, so a bucket has whole
+restaurants. What a text asks for goes to the buckets and comes back as sums.
 
 The corpus is counted in full. Only the spelling restaurants come to the driver: their order is lowered until there
 are at most `most_grams`, whatever the corpus's size.
@@ -22,12 +27,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arbora.llm.langid import Model, _find, grams
-from arbora.llm.text import byte_texts, signed
+from arbora.llm.text import WordHashes, byte_texts, mix, signed
 from arbora.llm.workspace import stored
 
 #: The spelling of the token that ends a text; no word contains it.
@@ -36,14 +42,15 @@ END = b"\n"
 
 @dataclass(frozen=True)
 class Params:
-    """head: words whose probabilities every task holds. strength: of all restaurants; discounts are estimated."""
+    """strength: of all restaurants; discounts are estimated. bucket: about so many tokens of training share a bucket."""
 
     order: int = 5
     burn_in: int = 1
     samples: int = 2
     strength: float = 1.0
     most_grams: int = 250_000
-    head: int = 50_000
+    bucket: int = 4_000_000
+    batch: int = 6_000_000
     words_held: int = 300_000
     seed: int = 20_240_611
 
@@ -126,7 +133,7 @@ class Spelling:
 
 
 def count_words(docs: DataFrame, p: Params) -> DataFrame:
-    """(word, n) of every distinct word of docs, and of the end token that every text has."""
+    """(word, h, n) of every distinct word of docs with its hash, and of the end token that every text has."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -135,7 +142,8 @@ def count_words(docs: DataFrame, p: Params) -> DataFrame:
             words = list(seen)
             for at in range(0, len(words), 50_000):
                 some = words[at : at + 50_000]
-                yield pa.record_batch([pa.array(some, pa.binary()), pa.array([seen[w] for w in some], pa.int64())], names=["word", "n"])
+                h = np.fromiter(map(xxhash.xxh3_64_intdigest, some), np.uint64, len(some))
+                yield pa.record_batch([pa.array(some, pa.binary()), pa.array(signed(h)), pa.array([seen[w] for w in some], pa.int64())], names=["word", "h", "n"])
             seen.clear()
 
         for part in parts:
@@ -146,8 +154,8 @@ def count_words(docs: DataFrame, p: Params) -> DataFrame:
                     yield from out()
         yield from out()
 
-    counted = docs.select("text").mapInArrow(run, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(run, "word binary, h long, n long")
+    return counted.groupBy("word").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
 
 
 def _grams(types: DataFrame, order: int, structure: bool) -> DataFrame:
@@ -199,23 +207,201 @@ def _spelled(types: DataFrame, model: Model, p: Params, d: float, n_tables: int,
             for at in range(0, part.num_rows, 20_000):
                 few = part.slice(at, 20_000)
                 base = np.exp(shared.value.score([spelling(w) for w in few.column("word").to_pylist()])[0][:, 0])
-                n = few.column("n").to_numpy()
                 fresh = (p.strength + d * n_tables) * base
-                t = seat(n, fresh, d, rng)
-                yield pa.record_batch([few.column("word"), few.column("n"), pa.array(t), few.column("prob"), pa.array(base)], names=["word", "n", "t", "prob", "base"])
+                t = seat(few.column("c").to_numpy(), fresh, d, rng)
+                yield pa.record_batch([*(few.column(x) for x in ("word", "h", "n", "c")), pa.array(t), few.column("prob"), pa.array(base)], names=["word", "h", "n", "c", "t", "prob", "base"])
 
-    return types.select("word", "n", "prob").mapInArrow(run, "word binary, n long, t long, prob double, base double")
+    return types.select("word", "h", "n", "c", "prob").mapInArrow(run, "word binary, h long, n long, c long, t long, prob double, base double")
 
 
-def train(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, int, int, float]:
-    """((word, n, log10_prob) of every word of docs, tokens, distinct tokens, log10 probability of an unseen word).
+def _pack(*columns: np.ndarray) -> bytes:
+    """Arrays as bytes; _unpack() takes their types."""
+    sizes = np.array([len(c) for c in columns], np.int64)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([sizes.tobytes(), *(c.tobytes() for c in columns)]))
+
+
+def _unpack(blob: bytes, *types: type) -> list[np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    at, out = 8 * len(types), []
+    for size, kind in zip(np.frombuffer(data, np.int64, len(types)), types, strict=True):
+        out.append(np.frombuffer(data, kind, int(size), at))
+        at += int(size) * np.dtype(kind).itemsize
+    return out
+
+
+def _joined(blobs: list[bytes], *types: type) -> list[np.ndarray]:
+    """The arrays of all blobs, one after the other."""
+    if not blobs:
+        return [np.zeros(0, t) for t in types]
+    return [np.concatenate(x) for x in zip(*(_unpack(b, *types) for b in blobs), strict=True)]
+
+
+def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """One hash of two words in this order."""
+    return mix(mix(u) + w)
+
+
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mix(h) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+
+
+BUCKETED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("w", pa.int64()), ("v", pa.float64())])
+BUCKETED_SQL = "bucket int, kind int, blob binary, w long, v double"
+PAIRS, FEW, OFTEN, CONTEXTS, WORDS, NEEDED, NEEDED_OFTEN, TABLES, RATES = range(9)
 
-    Every text ends with one end token. Of no rows nothing is known, and an unseen word has probability 1.
+
+def _blobs(bucket: int, kind: int, *columns: np.ndarray, most: int = 250_000) -> list[tuple]:
+    """Rows of BUCKETED with equally long arrays, in pieces."""
+    return [(bucket, kind, _pack(*(c[at : at + most] for c in columns)), None, None) for at in range(0, len(columns[0]), most)]
+
+
+def _rows(rows: list[tuple], *numbers: tuple[int, int, np.ndarray, np.ndarray]) -> pa.Table:
+    """A table of BUCKETED from rows and from (bucket, kind, w, v) with many numbers each."""
+    cols = list(zip(*rows, strict=True)) or [[]] * 5
+    tables = [pa.table([pa.array(c, f.type) for c, f in zip(cols, BUCKETED, strict=True)], schema=BUCKETED)]
+    for bucket, kind, w, v in numbers:
+        n = len(w)
+        tables.append(pa.table([pa.array(np.full(n, bucket, np.int32)), pa.array(np.full(n, kind, np.int32)), pa.nulls(n, pa.binary()), pa.array(signed(w)), pa.array(v.astype(float))], schema=BUCKETED))
+    return pa.concat_tables(tables).combine_chunks()
+
+
+def _of(table: pa.Table, kind: int) -> list[bytes]:
+    return [b for b, k in zip(table.column("blob").to_pylist(), table.column("kind").to_pylist(), strict=True) if k == kind and b is not None]
+
+
+def _tokens(parts: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, word before, word, row of each token) of rows with about p.batch bytes of text at a time."""
+    hashes = WordHashes(p.words_held)
+    for part in parts:
+        texts = byte_texts(part.column("text"))
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (size == 0 or size + len(texts[end]) < p.batch):
+                size += len(texts[end])
+                end += 1
+            words: list[bytes] = []
+            sizes = []
+            for text in texts[at:end]:
+                own = text.lower().split()
+                words += own
+                words.append(END)
+                sizes.append(len(own) + 1)
+            w = hashes(words)
+            # a text's first word comes after the end token, which is also what the text before it ends with
+            yield part.slice(at, end - at), np.concatenate([w[-1:], w[:-1]]), w, np.repeat(np.arange(end - at), sizes)
+            at = end
+
+
+def count_pairs(docs: DataFrame, buckets: int, p: Params) -> DataFrame:
+    """The pairs of neighbouring words of docs by bucket, counted, and what the sweeps need to know of them.
+
+    PAIRS: word before, word, count of every pair. OFTEN: the same with tables of those that occur twice or more; the
+    others have one table. CONTEXTS: word, tokens after it, pairs that occur once. NEEDED, NEEDED_OFTEN: the different
+    words of PAIRS and OFTEN. FEW: tables that a word has in pairs that occur once. RATES: numbers of pairs that occur
+    once and twice.
     """
-    types = stored(count_words(docs, p).select("word", "n", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("prob")), "words")
-    facts = types.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-    total, kinds, one, two = (int(x or 0) for x in facts)
-    d = float(np.clip(one / max(one + 2 * two, 1), 0.05, 0.95))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, u, w, _ in _tokens(parts, p):
+            _, first, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
+            u, w, to = u[first], w[first], _bucket(u[first], buckets)
+            order = np.argsort(to, kind="stable")
+            ends = np.searchsorted(to[order], np.arange(buckets + 1))
+            rows = []
+            for b in range(buckets):
+                if len(i := order[ends[b] : ends[b + 1]]):
+                    i = i[np.argsort(u[i], kind="stable")]
+                    rows += _blobs(b, PAIRS, u[i], w[i], n[i].astype(np.uint32))
+            yield from _rows(rows).to_batches(max_chunksize=64)
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        b = key[0].as_py()
+        u, w, n = _joined(_of(table, PAIRS), np.uint64, np.uint64, np.uint32)
+        _, first, index = np.unique(_pair(u, w), return_index=True, return_inverse=True)
+        n = np.bincount(index, n, len(first)).astype(np.int64)
+        u, w = u[first], w[first]
+        order = np.argsort(u, kind="stable")
+        u, w, n = u[order], w[order], n[order]
+        kinds, group = np.unique(u, return_inverse=True)
+        once, often = n == 1, n > 1
+        few, tables = np.unique(w[once], return_counts=True)
+        rows = _blobs(b, PAIRS, u, w, n) + _blobs(b, OFTEN, u[often], w[often], n[often], np.ones(often.sum(), np.int64), np.zeros(often.sum()))
+        rows += _blobs(b, CONTEXTS, kinds, np.bincount(group, n, len(kinds)).astype(np.int64), np.bincount(group, once, len(kinds)).astype(np.int64))
+        need, need_often = np.unique(w), np.unique(w[often])
+        rates = np.array([once.sum(), (n == 2).sum()])
+        return _rows(rows, (b, FEW, few, tables), (b, NEEDED, need, np.zeros(len(need))), (b, NEEDED_OFTEN, need_often, np.zeros(len(need_often))), (b, RATES, np.array([1, 2], np.uint64), rates))
+
+    return docs.select("text").mapInArrow(run, BUCKETED_SQL).groupBy("bucket").applyInArrow(merge, BUCKETED_SQL)
+
+
+def _probabilities(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words, probabilities) that came for a bucket, in the words' order."""
+    own = table.filter(pa.array(table.column("kind").to_numpy() == kind))  # other kinds have nulls
+    w, v = own.column("w").to_numpy().view(np.uint64), own.column("v").to_numpy()
+    order = np.argsort(w)
+    return w[order], v[order]
+
+
+def _seat_pairs(state: DataFrame, known: DataFrame, p: Params, d: float, sweep: int) -> DataFrame:
+    """OFTEN and CONTEXTS after everyone in the restaurants of pairs sat down anew, and TABLES: each word's in OFTEN."""
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        b = key[0].as_py()
+        u, w, n, t, held = _joined(_of(left, OFTEN), np.uint64, np.uint64, np.int64, np.int64, np.float64)
+        kinds, tokens, once = _joined(_of(left, CONTEXTS), np.uint64, np.int64, np.int64)
+        order = np.argsort(kinds)
+        kinds, tokens, once = kinds[order], tokens[order], once[order]
+        words, prob = _probabilities(right, NEEDED_OFTEN)
+        at = np.searchsorted(kinds, u)
+        everyone = once + np.bincount(at, t, len(kinds))
+        fresh = (p.strength + d * everyone[at]) * prob[np.searchsorted(words, w)] if len(u) else np.zeros(0)
+        t = seat(n, fresh, d, np.random.default_rng([p.seed, 1 + sweep, b]))
+        held = held + t * (sweep > p.burn_in) / p.samples
+        names, index = np.unique(w, return_inverse=True)
+        rows = _blobs(b, OFTEN, u, w, n, t, held) + _blobs(b, CONTEXTS, kinds, tokens, once)
+        return _rows(rows, (b, TABLES, names, np.bincount(index, t, len(names))))
+
+    return _cogrouped(state, known).applyInArrow(run, BUCKETED_SQL)
+
+
+def _cogrouped(left: DataFrame, right: DataFrame):
+    """Both sides by bucket; the right one's columns are named anew, as both may come from one table."""
+    return left.groupBy("bucket").cogroup(right.select(*(F.col(c).alias(c) for c in right.columns)).groupBy("bucket"))
+
+
+def _asked(need: DataFrame, words: DataFrame, value: str) -> DataFrame:
+    """Rows of BUCKETED that bring a column of the words to the buckets that need them."""
+    return need.select("bucket", "kind", "w").join(words.select(F.col("h").alias("w"), F.col(value).alias("v")), "w").select("bucket", "kind", F.lit(None).cast("binary").alias("blob"), "w", "v")
+
+
+@dataclass
+class Learned:
+    """words: (word, h, n, log10_prob). unseen: log10 probability of an unseen word. d: discount of the pairs."""
+
+    words: DataFrame
+    total: int
+    kinds: int
+    unseen: float
+    buckets: int
+    d: float
+    pairs: DataFrame
+    state: DataFrame | None
+
+
+def learn(docs: DataFrame, p: Params = Params()) -> Learned:
+    """All restaurants after the last sweep. Of no rows nothing is known, and an unseen word has probability 1."""
+    types = stored(count_words(docs, p).select("word", "h", "n", F.lit(0).cast("long").alias("c"), F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("prob")), "words")
+    total, kinds = (int(x or 0) for x in types.agg(F.sum("n"), F.count("*")).first())
+    buckets = max(32, total // p.bucket)
+    pairs = stored(count_pairs(docs, buckets, p), "pairs")
+    rates = {r["w"]: r["n"] for r in pairs.where(F.col("kind") == RATES).groupBy("w").agg(F.sum("v").alias("n")).collect()}
+    d_pairs = float(np.clip(rates.get(1, 0) / max(rates.get(1, 0) + 2 * rates.get(2, 0), 1), 0.05, 0.95))
+    few = stored(pairs.where(F.col("kind") == FEW).groupBy("w").agg(F.sum("v").alias("v")), "few")
+    state = pairs.where(F.col("kind").isin(OFTEN, CONTEXTS))
+    # before the first sweep every pair has one table
+    often = pairs.where(F.col("kind") == OFTEN)
+    tables = _first_tables(often)
     order, n_tables, unseen = p.order, kinds, 0.0
     structure = stored(_grams(types, order, True), "grams")
     per = {r["k"]: r["count"] for r in structure.groupBy("k").count().collect()}
@@ -227,6 +413,10 @@ def train(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, int, int, f
     del rows, arrays
     rng = np.random.default_rng(p.seed)
     for sweep in range(1, p.burn_in + p.samples + 1):
+        customers = few.unionByName(tables).groupBy("w").agg(F.sum("v").cast("long").alias("c")).withColumnRenamed("w", "h")
+        types = stored(types.drop("c").join(customers, "h").select("word", "h", "n", "c", "t", "prob"), "customers")
+        come, one, two = (int(x or 0) for x in types.agg(F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
+        d = float(np.clip(one / max(one + 2 * two, 1), 0.05, 0.95))
         tops = _grams(types, order, False).select("k", "gram", "n").toPandas()
         seated = []
         for k in range(1, order + 1):
@@ -241,89 +431,160 @@ def train(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, int, int, f
         types = stored(_spelled(types, spell.model, p, d, n_tables, sweep), "seated")
         now, spelled = types.agg(F.sum("t"), F.sum("base")).first()
         n_tables = int(now or 0)
+        fresh = p.strength + d * n_tables
+        types = types.withColumn("now", (F.col("c") - d * F.col("t") + fresh * F.col("base")) / (p.strength + come))
         if sweep > p.burn_in:
-            fresh = p.strength + d * n_tables
-            unseen += fresh / (p.strength + total) * max(1e-9, 1 - (spelled or 0)) / p.samples
-            types = types.withColumn("prob", F.col("prob") + (F.col("n") - d * F.col("t") + fresh * F.col("base")) / (p.strength + total))
-    return types.select("word", "n", F.log10(F.col("prob") / p.samples).alias("log10_prob")), total, kinds, float(np.log10(unseen))
+            unseen += fresh / (p.strength + come) * max(1e-9, 1 - (spelled or 0)) / p.samples
+            types = types.withColumn("prob", F.col("prob") + F.col("now"))
+        seated_pairs = stored(_seat_pairs(state, _asked(pairs.where(F.col("kind") == NEEDED_OFTEN), types, "now"), p, d_pairs, sweep), "seated_pairs")
+        state, tables = seated_pairs.where(F.col("kind") != TABLES), seated_pairs.where(F.col("kind") == TABLES).select("w", "v")
+    words = types.select("word", "h", "n", F.log10(F.col("prob") / p.samples).alias("log10_prob"))
+    return Learned(words, total, kinds, float(np.log10(unseen)), buckets, d_pairs, pairs, state)
 
 
-def score(docs: DataFrame, learn: str, p: Params = Params()) -> DataFrame:
-    """(doc_id, learned, n_tokens, n_known, train_tokens, base_score, score) of each row of docs.
+def _first_tables(often: DataFrame) -> DataFrame:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for blob in part.column("blob").to_pylist():
+                w, n = np.unique(_unpack(blob, np.uint64, np.uint64, np.int64, np.int64, np.float64)[1], return_counts=True)
+                yield pa.record_batch([pa.array(signed(w)), pa.array(n.astype(float))], names=["w", "v"])
 
-    docs has doc_id, text and the boolean column `learn` that marks the training rows; other columns are ignored. A
-    null text counts as empty, which is the end token alone. Repeated rows are learned and scored as often as they
-    occur; of no rows there are none. The most frequent words are looked up in each task; of the others only hashes
-    travel, one row for each distinct word of a document.
+    return often.select("blob").mapInArrow(run, "w long, v double")
+
+
+def train(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, int, int, float]:
+    """((word, n, log10_prob) of every word of docs, tokens, distinct tokens, log10 probability of an unseen word).
+
+    These are the word restaurant's, without a word before. Every text ends with one end token. Of no rows nothing is
+    known, and an unseen word has probability 1.
     """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text", F.coalesce(F.col(learn), F.lit(False)).alias("learn"))
-    words, total, kinds, unseen = train(docs.where("learn"), p)
-    sizes = words.groupBy(F.floor(F.log2("n") * 8).alias("size")).count().orderBy(F.desc("size")).collect()  # a few hundred rows at most
-    least, held = 0, 0
-    for r in sizes:
-        held += r["count"]
-        if held > p.head:
-            break
-        least = r["size"]
-    else:
-        least = 0
-    least = least if sizes and sizes[0]["count"] <= p.head else 1 << 40
-    top = words.where(F.floor(F.log2("n") * 8) >= least).toPandas()
-    floor = total + 0.1 * (kinds + 1)
-    table = (dict(zip(map(bytes, top["word"]), range(len(top)), strict=True)), np.log10((top["n"].to_numpy(float) + 0.1) / floor), top["log10_prob"].to_numpy(float))
-    shared = spark.sparkContext.broadcast(table)
+    m = learn(docs, p)
+    return m.words.select("word", "n", "log10_prob"), m.total, m.kinds, m.unseen
+
+
+def _answers(m: Learned, p: Params) -> DataFrame:
+    """By bucket: WORDS with count, log10 probability and log10 weight of the parent; PAIRS with what they add to that."""
+    d, floor = m.d, m.total + 0.1 * (m.kinds + 1)
+    bucket = _column_bucket(m.buckets)
+    own = m.words.select("h", "n", "log10_prob").mapInArrow(bucket, "bucket int, kind int, blob binary, w long, v double")
+    known = _asked(m.pairs.where(F.col("kind") == NEEDED), m.words, "log10_prob").unionByName(own)
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        b = key[0].as_py()
+        u, w, n = _joined(_of(left, PAIRS), np.uint64, np.uint64, np.int64)
+        often_u, often_w, _, _, held = _joined(_of(left, OFTEN), np.uint64, np.uint64, np.int64, np.int64, np.float64)
+        kinds, tokens, once = _joined(_of(left, CONTEXTS), np.uint64, np.int64, np.int64)
+        order = np.argsort(kinds)
+        kinds, tokens, once = kinds[order], tokens[order], once[order]
+        everyone = once + np.bincount(np.searchsorted(kinds, often_u), held, len(kinds))
+        fresh = p.strength + d * everyone
+        pair, often = _pair(u, w), _pair(often_u, often_w)
+        tables = np.ones(len(pair))
+        order = np.argsort(pair)
+        pair, u, w, n = pair[order], u[order], w[order], n[order]
+        tables[np.searchsorted(pair, often)] = held
+        words, prob = _probabilities(right, NEEDED)
+        more = np.zeros(0)
+        if len(pair):
+            more = np.log10(1 + (n - d * tables) / (fresh[np.searchsorted(kinds, u)] * 10 ** prob[np.searchsorted(words, w)]))
+        own, often, prob = _joined(_of(right, WORDS), np.uint64, np.int64, np.float64)
+        order = np.argsort(own)
+        own, often, prob = own[order], often[order], prob[order]
+        back = np.log10(fresh / (p.strength + tokens))
+        return _rows(_blobs(b, PAIRS, pair, more) + _blobs(b, WORDS, own, np.log10((often + 0.1) / floor), prob + back[np.searchsorted(kinds, own)] if len(own) else prob))
+
+    left = m.pairs.where(F.col("kind") == PAIRS).unionByName(m.state)
+    return _cogrouped(left, known).applyInArrow(run, BUCKETED_SQL)
+
+
+def _column_bucket(buckets: int):
+    """Packs rows (h, n, log10_prob) into the words' own buckets."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, base, prob = shared.value
-        row_id = TaskContext.get().partitionId() << 33
-        hashes: dict[bytes, int] = {}
-        for part in parts:
-            ids, learned = part.column("doc_id").to_pylist(), part.column("learn").to_pylist()
-            rows: list[np.ndarray] = []
-            tails: list[tuple[list[int], list[int]]] = []
-            facts = []
-            for doc, text, own in zip(ids, byte_texts(part.column("text")), learned, strict=True):
-                counts = Counter(text.lower().split())
-                counts[END] += 1
-                at = [place.get(w, -1) for w in counts]
-                often = np.fromiter(counts.values(), np.int64, len(at))
-                index = np.array(at)
-                hit = index >= 0
-                k, m = index[hit], often[hit]
-                facts.append({"doc_id": doc, "learn": own, "n_tokens": int(often.sum()), "n_known": int(m.sum()), "base": float(m @ base[k]), "score": float(m @ prob[k])})
-                rest = [w for w, i in zip(counts, at, strict=True) if i < 0]
-                if len(hashes) > p.words_held:
-                    hashes.clear()
-                for w in rest:
-                    if w not in hashes:
-                        hashes[w] = xxhash.xxh3_64_intdigest(w)
-                tails.append(([hashes[w] for w in rest], often[~hit]))
-                rows.append(np.full(len(rest), row_id, np.int64))
-                row_id += 1
-            many = sum(map(len, rows))
-            own_ids = np.arange(row_id - len(ids), row_id)
-            yield pa.record_batch([pa.array(own_ids), pa.array(signed(own_ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))), pa.array(np.zeros(len(ids), np.int32)), pa.array(facts, FACT)], names=["row", "h", "m", "fact"])
-            if many:
-                cols = [np.concatenate(rows), signed(np.array([h for x, _ in tails for h in x], np.uint64)), np.concatenate([c for _, c in tails]).astype(np.int32)]
-                yield from pa.table([*map(pa.array, cols), pa.nulls(many, FACT)], names=["row", "h", "m", "fact"]).to_batches(max_chunksize=100_000)
-
-    def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            h = np.fromiter(map(xxhash.xxh3_64_intdigest, part.column("word").to_pylist()), np.uint64, part.num_rows)
-            yield pa.record_batch([pa.array(signed(h)), part.column("n"), part.column("log10_prob")], names=["h", "n", "log10_prob"])
-
-    looked = docs.mapInArrow(run, "row long, h long, m int, fact struct<doc_id: long, learn: boolean, n_tokens: long, n_known: long, base: double, score: double>")
-    rare = words.where(F.floor(F.log2("n") * 8) < least).mapInArrow(hashed, "h long, n long, log10_prob double")
-    met = looked.join(rare, "h", "left")
-    sums = met.groupBy("row").agg(
-        F.max("fact").alias("fact"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("m"))).alias("n_known"),
-        F.sum(F.col("m") * F.log10((F.coalesce("n", F.lit(0)) + 0.1) / floor)).alias("base"),
-        F.sum(F.col("m") * F.coalesce("log10_prob", F.lit(unseen))).alias("score"),
-    )
-    add = lambda c: F.col(f"fact.{c}") + F.coalesce(F.col(c), F.lit(0))
-    return sums.select("fact.doc_id", F.col("fact.learn").alias("learned"), "fact.n_tokens", add("n_known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), add("base").alias("base_score"), add("score").alias("score"))
-
-
-FACT = pa.struct([("doc_id", pa.int64()), ("learn", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+            h, n, prob = (part.column(c).to_numpy() for c in ("h", "n", "log10_prob"))
+            to = _bucket(h.view(np.uint64), buckets)
+            rows = [r for b in np.unique(to) for r in _blobs(int(b), WORDS, h.view(np.uint64)[to == b], n[to == b], prob[to == b])]
+            yield from _rows(rows).to_batches()
+
+    return run
+
+
+def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame:
+    """(doc_id, learned, n_tokens, n_known, train_tokens, base_score, score) of each row of docs.
+
+    docs has doc_id, text and a boolean column of the given name that marks the training rows; other columns are
+    ignored. score sums the log10 probability of each token after the one before it. A null text counts as empty, which
+    is the end token alone. Repeated rows are learned and scored as often as they occur; of no rows there are none.
+    """
+    docs = docs.select("doc_id", "text", F.coalesce(F.col(learn_column), F.lit(False)).alias("learn"))
+    m = learn(docs.where("learn"), p)
+    buckets, total, unseen, floor = m.buckets, m.total, m.unseen, m.total + 0.1 * (m.kinds + 1)
+    answers = stored(_answers(m, p), "answers")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Questions: what a batch of rows asks each bucket; one row has the facts of the batch."""
+        batch = TaskContext.get().partitionId() << 33
+        for rows, u, w, row in _tokens(parts, p):
+            pair = _pair(u, w)
+            order = np.argsort(pair)
+            first = np.flatnonzero(np.concatenate([[True], pair[order][1:] != pair[order][:-1]]))
+            many = np.diff(np.append(first, len(order)))
+            one = order[first]
+            to = _bucket(u[one], buckets)
+            out = []
+            by = np.argsort(to, kind="stable")
+            ends = np.searchsorted(to[by], np.arange(buckets + 1))
+            for b in range(buckets):
+                if len(i := by[ends[b] : ends[b + 1]]):
+                    i = i[np.argsort(u[one[i]], kind="stable")]
+                    at = np.repeat(first[i], many[i]) + np.arange(many[i].sum()) - np.repeat(np.cumsum(many[i]) - many[i], many[i])
+                    out.append((b, batch, rows.num_rows, _pack(u[one[i]], w[one[i]], many[i].astype(np.uint32), row[order[at]].astype(np.uint32)), None))
+            tokens = np.bincount(row, minlength=rows.num_rows)
+            facts = [{"doc_id": i, "learn": own, "n_tokens": int(n)} for i, own, n in zip(rows.column("doc_id").to_pylist(), rows.column("learn").to_pylist(), tokens, strict=True)]
+            out.append((int(batch % buckets), batch, rows.num_rows, None, facts))
+            yield from pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), QUESTION, strict=True)], schema=QUESTION).to_batches(max_chunksize=64)
+            batch += 1
+
+    def answer(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        pair, more = _joined(_of(right, PAIRS), np.uint64, np.float64)
+        words, base, prob = _joined(_of(right, WORDS), np.uint64, np.float64, np.float64)
+        out = []
+        for b, batch, size, blob, facts in zip(*(left.column(c).to_pylist() for c in QUESTION.names), strict=True):
+            if blob is not None:
+                u, w, many, row = _unpack(blob, np.uint64, np.uint64, np.uint32, np.uint32)
+                known, i = _find(words, u)
+                hit, k = _find(pair, _pair(u, w))
+                of_base = np.full(len(u), np.log10(0.1 / floor))
+                of_score = np.full(len(u), unseen)
+                of_base[known], of_score[known] = base[i[known]], prob[i[known]]
+                of_score[hit] += more[k[hit]]
+                sums = [np.bincount(row, np.repeat(x, many), size) for x in (known, of_base, of_score)]
+                at = np.flatnonzero(sums[1])
+                blob = _pack(at.astype(np.uint32), sums[0][at].astype(np.uint32), sums[1][at], sums[2][at])
+            out.append((b, batch, size, blob, facts))
+        cols = list(zip(*out, strict=True)) or [[]] * 5
+        return pa.table([pa.array(c, f.type) for c, f in zip(cols, QUESTION, strict=True)], schema=QUESTION)
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        size = table.column("rows")[0].as_py()
+        known, base, prob = np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
+        facts = None
+        for _, _, _, blob, own in sorted(zip(*(table.column(c).to_pylist() for c in QUESTION.names), strict=True), key=lambda r: (r[3] is None, r[0])):
+            if blob is None:
+                facts = own
+            else:
+                at, *sums = _unpack(blob, np.uint32, np.uint32, np.float64, np.float64)
+                for whole, x in zip((known, base, prob), sums, strict=True):
+                    whole[at] += x
+        return pa.table({"doc_id": pa.array([f["doc_id"] for f in facts], pa.int64()), "learned": pa.array([f["learn"] for f in facts], pa.bool_()), "n_tokens": pa.array([f["n_tokens"] for f in facts], pa.int64()), "n_known": known, "base_score": base, "score": prob})
+
+    asked = docs.mapInArrow(run, QUESTION_SQL)
+    answered = _cogrouped(asked, answers).applyInArrow(answer, QUESTION_SQL)
+    sums = answered.groupBy("batch").applyInArrow(add, "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double")
+    return sums.select("doc_id", "learned", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+FACT = pa.struct([("doc_id", pa.int64()), ("learn", pa.bool_()), ("n_tokens", pa.int64())])
+QUESTION = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("rows", pa.int32()), ("blob", pa.binary()), ("facts", pa.list_(FACT))])
+QUESTION_SQL = "bucket int, batch long, rows int, blob binary, facts array<struct<doc_id: long, learn: boolean, n_tokens: long>>"

@@ -76,3 +76,31 @@ def test_no_rows_and_nothing_to_learn(spark):
     got = py.score(spark.createDataFrame([(1, "a b", False), (None, "a" * 5000, None)], "doc_id long, text string, learn boolean"), "learn").collect()
     assert {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens) for r in got} == {1: (3, 0, 0), None: (2, 0, 0)}
     assert all(r.score <= 0 and math.isfinite(r.score) for r in got)
+
+
+def test_order_of_words_matters(spark):
+    texts = ["red fox runs to blue lake", "red fox sees blue lake"] * 30
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(100, "red fox runs to blue lake", False), (101, "lake to red blue runs fox", False), (102, "red fox", False), (103, "fox red new", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    got = {r.doc_id: r for r in py.score(docs, "learn").collect()}
+    assert got[100].base_score == pytest.approx(got[101].base_score) and got[100].score > got[101].score + 5
+
+
+def test_followers_are_a_distribution(spark):
+    texts = ["a b a c ab abc a a b", "b a cab a b a b", None, "a b"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    p = Params(order=3)
+    m = py.learn(docs, p)
+    alone = {r.h % 2**64: r.log10_prob for r in m.words.collect()}
+    pairs, words = {}, {}
+    for r in py._answers(m, p).collect():
+        if r.kind == py.PAIRS:
+            pairs.update(zip(*py._unpack(r.blob, np.uint64, np.float64), strict=True))
+        else:
+            h, _, value = py._unpack(r.blob, np.uint64, np.float64, np.float64)
+            words.update(zip(map(int, h), value, strict=True))
+    assert words.keys() == alone.keys() and len(pairs) > 10
+    for u, value in words.items():
+        back = value - alone[u]
+        each = [alone[w] + back + pairs.get(py._pair(np.array([u], np.uint64), np.array([w], np.uint64))[0], 0.0) for w in alone]
+        assert sum(10**x for x in [*each, m.unseen + back]) == pytest.approx(1)
