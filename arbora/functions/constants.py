@@ -16,3 +16,5 @@ MERGE_FLOOR = 5
 TARGET_MIN, N_DRIFT, S_CAP = 200, 500, 2000.0
 GRID = [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.75, 0.9]
 EXCELLENT_MARGIN, SIDELINE_SHARE = 0.02, 0.05
+#: Solving: most sweeps, the sweep from which picks are kept, and the residual under which values are settled.
+MOST_SWEEPS, FREEZE_AFTER, SETTLED = 10_000, 1_000, 1e-6

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arbora.functions import ranking as R
-from arbora.functions.constants import BANDS, SOLID
+from arbora.functions.constants import BANDS, FREEZE_AFTER, MOST_SWEEPS, SETTLED, SOLID
 from arbora.plans.tables import stored
 
 
@@ -89,34 +89,54 @@ def rank_all(ranked: DataFrame, flags: DataFrame | None = None) -> DataFrame:
     return ranked.withColumn("rank", F.row_number().over(W.partitionBy("node", "bucket").orderBy(*order)) - 1)
 
 
-def backup(edges: DataFrame, sums: DataFrame, prior: DataFrame, evals: DataFrame | None) -> DataFrame:
-    """(node, stm, bucket, best_move, eval_w, eval_b): the side to move gets its pick's score, the other the crowd's."""
+def backup(edges: DataFrame, sums: DataFrame, prior: DataFrame, evals: DataFrame | None, frozen: DataFrame | None = None) -> DataFrame:
+    """(node, stm, bucket, best_move, eval_w, eval_b): the side to move gets its pick's score, the other the crowd's.
+
+    frozen: (node, bucket, best_move) of picks that are kept whatever the scores.
+    """
     rows = children(edges, sums, evals)
     crowd = chance(rows)
-    best = picks(candidates(rows, crowd, prior))
+    ranked = candidates(rows, crowd, prior)
+    if frozen is not None:
+        ranked = ranked.join(frozen.select("node", "bucket", F.col("best_move").alias("move")), ["node", "bucket", "move"], "left_semi")
+    best = picks(ranked)
     out = crowd.join(best, ["node", "bucket"], "left").join(sums, ["node", "bucket"])
     own = F.coalesce("best_score", F.col("pts") / F.col("cnt"))
     white = F.col("stm") == "w"
     return out.select("node", "stm", "bucket", "best_move", F.when(white, own).otherwise(F.col("chance_w")).alias("eval_w"), F.when(white, F.col("chance_b")).otherwise(own).alias("eval_b"))
 
 
-def solve(edges: DataFrame, sweeps: int, tolerance: float | None = None) -> DataFrame:
-    """Repeated backup() from 0.5, so many times or until no value moves by more than the tolerance."""
+def solve(edges: DataFrame, sweeps: int, tolerance: float | None = None, freeze_after: int = FREEZE_AFTER) -> DataFrame:
+    """Repeated backup() from 0.5, so many times or until no value moves by the tolerance or more.
+
+    With a tolerance, picks are kept from the sweep `freeze_after` on, since values may jump as long as picks change; if
+    the sweeps do not suffice, it raises.
+    """
     edges = stored(edges, "edges")
     sums = stored(band_sums(edges), "sums")
     prior = stored(neighbour_prior(sums), "prior")
     evals = sums.select("node", "bucket", F.lit(0.5).alias("eval_w"), F.lit(0.5).alias("eval_b"))
-    for _ in range(sweeps):
-        new = stored(backup(edges, sums, prior, evals), "evals")
+    frozen, moved = None, None
+    for sweep in range(1, sweeps + 1):
+        new = stored(backup(edges, sums, prior, evals, frozen), "evals")
         if tolerance is not None:
             old = evals.select("node", "bucket", F.col("eval_w").alias("w"), F.col("eval_b").alias("b"))
             moved = new.join(old, ["node", "bucket"]).agg(F.max(F.greatest(F.abs(F.col("eval_w") - F.col("w")), F.abs(F.col("eval_b") - F.col("b"))))).first()[0]
             if moved is None or moved < tolerance:
                 return new
+            if sweep == freeze_after:
+                frozen = new.select("node", "bucket", "best_move")
         evals = new
+    if tolerance is not None:
+        raise RuntimeError(f"values still move by {moved} after {sweeps} sweeps")
     return evals
 
 
+def settled(edges: DataFrame) -> DataFrame:
+    """The fixed point of backup()."""
+    return solve(edges, MOST_SWEEPS, SETTLED)
+
+
 def verify(edges: DataFrame, evals: DataFrame, tolerance: float = 2e-3) -> DataFrame:
     """Stored values against one more backup: (node, bucket, delta, same_pick, within)."""
     sums = band_sums(edges)

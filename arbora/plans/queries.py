@@ -228,6 +228,23 @@ def verify_invariants(spark, sf_dir):
     return rounded(G.verify(edges, G.solve(edges, SWEEPS)))
 
 
+@query()
+def solve_converged(spark, sf_dir):
+    return rounded(G.settled(_edges(spark, sf_dir)))
+
+
+@query()
+def verify_converged(spark, sf_dir):
+    edges = _edges(spark, sf_dir)
+    return rounded(G.verify(edges, G.settled(edges)))
+
+
+@query()
+def offenders_converged(spark, sf_dir):
+    edges = _edges(spark, sf_dir)
+    return rounded(A.offenders(G.verify(edges, G.settled(edges))).select("node", "bucket", "delta"))
+
+
 @query(_with(*GRAPH) + "SELECT bucket, move, n, ww, d, n - ww - d AS bw, round((ww + 0.5 * d) / n, 6) AS score, round(n / sum(n) OVER (PARTITION BY bucket), 6) AS share, CAST(row_number() OVER (PARTITION BY bucket ORDER BY n DESC, move) AS INT) AS place FROM edges WHERE node = 'w:^'")
 def position_stats(spark, sf_dir):
     return rounded(A.position_stats(_edges(spark, sf_dir), ROOT))

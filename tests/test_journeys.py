@@ -65,6 +65,45 @@ def test_solution_settles(spark):
     assert max(abs(r.eval_w - r.w) for r in pairs) < 1e-3
 
 
+CYCLE = [("w:a", "w", "x", "b:a", 4, 400, 260, 40), ("w:a", "w", "(TERM)", None, 4, 1500, 750, 1), ("b:a", "b", "x", "w:a", 4, 390, 180, 10), ("b:a", "b", "y", "w:b", 4, 90, 30, 1), ("b:a", "b", "(TERM)", None, 4, 1500, 500, 1), ("w:b", "w", "x", "b:a", 4, 30, 20, 0), ("w:b", "w", "y", "gone", 4, 50, 20, 5), ("w:b", "w", "(TERM)", None, 4, 376, 0, 1)]
+
+
+def by_hand(edges, sweeps):
+    """The same values in plain Python, for one band: no neighbours, so no prior."""
+    cnt, value = {}, {}
+    for node, _, _, _, _, n, _, _ in edges:
+        cnt[node] = cnt.get(node, 0) + n
+    value = {node: (0.5, 0.5) for node in cnt}
+    for _ in range(sweeps):
+        new = {}
+        for node in cnt:
+            own = [(move, *([*value[child], cnt[child]] if child in cnt else [(ww + d / 2) / n] * 2 + [n]), n) for at, _, move, child, _, n, ww, d in edges if at == node]
+            crowd = [sum(x[-1] * x[k] for x in own) / cnt[node] for k in (1, 2)]
+            s = 0 if node[0] == "w" else 1
+            sign = 1 - 2 * s
+            score = {x[0]: ((x[3] * x[1 + s] + 30 * crowd[s]) / (x[3] + 30), 0.5 * x[3] ** 0.5 / (x[3] + 30)) for x in own if x[0] != "(TERM)"}
+            best = max(score, key=lambda m: sign * score[m][0] - 2 * score[m][1])
+            crowd[s] = score[best][0]
+            new[node] = tuple(crowd)
+        value = new
+    return value
+
+
+def test_converged_values_are_the_fixed_point(spark):
+    edges = spark.createDataFrame(CYCLE, "node string, stm string, move string, child string, bucket int, n long, ww long, d long")
+    want = by_hand(CYCLE, 200)
+    assert max(abs(x - y) for k in want for x, y in zip(want[k], by_hand(CYCLE, q.SWEEPS)[k], strict=True)) > 1e-3
+    got = {r.node: (r.eval_w, r.eval_b) for r in graph.settled(edges).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-5) for k in want)
+    sums = graph.band_sums(edges)
+    for move in "xy":
+        frozen = spark.createDataFrame([("w:b", 4, move), ("w:a", 4, "x"), ("b:a", 4, "x")], "node string, bucket int, best_move string")
+        kept = graph.backup(edges, sums, graph.neighbour_prior(sums), None, frozen).where("node = 'w:b'")
+        assert [r.best_move for r in kept.collect()] == [move]
+    with pytest.raises(RuntimeError, match="still move"):
+        graph.solve(edges, 2, 1e-6)
+
+
 def test_playouts_add_up(spark):
     for r in analysis.playouts(q._edges(spark, SF), q.ROOT, 50, 6).collect():
         assert r.games == 50 == r.wins + r.draws + r.losses == r.ended + r.capped
