@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.workspace import stored
+from arbora.llm.workspace import discard, stored
+
+
+#: Ways in which the links of a node are dealt, so that a node with very many is no task of its own.
+SALTS = 8
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -17,7 +21,8 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     links has the long columns a and b; nulls, loops and repeats are ignored; no links give no rows. Minima are
     aggregated before they are shuffled, so a node with very many links costs no more than its rows, and each round is
-    written to the shared folder.
+    written to the shared folder, and the one before removed. The many links of one node meet its minimum in several
+    tasks.
     """
     found = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = stored(found, "edges")
@@ -25,10 +30,13 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select("v", "u"))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = both.where("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+        dealt = least.select("x", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        far = both.where("y > x").withColumn("salt", F.pmod(F.xxhash64("y"), F.lit(SALTS)).cast("int"))
+        large = far.join(dealt, ["x", "salt"]).select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.union(least).distinct(), "edges")
+        old, edges = edges, stored(small.union(least).distinct(), "edges")
+        discard(old)
         after = _state(edges)
         if after == before:
             break

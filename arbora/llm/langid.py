@@ -3,7 +3,8 @@
 A word is read as its lower-case letters between boundaries; runs of other characters are boundaries too. The models
 of all languages share sorted arrays of n-gram hashes with one probability column per language. The language with the
 lowest cross-entropy per character wins; its score is a softmax whose temperature is fitted on documents that the
-counts have not seen, and texts far beyond the cross-entropies seen there are rejected.
+counts have not seen. Stretches of those documents, from 8 letters on in powers of two, give each language and length
+a cross-entropy that a stated share of them exceeds; a text beyond that of its language and length is rejected.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.text import byte_texts, mix, signed
+from arbora.llm.text import byte_texts, few, mix, signed, split_words, tidy
+from arbora.llm.workspace import discard, stored
 
 UNKNOWN = "und"
 
@@ -26,12 +28,17 @@ UNKNOWN = "und"
 class Params:
     """documents: labelled texts per language, about, to learn from; one in five of them calibrates.
 
-    strictness: standard deviations of cross-entropy beyond which a text is rejected.
+    false_rate: share of a learned language's texts, about, that is rejected. lengths: letters of the stretches that set
+    the limits, `stretches` of each length from a text at most. enough: stretches from which a language sets a limit by
+    itself; with fewer, its middle is moved by what all languages together show.
     """
 
     order: int = 5
     documents: int = 1500
-    strictness: float = 20.0
+    false_rate: float = 1e-3
+    lengths: tuple[int, ...] = (8, 16, 32, 64, 128, 256, 512, 1024)
+    stretches: int = 16
+    enough: int = 400
 
 
 def letters(word: bytes) -> str:
@@ -67,8 +74,7 @@ class Model:
     back: list[np.ndarray] = field(default_factory=list)
     floor: float = -20.0
     temperature: float = 1.0
-    usual: np.ndarray | None = None
-    spread: np.ndarray | None = None
+    limits: np.ndarray | None = None
 
     def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(log probability under each language, characters predicted) of each word."""
@@ -149,44 +155,44 @@ def kneser_ney(languages: list[str], rows: dict[str, np.ndarray], order: int) ->
 
 
 class Reader:
-    """Scores texts word by word, remembering up to `most` distinct words."""
+    """Scores texts word by word, remembering distinct words of up to `most` bytes in all."""
 
-    def __init__(self, model: Model, most: int = 300_000):
+    def __init__(self, model: Model, most: int = 6_000_000):
         self.model, self.most = model, most
         self._clear()
 
     def _clear(self) -> None:
         self.place: dict[bytes, int] = {}
+        self.held = 0
         self.scores = np.zeros((1 << 12, len(self.model.languages)))
         self.lengths = np.zeros(1 << 12)
 
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self.place))
-        if not new:
-            return
-        scores, lengths = self.model.score([letters(w) for w in new])
-        k = len(self.place)
-        while k + len(new) > len(self.lengths):
-            self.scores, self.lengths = np.concatenate([self.scores, np.zeros_like(self.scores)]), np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-        self.scores[k : k + len(new)], self.lengths[k : k + len(new)] = scores, lengths
-        self.place.update(zip(new, range(k, k + len(new)), strict=True))
-
-    def read(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, float]]:
+    def learn(self, words: list[bytes]) -> np.ndarray:
+        """The places of distinct words in scores and lengths."""
+        if self.held > self.most:
+            self._clear()
+        if new := [w for w in words if w not in self.place]:
+            scores, lengths = self.model.score([letters(w) for w in new])
+            k = len(self.place)
+            while k + len(new) > len(self.lengths):
+                self.scores, self.lengths = np.concatenate([self.scores, np.zeros_like(self.scores)]), np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+            self.scores[k : k + len(new)], self.lengths[k : k + len(new)] = scores, lengths
+            self.place.update(zip(new, range(k, k + len(new)), strict=True))
+            self.held += sum(map(len, new)) + 16 * len(new)
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+    def words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log probabilities, characters, row) of each word of a column's texts."""
+        words, index, sizes = split_words(column)
+        at = self.learn(words.to_pylist())
+        at = at[index] if len(at) else at
+        return self.scores[at], self.lengths[at], np.repeat(np.arange(len(column)), sizes)
+
+    def read(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(log probability under each language, characters) of each text."""
-        at = 0
-        while at < len(texts):
-            if len(self.place) > self.most:
-                self._clear()
-            end, size = at, 0
-            while end < len(texts) and (size == 0 or size + len(texts[end]) < 2_000_000):
-                size += len(texts[end])
-                end += 1
-            split = [t.split() for t in texts[at:end]]
-            self.learn(set().union(*split))
-            for words in split:
-                index = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-                yield self.scores[index].sum(0), float(self.lengths[index].sum())
-            at = end
+        scores, lengths, row = self.words(column)
+        sums = [np.bincount(row, x, len(column)) for x in (*scores.T, lengths)]
+        return np.column_stack(sums[:-1]) if len(sums) > 1 else np.zeros((len(column), 0)), sums[-1]
 
 
 COUNTS = "language string, k int, gram long, suffix long, context long, begins boolean, n long"
@@ -221,41 +227,80 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
 def train(docs: DataFrame, p: Params = Params()) -> Model:
     """A model from the columns text and lang of labelled documents.
 
-    Of each language it takes about p.documents texts, chosen by a hash of the text, and all where there are fewer.
-    What comes to the driver is bounded by that.
+    Of each language it takes about p.documents different texts, chosen by a hash of the text, and all where there are
+    fewer; a text counts once however often it occurs. What comes to the driver is bounded by that.
     """
-    known = docs.where("lang is not null and text is not null").select("lang", "text", F.abs(F.xxhash64("text") % 1_000_003).alias("draw"))
+    known = docs.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"), F.abs(F.xxhash64("text") % 1_000_003).alias("draw"))
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], p.order)
     share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(int(1_000_003 * min(1.0, p.documents / sizes[k])) + 1))])
-    taken = known.where(F.col("draw") < F.try_element_at(share, F.col("lang")))
-    few = [k for k in languages if sizes[k] < 50]  # too few to set any aside
-    rows = _counts(taken.where((F.col("draw") % 5 != 0) | F.col("lang").isin(few)), p.order).toPandas()
+    taken = stored(known.where(F.col("draw") < F.try_element_at(share, F.col("lang"))).dropDuplicates(["lang", "h"]).drop("h"), "sample")
+    few_ = [k for k in languages if sizes[k] < 50]  # too few to set any aside
+    rows = _counts(taken.where((F.col("draw") % 5 != 0) | F.col("lang").isin(few_)), p.order).toPandas()
     number = {k: i for i, k in enumerate(languages)}
     columns = {c: rows[c].to_numpy(np.int64).view(np.uint64) for c in ("gram", "suffix", "context")} | {"k": rows["k"].to_numpy(np.int64), "n": rows["n"].to_numpy(float), "begins": rows["begins"].to_numpy(bool), "language": rows["language"].map(number).to_numpy(np.int64)}
     model = kneser_ney(languages, columns, p.order)
-    _calibrate(model, taken.where("draw % 5 = 0"))
+    _calibrate(model, taken.where("draw % 5 = 0"), p)
+    discard(taken)
     return model
 
 
-def _calibrate(model: Model, docs: DataFrame) -> None:
+def _stretches(scores: np.ndarray, lengths: np.ndarray, p: Params) -> Iterator[tuple[int, float]]:
+    """(number of the length, cross-entropy) of stretches of whole words, spread evenly over a text."""
+    total, letters_ = np.concatenate([[0.0], np.cumsum(scores)]), np.concatenate([[0.0], np.cumsum(lengths)])
+    for k, size in enumerate(p.lengths):
+        count = int(min(p.stretches, letters_[-1] // size))
+        for begin in (np.arange(count) * (letters_[-1] / max(count, 1))).tolist():
+            a = int(np.searchsorted(letters_, begin))
+            b = int(np.searchsorted(letters_, letters_[min(a, len(lengths))] + size))
+            if b <= len(lengths):
+                yield k, float((total[a] - total[b]) / (letters_[b] - letters_[a]))
+
+
+def limits_of(place: np.ndarray, language: np.ndarray, entropy: np.ndarray, width: int, p: Params) -> np.ndarray:
+    """For each length and language, the cross-entropy that p.false_rate of the stretches exceeds; none where unknown.
+
+    A longer length that too few stretches show has the limit of the one before it.
+    """
+    out = np.full((len(p.lengths), width), np.inf)
+    for k in range(len(p.lengths)):
+        here = place == k
+        middles = np.array([np.median(entropy[here & (language == j)]) if (here & (language == j)).any() else np.nan for j in range(width)])
+        beyond = entropy[here] - middles[language[here]]
+        for j in range(width):
+            own = entropy[here & (language == j)]
+            if len(own) >= p.enough:
+                out[k, j] = np.quantile(own, 1 - p.false_rate)
+            elif len(own) and len(beyond) >= p.enough:
+                out[k, j] = middles[j] + np.quantile(beyond, 1 - p.false_rate)
+            elif k:
+                out[k, j] = out[k - 1, j]
+    return out
+
+
+def _calibrate(model: Model, docs: DataFrame, p: Params) -> None:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
-        for part in parts:
-            read = list(reader.read(byte_texts(part.column("text"))))
-            yield pa.record_batch([part.column("lang"), pa.array([s.tolist() for s, _ in read], pa.list_(pa.float64())), pa.array([n for _, n in read], pa.float64())], names=["lang", "scores", "n"])
-
-    rows = docs.select("text", "lang").mapInArrow(run, "lang string, scores array<double>, n double").where("n > 0").toPandas()
+        for part in few(parts):
+            each, n, row = reader.words(part.column("text"))
+            ends = np.searchsorted(row, np.arange(part.num_rows + 1))
+            names = part.column("lang").to_pylist()
+            found = [(each[a:b].sum(0).tolist(), n[a:b].sum(), list(_stretches(each[a:b, shared.value.languages.index(own)], n[a:b], p))) for own, a, b in zip(names, ends[:-1], ends[1:], strict=True)]
+            scores, sizes, own = zip(*found, strict=True)
+            kind = pa.list_(pa.struct([("k", pa.int32()), ("entropy", pa.float64())]))
+            yield pa.record_batch([part.column("lang"), pa.array(scores, pa.list_(pa.float64())), pa.array(sizes, pa.float64()), pa.array([[{"k": k, "entropy": x} for k, x in s] for s in own], kind)], names=["lang", "scores", "n", "stretches"])
+
+    rows = docs.select("text", "lang").mapInArrow(run, "lang string, scores array<double>, n double, stretches array<struct<k: int, entropy: double>>").where("n > 0").collect()  # of the sample
     width = len(model.languages)
-    model.usual, model.spread = np.full(width, np.inf), np.ones(width)
-    if not len(rows):
+    model.limits = np.full((len(p.lengths), width), np.inf)
+    if not rows:
         return
-    scores, n = np.array(rows["scores"].tolist()), rows["n"].to_numpy()
-    truth = rows["lang"].map({k: i for i, k in enumerate(model.languages)}).to_numpy(np.int64)
+    number = {k: i for i, k in enumerate(model.languages)}
+    scores, truth = np.array([r["scores"] for r in rows]), np.array([number[r["lang"]] for r in rows])
 
     def loss(t):
         x = scores * t
@@ -263,11 +308,10 @@ def _calibrate(model: Model, docs: DataFrame) -> None:
         return (np.log(np.exp(x).sum(1)) - x[np.arange(len(x)), truth]).mean() + 1e-4 * t  # a cost keeps it finite when all are right
 
     model.temperature = float(min(np.geomspace(1e-3, 1, 40), key=loss))
-    per = -scores[np.arange(len(truth)), truth] / n
-    for k in range(width):
-        if (own := per[(truth == k) & (n >= 50)]).size >= 5:
-            middle = np.median(own)
-            model.usual[k], model.spread[k] = middle, max(1.4826 * np.median(np.abs(own - middle)), own.std() / 2, 0.04)
+    each = [(x["k"], j, x["entropy"]) for r, j in zip(rows, truth, strict=True) for x in r["stretches"]]
+    if each:
+        place, language, entropy = (np.array(x) for x in zip(*each, strict=True))
+        model.limits = limits_of(place, language, entropy, width, p)
 
 
 PREDICTED = "lang_pred string, score double, cross_entropy double, rejected boolean"
@@ -277,33 +321,35 @@ def identify(docs: DataFrame, model: Model, keep: list[str], p: Params = Params(
     """The columns `keep` of docs with lang_pred, score, cross_entropy (nats a character) and rejected.
 
     Reads text only. A null text, or one without a letter, is `und` with score 0 and rejected; so is every text where
-    no language was learned. Ties go to the language that comes first. Rows are neither merged nor dropped.
+    no language was learned. Texts shorter than the shortest calibrated length are judged by the limit of that length. Ties go to the
+    language that comes first. Rows are neither merged nor dropped. A kept column that is named like one of the four
+    is returned as kept_ and its name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [docs.schema[c] for c in keep]
+    names = [f"kept_{i}" for i in range(len(keep))]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         reader = Reader(model)
-        for part in parts:
-            out: list[list] = [[], [], [], []]
-            for scores, n in reader.read(byte_texts(part.column("text"))):
-                if not n or not model.languages:
-                    row = (UNKNOWN, 0.0, None, True)
-                else:
-                    k = int(scores.argmax())
-                    x = np.exp((scores - scores[k]) * model.temperature)
-                    entropy = -scores[k] / n
-                    row = (model.languages[k], float(1 / x.sum()), entropy, bool(entropy > model.usual[k] + p.strictness * model.spread[k] * np.sqrt(1 + 200 / n)))
-                for o, v in zip(out, row, strict=True):
-                    o.append(v)
-            types = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
-            yield pa.record_batch([*(part.column(f"kept_{i}") for i in range(len(keep))), *(pa.array(o, t) for o, t in zip(out, types, strict=True))], names=[*(f"kept_{i}" for i in range(len(keep))), "lang_pred", "score", "cross_entropy", "rejected"])
-
-    source = docs.select(*(F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)), *([] if "text" in keep else ["text"]))
-    if "text" in keep:
-        source = source.withColumn("text", F.col(f"kept_{keep.index('text')}"))
-    schema = ", ".join(f"kept_{i} {f.dataType.simpleString()}" for i, f in enumerate(kept)) + ", " + PREDICTED
-    out = source.mapInArrow(run, schema)
-    names: list[Column] = [F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)]
-    return out.select(*names, *("lang_pred score cross_entropy rejected".split()))
+        for part in few(parts):
+            scores, n = reader.read(part.column("text"))
+            known = (n > 0) & bool(model.languages)
+            at = scores.argmax(1) if model.languages else np.zeros(len(n), np.int64)
+            best = scores[np.arange(len(n)), at] if model.languages else np.zeros(len(n))
+            sure = 1 / np.exp((scores - best[:, None]) * model.temperature).sum(1) if model.languages else np.zeros(len(n))
+            entropy = -best / np.maximum(n, 1)
+            rejected = ~known
+            if model.limits is not None:
+                k = np.clip(np.searchsorted(p.lengths, n, "right") - 1, 0, None)
+                rejected |= entropy > model.limits[k, at]
+            tags = np.array([*model.languages, UNKNOWN], object)[np.where(known, at, -1)]
+            cols = (pa.array(tags, pa.string()), pa.array(np.where(known, sure, 0.0)), pa.array(entropy, mask=~known), pa.array(rejected))
+            yield pa.record_batch([*(part.column(c) for c in names), *cols], names=[*names, *NEW])
+
+    source = docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), F.col("text").alias("text"))
+    out = source.mapInArrow(tidy(run), ", ".join([*(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kept, strict=True)), PREDICTED]))
+    return out.select(*(F.col(n).alias(f"kept_{c}" if c in NEW else c) for n, c in zip(names, keep, strict=True)), *NEW)
+
+
+NEW = ["lang_pred", "score", "cross_entropy", "rejected"]

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from arbora.llm import tokens
+from arbora.llm.text import few, tidy
 
 
 @dataclass(frozen=True)
@@ -139,7 +140,7 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
             for v in out.values():
                 v.clear()
 
-        for part in parts:
+        for part in few(parts):
             new = []
             for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
                 ids = np.append(encoder.ids(text or ""), np.uint32(end_id))
@@ -162,8 +163,9 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
             yield from flush()
         close(True)
         yield from flush()
+        encoder.forget()
 
-    return docs.select("doc_id", "text").mapInArrow(pack, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return docs.select("doc_id", "text").mapInArrow(tidy(pack), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 EXAMPLES = "example_id long, sequence_id long, offset long, tokens long, loss_tokens long"

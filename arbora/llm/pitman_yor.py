@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arbora.llm.langid import Model, _find, grams
-from arbora.llm.text import WordHashes, byte_texts, mix, signed
+from arbora.llm.text import byte_texts, few, hashed, mix, signed, split_words
 from arbora.llm.workspace import stored
 
 #: The spelling of the token that ends a text; no word contains it.
@@ -271,26 +271,11 @@ def _of(table: pa.Table, kind: int) -> list[bytes]:
 
 def _tokens(parts: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, word before, word, row of each token) of rows with about p.batch bytes of text at a time."""
-    hashes = WordHashes(p.words_held)
-    for part in parts:
-        texts = byte_texts(part.column("text"))
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (size == 0 or size + len(texts[end]) < p.batch):
-                size += len(texts[end])
-                end += 1
-            words: list[bytes] = []
-            sizes = []
-            for text in texts[at:end]:
-                own = text.lower().split()
-                words += own
-                words.append(END)
-                sizes.append(len(own) + 1)
-            w = hashes(words)
-            # a text's first word comes after the end token, which is also what the text before it ends with
-            yield part.slice(at, end - at), np.concatenate([w[-1:], w[:-1]]), w, np.repeat(np.arange(end - at), sizes)
-            at = end
+    for part in few(parts, p.batch):
+        words, index, sizes = split_words(part.column("text"), folded=True)
+        # an end token after the words of each text; a first word comes after the end of the text before it
+        w = np.insert(hashed(words)[index] if len(words) else np.empty(0, np.uint64), np.cumsum(sizes), np.uint64(xxhash.xxh3_64_intdigest(END)))
+        yield part, np.concatenate([w[-1:], w[:-1]]), w, np.repeat(np.arange(part.num_rows), sizes + 1)
 
 
 def count_pairs(docs: DataFrame, buckets: int, p: Params) -> DataFrame:

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arbora.llm.components import connected
-from arbora.llm.text import WordHashes, byte_texts, mix, signed
-from arbora.llm.workspace import stored
+from arbora.llm.text import few, hashed, mix, signed, split_words, tidy
+from arbora.llm.workspace import discard, stored
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,7 @@ class Params:
 
     registers, band: a pair at similarity 0.8 shares none of its 32 bands once in 2e7. slack: how far below the
     threshold an estimate still leads to a check, five standard errors. small: members of a bucket whose pairs are
-    looked at one by one; larger ones are compared in blocks of about `block` documents.
+    looked at one by one; larger ones are compared in blocks of about `block` documents and `volume` shingles.
     """
 
     words: int = 5
@@ -38,7 +38,8 @@ class Params:
     rate: float = 20.0
     slack: float = 0.18
     small: int = 64
-    block: int = 256
+    block: int = 512
+    volume: int = 1_000_000
     seed: int = 20240517
 
 
@@ -51,20 +52,18 @@ class Sketcher:
         rng = np.random.default_rng(p.seed)
         self.mul = rng.integers(0, 2**63, p.registers, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.add = rng.integers(0, 2**64, p.registers, dtype=np.uint64)
-        self.hashes = WordHashes()
-
-    def shingles(self, text: bytes) -> np.ndarray:
-        """The distinct shingles of a text as sorted 64-bit hashes."""
-        words = text.lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        h = self.hashes(words)
-        width = min(self.p.words, len(h))
-        n = len(h) - width + 1
-        got = np.full(n, width, np.uint64)
-        for k in range(width):
-            got = mix(got * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n])
-        return np.unique(got)
+
+    def shingles(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The distinct shingles of each text as sorted 64-bit hashes."""
+        words, index, sizes = split_words(column, folded=True)
+        h = hashed(words)[index] if len(words) else np.empty(0, np.uint64)
+        ends = np.cumsum(sizes)
+        for end, size in zip(ends.tolist(), sizes.tolist(), strict=True):
+            width = min(self.p.words, size)
+            got = np.full(size - width + 1 if size else 0, width, np.uint64)
+            for k in range(width):
+                got = mix(got * np.uint64(0x9E3779B97F4A7C15) + h[end - size + k : end - width + 1 + k])
+            yield np.unique(got)
 
     def registers(self, shingles: np.ndarray) -> np.ndarray:
         least = np.full(self.p.registers, 2**64 - 1, np.uint64)
@@ -113,10 +112,9 @@ def sketches(docs: DataFrame, p: Params) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(p)
-        for part in parts:
+        for part in few(parts):
             n, one, two, regs = [], [], [], []
-            for text in byte_texts(part.column("text")):
-                s = sketcher.shingles(text)
+            for s in sketcher.shingles(part.column("text")):
                 n.append(len(s))
                 one.append(int(mix(s).sum(dtype=np.uint64)))
                 two.append(int(mix(s ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64)))
@@ -124,7 +122,7 @@ def sketches(docs: DataFrame, p: Params) -> DataFrame:
             signs = [signed(np.array(x, np.uint64)) for x in (one, two)]
             yield pa.record_batch([part.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), *map(pa.array, signs), pa.array(regs, pa.binary())], schema=SKETCHES)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sig1 long, sig2 long, registers binary")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, n long, sig1 long, sig2 long, registers binary")
 
 
 def _promising(pairs: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
@@ -149,26 +147,19 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     """The pairs (a, b) that are linked by their full shingle sets."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher, near = Sketcher(p), {}
-        for part in parts:
-            a, b, kept = part.column("a").to_pylist(), part.column("b").to_pylist(), []
-            for k, (i, j, x, y) in enumerate(zip(a, b, byte_texts(part.column("ta")), byte_texts(part.column("tb")), strict=True)):
-                if len(near) > 64:
-                    near.clear()
-                sets = []
-                for key, text in ((i, x), (j, y)):
-                    if (known := near.get(key)) is None or known[0] != text:
-                        known = near[key] = (text, sketcher.shingles(text))
-                    sets.append(known[1])
-                both = len(np.intersect1d(*sets, assume_unique=True))
-                if both and 100 * both >= p.percent * (len(sets[0]) + len(sets[1]) - both):
+        sketcher = Sketcher(p)
+        for part in few(few(parts, column="ta"), column="tb"):
+            kept = []
+            for k, (x, y) in enumerate(zip(sketcher.shingles(part.column("ta")), sketcher.shingles(part.column("tb")), strict=True)):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both and 100 * both >= p.percent * (len(x) + len(y) - both):
                     kept.append(k)
             yield pa.record_batch([part.column(c).take(pa.array(kept, pa.int64())) for c in ("a", "b")], names=["a", "b"])
 
     texts = docs.select("doc_id", "text")
     for side in "ab":
         pairs = pairs.join(texts.select(F.col("doc_id").cast("long").alias(side), F.col("text").alias(f"t{side}")), side)
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "ta", "tb").mapInArrow(tidy(run), "a long, b long")
 
 
 def _small_bucket_pairs(members: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
@@ -195,42 +186,71 @@ def _small_bucket_pairs(members: DataFrame, reps: DataFrame, p: Params) -> DataF
     return rows.select("key", "band", "rep", "part", "n", "registers").groupBy("key").applyInArrow(compare, "a long, b long")
 
 
-def _crowd_links(members: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
+def _crowd_links(members: DataFrame, reps: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """(rep, crowd) of the documents that larger buckets hold together, and links between components within a crowd.
 
-    The members of a crowd stand in blocks, each pair of blocks is a task, and the full shingle sets of a pair of blocks
-    are intersected by products of 0/1 matrices. Only links that join two components become rows.
+    Of a crowd's components the largest needs no comparison within itself: all other members, the loose ones, are held
+    against the whole crowd, block against block. Registers tell which documents of two blocks may be linked with one
+    of another component; only those documents' full shingle sets travel, and are intersected by products of 0/1
+    matrices. Of a pair of blocks only links that join two components become rows.
     """
     large = members.where(F.col("bucket_n") > p.small)
-    crowds = connected(large.select(F.col("rep").alias("a"), F.col("lo").alias("b")))
-    sizes = crowds.groupBy("component").agg(F.count("*").alias("size"))
-    parts = large.select("rep", "part").distinct()
-    crowds = stored(crowds.join(sizes, "component").join(parts, F.col("node") == F.col("rep")).select("rep", "part", F.col("component").alias("crowd"), "size"), "crowds")
+    crowds = connected(large.select(F.col("rep").alias("a"), F.col("lo").alias("b"))).select(F.col("node").alias("rep"), F.col("component").alias("crowd"))
+    crowds = crowds.join(large.select("rep", "part").distinct(), "rep").join(reps.select("rep", "n", "registers"), "rep")
+    crowds = stored(crowds, "crowds")
+    bodies = crowds.groupBy("crowd", "part").agg(F.count("*").alias("size"), F.sum("n").alias("volume")).groupBy("crowd")
+    bodies = bodies.agg(F.max_by("part", F.struct("size", "part")).alias("body"), F.sum("size").alias("size"), F.max("size").alias("own"), F.sum("volume").alias("volume"))
+    blocks = lambda size, volume: F.greatest(F.ceil(size / p.block), F.ceil(volume / p.volume)).cast("int")
+    bodies = bodies.withColumn("rows", blocks(F.col("size"), F.col("volume")))
+    rest = (F.col("size") - F.col("own")) / F.col("size")
+    bodies = bodies.withColumn("heads", F.greatest(F.lit(1), F.least("rows", F.ceil(F.col("rows") * rest).cast("int"))))
+    placed = crowds.join(bodies.select("crowd", "body", "rows", "heads"), "crowd").withColumn("loose", F.col("part") != F.col("body"))
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    columns = ["rep", "part", "loose", "n", "registers"]
+    heads = placed.where("loose").select("crowd", *columns, own("heads").alias("i"), F.explode(F.expr("sequence(0, rows - 1)")).alias("j"), F.lit(True).alias("head"))
+    tails = placed.select("crowd", *columns, F.explode(F.expr("sequence(0, heads - 1)")).alias("i"), own("rows").alias("j"), F.lit(False).alias("head"))
+
+    def sides(group: pa.Table) -> tuple[np.ndarray, ...]:
+        """Places of the heads and tails, and which of their pairs are to be looked at: a pair of loose ones once."""
+        rep, part = group.column("rep").to_numpy(), group.column("part").to_numpy()
+        loose, head = (group.column(c).to_numpy(zero_copy_only=False) for c in ("loose", "head"))
+        left, right = np.flatnonzero(head), np.flatnonzero(~head)
+        open_ = (part[left][:, None] != part[right]) & (~loose[right] | (rep[left][:, None] < rep[right]))
+        return rep, part, left, right, open_
+
+    def promising(group: pa.Table) -> pa.Table:
+        rep, part, left, right, open_ = sides(group)
+        n = group.column("n").to_numpy().astype(float)
+        regs = np.frombuffer(b"".join(group.column("registers").to_pylist()), "<u2").reshape(len(n), -1)
+        open_ &= np.minimum(n[left][:, None], n[right]) * 100 >= np.maximum(n[left][:, None], n[right]) * p.percent
+        equal = np.zeros(open_.shape, np.uint16)
+        for k in range(regs.shape[1]):
+            equal += regs[left, k][:, None] == regs[right, k]
+        x, y = np.nonzero(open_ & (equal >= (p.percent / 100 - 1.5 * p.slack) * regs.shape[1]))
+        good = np.zeros(len(n), bool)
+        for at in range(0, len(x), 20_000):
+            i, j = left[x[at : at + 20_000]], right[y[at : at + 20_000]]
+            more, same = (regs[i] > regs[j]).sum(1), equal[x[at : at + 20_000], y[at : at + 20_000]].astype(int)
+            fine = estimate(more, regs.shape[1] - same - more, same, n[i], n[j], p.base) >= p.percent / 100 - p.slack
+            good[i[fine]] = good[j[fine]] = True
+        return group.filter(pa.array(good)).select(["crowd", "i", "j", "head", "rep", "part", "loose"])
+
+    spots = "crowd long, i int, j int, head boolean, rep long, part long, loose boolean"
+    asked = stored(heads.unionByName(tails).groupBy("crowd", "i", "j").applyInArrow(promising, spots), "asked")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(p)
-        for part in batches:
-            sets = [sketcher.shingles(t).tobytes() for t in byte_texts(part.column("text"))]
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("rep", "part", "crowd", "size")), pa.array(sets, pa.binary())], names=["rep", "part", "crowd", "size", "shingles"])
+        for part in few(batches):
+            yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array([x.tobytes() for x in sketcher.shingles(part.column("text"))], pa.binary())], names=["rep", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    sets = stored(crowds.join(texts, "rep").select("rep", "part", "crowd", "size", "text").mapInArrow(load, "rep long, part long, crowd long, size long, shingles binary"), "crowd_sets")
-    blocks = sets.withColumn("blocks", F.ceil(F.col("size") / p.block).cast("int")).withColumn("own", F.expr("int(pmod(xxhash64(rep), blocks))"))
-    dealt = blocks.select("crowd", "rep", "part", "shingles", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "rep", "part", "shingles")
+    sets = stored(asked.select("rep").distinct().join(texts, "rep").mapInArrow(tidy(load), "rep long, shingles binary").dropDuplicates(["rep"]), "crowd_sets")
 
     def meet(group: pa.Table) -> pa.Table:
-        rep, part = group.column("rep").to_numpy(), group.column("part").to_numpy()
+        rep, part, left, right, open_ = sides(group)
         sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
-        size = np.array([len(x) for x in sets])
-        same = group.column("i")[0] == group.column("j")[0]
-        second = group.column("second").to_numpy(zero_copy_only=False)
-        left = np.arange(len(rep)) if same else np.flatnonzero(~second)
-        right = left if same else np.flatnonzero(second)
-        found = links_between(sets, left, right, p)
-        both = part[left][:, None] != part[right][None, :]
-        out: list[tuple[int, int]] = []
         root = {int(x): int(x) for x in part}
+        out: list[tuple[int, int]] = []
 
         def find(x):
             while root[x] != x:
@@ -238,16 +258,18 @@ def _crowd_links(members: DataFrame, docs: DataFrame, p: Params) -> tuple[DataFr
                 x = root[x]
             return x
 
-        for x, y in zip(*np.nonzero(found & both), strict=True):
+        found = links_between(sets, left, right, p) if len(left) and len(right) else open_
+        for x, y in zip(*np.nonzero(found & open_), strict=True):
             i, j = int(left[x]), int(right[y])
             a, b = find(int(part[i])), find(int(part[j]))
             if a != b:
                 root[max(a, b)] = min(a, b)
                 out.append((int(rep[i]), int(rep[j])))
-        assert len(size) == len(rep)
         return pa.table([pa.array([min(x) for x in out], pa.int64()), pa.array([max(x) for x in out], pa.int64())], names=["a", "b"])
 
-    return crowds.select("rep", "crowd"), dealt.groupBy("crowd", "i", "j").applyInArrow(meet, "a long, b long")
+    links = stored(asked.join(sets, "rep").groupBy("crowd", "i", "j").applyInArrow(meet, "a long, b long"), "crowd_links")
+    discard(asked, sets)
+    return crowds, links
 
 
 def links_between(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, p: Params, columns: int = 4096) -> np.ndarray:
@@ -277,9 +299,8 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """
     sk = stored(sketches(docs, p), "sketches")
     filled = sk.where("n > 0 and doc_id is not null")
-    classes = filled.groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("rep"))
-    classes = stored(classes, "classes")
     same = ["n", "sig1", "sig2"]
+    classes = stored(filled.groupBy(*same).agg(F.min("doc_id").alias("rep")), "classes")
     reps = stored(filled.withColumnRenamed("doc_id", "rep").join(classes, [*same, "rep"]).dropDuplicates([*same, "rep"]).select("rep", "n", "registers"), "reps")
     width = 2 * p.band
     keys = F.expr(f"transform(sequence(0, {p.registers // p.band - 1}), i -> xxhash64(i, substring(registers, i * {width} + 1, {width})))")
@@ -298,16 +319,23 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     placed = members.join(parts_of, F.col("rep") == F.col("node"), "left").withColumn("part", F.coalesce("component", "rep"))
     placed = stored(placed.select("key", "band", "rep", "bucket_n", members["lo"], "part"), "placed")
     split = placed.groupBy("key").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least <> most").select("key")
-    placed = stored(placed.join(split, "key"), "split_buckets")
-    crowds, crowd_links = _crowd_links(placed, docs, p)
-    rest = hopeful.select("a", "b").union(_small_bucket_pairs(placed, reps, p)).distinct()
+    open_ = stored(placed.join(split, "key"), "split_buckets")
+    discard(members, placed)
+    crowds, crowd_links = _crowd_links(open_, reps, docs, p)
+    rest = hopeful.select("a", "b").union(_small_bucket_pairs(open_, reps, p)).distinct()
     rest = rest.join(best, ["a", "b"], "left_anti")
     for side in "ab":
         rest = rest.join(parts_of.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
         rest = rest.join(crowds.select(F.col("rep").alias(side), F.col("crowd").alias(f"d{side}")), side, "left")
     rest = stored(rest.where("coalesce(ca, a) <> coalesce(cb, b) and not coalesce(da = db, false)").select("a", "b"), "rest")
-    linked = stored(linked.union(_confirmed(rest, docs, p)).union(crowd_links), "all_links")
-    final = connected(linked)
+    discard(open_, crowds, hopeful, reps, parts_of)
+    # different texts under one id are one document
+    named = filled.select("doc_id", *same).join(classes, same).select("doc_id", "rep").distinct()
+    several = named.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("doc_id")
+    ids = named.join(several, "doc_id").select("doc_id", "rep")
+    every = stored(linked.union(_confirmed(rest, docs, p)).union(crowd_links).union(ids), "all_links")
+    final = connected(every)
+    discard(every, rest, best, linked, crowd_links)
     named = classes.join(final, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("class_component"))
     out = sk.drop("registers").join(named, same, "left")
     # rows that share an id share a component

@@ -5,10 +5,14 @@ A word is a run of bytes other than space and \\t \\n \\v \\f \\r, which is what
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,19 +37,55 @@ def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered for up to `most` distinct words at a time."""
+def split_words(column: pa.Array, folded: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words, each word's place among them, words of each row) of a string column; null has none.
 
-    def __init__(self, most: int = 400_000):
-        self.most, self.known = most, {}
+    folded: A-Z become lower case.
+    """
+    texts = pc.fill_null(column.cast(pa.large_string()), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if folded else texts)
+    flat = lists.flatten()
+    full = pc.greater(pc.binary_length(flat), 0)
+    ends = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+    words = flat.filter(full).dictionary_encode()
+    return words.dictionary.cast(pa.large_binary()), words.indices.to_numpy(), np.diff(ends)
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+def hashed(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
+
+
+def few(parts: Iterator[pa.RecordBatch], size: int = 4_000_000, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their texts have about `size` bytes at most; a longer text stands alone."""
+    for part in parts:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(part.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        at = 0
+        while at < part.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield part.slice(at, end - at)
+            at = end
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers live on from task to task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """A mapInArrow function that gives its memory back when a partition ends."""
+
+    def wrapped(parts):
+        try:
+            yield from run(parts)
+        finally:
+            give_back()
+
+    return wrapped
 
 
 def mix(x: np.ndarray) -> np.ndarray:

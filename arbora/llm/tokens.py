@@ -22,9 +22,12 @@ def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
 
 
 class ChunkEncoder:
-    """ids(text) -> uint32 array, the ids that the tokenizers library gives for the same vocabulary."""
+    """ids(text) -> uint32 array, the ids that the tokenizers library gives for the same vocabulary.
 
-    def __init__(self, path: str, pattern: str, specials: dict[str, int], most: int = 400_000):
+    Distinct chunks of up to about `most` bytes are remembered until forget().
+    """
+
+    def __init__(self, path: str, pattern: str, specials: dict[str, int], most: int = 6_000_000):
         import tiktoken
 
         with open(path, "rb") as f:
@@ -34,9 +37,10 @@ class ChunkEncoder:
         self.widths[list(ranks.values())] = [len(x) for x in ranks]
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens=specials)
         self.most = most
-        self._clear()
+        self.forget()
 
-    def _clear(self) -> None:
+    def forget(self) -> None:
+        self.held = 0
         self.place: dict[str, int] = {}
         self.joined = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
@@ -59,6 +63,7 @@ class ChunkEncoder:
         self.place.update(zip(chunks, range(k, k + m), strict=True))
         self.awkward.update(k + i for i, c in enumerate(chunks) if c[-1].isspace())
         self.end += n
+        self.held += int(self.widths[ids].sum()) + 16 * m
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.encoding.encode(text, allowed_special="all"), np.uint32)
@@ -68,8 +73,8 @@ class ChunkEncoder:
             return np.empty(0, np.uint32)
         if any(s in text for s in self.specials) or text[-1] == " " or "  " in text:
             return self.whole(text)
-        if len(self.place) > self.most:
-            self._clear()
+        if self.held > self.most:
+            self.forget()
         first, *rest = text.split(" ")
         chunks = [" " + c for c in rest]
         if first:
