@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from arbora.llm.text import byte_texts, signed
-from arbora.llm.workspace import stored
+from arbora.llm.text import byte_texts, few, signed, tidy
+from arbora.llm.workspace import discard, stored
 
 #: A document's place in the order: rows without an id come last.
 NO_ID = 2**63 - 1
@@ -35,12 +35,15 @@ class Params:
     """length: of the strings that count. gram: of an anchor. clips: in one sorted group, on average.
 
     crowd: an anchor with more different clips than this is settled string by string instead, with nothing gathered.
+    hot: an anchor with more clips than this, and than a hundred-thousandth of all, has its clips dealt by their own
+    hash, so that it is no task of its own; there are at most 100,000 of them.
     """
 
     length: int = 100
     gram: int = 28
     clips: int = 20_000
     crowd: int = 4096
+    hot: int = 2000
 
 
 ODD = [np.uint64(pow(0x9E3779B97F4A7C15, 2**i, 2**64)) for i in range(12)]
@@ -102,61 +105,60 @@ def anchors(data: np.ndarray, starts: np.ndarray, p: Params) -> tuple[np.ndarray
     return h, first, last, place
 
 
-def code(text: bytes) -> int:
-    """Tells apart different texts under one id."""
-    return xxhash.xxh3_64_intdigest(text) & 0x7FFFF
+def text_key(text: bytes) -> int:
+    """A 64-bit hash that tells apart different texts under one id, or without an id."""
+    return xxhash.xxh3_64_intdigest(text, 7)
 
 
-MARKS = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("loc", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("settled", pa.bool_())])
-MARK_TYPES = "h long, c long, doc long, loc long, left int, right int, settled boolean"
+MARKS = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("t", pa.int64()), ("loc", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("settled", pa.bool_())])
+MARK_TYPES = "h long, c long, doc long, t long, loc long, left int, right int, settled boolean"
 #: Bytes that are hashed, and clips that are compared with each other, at a time.
 PIECE, HELD = 400_000, 300_000
-AT = 40  # loc: the text's code above this bit, the place in bytes below
 
 
 def clips(docs: DataFrame, p: Params) -> DataFrame:
-    """A row for each clip: anchor hash, clip hash, document, place. Copies within a batch are settled at once.
+    """A row for each clip: anchor hash, clip hash, document, text, place. Copies within a batch are settled at once.
 
-    A settled row says that [loc - left, loc + right) has an earlier occurrence; its hash is only a spread-out key.
+    A settled row says that [loc - left, loc + right) has an earlier occurrence.
     """
 
     def settle(found: list[list]) -> Iterator[pa.RecordBatch]:
-        h, c, doc, loc, left, right = (np.concatenate(x) for x in found)
-        order = np.lexsort((loc, doc, c, h))
-        same = np.zeros(len(h), bool)
+        h, c, doc, t, loc, left, right = (np.concatenate(x) for x in found)
+        order = np.lexsort((loc, t, doc, c, h))
         a, b = order[1:], order[:-1]
-        same[a] = (h[a] == h[b]) & (c[a] == c[b]) & ((doc[a] != doc[b]) | (loc[a] != loc[b]))
-        again = np.zeros(len(h), bool)
-        again[a] = (h[a] == h[b]) & (c[a] == c[b]) & (doc[a] == doc[b]) & (loc[a] == loc[b])
+        equal, itself = (h[a] == h[b]) & (c[a] == c[b]), (doc[a] == doc[b]) & (t[a] == t[b]) & (loc[a] == loc[b])
+        same, again = np.zeros(len(h), bool), np.zeros(len(h), bool)
+        same[a], again[a] = equal & ~itself, equal & itself
         free = np.flatnonzero(~same & ~again)
         # settled clips that touch become one row
         k = np.flatnonzero(same)
-        k = k[np.lexsort((loc[k], doc[k]))]
+        k = k[np.lexsort((loc[k], t[k], doc[k]))]
         lo, hi = loc[k] - left[k], loc[k] + right[k]
         fresh = np.ones(len(k), bool)
-        fresh[1:] = (doc[k][1:] != doc[k][:-1]) | (lo[1:] > hi[:-1])
+        fresh[1:] = (doc[k][1:] != doc[k][:-1]) | (t[k][1:] != t[k][:-1]) | (lo[1:] > hi[:-1])
         begin = np.flatnonzero(fresh)
         stop = np.append(begin[1:], len(k)) - 1 if len(k) else begin
-        s_doc, s_lo, s_hi = doc[k][begin], lo[begin], hi[stop]
-        key = signed(s_doc.astype(np.uint64) * ODD[0] + s_lo.astype(np.uint64) * ODD[1])
+        s_lo, s_hi = lo[begin], hi[stop]
+        none = np.zeros(len(begin), np.int64)
         cols = (
-            np.concatenate([signed(h[free]), key]),
-            np.concatenate([signed(c[free]), np.zeros(len(key), np.int64)]),
-            np.concatenate([doc[free], s_doc]),
+            np.concatenate([signed(h[free]), none]),
+            np.concatenate([signed(c[free]), none]),
+            np.concatenate([doc[free], doc[k][begin]]),
+            np.concatenate([t[free], t[k][begin]]),
             np.concatenate([loc[free], s_lo]),
-            np.concatenate([left[free], np.zeros(len(key), np.int64)]).astype(np.int32),
+            np.concatenate([left[free], none]).astype(np.int32),
             np.concatenate([right[free], s_hi - s_lo]).astype(np.int32),
-            np.concatenate([np.zeros(len(free), bool), np.ones(len(key), bool)]),
+            np.concatenate([np.zeros(len(free), bool), np.ones(len(begin), bool)]),
         )
         for b in pa.table([pa.array(x) for x in cols], schema=MARKS).to_batches(max_chunksize=50_000):
             yield b
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in few(parts, 16_000_000):
             ids, texts = part.column("doc_id").to_pylist(), byte_texts(part.column("text"))
-            found: list[list] = [[] for _ in range(6)]
+            found: list[list] = [[] for _ in range(7)]
             held = 0
-            base = [(code(t) << AT) for t in texts]
+            keys = signed(np.fromiter(map(text_key, texts), np.uint64, len(texts)))
             docs_ = np.array([NO_ID if i is None else i for i in ids], np.int64)
             # a very long text stands in pieces that overlap by one byte less than a string
             pieces = [(k, o, t[o : o + PIECE]) for k, t in enumerate(texts) for o in range(0, max(1, len(t) - p.length + 1), PIECE - p.length + 1)]
@@ -178,18 +180,18 @@ def clips(docs: DataFrame, p: Params) -> DataFrame:
                     c = np.fromiter((xxhash.xxh3_64_intdigest(joined[a:b]) for a, b in zip(first.tolist(), stop.tolist(), strict=True)), np.uint64, len(h))
                     c = c * np.uint64(0x9E3779B97F4A7C15) + (place - first).astype(np.uint64)
                     text_of = np.array([k for k, _, _ in some])[owner]
-                    origin = np.array([base[k] + o for k, o, _ in some], np.int64)[owner]
-                    for o, v in zip(found, (h, c, docs_[text_of], origin + place - starts[owner], place - first, stop - place), strict=True):
+                    origin = np.array([o for _, o, _ in some], np.int64)[owner]
+                    for o, v in zip(found, (h, c, docs_[text_of], keys[text_of], origin + place - starts[owner], place - first, stop - place), strict=True):
                         o.append(v)
                     held += len(h)
                 if held > HELD:
                     yield from settle(found)
-                    found, held = [[] for _ in range(6)], 0
+                    found, held = [[] for _ in range(7)], 0
                 at = end
             if held:
                 yield from settle(found)
 
-    return docs.select("doc_id", "text").mapInArrow(run, MARK_TYPES)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), MARK_TYPES)
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -238,7 +240,7 @@ def maximal_repeats(keys: np.ndarray, left: list[bytes], right: list[bytes], p:
             yield l, r, [i for _, i in group[a : b + 1]]
 
 
-REPEATS = "doc long, loc long, length long, repeat long, first boolean"
+REPEATS = "doc long, t long, loc long, length long, repeat long, first boolean"
 
 
 def _repeats(asked: DataFrame, p: Params, groups: int) -> DataFrame:
@@ -246,18 +248,19 @@ def _repeats(asked: DataFrame, p: Params, groups: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         keys = table.column("h").to_numpy()
-        doc, loc, n_left = table.column("doc").to_pylist(), table.column("loc").to_pylist(), table.column("left").to_pylist()
+        doc, t, loc, n_left = (table.column(c).to_pylist() for c in ("doc", "t", "loc", "left"))
         body = table.column("clip").to_pylist()
         left = [x[:n][::-1] for x, n in zip(body, n_left, strict=True)]
         right = [x[n:] for x, n in zip(body, n_left, strict=True)]
-        out: list[list] = [[] for _ in range(5)]
+        out: list[list] = [[] for _ in range(6)]
+        at = list(zip(doc, t, loc, strict=True))
         for number, (l, r, clips_) in enumerate(maximal_repeats(keys, left, right, p)):
-            first = min(clips_, key=lambda i: (doc[i], loc[i]))
+            first = min(clips_, key=at.__getitem__)
             name = (int(keys[first]) + number * 0x9E3779B97F4A7C15 + 2**63) % 2**64 - 2**63
             for i in clips_:
-                for o, v in zip(out, (doc[i], loc[i] - l, l + r, name, (doc[i], loc[i]) == (doc[first], loc[first])), strict=True):
+                for o, v in zip(out, (doc[i], t[i], loc[i] - l, l + r, name, at[i] == at[first]), strict=True):
                     o.append(v)
-        return pa.table([pa.array(o, t) for o, t in zip(out, [pa.int64()] * 4 + [pa.bool_()], strict=True)], names=["doc", "loc", "length", "repeat", "first"])
+        return pa.table([pa.array(o, k) for o, k in zip(out, [pa.int64()] * 5 + [pa.bool_()], strict=True)], names=["doc", "t", "loc", "length", "repeat", "first"])
 
     return asked.withColumn("g", F.pmod(F.xxhash64("h"), F.lit(groups))).groupBy("g").applyInArrow(run, REPEATS)
 
@@ -267,39 +270,44 @@ def _crowded(asked: DataFrame, p: Params) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            out: list[list] = [[] for _ in range(4)]
-            for doc, loc, left, body in zip(*(part.column(c).to_pylist() for c in ("doc", "loc", "left", "clip")), strict=True):
+            out: list[list] = [[] for _ in range(5)]
+            for doc, t, loc, left, body in zip(*(part.column(c).to_pylist() for c in ("doc", "t", "loc", "left", "clip")), strict=True):
                 for k in range(len(body) - p.length + 1):
                     x = xxhash.xxh3_128_intdigest(body[k : k + p.length])
-                    for o, v in zip(out, (x >> 64, x & (2**64 - 1), doc, loc - left + k), strict=True):
+                    for o, v in zip(out, (x >> 64, x & (2**64 - 1), doc, t, loc - left + k), strict=True):
                         o.append(v)
             cols = [signed(np.array(o, np.uint64)) for o in out[:2]] + [np.array(o, np.int64) for o in out[2:]]
-            yield from pa.table(cols, names=["w1", "w2", "doc", "loc"]).to_batches(max_chunksize=50_000)
-
-    strings = stored(asked.select("doc", "loc", "left", "clip").mapInArrow(run, "w1 long, w2 long, doc long, loc long"), "strings")
-    # an order on (doc, loc) by min alone: two aggregates, each with a partial step before the shuffle
-    least = strings.groupBy("w1", "w2").agg(F.min("doc").alias("d"), F.count("*").alias("n")).where("n > 1")
-    shared = stored(strings.join(least, ["w1", "w2"]), "shared_strings")
-    begin = shared.where("doc = d").groupBy("w1", "w2").agg(F.min("loc").alias("l"))
-    placed = shared.join(begin, ["w1", "w2"])
-    return placed.select("doc", "loc", F.lit(p.length).cast("long").alias("length"), F.xxhash64("w1", "w2").alias("repeat"), F.expr("doc = d and loc = l").alias("first"))
+            yield from pa.table(cols, names=["w1", "w2", "doc", "t", "loc"]).to_batches(max_chunksize=50_000)
+
+    strings = stored(asked.select("doc", "t", "loc", "left", "clip").mapInArrow(run, "w1 long, w2 long, doc long, t long, loc long"), "strings")
+    # an order on (doc, t, loc) by min alone: three aggregates, each with a partial step before the shuffle
+    w = ["w1", "w2"]
+    least = strings.groupBy(*w).agg(F.min("doc").alias("d"), F.count("*").alias("n")).where("n > 1")
+    shared = stored(strings.join(least, w), "shared_strings")
+    text = shared.where("doc = d").groupBy(*w).agg(F.min("t").alias("e"))
+    begin = shared.where("doc = d").join(text, w).where("t = e").groupBy(*w, "e").agg(F.min("loc").alias("l"))
+    placed = shared.join(begin, w)
+    out = placed.select("doc", "t", "loc", F.lit(p.length).cast("long").alias("length"), F.xxhash64("w1", "w2").alias("repeat"), F.expr("doc = d and t = e and loc = l").alias("first"))
+    out = stored(out, "crowded")
+    discard(strings, shared)
+    return out
 
 
 def _packed_texts(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(kept_0, ..., doc, code, body): each row's text compressed for its way through a shuffle, with some columns."""
+    """(kept_0, ..., doc, t, body): each row's text compressed for its way through a shuffle, with some columns."""
     names = [f"kept_{i}" for i in range(len(keep))]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
-        for part in parts:
+        for part in few(parts):
             column = part.column("text")
             texts = byte_texts(column)
             order = pa.array([NO_ID if i is None else i for i in part.column("doc").to_pylist()], pa.int64())
             bodies = pa.array([press.compress(t) if ok else None for t, ok in zip(texts, column.is_valid().to_pylist(), strict=True)], pa.binary())
-            yield pa.record_batch([*(part.column(n) for n in names), order, pa.array([code(t) for t in texts], pa.int64()), bodies], names=[*names, "doc", "code", "body"])
+            yield pa.record_batch([*(part.column(n) for n in names), order, pa.array(signed(np.fromiter(map(text_key, texts), np.uint64, len(texts)))), bodies], names=[*names, "doc", "t", "body"])
 
     source = docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), F.col("doc_id").cast("long").alias("doc"), F.col("text").alias("text"))
-    return source.mapInArrow(run, ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)), "doc long, code long, body binary"]))
+    return source.mapInArrow(tidy(run), ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)), "doc long, t long, body binary"]))
 
 
 def _cut_clips(asked: DataFrame, docs: DataFrame) -> DataFrame:
@@ -308,34 +316,44 @@ def _cut_clips(asked: DataFrame, docs: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for part in parts:
-            out: list[list] = [[] for _ in range(6)]
-            for doc, body, items in zip(*(part.column(c).to_pylist() for c in ("doc", "body", "items")), strict=True):
+            out: list[list] = [[] for _ in range(7)]
+            for doc, t, body, items in zip(*(part.column(c).to_pylist() for c in ("doc", "t", "body", "items")), strict=True):
                 text = unpack.decompress(body)
                 for x in items:
-                    at = x["loc"] & ((1 << AT) - 1)
-                    for o, v in zip(out, (x["h"], doc, x["loc"], x["left"], x["n"], text[at - x["left"] : at + x["right"]]), strict=True):
+                    for o, v in zip(out, (x["h"], doc, t, x["loc"], x["left"], x["n"], text[x["loc"] - x["left"] : x["loc"] + x["right"]]), strict=True):
                         o.append(v)
-            yield from pa.table([pa.array(o, t) for o, t in zip(out, [pa.int64()] * 5 + [pa.binary()], strict=True)], names=["h", "doc", "loc", "left", "n", "clip"]).to_batches(max_chunksize=20_000)
+            yield from pa.table([pa.array(o, t) for o, t in zip(out, [pa.int64()] * 6 + [pa.binary()], strict=True)], names=["h", "doc", "t", "loc", "left", "n", "clip"]).to_batches(max_chunksize=20_000)
 
-    by_doc = asked.groupBy("doc", F.shiftright("loc", AT).alias("code")).agg(F.collect_list(F.struct("h", "loc", "left", "right", "n")).alias("items"))
-    texts = _packed_texts(docs).select("doc", "code", "body").join(by_doc, ["doc", "code"])
-    return texts.mapInArrow(run, "h long, doc long, loc long, left long, n long, clip binary")
+    by_doc = asked.groupBy("doc", "t").agg(F.collect_list(F.struct("h", "loc", "left", "right", "n")).alias("items"))
+    texts = _packed_texts(docs).select("doc", "t", "body").where("body is not null").join(by_doc, ["doc", "t"])
+    return texts.mapInArrow(tidy(run), "h long, doc long, t long, loc long, left long, n long, clip binary")
 
 
 def occurrences(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
-    """(doc, loc, length) that have an earlier occurrence and are settled as whole clips; and the maximal repeats."""
-    inner = W.partitionBy("h", "c").orderBy("doc", "loc")
-    outer = W.partitionBy("h")
-    ranked = clips(docs, p).withColumn("k", F.row_number().over(inner))
-    ranked = ranked.withColumn("n", F.sum((F.col("k") == 1).cast("int")).over(outer))
+    """(doc, t, loc, length) that have an earlier occurrence and are settled as whole clips; and the maximal repeats."""
+    every = stored(clips(docs, p), "found_clips")
+    free = every.where("not settled").drop("settled")
+    most = max(p.hot, every.count() // 100_000)
+    hot = stored(free.groupBy("h").count().where(F.col("count") > most).select("h"), "hot_anchors")
+    inner = W.partitionBy("h", "c").orderBy("doc", "t", "loc")
     # repeated rows of one document are no earlier occurrence of themselves
-    ranked = ranked.withColumn("d", F.first("doc").over(inner)).withColumn("l", F.first("loc").over(inner))
-    marks = stored(ranked.where("settled or k > 1 or n > 1").selectExpr("if(k = 1 and n > 1, h, null) h", "doc", "loc", "left", "right", "n", "settled", "k", "settled or (k > 1 and (doc <> d or loc <> l)) as done"), "marks")
-    whole = marks.where("done").selectExpr("doc", "loc - left as loc", "cast(left + right as long) as length")
-    asked = marks.where("not settled and k = 1 and n > 1").select("h", "doc", "loc", "left", "right", "n")
+    facts = {"k": F.row_number().over(inner), **{x: F.first(y).over(inner) for x, y in (("d", "doc"), ("e", "t"), ("l", "loc"))}}
+    # at most 100,000 anchors
+    cold = free.join(F.broadcast(hot), "h", "left_anti").repartition("h").withColumns(facts).withColumn("n", F.sum((F.col("k") == 1).cast("int")).over(W.partitionBy("h")))
+    crowded = stored(free.join(F.broadcast(hot), "h", "left_semi").withColumns(facts), "hot_clips")
+    kinds = crowded.where("k = 1").groupBy("h").agg(F.count("*").alias("n"))
+    ranked = cold.unionByName(crowded.join(F.broadcast(kinds), "h"))
+    ranked = ranked.where("k > 1 or n > 1").selectExpr("if(k = 1 and n > 1, h, null) h", "doc", "t", "loc", "left", "right", "n", "k", "k > 1 and (doc <> d or t <> e or loc <> l) as done")
+    settled = every.where("settled").selectExpr("cast(null as long) h", "doc", "t", "loc", "left", "right", "0L as n", "0 as k", "true as done")
+    marks = stored(ranked.unionByName(settled), "marks")
+    discard(every, hot, crowded)
+    whole = marks.where("done").selectExpr("doc", "t", "loc - left as loc", "cast(left + right as long) as length")
+    asked = marks.where("h is not null").select("h", "doc", "t", "loc", "left", "right", "n")
     bodies = stored(_cut_clips(asked, docs), "clips")
     groups = max(32, bodies.count() // p.clips)
     found = _repeats(bodies.where(F.col("n") <= p.crowd), p, groups).unionByName(_crowded(bodies.where(F.col("n") > p.crowd), p))
+    found = stored(found, "repeats")
+    discard(bodies)
     return whole, found
 
 
@@ -345,12 +363,13 @@ def deduplicate(docs: DataFrame, p: Params = Params(), keep: tuple[str, ...] = (
     Uses doc_id and text; other columns matter only where named in keep. text is what is left, without the parts of
     characters that a cut went through; the digest is of the bytes that are left. A null text counts as empty, has
     nothing removed and stays null. Repeated rows of a document are that one document; different texts under one id are
-    ordered by a hash of the text; rows without an id come last. Of no rows, none. spans: [start, end) in bytes of the
+    different documents, ordered by a hash of the text; rows without an id come last, in the order of that hash. Of no
+    rows, none. spans: [start, end) in bytes of the
     maximal removed runs.
     """
     whole, found = occurrences(docs, p)
-    spans = whole.union(found.where("not first").select("doc", "loc", "length")).distinct()
-    by_doc = spans.groupBy("doc", F.shiftright("loc", AT).alias("code")).agg(F.collect_list(F.struct(F.expr(f"loc & {(1 << AT) - 1}L").alias("at"), "length")).alias("items"))
+    spans = whole.union(found.where("not first").select("doc", "t", "loc", "length")).distinct()
+    by_doc = spans.groupBy("doc", "t").agg(F.collect_list(F.struct(F.col("loc").alias("at"), "length")).alias("items"))
     names = [f"kept_{i}" for i in range(len(keep))]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,7 +390,7 @@ def deduplicate(docs: DataFrame, p: Params = Params(), keep: tuple[str, ...] = (
             types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
             yield pa.record_batch([*(part.column(n) for n in names), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=[*names, *OUT])
 
-    joined = _packed_texts(docs, keep).join(by_doc, ["doc", "code"], "left").select(*names, "body", "items")
+    joined = _packed_texts(docs, keep).join(by_doc, ["doc", "t"], "left").select(*names, "body", "items")
     types = "text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
     out = joined.mapInArrow(run, ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)), types]))
     return out.select(*(F.col(n).alias(c) for n, c in zip(names, keep, strict=True)), *OUT)

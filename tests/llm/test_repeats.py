@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from arbora.llm import repeats
 from arbora.llm.repeats import Params
@@ -67,6 +68,28 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert sorted(got, key=str) == sorted([(5, 0), (5, 0), (None, n), (7, n)], key=str)
 
 
+def test_many_rows_without_an_id(spark):
+    rng = random.Random(8)
+    make = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(30))
+    texts = [make() for _ in range(3000)]
+    shared = make()
+    texts[7], texts[1900] = texts[7] + shared, texts[1900] + " " + shared
+    rows = [(None, t) for t in texts] + [(3, shared + " x"), (3, "y " + shared)]
+    got = repeats.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_removed", F.length("text").alias("left"), "n_bytes").collect()
+    assert len(got) == 3002 and all(r.left == r.n_bytes - r.n_removed for r in got)
+    cut = [r for r in got if r.n_removed]
+    assert len(cut) == 3 and sorted(r.doc_id or 0 for r in cut) == [0, 0, 3] and all(r.n_removed - len(shared) in (0, 1) for r in cut)
+
+
+def test_hot_anchors(spark):
+    rng = random.Random(6)
+    phrase = "a common phrase of some length that stands in every text, "
+    docs = [(i, "".join(chr(97 + rng.randrange(26)) for _ in range(60)) + phrase + "".join(chr(97 + rng.randrange(26)) for _ in range(60)) + ("again and again " * 9 if i % 3 == 0 else "")) for i in range(120)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.deduplicate(frame, Params(hot=5, crowd=20)).collect()}
+    assert got == brute(docs, 100)
+
+
 def test_groups_are_maximal_and_whole(spark):
     a, b = " ".join(f"word{i}" for i in range(40)), " ".join(f"other{i}" for i in range(40))
     keys = repeats.np.zeros(3, repeats.np.uint64)
