@@ -2,12 +2,17 @@
 
 A batch holds documents that came, went or were counted anew. Its rows become signed amounts, additive by source,
 language and tokenizer version, and are committed under the batch's name: the first commit of a name is the only one,
-so a batch that is sent again changes nothing. Totals are sums over batches, and compaction folds batches together
-without losing their names.
+so a batch that is sent again changes nothing. Amounts are written to a folder of their own, which counts from the
+moment that a numbered log entry names it; totals are sums over the folders that the log leaves in place, and a
+compaction's entry puts one folder in the place of those that it sums up.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,43 +56,54 @@ def changes(inserted: DataFrame | None = None, deleted: DataFrame | None = None,
 class Rollup:
     """A folder of committed batches, in any file system that Spark writes to.
 
-    One writer commits at a time. A batch is written under a name of its own and becomes part of the totals when the
-    write's own commit marker appears, so a writer that is lost half-way leaves nothing that counts.
+    A log entry appears as a whole under the next free number, or not at all, where the file system renames without
+    replacing, as HDFS does. A writer that finds the number taken reads the log again, so several writers can commit; one
+    that is lost before its entry leaves a folder that never counts.
     """
 
-    SCHEMA = "source string, lang string, tokenizer string, documents long, tokens long, names array<string>"
+    AMOUNT = "source string, lang string, tokenizer string, documents long, tokens long"
+    ENTRY = "number long, batch string, added string, removed array<string>"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _files(self):
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root, root.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
-    def _folders(self) -> list[str]:
-        root, files, path = self._files()
-        if not files.exists(root):
-            return []
-        found = [str(s.getPath().getName()) for s in files.listStatus(root) if s.isDirectory()]
-        return sorted(f for f in found if files.exists(path(f"{self.path}/{f}/_SUCCESS")))
-
-    def _live(self) -> list[str]:
-        """Folders that count: a compacted folder replaces those that it names."""
-        folders = self._folders()
-        names = set(folders)
-        for f in folders:
-            if f.startswith("compact-"):
-                names -= set(self._replaced(f))
-        return sorted(names)
-
-    def _replaced(self, folder: str) -> list[str]:
-        row = self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/{folder}").where("names is not null").select("names").first()
-        return list(row["names"]) if row else []
+    def _log(self) -> tuple[int, set[str], list[str]]:
+        """(next number, names of committed batches, folders that count); a row for each commit and compaction."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        log = hadoop.Path(f"{self.path}/log")
+        if not log.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(log):
+            return 0, set(), []
+        entries = sorted(self.spark.read.schema(self.ENTRY).json(f"{self.path}/log").collect(), key=lambda r: r["number"])
+        live: dict[str, None] = {}
+        for r in entries:
+            for f in r["removed"] or ():
+                live.pop(f, None)
+            live[r["added"]] = None
+        return len(entries), {r["batch"] for r in entries if r["batch"] is not None}, list(live)
+
+    def _publish(self, number: int, batch: str | None, added: str, removed: list[str]) -> bool:
+        """Whether the entry took its number."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        hadoop = jvm.org.apache.hadoop.fs
+        body = json.dumps({"number": number, "batch": batch, "added": added, "removed": removed}).encode()
+        draft, entry = (hadoop.Path(f"{self.path}/log/{n}") for n in (f"_{uuid.uuid4().hex}", f"{number:012d}.json"))
+        files = draft.getFileSystem(conf)
+        out = files.create(draft)
+        out.write(bytearray(body))
+        out.close()
+        draft, entry = files.makeQualified(draft), files.makeQualified(entry)
+        options = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            hadoop.FileContext.getFileContext(draft.toUri(), conf).rename(draft, entry, options)
+        except Py4JJavaError as e:
+            files.delete(draft, False)
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+            return False
+        return True
 
     def committed(self, batch: str) -> bool:
-        name = f"batch-{batch}"
-        return name in self._folders()
+        return batch in self._log()[1]
 
     def commit(self, batch: str, rows: DataFrame) -> bool:
         """Adds a batch of changes(); False, and nothing done, where a batch of that name is committed already."""
@@ -95,25 +111,32 @@ class Rollup:
             raise ValueError("a batch's name has letters, digits, - _ and . only")
         if self.committed(batch):
             return False
-        sums = rows.groupBy(*KEYS).agg(*(F.sum(a).alias(a) for a in AMOUNTS)).withColumn("names", F.lit(None).cast("array<string>"))
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch-{batch}")
-        return True
-
-    def compact(self, name: str) -> None:
-        """Folds all that counts into one folder; the batches' folders stay as the record of their names."""
-        live = self._live()
-        if not live:
-            return
-        record = self.spark.createDataFrame([(None, None, None, 0, 0, live)], self.SCHEMA)
-        self._sums().withColumn("names", F.lit(None).cast("array<string>")).unionByName(record).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/compact-{name}")
-
-    def _sums(self) -> DataFrame:
-        live = self._live()
-        if not live:
-            return self.spark.createDataFrame([], self.SCHEMA).select(*KEYS, *AMOUNTS)
-        rows = self.spark.read.schema(self.SCHEMA).parquet(*(f"{self.path}/{f}" for f in live)).where("names is null")
+        folder = self._write(rows.groupBy(*KEYS).agg(*(F.sum(a).alias(a) for a in AMOUNTS)))
+        while True:
+            number, names, _ = self._log()
+            if batch in names:
+                return False
+            if self._publish(number, batch, folder, []):
+                return True
+
+    def compact(self) -> None:
+        """Puts one folder in the place of all that count now; what is committed meanwhile stays beside it."""
+        while True:
+            number, _, live = self._log()
+            if len(live) < 2 or self._publish(number, None, self._write(self._sums(live)), live):
+                return
+
+    def _write(self, sums: DataFrame) -> str:
+        folder = f"data-{uuid.uuid4().hex}"
+        sums.coalesce(1).write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def _sums(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.AMOUNT)
+        rows = self.spark.read.schema(self.AMOUNT).parquet(*(f"{self.path}/{f}" for f in folders))
         return rows.groupBy(*KEYS).agg(*(F.sum(a).alias(a) for a in AMOUNTS))
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, documents, tokens); groups that came to nothing are left out."""
-        return self._sums().where("documents <> 0 or tokens <> 0")
+        return self._sums(self._log()[2]).where("documents <> 0 or tokens <> 0")

@@ -19,11 +19,11 @@ def test_commits_once_and_adds_up(spark, tmp_path):
     assert store.commit("two", changes(deleted=rows(spark, [("a", "en", "v1", None, 5)]), revised=rows(spark, [(None, None, "v1", 7, 9)])))
     want = {("a", "en", "v1", 1, 0), (None, None, "v1", 1, 9)}
     assert {tuple(r) for r in store.totals().collect()} == want
-    store.compact("c1")
+    store.compact()
     assert {tuple(r) for r in store.totals().collect()} == want and not store.commit("one", came)
     assert store.commit("three", changes(deleted=rows(spark, [("a", "en", "v1", None, 0)])))
     assert store.commit("empty", changes(inserted=rows(spark, [])))
-    store.compact("c2")
+    store.compact()
     assert {tuple(r) for r in store.totals().collect()} == {(None, None, "v1", 1, 9)}
     with pytest.raises(ValueError, match="name"):
         store.commit("../x", came)
@@ -31,6 +31,24 @@ def test_commits_once_and_adds_up(spark, tmp_path):
         changes()
 
 
+def test_compactions_crashes_and_races_lose_nothing(spark, tmp_path):
+    store = Rollup(spark, f"file://{tmp_path}/totals")
+    one = lambda n: changes(inserted=rows(spark, [("a", "en", "v1", None, n)]))
+    tokens = lambda: [r.tokens for r in store.totals().collect()]
+    assert store.commit("a", one(5))
+    store.compact()
+    assert store.commit("d", one(7))
+    store.compact()
+    store.compact()
+    assert tokens() == [12] and store.committed("a") and store.committed("d")
+    lost = store._write(one(100).groupBy("source", "lang", "tokenizer").sum("documents", "tokens"))  # no entry names it
+    assert tokens() == [12] and (tmp_path / "totals" / lost).exists()
+    number, _, live = store._log()
+    assert store._publish(number, "e", store._write(one(1).select("source", "lang", "tokenizer", "documents", "tokens")), [])
+    assert not store._publish(number, None, lost, live)  # its number is taken
+    assert tokens() == [13] and not store.commit("e", one(1)) and store.commit("f", one(2)) and tokens() == [15]
+
+
 def test_query_equals_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "labels"):
