@@ -42,7 +42,7 @@ def split_words(column: pa.Array, folded: bool = False) -> tuple[pa.Array, np.nd
 
     folded: A-Z become lower case.
     """
-    texts = pc.fill_null(column.cast(pa.large_string()), "")
+    texts = pc.fill_null(column.cast(pa.large_string()), "").take(pa.array(np.arange(len(column))))  # Arrow splits no slice right
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if folded else texts)
     flat = lists.flatten()
     full = pc.greater(pc.binary_length(flat), 0)
