@@ -1,28 +1,29 @@
 """A nested hierarchical Pitman-Yor language model.
 
 Every word has a restaurant of the words that follow it; the end token's has the first words of texts. These share one
-parent, the word restaurant. Its base measure spells a word byte by byte: a restaurant for every context of up
-to order - 1 bytes, each with the next shorter context as its parent, down to a uniform choice. The tables of a
-restaurant are the customers of its parent; the tables of the word restaurant are the words that get spelled. All
-words that training has not seen are one event: it has the base measure's weight outside the words that were seen.
-
-Seating is sampled by Gibbs sweeps. In a sweep each dish's customers get up and sit down again one after another, by
-the Chinese restaurant's rule, given the other dishes' tables of the sweep before; that makes dishes independent, so
-the word restaurant is swept in parallel over all distinct words. Word probabilities and the followers' tables are
-averaged over the kept samples; the followers' probabilities come from both averages.
-
-Pairs of words are dealt to buckets by the first word's hash and travel as packed arrays, so a bucket has whole
-restaurants. What a text asks for goes to the buckets and comes back as sums.
-
-The corpus is counted in full. Only the spelling restaurants come to the driver: their order is lowered until there
-are at most `most_grams`, whatever the corpus's size.
+parent, the word restaurant. Its base measure spells a word byte by byte: a restaurant for each two bytes before, whose
+parents have the one byte before, whose parent has none, over a uniform choice of 256 bytes and the word's end. The
+tables of a restaurant are the customers of its parent; the tables of the word restaurant are the words that get
+spelled. So every string of bytes has a probability of its own after every word, seen or not.
+
+Seating is sampled by Gibbs sweeps. A sweep draws, for each dish of a restaurant, the number of tables at which its
+customers sit, from its distribution given the tables of the sweep before of all other dishes: weights are generalised
+Stirling numbers times those of new tables. Dishes with over `exact` customers have them come in one after another.
+Draws are hashes of the dish and the sweep, so that reruns agree however rows are dealt. Word probabilities and the
+followers' tables are averaged over the kept samples; the followers' probabilities come from both averages.
+
+Pairs of words are dealt to buckets by the first word's hash, those of very frequent first words by the second one's as
+well, and travel as packed arrays. What a text asks for goes to the buckets and comes back as sums. The driver holds the
+65,535 most frequent words, as two-byte codes for others' arrays, and the spelling restaurants, of which there are at
+most 257 ** 3 dishes whatever the corpus.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -32,104 +33,182 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.langid import Model, _find, grams
-from arbora.llm.text import byte_texts, few, hashed, mix, signed, split_words
-from arbora.llm.workspace import stored
+from arbora.llm.text import few, hashed, mix, signed, split_words, tidy
+from arbora.llm.workspace import discard, stored
 
 #: The spelling of the token that ends a text; no word contains it.
 END = b"\n"
+END_HASH = np.uint64(xxhash.xxh3_64_intdigest(END))
+ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Symbols of a spelling: bytes, and one for its end, which also stands before its beginning.
+SYMBOLS = 257
+RARE = 65_535
 
 
 @dataclass(frozen=True)
 class Params:
-    """strength: of all restaurants; discounts are estimated. bucket: about so many tokens of training share a bucket."""
+    """strength: of all restaurants; discounts are estimated. bucket: about so many tokens of training share a bucket.
+
+    exact: customers of a dish up to which its tables are drawn from their exact distribution. batch: bytes of text that
+    are read at a time. held: distinct words that a task gathers before it hands them on.
+    """
 
-    order: int = 5
     burn_in: int = 1
     samples: int = 2
     strength: float = 1.0
-    most_grams: int = 250_000
+    exact: int = 512
     bucket: int = 4_000_000
     batch: int = 6_000_000
-    words_held: int = 300_000
-    seed: int = 20_240_611
-
-
-def spelling(word: bytes) -> str:
-    return f" {word.decode('latin-1')}Ā"
+    held: int = 300_000
 
 
 def discount(counts: np.ndarray) -> float:
     one, two = (counts == 1).sum(), (counts == 2).sum()
+    return rate(one, two)
+
+
+def rate(one: float, two: float) -> float:
+    """A discount from how many dishes have one customer and two."""
     return float(np.clip(one / max(one + 2 * two, 1), 0.05, 0.95))
 
 
-def seat(customers: np.ndarray, fresh: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each dish after its customers sat down in turn; fresh: weight of a new table for that dish.
+def uniform(keys: np.ndarray, draw: int) -> np.ndarray:
+    """Numbers in (0, 1) that depend on the keys and the draw's number alone."""
+    salt = mix(np.array([draw], np.uint64) * ODD + np.uint64(1))[0]
+    return ((mix(mix(keys ^ salt) + ODD) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
 
-    The first 32 sit down one by one. Later ones come in groups of a quarter of those seated, within which the chance
-    of a new table is held fixed.
+
+def stirling(most: int, d: float) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers of c customers at t tables, in row c and column t."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[0, 0] = 0.0
+    for c in range(most):
+        stay = np.maximum(c - d * np.arange(most + 1), 0)
+        with np.errstate(divide="ignore"):
+            out[c + 1, 1:] = np.logaddexp(out[c, :-1], out[c, 1:] + np.log(stay[1:]))
+    return out
+
+
+def arrivals(customers: np.ndarray, fresh: np.ndarray, d: float, keys: np.ndarray, sweep: int) -> np.ndarray:
+    """Tables after customers came in one after another; fresh: weight of a new table.
+
+    From the 33rd on they come in groups of a quarter of those seated, within which the chance of a new table is that of
+    the one in the middle and the number of new tables is normal.
     """
-    tables = (customers > 0).astype(np.int64)
-    seated = 1
-    most = int(customers.max(initial=0))
-    while seated < most:
+    tables, seated, turn = (customers > 0).astype(np.int64), 1, 0
+    while seated < customers.max(initial=0):
         step = 1 if seated < 32 else seated // 4
         at = np.flatnonzero(customers > seated)
         come = np.minimum(customers[at] - seated, step)
-        chance = fresh[at] / (fresh[at] + seated - d * tables[at])
-        tables[at] += rng.random(len(at)) < chance if step == 1 else rng.binomial(come, np.clip(chance, 0, 1))
-        seated += step
+        chance = np.clip(fresh[at] / (fresh[at] + seated + (come - 1) / 2 - d * tables[at]), 0, 1)
+        x = uniform(keys[at], sweep << 20 | turn << 1)
+        if step == 1:
+            tables[at] += x < chance
+        else:
+            normal = np.sqrt(-2 * np.log(x)) * np.cos(2 * np.pi * uniform(keys[at], sweep << 20 | turn << 1 | 1))
+            tables[at] += np.clip(np.rint(come * chance + normal * np.sqrt(come * chance * (1 - chance))), 0, come).astype(np.int64)
+        seated, turn = seated + step, turn + 1
+    return tables
+
+
+def draw_tables(customers: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, keys: np.ndarray, sweep: int, p: Params) -> np.ndarray:
+    """Tables of each dish, given the tables of the other dishes of its restaurant and its base probability."""
+    tables = (customers > 0).astype(np.int64)
+    large = np.flatnonzero(customers > p.exact)
+    if len(large):
+        tables[large] = arrivals(customers[large], (p.strength + d * others[large]) * base[large], d, keys[large], sweep)
+    small = np.flatnonzero((customers > 1) & (customers <= p.exact))
+    if not len(small):
+        return tables
+    ways = stirling(int(customers[small].max()), d)
+    order = small[np.argsort(customers[small], kind="stable")]
+    for at in np.split(order, np.flatnonzero(np.diff(customers[order])) + 1):
+        c = int(customers[at[0]])
+        for k in range(0, len(at), max(1, 1_000_000 // c)):
+            i = at[k : k + max(1, 1_000_000 // c)]
+            weight = np.cumsum(np.log(p.strength + d * (others[i][:, None] + np.arange(c))) + np.log(base[i])[:, None], 1) + ways[c, 1 : c + 1]
+            share = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), 1)
+            tables[i] = 1 + (share < (uniform(keys[i], sweep << 20) * share[:, -1])[:, None]).sum(1)
     return tables
 
 
+def spelled(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(word of each symbol, the symbol with the two before it as one number) of the spellings of words."""
+    each = words.to_pylist()
+    sizes = np.fromiter(map(len, each), np.int64, len(each))
+    data = np.frombuffer(b"".join(each), np.uint8).astype(np.int64)
+    text = np.insert(data, np.cumsum(sizes), SYMBOLS - 1)  # an end after each word
+    owner = np.repeat(np.arange(len(words)), sizes + 1)
+    first = np.cumsum(sizes + 1) - sizes - 1
+    before = np.concatenate([[SYMBOLS - 1], text[:-1]])
+    second = np.concatenate([[SYMBOLS - 1] * 2, text[:-2]])[: len(text)]
+    second[first] = SYMBOLS - 1
+    return owner, (second * SYMBOLS + before) * SYMBOLS + text
+
+
 @dataclass
 class Spelling:
-    """The spelling restaurants. keys, context, parent: of each n-gram of a length; tables of the last sweep."""
+    """The spelling restaurants: level k has the k bytes before a symbol as context. codes: of the seen symbols in context."""
 
-    order: int
-    keys: list[np.ndarray]
-    context: list[np.ndarray]
-    parent: list[np.ndarray]
     p: Params
-    model: Model | None = None
-    strong: list[np.ndarray] | None = None
-
-    @classmethod
-    def of(cls, rows: dict[str, np.ndarray], order: int, p: Params) -> Spelling:
-        by = [{c: v[rows["k"] == k] for c, v in rows.items()} for k in range(1, order + 1)]
-        by = [{c: v[np.argsort(x["gram"])] for c, v in x.items()} for x in by]
-        keys = [x["gram"] for x in by]
-        parents = [np.zeros(len(keys[0]), np.int64), *(_find(keys[k - 1], by[k]["suffix"])[1] for k in range(1, order))]
-        return cls(order, keys, [x["context"] for x in by], parents, p)
-
-    def sweep(self, seated: list[np.ndarray], rng: np.random.Generator) -> None:
-        """Seats everyone anew; seated: customers of each length that come from the word restaurant itself."""
-        customers = [x.astype(np.int64).copy() for x in seated]
-        tables: list[np.ndarray] = [np.empty(0)] * self.order
-        rates = [0.0] * self.order
-        for k in reversed(range(self.order)):
-            rates[k] = discount(customers[k])
-            if self.strong is None:  # before the first sweep every dish has one table
-                tables[k] = (customers[k] > 0).astype(np.int64)
-            else:
-                tables[k] = seat(customers[k], self.strong[k], rates[k], rng)
-            if k:
-                np.add.at(customers[k - 1], self.parent[k], tables[k])
-        model, strong = Model(["text"], self.order, floor=-float(np.log(257))), []
-        below = None
-        for k in range(self.order):
-            contexts, group = np.unique(self.context[k], return_inverse=True)
-            c, t = (np.bincount(group, x, len(contexts)) for x in (customers[k], tables[k]))
-            base = np.full(len(group), np.exp(model.floor)) if k == 0 else below[self.parent[k]]
-            new = (self.p.strength + rates[k] * t)[group] * base
-            below = (customers[k] - rates[k] * tables[k] + new) / (self.p.strength + c)[group]
-            strong.append(new)
-            model.keys.append(self.keys[k])
-            model.prob.append(np.log(below)[:, None])
-            model.contexts.append(contexts)
-            model.back.append(np.log((self.p.strength + rates[k] * t) / (self.p.strength + c))[:, None] if len(contexts) else np.zeros((1, 1)))
-        self.model, self.strong = model, strong
+    codes: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.int64)] * 3)
+    tables: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.int64)] * 3)
+    prob: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0)] * 3)
+    contexts: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.int64)] * 3)
+    back: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0)] * 3)
+
+    def swept(self, codes: np.ndarray, customers: np.ndarray, sweep: int) -> Spelling:
+        """After a sweep, with these customers at each code of the top level."""
+        new = Spelling(self.p)
+        order = np.argsort(codes)
+        codes, customers = codes[order], customers[order].astype(np.int64)
+        found, rates = {}, {}
+        for k in (2, 1, 0):
+            context, group = np.unique(codes // SYMBOLS, return_inverse=True)
+            d = rates[k] = discount(customers)
+            old = np.minimum(customers, 1)
+            hit, at = _find(self.codes[k], codes)
+            old[hit] = self.tables[k][at[hit]]
+            others = np.bincount(group, old, len(context))[group] - old
+            base = self.below(k, codes)
+            t = draw_tables(customers, others, base, d, mix(codes.astype(np.uint64) + np.uint64(k << 40)), sweep, self.p)
+            found[k] = (codes, customers, t, context, group)
+            codes, index = np.unique(codes % SYMBOLS**k, return_inverse=True)
+            customers = np.bincount(index, t, len(codes)).astype(np.int64)
+        for k in range(3):
+            codes, customers, t, context, group = found[k]
+            d, c = rates[k], np.bincount(found[k][4], found[k][1], len(context))
+            fresh = self.p.strength + d * np.bincount(group, t, len(context))
+            new.codes[k], new.tables[k], new.contexts[k], new.back[k] = codes, t, context, fresh / (self.p.strength + c)
+            new.prob[k] = (customers - d * t) / (self.p.strength + c)[group] + new.back[k][group] * new.below(k, codes)
+        return new
+
+    def below(self, k: int, codes: np.ndarray) -> np.ndarray:
+        """Probability of symbols under the level below k."""
+        return self.of(k - 1, codes % SYMBOLS**k) if k else np.full(len(codes), 1 / SYMBOLS)
+
+    def of(self, k: int, codes: np.ndarray) -> np.ndarray:
+        """Probability of symbols in their context of k bytes."""
+        seen, index = _find(self.codes[k], codes)
+        out = np.zeros(len(codes))
+        out[seen] = self.prob[k][index[seen]]
+        rest = codes[~seen]
+        known, at = _find(self.contexts[k], rest // SYMBOLS)
+        out[~seen] = np.where(known, self.back[k][at] if len(self.back[k]) else 1.0, 1.0) * self.below(k, rest)
+        return out
+
+    def log_words(self, words: pa.Array) -> np.ndarray:
+        """Logarithm of each word's probability."""
+        owner, codes = spelled(words)
+        some, index = np.unique(codes, return_inverse=True)
+        return np.bincount(owner, np.log(self.of(2, some))[index], len(words))
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+    index = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[index] == wanted, index
 
 
 def count_words(docs: DataFrame, p: Params) -> DataFrame:
@@ -141,99 +220,130 @@ def count_words(docs: DataFrame, p: Params) -> DataFrame:
         def out():
             words = list(seen)
             for at in range(0, len(words), 50_000):
-                some = words[at : at + 50_000]
-                h = np.fromiter(map(xxhash.xxh3_64_intdigest, some), np.uint64, len(some))
-                yield pa.record_batch([pa.array(some, pa.binary()), pa.array(signed(h)), pa.array([seen[w] for w in some], pa.int64())], names=["word", "h", "n"])
+                some = pa.array(words[at : at + 50_000], pa.binary())
+                yield pa.record_batch([some, pa.array(signed(hashed(some))), pa.array([seen[w] for w in words[at : at + 50_000]], pa.int64())], names=["word", "h", "n"])
             seen.clear()
 
-        for part in parts:
-            for text in byte_texts(part.column("text")):
-                seen.update(text.lower().split())
-                seen[END] += 1
-                if len(seen) > p.words_held:
-                    yield from out()
+        for part in few(parts, p.batch):
+            words, index, _ = split_words(part.column("text"), folded=True)
+            seen.update(dict(zip(words.to_pylist(), np.bincount(index, minlength=len(words)).tolist(), strict=True)))
+            seen[END] += part.num_rows
+            if len(seen) > p.held:
+                yield from out()
         yield from out()
 
-    counted = docs.select("text").mapInArrow(run, "word binary, h long, n long")
+    counted = docs.select("text").mapInArrow(tidy(run), "word binary, h long, n long")
     return counted.groupBy("word").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
 
 
-def _grams(types: DataFrame, order: int, structure: bool) -> DataFrame:
-    """(k, gram, n) with n tables that are spelled with it at their longest context; with structure, all lengths too."""
+def _symbols(types: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, customers) of the spelling restaurants' top level: each table of a word spells it once."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = [[] for _ in range(5)]
+        for part in parts:
+            owner, codes = spelled(part.column("word"))
+            some, index = np.unique(codes, return_inverse=True)
+            n = np.bincount(index, part.column("t").to_numpy()[owner], len(some)).astype(np.int64)
+            yield pa.record_batch([pa.array(some), pa.array(n)], names=["code", "n"])
 
-        def merged():
-            k, key, context, suffix, n = (np.concatenate(h) for h in held)
-            tag = key ^ (k.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-            _, first, index = np.unique(tag, return_index=True, return_inverse=True)
-            total = np.bincount(index, n, len(first)).astype(np.int64)
-            held[:] = [[k[first]], [key[first]], [context[first]], [suffix[first]], [total]]
+    rows = types.select("word", "t").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    return rows["code"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
 
-        size = 0
-        for part in parts:
-            for at in range(0, part.num_rows, 20_000):
-                few = part.slice(at, 20_000)
-                tables = few.column("t").to_numpy()
-                owner, place, found = grams([spelling(w) for w in few.column("word").to_pylist()], order)
-                for k in range(1, order + 1):
-                    top = place + 1 >= k if structure else np.minimum(place + 1, order) == k
-                    i = np.flatnonzero((place > 0) & top)
-                    longest = np.minimum(place[i] + 1, order) == k
-                    rows = (np.full(len(i), k, np.int32), found[k - 1][i], found[k - 2][i - 1] if k > 1 else np.zeros(len(i), np.uint64), found[k - 2][i] if k > 1 else np.zeros(len(i), np.uint64), tables[owner[i]] * longest)
-                    for h, v in zip(held, rows, strict=True):
-                        h.append(v)
-                    size += len(i)
-                if size > 3_000_000:
-                    merged()
-                    size = len(held[0][0])
-        if held[0]:
-            merged()
-            k, key, context, suffix, n = (h[0] for h in held)
-            yield from pa.table([k, signed(key), signed(context), signed(suffix), n], names=["k", "gram", "context", "suffix", "n"]).to_batches(max_chunksize=50_000)
-
-    rows = types.select("word", "t").mapInArrow(run, "k int, gram long, context long, suffix long, n long")
-    return rows.groupBy("k", "gram").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("n").alias("n"))
-
-
-def _spelled(types: DataFrame, model: Model, p: Params, d: float, n_tables: int, sweep: int) -> DataFrame:
-    """The words with their tables after a sweep, given that sweep's spelling model, and their share of it."""
-    shared = types.sparkSession.sparkContext.broadcast(model)
+
+def _seat_words(types: DataFrame, spelling: Spelling, p: Params, d: float, everyone: int, sweep: int) -> DataFrame:
+    """The words with their tables after a sweep, and their spelled probability."""
+    shared = types.sparkSession.sparkContext.broadcast(spelling)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng([p.seed, sweep, TaskContext.get().partitionId()])
         for part in parts:
-            for at in range(0, part.num_rows, 20_000):
-                few = part.slice(at, 20_000)
-                base = np.exp(shared.value.score([spelling(w) for w in few.column("word").to_pylist()])[0][:, 0])
-                fresh = (p.strength + d * n_tables) * base
-                t = seat(few.column("c").to_numpy(), fresh, d, rng)
-                yield pa.record_batch([*(few.column(x) for x in ("word", "h", "n", "c")), pa.array(t), few.column("prob"), pa.array(base)], names=["word", "h", "n", "c", "t", "prob", "base"])
+            base = np.exp(shared.value.log_words(part.column("word")))
+            c, t = part.column("c").to_numpy(), part.column("t").to_numpy()
+            t = draw_tables(c, np.maximum(everyone - t, 0), base, d, part.column("h").to_numpy().view(np.uint64), sweep, p)
+            yield pa.record_batch([*(part.column(x) for x in ("word", "h", "n", "c")), pa.array(t), part.column("prob"), pa.array(base)], names=["word", "h", "n", "c", "t", "prob", "base"])
 
-    return types.select("word", "h", "n", "c", "prob").mapInArrow(run, "word binary, h long, n long, c long, t long, prob double, base double")
+    return types.select("word", "h", "n", "c", "t", "prob").mapInArrow(run, "word binary, h long, n long, c long, t long, prob double, base double")
 
 
-def _pack(*columns: np.ndarray) -> bytes:
-    """Arrays as bytes; _unpack() takes their types."""
-    sizes = np.array([len(c) for c in columns], np.int64)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([sizes.tobytes(), *(c.tobytes() for c in columns)]))
+@dataclass
+class Deal:
+    """Where pairs go: by the first word, and by the second one as well where `parts` says so. ranks: words as two-byte codes."""
 
+    buckets: int
+    words: np.ndarray
+    ranks: np.ndarray
+    counts: np.ndarray
+    parts: np.ndarray
 
-def _unpack(blob: bytes, *types: type) -> list[np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    at, out = 8 * len(types), []
-    for size, kind in zip(np.frombuffer(data, np.int64, len(types)), types, strict=True):
-        out.append(np.frombuffer(data, kind, int(size), at))
-        at += int(size) * np.dtype(kind).itemsize
-    return out
+    @classmethod
+    def of(cls, top: list[tuple[int, int]], total: int, p: Params) -> Deal:
+        """From the (hash, count) of the most frequent words, in that order."""
+        h = np.array([x for x, _ in top], np.int64).view(np.uint64)
+        n = np.array([x for _, x in top], np.int64)
+        order = np.argsort(h)
+        most = max(p.bucket / 4, total / RARE)  # fewer words than codes occur more often
+        parts = np.where(n > most, np.ceil(n / most), 1).astype(np.int64)
+        return cls(max(8, total // p.bucket), h[order], order.astype(np.uint16), n[order], parts[order])
+
+    def bucket(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        hit, at = _find(self.words, u)
+        parts = np.where(hit, self.parts[at], 1) if len(self.words) else np.ones(len(u), np.int64)
+        return self.of_part(u, (mix(w) >> np.uint64(33)).astype(np.int64) % parts)
+
+    def of_part(self, u: np.ndarray, part: np.ndarray) -> np.ndarray:
+        return ((mix(u + part.astype(np.uint64) * ODD) >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int64)
+
+    def homes(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in u, buckets) of every bucket that has a part of a word's restaurant."""
+        hit, at = _find(self.words, u)
+        parts = np.where(hit, self.parts[at], 1) if len(self.words) else np.ones(len(u), np.int64)
+        index = np.repeat(np.arange(len(u)), parts)
+        part = np.arange(len(index)) - np.repeat(np.cumsum(parts) - parts, parts)
+        found = np.unique(np.stack([index, self.of_part(u[index], part)]), axis=1)
+        return found[0], found[1]
+
+    def shared(self) -> np.ndarray:
+        """The words whose pairs are in several parts."""
+        return self.words[self.parts > 1]
+
+    def pack(self, *columns: np.ndarray) -> bytes:
+        """Arrays as bytes; those of unsigned 64-bit numbers are hashes of words."""
+        out: list = []
+        for c in columns:
+            if c.dtype == np.uint64:
+                hit, at = _find(self.words, c)
+                code = np.where(hit, self.ranks[at], RARE).astype("<u2") if len(self.words) else np.full(len(c), RARE, "<u2")
+                out.append((code.view(np.uint8).reshape(-1, 2).T.tobytes(), c[~hit]))
+            elif c.dtype.kind in "iu":
+                out.append(c.astype(np.min_scalar_type(int(c.max(initial=0))) if c.min(initial=0) >= 0 else np.int64))
+            else:
+                out.append(c)
+        return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(out, protocol=5))
+
+    def unpack(self, blob: bytes) -> list[np.ndarray]:
+        out = []
+        for c in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)):
+            if isinstance(c, tuple):
+                code = np.frombuffer(c[0], np.uint8).reshape(2, -1).T.copy().view("<u2")[:, 0] if len(c[0]) else np.zeros(0, np.uint16)
+                by_rank = np.zeros(len(self.words), np.uint64)
+                by_rank[self.ranks] = self.words
+                values = np.empty(len(code), np.uint64)
+                values[code != RARE] = by_rank[code[code != RARE]]
+                values[code == RARE] = c[1]
+                out.append(values)
+            else:
+                out.append(c.astype(np.int64) if c.dtype.kind in "iu" else c)
+        return out
 
+    def joined(self, table: pa.Table, kind: int, *types: type) -> list[np.ndarray]:
+        """The arrays of all blobs of a kind, one after the other."""
+        own = table.filter(pa.array(table.column("kind").to_numpy() == kind)).column("blob").to_pylist()
+        if not own:
+            return [np.zeros(0, t) for t in types]
+        return [np.concatenate(x) for x in zip(*map(self.unpack, own), strict=True)]
 
-def _joined(blobs: list[bytes], *types: type) -> list[np.ndarray]:
-    """The arrays of all blobs, one after the other."""
-    if not blobs:
-        return [np.zeros(0, t) for t in types]
-    return [np.concatenate(x) for x in zip(*(_unpack(b, *types) for b in blobs), strict=True)]
+    def blobs(self, bucket: int, kind: int, *columns: np.ndarray, most: int = 250_000) -> list[tuple]:
+        """Rows of BUCKETED with equally long arrays, in pieces."""
+        return [(bucket, kind, self.pack(*(c[at : at + most] for c in columns)), None, None) for at in range(0, len(columns[0]), most)]
 
 
 def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -241,18 +351,9 @@ def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(mix(u) + w)
 
 
-def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((mix(h) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-
-
 BUCKETED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("w", pa.int64()), ("v", pa.float64())])
 BUCKETED_SQL = "bucket int, kind int, blob binary, w long, v double"
-PAIRS, FEW, OFTEN, CONTEXTS, WORDS, NEEDED, NEEDED_OFTEN, TABLES, RATES = range(9)
-
-
-def _blobs(bucket: int, kind: int, *columns: np.ndarray, most: int = 250_000) -> list[tuple]:
-    """Rows of BUCKETED with equally long arrays, in pieces."""
-    return [(bucket, kind, _pack(*(c[at : at + most] for c in columns)), None, None) for at in range(0, len(columns[0]), most)]
+PAIRS, FEW, OFTEN, CONTEXTS, WORDS, NEEDED, NEEDED_OFTEN, TABLES, RATES, SHARED = range(10)
 
 
 def _rows(rows: list[tuple], *numbers: tuple[int, int, np.ndarray, np.ndarray]) -> pa.Table:
@@ -265,59 +366,77 @@ def _rows(rows: list[tuple], *numbers: tuple[int, int, np.ndarray, np.ndarray])
     return pa.concat_tables(tables).combine_chunks()
 
 
-def _of(table: pa.Table, kind: int) -> list[bytes]:
-    return [b for b, k in zip(table.column("blob").to_pylist(), table.column("kind").to_pylist(), strict=True) if k == kind and b is not None]
-
-
-def _tokens(parts: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows, word before, word, row of each token) of rows with about p.batch bytes of text at a time."""
+def _tokens(parts: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple]:
+    """(rows, distinct words, their hashes, word before, word, row of each token) of about p.batch bytes at a time."""
     for part in few(parts, p.batch):
         words, index, sizes = split_words(part.column("text"), folded=True)
+        h = hashed(words)
         # an end token after the words of each text; a first word comes after the end of the text before it
-        w = np.insert(hashed(words)[index] if len(words) else np.empty(0, np.uint64), np.cumsum(sizes), np.uint64(xxhash.xxh3_64_intdigest(END)))
-        yield part, np.concatenate([w[-1:], w[:-1]]), w, np.repeat(np.arange(part.num_rows), sizes + 1)
+        w = np.insert(h[index] if len(h) else np.empty(0, np.uint64), np.cumsum(sizes), END_HASH)
+        yield part, words, h, np.concatenate([w[-1:], w[:-1]]), w, np.repeat(np.arange(part.num_rows), sizes + 1)
 
 
-def count_pairs(docs: DataFrame, buckets: int, p: Params) -> DataFrame:
+def count_pairs(docs: DataFrame, deal, p: Params) -> DataFrame:
     """The pairs of neighbouring words of docs by bucket, counted, and what the sweeps need to know of them.
 
-    PAIRS: word before, word, count of every pair. OFTEN: the same with tables of those that occur twice or more; the
-    others have one table. CONTEXTS: word, tokens after it, pairs that occur once. NEEDED, NEEDED_OFTEN: the different
-    words of PAIRS and OFTEN. FEW: tables that a word has in pairs that occur once. RATES: numbers of pairs that occur
-    once and twice.
+    PAIRS: word before, word, count of every pair. OFTEN: the same with tables, and their average, of those that occur
+    twice or more; the others have one table. CONTEXTS: word, tokens after it, pairs that occur once. NEEDED,
+    NEEDED_OFTEN: the different words of PAIRS and OFTEN. FEW: tables that a word has in pairs that occur once. TABLES:
+    those in OFTEN. RATES: numbers of pairs that occur once and twice. SHARED: tables that a word before, dealt to
+    several buckets, has in this one.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, u, w, _ in _tokens(parts, p):
+        d = deal.value
+        for _, _, _, u, w, _ in _tokens(parts, p):
             _, first, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
-            u, w, to = u[first], w[first], _bucket(u[first], buckets)
-            order = np.argsort(to, kind="stable")
-            ends = np.searchsorted(to[order], np.arange(buckets + 1))
+            u, w = u[first], w[first]
+            to = d.bucket(u, w)
+            order = np.lexsort((u, to))
+            ends = np.searchsorted(to[order], np.arange(d.buckets + 1))
             rows = []
-            for b in range(buckets):
+            for b in range(d.buckets):
                 if len(i := order[ends[b] : ends[b + 1]]):
-                    i = i[np.argsort(u[i], kind="stable")]
-                    rows += _blobs(b, PAIRS, u[i], w[i], n[i].astype(np.uint32))
+                    rows += d.blobs(b, PAIRS, u[i], w[i], n[i])
             yield from _rows(rows).to_batches(max_chunksize=64)
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
-        b = key[0].as_py()
-        u, w, n = _joined(_of(table, PAIRS), np.uint64, np.uint64, np.uint32)
+        b, d = key[0].as_py(), deal.value
+        u, w, n = d.joined(table, PAIRS, np.uint64, np.uint64, np.int64)
         _, first, index = np.unique(_pair(u, w), return_index=True, return_inverse=True)
         n = np.bincount(index, n, len(first)).astype(np.int64)
         u, w = u[first], w[first]
-        order = np.argsort(u, kind="stable")
+        order = np.lexsort((w, u))
         u, w, n = u[order], w[order], n[order]
         kinds, group = np.unique(u, return_inverse=True)
         once, often = n == 1, n > 1
-        few, tables = np.unique(w[once], return_counts=True)
-        rows = _blobs(b, PAIRS, u, w, n) + _blobs(b, OFTEN, u[often], w[often], n[often], np.ones(often.sum(), np.int64), np.zeros(often.sum()))
-        rows += _blobs(b, CONTEXTS, kinds, np.bincount(group, n, len(kinds)).astype(np.int64), np.bincount(group, once, len(kinds)).astype(np.int64))
-        need, need_often = np.unique(w), np.unique(w[often])
-        rates = np.array([once.sum(), (n == 2).sum()])
-        return _rows(rows, (b, FEW, few, tables), (b, NEEDED, need, np.zeros(len(need))), (b, NEEDED_OFTEN, need_often, np.zeros(len(need_often))), (b, RATES, np.array([1, 2], np.uint64), rates))
+        few_, tables = np.unique(w[once], return_counts=True)
+        ones = np.ones(often.sum(), np.int64)
+        rows = d.blobs(b, PAIRS, u, w, n) + d.blobs(b, OFTEN, u[often], w[often], n[often], ones, 0 * ones)
+        rows += d.blobs(b, CONTEXTS, kinds, np.bincount(group, n, len(kinds)).astype(np.int64), np.bincount(group, once, len(kinds)).astype(np.int64))
+        need, (need_often, at_first) = np.unique(w), np.unique(w[often], return_counts=True)
+        mine, many = _shared(d, kinds, np.bincount(group, minlength=len(kinds)))
+        return _rows(rows, (b, FEW, few_, tables), (b, NEEDED, need, np.zeros(len(need))), (b, NEEDED_OFTEN, need_often, np.zeros(len(need_often))), (b, TABLES, need_often, at_first), (b, RATES, np.array([1, 2], np.uint64), np.array([once.sum(), (n == 2).sum()])), (b, SHARED, mine, many))
+
+    return docs.select("text").mapInArrow(tidy(run), BUCKETED_SQL).groupBy("bucket").applyInArrow(merge, BUCKETED_SQL)
+
+
+def _shared(d: Deal, kinds: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mine = np.isin(kinds, d.shared())
+    return kinds[mine], tables[mine]
 
-    return docs.select("text").mapInArrow(run, BUCKETED_SQL).groupBy("bucket").applyInArrow(merge, BUCKETED_SQL)
+
+def _of_shared(rows: DataFrame) -> dict[int, float]:
+    """Tables of the restaurants that are dealt to several buckets; fewer than there are codes."""
+    return {r["w"] % 2**64: r["v"] for r in rows.where(F.col("kind") == SHARED).groupBy("w").agg(F.sum("v").alias("v")).collect()}
+
+
+def _known(values: np.ndarray, kinds: np.ndarray, known: dict[int, float]) -> np.ndarray:
+    """values, with those of some kinds replaced."""
+    values = values.astype(float)
+    for k in np.flatnonzero(np.isin(kinds, np.fromiter(known, np.uint64, len(known)))):
+        values[k] = known[int(kinds[k])]
+    return values
 
 
 def _probabilities(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
@@ -328,24 +447,28 @@ def _probabilities(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
     return w[order], v[order]
 
 
-def _seat_pairs(state: DataFrame, known: DataFrame, p: Params, d: float, sweep: int) -> DataFrame:
-    """OFTEN and CONTEXTS after everyone in the restaurants of pairs sat down anew, and TABLES: each word's in OFTEN."""
+def _contexts(d: Deal, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    kinds, tokens, once = d.joined(table, CONTEXTS, np.uint64, np.int64, np.int64)
+    order = np.argsort(kinds)
+    return kinds[order], tokens[order], once[order]
+
+
+def _seat_pairs(state: DataFrame, known: DataFrame, deal, shared: dict[int, float], p: Params, rate_: float, sweep: int) -> DataFrame:
+    """OFTEN and CONTEXTS after a sweep over the restaurants of pairs, with TABLES and SHARED."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        b = key[0].as_py()
-        u, w, n, t, held = _joined(_of(left, OFTEN), np.uint64, np.uint64, np.int64, np.int64, np.float64)
-        kinds, tokens, once = _joined(_of(left, CONTEXTS), np.uint64, np.int64, np.int64)
-        order = np.argsort(kinds)
-        kinds, tokens, once = kinds[order], tokens[order], once[order]
+        b, d = key[0].as_py(), deal.value
+        u, w, n, t, held = d.joined(left, OFTEN, np.uint64, np.uint64, *[np.int64] * 3)
+        kinds, tokens, once = _contexts(d, left)
         words, prob = _probabilities(right, NEEDED_OFTEN)
         at = np.searchsorted(kinds, u)
-        everyone = once + np.bincount(at, t, len(kinds))
-        fresh = (p.strength + d * everyone[at]) * prob[np.searchsorted(words, w)] if len(u) else np.zeros(0)
-        t = seat(n, fresh, d, np.random.default_rng([p.seed, 1 + sweep, b]))
-        held = held + t * (sweep > p.burn_in) / p.samples
+        everyone = _known(once + np.bincount(at, t, len(kinds)), kinds, shared)
+        base = prob[np.searchsorted(words, w)] if len(u) else np.zeros(0)
+        t = draw_tables(n, everyone[at] - t, base, rate_, _pair(u, w), sweep, p)
+        held = held + t * (sweep > p.burn_in)
         names, index = np.unique(w, return_inverse=True)
-        rows = _blobs(b, OFTEN, u, w, n, t, held) + _blobs(b, CONTEXTS, kinds, tokens, once)
-        return _rows(rows, (b, TABLES, names, np.bincount(index, t, len(names))))
+        rows = d.blobs(b, OFTEN, u, w, n, t, held) + d.blobs(b, CONTEXTS, kinds, tokens, once)
+        return _rows(rows, (b, TABLES, names, np.bincount(index, t, len(names))), (b, SHARED, *_shared(d, kinds, once + np.bincount(at, t, len(kinds)))))
 
     return _cogrouped(state, known).applyInArrow(run, BUCKETED_SQL)
 
@@ -362,139 +485,132 @@ def _asked(need: DataFrame, words: DataFrame, value: str) -> DataFrame:
 
 @dataclass
 class Learned:
-    """words: (word, h, n, log10_prob). unseen: log10 probability of an unseen word. d: discount of the pairs."""
+    """words: (word, h, n, log10_prob). spellings: of each sample, with their weights in it. rate: discount of the pairs."""
 
     words: DataFrame
     total: int
     kinds: int
-    unseen: float
-    buckets: int
-    d: float
+    spellings: list[tuple[float, Spelling]]
+    deal: object
+    rate: float
     pairs: DataFrame
-    state: DataFrame | None
+    state: DataFrame
+    shared: dict[int, float]
+    tables: tuple[DataFrame, ...]
+
+    def unseen(self, words: pa.Array) -> np.ndarray:
+        """log10 probability of words, of which none has been seen, without a word before."""
+        return log_unseen(self.spellings, words)
+
+
+def log_unseen(spellings: list[tuple[float, Spelling]], words: pa.Array) -> np.ndarray:
+    each = np.stack([np.log(weight) + s.log_words(words) for weight, s in spellings])
+    return (np.logaddexp.reduce(each, 0) - np.log(len(spellings))) / np.log(10)
 
 
 def learn(docs: DataFrame, p: Params = Params()) -> Learned:
-    """All restaurants after the last sweep. Of no rows nothing is known, and an unseen word has probability 1."""
+    """All restaurants after the last sweep. Of no rows nothing is known, and all words are spelled at random."""
+    spark = docs.sparkSession
     types = stored(count_words(docs, p).select("word", "h", "n", F.lit(0).cast("long").alias("c"), F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("prob")), "words")
     total, kinds = (int(x or 0) for x in types.agg(F.sum("n"), F.count("*")).first())
-    buckets = max(32, total // p.bucket)
-    pairs = stored(count_pairs(docs, buckets, p), "pairs")
+    top = types.orderBy(F.desc("n"), "h").select("h", "n").limit(RARE).collect()
+    deal = spark.sparkContext.broadcast(Deal.of([tuple(r) for r in top], total, p))
+    pairs = stored(count_pairs(docs, deal, p), "pairs")
     rates = {r["w"]: r["n"] for r in pairs.where(F.col("kind") == RATES).groupBy("w").agg(F.sum("v").alias("n")).collect()}
-    d_pairs = float(np.clip(rates.get(1, 0) / max(rates.get(1, 0) + 2 * rates.get(2, 0), 1), 0.05, 0.95))
-    few = stored(pairs.where(F.col("kind") == FEW).groupBy("w").agg(F.sum("v").alias("v")), "few")
-    state = pairs.where(F.col("kind").isin(OFTEN, CONTEXTS))
-    # before the first sweep every pair has one table
-    often = pairs.where(F.col("kind") == OFTEN)
-    tables = _first_tables(often)
-    order, n_tables, unseen = p.order, kinds, 0.0
-    structure = stored(_grams(types, order, True), "grams")
-    per = {r["k"]: r["count"] for r in structure.groupBy("k").count().collect()}
-    while order > 1 and sum(per.get(k, 0) for k in range(1, order + 1)) > p.most_grams:
-        order -= 1
-    rows = structure.where(F.col("k") <= order).select("k", "gram", "suffix", "context").toPandas()
-    arrays = {c: rows[c].to_numpy(np.int64).view(np.uint64) for c in ("gram", "suffix", "context")} | {"k": rows["k"].to_numpy(np.int64)}
-    spell = Spelling.of(arrays, order, p)
-    del rows, arrays
-    rng = np.random.default_rng(p.seed)
+    rate_ = rate(rates.get(1, 0), rates.get(2, 0))
+    few_ = stored(pairs.where(F.col("kind") == FEW).groupBy("w").agg(F.sum("v").alias("v")), "few")
+    need = stored(pairs.where(F.col("kind") == NEEDED_OFTEN).select("bucket", "kind", "w"), "needed")
+    state, seated = pairs.where(F.col("kind").isin(OFTEN, CONTEXTS)), pairs
+    everyone, spelling, spellings = kinds, Spelling(p), []
+    shared, average = _of_shared(pairs), {}
     for sweep in range(1, p.burn_in + p.samples + 1):
-        customers = few.unionByName(tables).groupBy("w").agg(F.sum("v").cast("long").alias("c")).withColumnRenamed("w", "h")
-        types = stored(types.drop("c").join(customers, "h").select("word", "h", "n", "c", "t", "prob"), "customers")
-        come, one, two = (int(x or 0) for x in types.agg(F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
-        d = float(np.clip(one / max(one + 2 * two, 1), 0.05, 0.95))
-        tops = _grams(types, order, False).select("k", "gram", "n").toPandas()
-        seated = []
-        for k in range(1, order + 1):
-            own = tops[tops["k"] == k]
-            n = np.zeros(len(spell.keys[k - 1]), np.int64)
-            hit, index = _find(spell.keys[k - 1], own["gram"].to_numpy(np.int64).view(np.uint64))
-            n[index[hit]] = own["n"].to_numpy(np.int64)[hit]
-            seated.append(n)
-        if spell.strong is None:
-            spell.sweep(seated, rng)
-        spell.sweep(seated, rng)
-        types = stored(_spelled(types, spell.model, p, d, n_tables, sweep), "seated")
-        now, spelled = types.agg(F.sum("t"), F.sum("base")).first()
-        n_tables = int(now or 0)
-        fresh = p.strength + d * n_tables
-        types = types.withColumn("now", (F.col("c") - d * F.col("t") + fresh * F.col("base")) / (p.strength + come))
+        tables = seated.where(F.col("kind") == TABLES).select("w", "v")
+        customers = few_.unionByName(tables).groupBy("w").agg(F.sum("v").cast("long").alias("c")).withColumnRenamed("w", "h")
+        came = stored(types.drop("c").join(customers, "h").select("word", "h", "n", "c", "t", "prob"), "customers")
+        come, one, two = (int(x or 0) for x in came.agg(F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
+        d = rate(one, two)
+        spelling = spelling.swept(*_symbols(types), sweep)
+        sat = stored(_seat_words(came, spelling, p, d, everyone, sweep), "seated_words")
+        discard(types, came)
+        everyone = int(sat.agg(F.sum("t")).first()[0] or 0)
+        fresh = p.strength + d * everyone
+        sat_now = sat.withColumn("now", (F.col("c") - d * F.col("t") + fresh * F.col("base")) / (p.strength + come))
         if sweep > p.burn_in:
-            unseen += fresh / (p.strength + come) * max(1e-9, 1 - (spelled or 0)) / p.samples
-            types = types.withColumn("prob", F.col("prob") + F.col("now"))
-        seated_pairs = stored(_seat_pairs(state, _asked(pairs.where(F.col("kind") == NEEDED_OFTEN), types, "now"), p, d_pairs, sweep), "seated_pairs")
-        state, tables = seated_pairs.where(F.col("kind") != TABLES), seated_pairs.where(F.col("kind") == TABLES).select("w", "v")
+            spellings.append((fresh / (p.strength + come), spelling))
+            sat_now = sat_now.withColumn("prob", F.col("prob") + F.col("now"))
+        types = stored(sat_now, "words")
+        discard(sat)
+        old, seated = seated, stored(_seat_pairs(state, _asked(need, types, "now"), deal, shared, p, rate_, sweep), "seated_pairs")
+        if sweep > 1:
+            discard(old)
+        state, shared = seated.where(F.col("kind").isin(OFTEN, CONTEXTS)), _of_shared(seated)
+        if sweep > p.burn_in:
+            average = {k: average.get(k, 0) + v / p.samples for k, v in shared.items()}
     words = types.select("word", "h", "n", F.log10(F.col("prob") / p.samples).alias("log10_prob"))
-    return Learned(words, total, kinds, float(np.log10(unseen)), buckets, d_pairs, pairs, state)
-
-
-def _first_tables(often: DataFrame) -> DataFrame:
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for blob in part.column("blob").to_pylist():
-                w, n = np.unique(_unpack(blob, np.uint64, np.uint64, np.int64, np.int64, np.float64)[1], return_counts=True)
-                yield pa.record_batch([pa.array(signed(w)), pa.array(n.astype(float))], names=["w", "v"])
+    discard(few_, need)
+    return Learned(words, total, kinds, spellings, deal, rate_, pairs, state, average, (pairs, seated, types))
 
-    return often.select("blob").mapInArrow(run, "w long, v double")
 
+def train(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, int, int, Learned]:
+    """((word, n, log10_prob) of every word of docs, tokens, distinct tokens, the model).
 
-def train(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, int, int, float]:
-    """((word, n, log10_prob) of every word of docs, tokens, distinct tokens, log10 probability of an unseen word).
-
-    These are the word restaurant's, without a word before. Every text ends with one end token. Of no rows nothing is
-    known, and an unseen word has probability 1.
+    These are the word restaurant's, without a word before; the model's unseen() gives those of other words. Every text
+    ends with one end token.
     """
     m = learn(docs, p)
-    return m.words.select("word", "n", "log10_prob"), m.total, m.kinds, m.unseen
+    return m.words.select("word", "n", "log10_prob"), m.total, m.kinds, m
 
 
 def _answers(m: Learned, p: Params) -> DataFrame:
     """By bucket: WORDS with count, log10 probability and log10 weight of the parent; PAIRS with what they add to that."""
-    d, floor = m.d, m.total + 0.1 * (m.kinds + 1)
-    bucket = _column_bucket(m.buckets)
-    own = m.words.select("h", "n", "log10_prob").mapInArrow(bucket, "bucket int, kind int, blob binary, w long, v double")
+    rate_, floor, deal, shared = m.rate, m.total + 0.1 * (m.kinds + 1), m.deal, m.shared
+
+    def homes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d = deal.value
+        for part in parts:
+            h, n, prob = (part.column(c).to_numpy() for c in ("h", "n", "log10_prob"))
+            index, to = d.homes(h.view(np.uint64))
+            order = np.argsort(to, kind="stable")
+            index, to = index[order], to[order]
+            ends = np.searchsorted(to, np.arange(d.buckets + 1))
+            rows = []
+            for b in np.unique(to).tolist():
+                i = index[ends[b] : ends[b + 1]]
+                rows += d.blobs(b, WORDS, h.view(np.uint64)[i], n[i], prob[i])
+            yield from _rows(rows).to_batches()
+
+    own = m.words.select("h", "n", "log10_prob").mapInArrow(homes, BUCKETED_SQL)
     known = _asked(m.pairs.where(F.col("kind") == NEEDED), m.words, "log10_prob").unionByName(own)
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        b = key[0].as_py()
-        u, w, n = _joined(_of(left, PAIRS), np.uint64, np.uint64, np.int64)
-        often_u, often_w, _, _, held = _joined(_of(left, OFTEN), np.uint64, np.uint64, np.int64, np.int64, np.float64)
-        kinds, tokens, once = _joined(_of(left, CONTEXTS), np.uint64, np.int64, np.int64)
-        order = np.argsort(kinds)
-        kinds, tokens, once = kinds[order], tokens[order], once[order]
-        everyone = once + np.bincount(np.searchsorted(kinds, often_u), held, len(kinds))
-        fresh = p.strength + d * everyone
+        b, d = key[0].as_py(), deal.value
+        u, w, n = d.joined(left, PAIRS, np.uint64, np.uint64, np.int64)
+        often_u, often_w, _, _, held = d.joined(left, OFTEN, np.uint64, np.uint64, *[np.int64] * 3)
+        held = held / p.samples
+        kinds, tokens, once = _contexts(d, left)
+        everyone = _known(once + np.bincount(np.searchsorted(kinds, often_u), held, len(kinds)), kinds, shared)
+        tokens = _known(tokens, kinds, {int(h): int(d.counts[np.searchsorted(d.words, h)]) for h in d.shared()})
+        fresh = p.strength + rate_ * everyone
         pair, often = _pair(u, w), _pair(often_u, often_w)
-        tables = np.ones(len(pair))
         order = np.argsort(pair)
-        pair, u, w, n = pair[order], u[order], w[order], n[order]
-        tables[np.searchsorted(pair, often)] = held
+        tables = np.ones(len(pair))
+        tables[order[np.searchsorted(pair[order], often)]] = held
         words, prob = _probabilities(right, NEEDED)
-        more = np.zeros(0)
+        more = np.zeros(0, np.float32)
         if len(pair):
-            more = np.log10(1 + (n - d * tables) / (fresh[np.searchsorted(kinds, u)] * 10 ** prob[np.searchsorted(words, w)]))
-        own, often, prob = _joined(_of(right, WORDS), np.uint64, np.int64, np.float64)
-        order = np.argsort(own)
-        own, often, prob = own[order], often[order], prob[order]
-        back = np.log10(fresh / (p.strength + tokens))
-        return _rows(_blobs(b, PAIRS, pair, more) + _blobs(b, WORDS, own, np.log10((often + 0.1) / floor), prob + back[np.searchsorted(kinds, own)] if len(own) else prob))
+            more = np.log10(1 + (n - rate_ * tables) / (fresh[np.searchsorted(kinds, u)] * 10 ** prob[np.searchsorted(words, w)])).astype(np.float32)
+        own, count, prob = d.joined(right, WORDS, np.uint64, np.int64, np.float64)
+        here, at = _find(kinds, own)
+        back = np.zeros(len(own))
+        back[here] = np.log10(fresh / (p.strength + tokens))[at[here]]
+        for k in np.flatnonzero(np.isin(own, d.shared())):  # a part of a frequent word's restaurant may be empty here
+            back[k] = np.log10((p.strength + rate_ * shared[int(own[k])]) / (p.strength + d.counts[np.searchsorted(d.words, own[k])]))
+        return _rows(d.blobs(b, PAIRS, u, w, more) + d.blobs(b, WORDS, own, np.log10((count + 0.1) / floor), prob + back))
 
     left = m.pairs.where(F.col("kind") == PAIRS).unionByName(m.state)
     return _cogrouped(left, known).applyInArrow(run, BUCKETED_SQL)
 
 
-def _column_bucket(buckets: int):
-    """Packs rows (h, n, log10_prob) into the words' own buckets."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            h, n, prob = (part.column(c).to_numpy() for c in ("h", "n", "log10_prob"))
-            to = _bucket(h.view(np.uint64), buckets)
-            rows = [r for b in np.unique(to) for r in _blobs(int(b), WORDS, h.view(np.uint64)[to == b], n[to == b], prob[to == b])]
-            yield from _rows(rows).to_batches()
-
-    return run
-
-
 def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame:
     """(doc_id, learned, n_tokens, n_known, train_tokens, base_score, score) of each row of docs.
 
@@ -504,49 +620,63 @@ def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame
     """
     docs = docs.select("doc_id", "text", F.coalesce(F.col(learn_column), F.lit(False)).alias("learn"))
     m = learn(docs.where("learn"), p)
-    buckets, total, unseen, floor = m.buckets, m.total, m.unseen, m.total + 0.1 * (m.kinds + 1)
+    deal, total, floor = m.deal, m.total, m.total + 0.1 * (m.kinds + 1)
+    spellings = docs.sparkSession.sparkContext.broadcast(m.spellings)
     answers = stored(_answers(m, p), "answers")
+    discard(*m.tables)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Questions: what a batch of rows asks each bucket; one row has the facts of the batch."""
-        batch = TaskContext.get().partitionId() << 33
-        for rows, u, w, row in _tokens(parts, p):
-            pair = _pair(u, w)
-            order = np.argsort(pair)
-            first = np.flatnonzero(np.concatenate([[True], pair[order][1:] != pair[order][:-1]]))
-            many = np.diff(np.append(first, len(order)))
-            one = order[first]
-            to = _bucket(u[one], buckets)
+        batch, d = TaskContext.get().partitionId() << 33, deal.value
+        for rows, words, h, u, w, row in _tokens(parts, p):
+            _, one, index, many = np.unique(_pair(u, w), return_index=True, return_inverse=True, return_counts=True)
+            by_pair = row[np.argsort(index, kind="stable")]
+            first = np.cumsum(many) - many
+            # only rows that are not learned can have words that are not known
+            new = np.isin(h, w[~rows.column("learn").to_numpy(zero_copy_only=False)[row]])
+            fresh, spelled_ = h[new], log_unseen(spellings.value, words.filter(pa.array(new))) if new.any() else np.zeros(0)
+            order = np.argsort(fresh)
+            fresh, spelled_ = fresh[order], spelled_[order]
+            to = d.bucket(u[one], w[one])
             out = []
-            by = np.argsort(to, kind="stable")
-            ends = np.searchsorted(to[by], np.arange(buckets + 1))
-            for b in range(buckets):
+            by = np.lexsort((u[one], to))
+            ends = np.searchsorted(to[by], np.arange(d.buckets + 1))
+            for b in range(d.buckets):
                 if len(i := by[ends[b] : ends[b + 1]]):
-                    i = i[np.argsort(u[one[i]], kind="stable")]
                     at = np.repeat(first[i], many[i]) + np.arange(many[i].sum()) - np.repeat(np.cumsum(many[i]) - many[i], many[i])
-                    out.append((b, batch, rows.num_rows, _pack(u[one[i]], w[one[i]], many[i].astype(np.uint32), row[order[at]].astype(np.uint32)), None))
+                    own, first_own = np.unique(u[one[i]], return_index=True)
+                    hit, k = _find(fresh, own)
+                    out.append((b, batch, rows.num_rows, d.pack(u[one[i]], w[one[i]], many[i], by_pair[at], first_own[hit], spelled_[k[hit]]), None))
             tokens = np.bincount(row, minlength=rows.num_rows)
             facts = [{"doc_id": i, "learn": own, "n_tokens": int(n)} for i, own, n in zip(rows.column("doc_id").to_pylist(), rows.column("learn").to_pylist(), tokens, strict=True)]
-            out.append((int(batch % buckets), batch, rows.num_rows, None, facts))
+            out.append((int(batch % d.buckets), batch, rows.num_rows, None, facts))
             yield from pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), QUESTION, strict=True)], schema=QUESTION).to_batches(max_chunksize=64)
             batch += 1
 
     def answer(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        pair, more = _joined(_of(right, PAIRS), np.uint64, np.float64)
-        words, base, prob = _joined(_of(right, WORDS), np.uint64, np.float64, np.float64)
+        d = deal.value
+        pair_u, pair_w, more = d.joined(right, PAIRS, np.uint64, np.uint64, np.float32)
+        pair = _pair(pair_u, pair_w)
+        order = np.argsort(pair)
+        pair, more = pair[order], more[order]
+        words, base, prob = d.joined(right, WORDS, np.uint64, np.float64, np.float64)
+        order = np.argsort(words)
+        words, base, prob = words[order], base[order], prob[order]
         out = []
         for b, batch, size, blob, facts in zip(*(left.column(c).to_pylist() for c in QUESTION.names), strict=True):
             if blob is not None:
-                u, w, many, row = _unpack(blob, np.uint64, np.uint64, np.uint32, np.uint32)
+                u, w, many, row, at, spelled_ = d.unpack(blob)
                 known, i = _find(words, u)
                 hit, k = _find(pair, _pair(u, w))
-                of_base = np.full(len(u), np.log10(0.1 / floor))
-                of_score = np.full(len(u), unseen)
+                own, group = np.unique(u, return_inverse=True)
+                unseen = np.zeros(len(own))
+                unseen[group[at]] = spelled_
+                of_base, of_score = np.full(len(u), np.log10(0.1 / floor)), unseen[group]
                 of_base[known], of_score[known] = base[i[known]], prob[i[known]]
                 of_score[hit] += more[k[hit]]
                 sums = [np.bincount(row, np.repeat(x, many), size) for x in (known, of_base, of_score)]
                 at = np.flatnonzero(sums[1])
-                blob = _pack(at.astype(np.uint32), sums[0][at].astype(np.uint32), sums[1][at], sums[2][at])
+                blob = d.pack(at, sums[0][at].astype(np.int64), sums[1][at], sums[2][at])
             out.append((b, batch, size, blob, facts))
         cols = list(zip(*out, strict=True)) or [[]] * 5
         return pa.table([pa.array(c, f.type) for c, f in zip(cols, QUESTION, strict=True)], schema=QUESTION)
@@ -559,12 +689,12 @@ def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame
             if blob is None:
                 facts = own
             else:
-                at, *sums = _unpack(blob, np.uint32, np.uint32, np.float64, np.float64)
+                at, *sums = deal.value.unpack(blob)
                 for whole, x in zip((known, base, prob), sums, strict=True):
                     whole[at] += x
         return pa.table({"doc_id": pa.array([f["doc_id"] for f in facts], pa.int64()), "learned": pa.array([f["learn"] for f in facts], pa.bool_()), "n_tokens": pa.array([f["n_tokens"] for f in facts], pa.int64()), "n_known": known, "base_score": base, "score": prob})
 
-    asked = docs.mapInArrow(run, QUESTION_SQL)
+    asked = docs.mapInArrow(tidy(run), QUESTION_SQL)
     answered = _cogrouped(asked, answers).applyInArrow(answer, QUESTION_SQL)
     sums = answered.groupBy("batch").applyInArrow(add, "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double")
     return sums.select("doc_id", "learned", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

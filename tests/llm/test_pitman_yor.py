@@ -3,10 +3,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from arbora.llm import pitman_yor as py
-from arbora.llm.langid import grams
 from arbora.llm.pitman_yor import Params
 from arbora.llm.queries import op9_pitman_yor
 
@@ -26,39 +26,68 @@ def test_base_columns_and_held_out_gain(spark):
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (i in out, len(x), sum(c[w] > 0 for w in x), total)
         assert r.base_score == pytest.approx(base, rel=1e-9)
-    assert sum(got[i].score for i in out) > 0.9 * sum(got[i].base_score for i in out)
+    # the base gives every unseen word the weight of a tenth of one that was seen; the model spells it
+    gains = [got[i].score - got[i].base_score for i in out]
+    known = [got[i].score - got[i].base_score for i in out if got[i].n_known >= 0.98 * got[i].n_tokens > 20]
+    assert sum(gains) > 0 and len(known) > 10 and sum(g > 0 for g in known) > 0.9 * len(known)
 
 
 def test_word_probabilities_are_a_distribution(spark):
     texts = ["a b a c ab abc a a b", "b a cab", None, "", "A B"]
     docs = spark.createDataFrame([(i, t, True, 1) for i, t in enumerate(texts)], "doc_id long, text string, learn boolean, n int")
-    words, total, kinds, unseen = py.train(docs, Params(order=3))
+    words, total, kinds, model = py.train(docs)
     rows = {bytes(r.word): r for r in words.collect()}
     assert total == 9 + 3 + 2 + 5 and kinds == len(rows) == 7 and rows[b"\n"].n == 5
-    assert sum(10**r.log10_prob for r in rows.values()) + 10**unseen == pytest.approx(1)
+    seen = pa.array(list(rows), pa.binary())
+    unseen = np.mean([weight * (1 - np.exp(s.log_words(seen)).sum()) for weight, s in model.spellings])
+    assert sum(10**r.log10_prob for r in rows.values()) + unseen == pytest.approx(1)
+    two = model.unseen(pa.array([b"cat", b"q" * 40], pa.binary()))
+    assert two[0] > two[1] + 10
 
 
 def test_spelling_restaurants_sum_to_one():
-    words = [b"abc", b"abd", b"b", b"ab", b"cab"]
-    owner, place, found = grams([py.spelling(w) for w in words], 3)
-    seen = {}
-    for i in range(len(place)):
-        for k in range(1, 4):
-            if place[i] > 0 and place[i] + 1 >= k:
-                row = seen.setdefault((k, found[k - 1][i]), [found[k - 2][i - 1] if k > 1 else 0, found[k - 2][i] if k > 1 else 0, 0])
-                row[2] += min(place[i] + 1, 3) == k
-    cols = {"k": np.array([k for k, _ in seen]), "gram": np.array([g for _, g in seen], np.uint64), "context": np.array([r[0] for r in seen.values()], np.uint64), "suffix": np.array([r[1] for r in seen.values()], np.uint64)}
-    s = py.Spelling.of(cols, 3, Params())
-    weight = {(k, g): r[2] for (k, g), r in seen.items()}
-    seated = [np.array([weight[k, g] for g in s.keys[k - 1]]) for k in (1, 2, 3)]
-    for _ in range(3):
-        s.sweep(seated, np.random.default_rng(1))
-    for start in (" ", " a", " ab", " zz"):
-        both, _ = s.model.score([start, *(start + chr(c) for c in [*range(256), 256])])
-        assert np.exp(both[1:, 0] - both[0, 0]).sum() == pytest.approx(1, abs=1e-6)
-
-
-def test_seating_follows_the_chinese_restaurant():
+    s = py.Spelling(Params())
+    codes, n = np.unique(py.spelled(pa.array([b"abc", b"abd", b"b", b"ab", b"cab"], pa.binary()))[1], return_counts=True)
+    for sweep in range(4):
+        s = s.swept(codes, n + sweep, sweep)
+    end = py.SYMBOLS - 1
+    for x, y in ((end, end), (end, 97), (97, 98), (122, 122)):
+        for k in range(3):
+            every = ((x * py.SYMBOLS + y) * py.SYMBOLS + np.arange(py.SYMBOLS)) % py.SYMBOLS ** (k + 1)
+            assert s.of(k, every).sum() == pytest.approx(1, abs=1e-9)
+    owner, codes = py.spelled(pa.array([b"xy", b"a"], pa.binary()))
+    assert owner.tolist() == [0, 0, 0, 1, 1]
+    pairs = [(c // py.SYMBOLS**2, c // py.SYMBOLS % py.SYMBOLS, c % py.SYMBOLS) for c in codes.tolist()]
+    assert pairs == [(end, end, 120), (end, 120, 121), (120, 121, end), (end, end, 97), (end, 97, end)]
+
+
+def partitions(n):
+    """All ways to seat n customers, as lists of table sizes."""
+    if not n:
+        yield []
+        return
+    for part in partitions(n - 1):
+        yield [*part, 1]
+        for k in range(len(part)):
+            yield [*part[:k], part[k] + 1, *part[k + 1 :]]
+
+
+def test_tables_follow_the_chinese_restaurant():
+    d, strength, others, base, c = 0.4, 1.0, 3, 0.2, 6
+    weight = Counter()
+    for sizes in partitions(c):
+        new = np.prod([(strength + d * (others + j)) * base for j in range(len(sizes))])
+        weight[len(sizes)] += new * np.prod([np.prod([k - d for k in range(1, n)]) for n in sizes])
+    want = np.array([weight[t] for t in range(1, c + 1)]) / sum(weight.values())
+    ways = py.stirling(c, d)
+    for t in range(1, c + 1):
+        assert np.exp(ways[c, t]) == pytest.approx(sum(np.prod([np.prod([k - d for k in range(1, n)]) for n in sizes]) for sizes in partitions(c) if len(sizes) == t))
+    n = 40_000
+    got = py.draw_tables(np.full(n, c), np.full(n, others), np.full(n, base), d, np.arange(n, dtype=np.uint64), 3, Params(strength=strength))
+    assert np.abs(np.bincount(got, minlength=c + 1)[1:] / n - want).max() < 0.01
+
+
+def test_large_dishes_come_in_one_after_another():
     rng, d, fresh, n = np.random.default_rng(5), 0.4, 3.0, 400
     want = []
     for _ in range(400):
@@ -66,9 +95,9 @@ def test_seating_follows_the_chinese_restaurant():
         for i in range(1, n):
             t += rng.random() < fresh / (fresh + i - d * t)
         want.append(t)
-    got = py.seat(np.full(400, n), np.full(400, fresh), d, rng)
+    got = py.arrivals(np.full(400, n), np.full(400, fresh), d, np.arange(400, dtype=np.uint64), 1)
     assert abs(np.mean(want) - got.mean()) < 0.05 * np.mean(want)
-    assert py.seat(np.array([0, 1]), np.array([1.0, 1.0]), d, rng).tolist() == [0, 1]
+    assert py.arrivals(np.array([0, 1]), np.array([1.0, 1.0]), d, np.arange(2, dtype=np.uint64), 1).tolist() == [0, 1]
 
 
 def test_no_rows_and_nothing_to_learn(spark):
@@ -86,21 +115,45 @@ def test_order_of_words_matters(spark):
     assert got[100].base_score == pytest.approx(got[101].base_score) and got[100].score > got[101].score + 5
 
 
-def test_followers_are_a_distribution(spark):
+@pytest.mark.parametrize("bucket", [4_000_000, 12])
+def test_followers_are_a_distribution(spark, bucket):
     texts = ["a b a c ab abc a a b", "b a cab a b a b", None, "a b"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    p = Params(order=3)
+    p = Params(bucket=bucket)
     m = py.learn(docs, p)
+    d = m.deal.value
+    assert (bucket == 12) == bool(len(d.shared()))
     alone = {r.h % 2**64: r.log10_prob for r in m.words.collect()}
     pairs, words = {}, {}
     for r in py._answers(m, p).collect():
         if r.kind == py.PAIRS:
-            pairs.update(zip(*py._unpack(r.blob, np.uint64, np.float64), strict=True))
+            u, w, more = d.unpack(r.blob)
+            pairs.update(zip(zip(u.tolist(), w.tolist(), strict=True), more.tolist(), strict=True))
         else:
-            h, _, value = py._unpack(r.blob, np.uint64, np.float64, np.float64)
-            words.update(zip(map(int, h), value, strict=True))
+            h, _, value = d.unpack(r.blob)
+            for a, b in zip(h.tolist(), value.tolist(), strict=True):
+                assert words.setdefault(a, b) == pytest.approx(b)
     assert words.keys() == alone.keys() and len(pairs) > 10
+    spelled = [r.word for r in m.words.collect()]
+    unseen = np.mean([weight * (1 - np.exp(s.log_words(pa.array(map(bytes, spelled), pa.binary()))).sum()) for weight, s in m.spellings])
     for u, value in words.items():
         back = value - alone[u]
-        each = [alone[w] + back + pairs.get(py._pair(np.array([u], np.uint64), np.array([w], np.uint64))[0], 0.0) for w in alone]
-        assert sum(10**x for x in [*each, m.unseen + back]) == pytest.approx(1)
+        each = [alone[w] + back + pairs.get((u, w), 0.0) for w in alone]
+        assert sum(10**x for x in each) + unseen * 10**back == pytest.approx(1, abs=1e-6)
+
+
+def test_scores_do_not_depend_on_how_rows_are_dealt(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("learn", py.F.col("doc_id") % 3 > 0)
+    want = {r.doc_id: r for r in py.score(docs, "learn").collect()}
+    for rows, p in ((docs.repartition(7), Params()), (docs, Params(bucket=3000, batch=20_000))):
+        got = {r.doc_id: r for r in py.score(rows, "learn", p).collect()}
+        assert got.keys() == want.keys()
+        for i, r in want.items():
+            assert got[i].score == pytest.approx(r.score, abs=1e-3) and got[i].base_score == pytest.approx(r.base_score)
+
+
+def test_unseen_words_are_spelled(spark):
+    texts = ["the cat sat on the mat", "the cat ran to the cat", "a dog sat on the rat"] * 20
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(900, "the cats", False), (901, "the " + "xqzjvw" * 7, False), (902, "the cat", False)]
+    got = {r.doc_id: r.score for r in py.score(spark.createDataFrame(rows, "doc_id long, text string, learn boolean"), "learn").collect()}
+    assert got[902] > got[900] > got[901] + 20
