@@ -16,5 +16,10 @@ MERGE_FLOOR = 5
 TARGET_MIN, N_DRIFT, S_CAP = 200, 500, 2000.0
 GRID = [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.75, 0.9]
 EXCELLENT_MARGIN, SIDELINE_SHARE = 0.02, 0.05
+#: Verifying: tolerance of values, and the games and support under which a pick is thin; nodes with fewer games do not warn.
+VALUE_TOLERANCE, MIN_MOVE_GAMES, MIN_SUPPORT, MIN_NODE_GAMES = 2e-3, 20, 50, 1000
+#: Counter headers: their keys, most bytes, and the largest count and page load time.
+COUNTERS = ["pl", "ch", "cm", "ee", "ea", "wn", "ws", "vr", "vs"]
+HEADER_BYTES, MOST_COUNT, MOST_LOAD_MS = 256, 10_000, 600_000
 #: Solving: most sweeps, the sweep from which picks are kept, and the residual under which values are settled.
 MOST_SWEEPS, FREEZE_AFTER, SETTLED = 10_000, 1_000, 1e-6

@@ -62,11 +62,27 @@ def spread(edges: DataFrame, root: str, depth: int) -> DataFrame:
     at = step.where(F.col("node") == root).select("bucket", "node").distinct().withColumn("mass", F.lit(1.0))
     for _ in range(depth):
         at = stored(at.join(step, ["node", "bucket"]).groupBy("bucket", F.col("child").alias("node")).agg(F.sum(F.col("mass") * F.col("share")).alias("mass")), "mass")
+    return coverage(at)
+
+
+def coverage(at: DataFrame) -> DataFrame:
+    """(bucket, positions, mass, cover50, cover90, cover99) of (bucket, node, mass): how few positions hold a share of it.
+
+    Masses are summed by classes first; single positions are ranked only in the classes where a share is reached.
+    """
+    heavy = F.round("mass", 12)
+    at = stored(at.withColumn("class", F.floor(-8 * F.log2(F.greatest(heavy, F.lit(1e-300))))), "classed")
     w = W.partitionBy("bucket")
-    order = w.orderBy(F.desc("mass"), "node")
-    rows = at.withColumns({"run": F.sum("mass").over(order.rowsBetween(W.unboundedPreceding, 0)) / F.sum("mass").over(w), "place": F.row_number().over(order)})
-    cover = [F.min(F.when(F.col("run") >= q / 100 - 1e-9, F.col("place"))).alias(f"cover{q}") for q in (50, 90, 99)]
-    return rows.groupBy("bucket").agg(F.count("*").alias("positions"), F.sum("mass").alias("mass"), *cover)
+    before = w.orderBy("class").rowsBetween(W.unboundedPreceding, -1)
+    sums = at.groupBy("bucket", "class").agg(F.sum("mass").alias("m"), F.count("*").alias("n"))
+    sums = sums.withColumns({"run": F.coalesce(F.sum("m").over(before), F.lit(0.0)), "place": F.coalesce(F.sum("n").over(before), F.lit(0)), "all": F.sum("m").over(w), "positions": F.sum("n").over(w)})
+    reached = lambda run, q: run / F.col("all") >= q / 100 - 1e-9
+    holds = [~reached(F.col("run"), q) & reached(F.col("run") + F.col("m") * (1 + 1e-9), q) for q in (50, 90, 99)]
+    open_ = stored(sums.where(holds[0] | holds[1] | holds[2]).select("bucket", "class", "run", "place", "all"), "open")
+    order = W.partitionBy("bucket", "class").orderBy(heavy.desc(), "node")
+    rows = at.join(open_, ["bucket", "class"]).withColumns({"to": F.col("run") + F.sum("mass").over(order.rowsBetween(W.unboundedPreceding, 0)), "at": F.col("place") + F.row_number().over(order)})
+    covers = rows.groupBy("bucket").agg(*(F.min(F.when(reached(F.col("to"), q), F.col("at"))).cast("int").alias(f"cover{q}") for q in (50, 90, 99)))
+    return sums.groupBy("bucket").agg(F.max("positions").alias("positions"), F.max("all").alias("mass")).join(covers, "bucket")
 
 
 def target_flow(edges: DataFrame, root: str, target: str, plies: int) -> DataFrame:
@@ -86,10 +102,14 @@ def target_flow(edges: DataFrame, root: str, target: str, plies: int) -> DataFra
 
 
 def uniform(*keys) -> object:
-    """A number in [0, 1) that depends on the keys alone, with the generator 48271 x mod 2147483647."""
+    """A number in [0, 1) that depends on the keys alone: squares and multiples of 48271 modulo the prime 2147483647.
+
+    Squares part neighbouring keys; without them all draws of a game would be moved by the same amounts.
+    """
     x = F.lit(20260905).cast("long")
-    for k in keys:
-        x = ((x + k) % 2147483646 + 1) * 48271 % 2147483647
+    for k in (*keys, 7, 13):
+        x = (x + k) % 2147483646 + 1
+        x = x * x % 2147483647 * 48271 % 2147483647
     return x / F.lit(2147483647.0)
 
 
@@ -100,28 +120,6 @@ def draw_tables(edges: DataFrame) -> DataFrame:
     return edges.select("node", "bucket", "move", "child", "n", "ww", "d", (to - F.col("n")).alias("low"), to.alias("high"), F.sum("n").over(w).alias("all"))
 
 
-def playouts(edges: DataFrame, root: str, games: int, plies: int) -> DataFrame:
-    """(bucket, games, wins, draws, losses, ended, capped, mean_plies) of games that the crowd plays from the root."""
-    tables = stored(draw_tables(edges), "draws")
-    spark = edges.sparkSession
-    at = tables.where(F.col("node") == root).select("bucket", "node").distinct().crossJoin(spark.range(games).withColumnRenamed("id", "game"))
-    at = at.withColumns({"stop": F.lit(None).cast("string"), "plies": F.lit(0)})
-    over = None
-    for ply in range(plies):
-        u = uniform(F.col("bucket") * 7919, F.col("game"), F.lit(ply * 31)) * F.col("all")
-        drawn = at.join(tables, ["node", "bucket"]).where((F.col("low") <= u) & (u < F.col("high")))
-        last = ply == plies - 1
-        stop = F.when(F.col("move") == TERM, "ended").when(F.lit(last), "ply_cap")
-        drawn = stored(drawn.select("bucket", "game", F.col("child").alias("node"), stop.alias("stop"), F.when(F.col("move") == TERM, ply).otherwise(ply + 1).alias("plies"), "n", "ww", "d"), "games")
-        out = drawn.where("stop is not null")
-        over = out if over is None else over.union(out)
-        at = drawn.where("stop is null").select("bucket", "node", "game", "stop", "plies")
-    u = uniform(F.col("bucket") * 104729, F.col("game"), F.lit(17)) * F.col("n")
-    result = F.when(u < F.col("ww"), "win").when(u < F.col("ww") + F.col("d"), "draw").otherwise("loss")
-    rows = over.withColumn("result", result)
-    return rows.groupBy("bucket").agg(F.count("*").alias("games"), *(F.count_if(F.col("result") == r).alias(f"{r}s") for r in ("win", "draw")), F.count_if(F.col("result") == "loss").alias("losses"), F.count_if(F.col("stop") == "ended").alias("ended"), F.count_if(F.col("stop") == "ply_cap").alias("capped"), F.avg("plies").alias("mean_plies"))
-
-
 def sample_nodes(edges: DataFrame, per_side: int, least: int) -> DataFrame:
     """The same number of nodes for each band and side to move, without replacement, by a hash of the name."""
     rows = edges.groupBy("node", "stm", "bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -138,11 +136,27 @@ def training_rows(ranked: DataFrame) -> DataFrame:
 
 
 def latency_histogram(events: DataFrame, bounds: list[float]) -> DataFrame:
-    """Cumulative counts by upper bound, with the overflow last."""
-    bound = F.lit(None).cast("double")
-    for b in reversed(bounds):
-        bound = F.when(F.col("value") <= b, F.lit(float(b))).otherwise(bound)
-    return events.where("value is not null").groupBy(bound.alias("le")).agg(F.count("*").alias("n"))
+    """(le, n, total): counts of the values up to each upper bound and over the one before, and of all up to it.
+
+    Every bound has a row; the one above all bounds has a null bound.
+    """
+    counts = [F.count_if((F.col("value") <= b) if k == 0 else (F.col("value") > bounds[k - 1]) & (F.col("value") <= b)).alias(f"n{k}") for k, b in enumerate(bounds)]
+    one = events.where("value is not null").agg(*counts, F.count_if(F.col("value") > bounds[-1]).alias(f"n{len(bounds)}"))
+    names = [F.col(f"n{k}") for k in range(len(bounds) + 1)]
+    rows = F.array(*(F.struct((F.lit(float(bounds[k])) if k < len(bounds) else F.lit(None).cast("double")).alias("le"), names[k].alias("n"), sum(names[1 : k + 1], names[0]).alias("total")) for k in range(len(names))))
+    return one.select(F.inline(rows))
+
+
+def calibrate_pooled(edges: DataFrame, sums: DataFrame, least: int = TARGET_MIN, drift_least: int = N_DRIFT) -> DataFrame:
+    """(w, mse, strength) for all bands at once: the weight of the least mean of the bands' errors, and the upper median of
+    the strengths that the bands get by themselves. Without a band to learn from, no row."""
+    cells = calibration_cells(sums, least, drift_least).withColumn("mse", F.col("sse") / F.col("n_targets"))
+    pooled = cells.groupBy("w").agg(F.avg("mse").alias("mse"))
+    best = pooled.agg(F.min_by(F.struct("w", "mse"), F.struct(F.round("mse", 12).alias("m"), "w")).alias("x")).where("x is not null").select("x.*")
+    strengths = calibrate(edges, sums, least, drift_least).where("strength is not null")
+    sorted_ = F.array_sort(F.collect_list("strength"))  # one for each band
+    middle = strengths.agg(F.get(sorted_, F.floor(F.size(sorted_) / 2).cast("int")).alias("strength"))
+    return best.crossJoin(F.broadcast(middle))  # a row each
 
 
 def header_filter(games: DataFrame) -> DataFrame:

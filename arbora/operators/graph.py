@@ -11,17 +11,21 @@ from arbora.functions.constants import BANDS, FREEZE_AFTER, MOST_SWEEPS, SETTLED
 from arbora.plans.tables import stored
 
 
-def reachable(edges: DataFrame, classes: DataFrame, root: str, rounds: int = 64) -> DataFrame:
-    """(node, depth) of what the root reaches when only FULL nodes are expanded and DROPPED ones are not entered."""
+def reachable(edges: DataFrame, classes: DataFrame, root: str, most: int | None = None) -> DataFrame:
+    """(node, depth) of what the root reaches when only FULL nodes are expanded and DROPPED ones are not entered.
+
+    most: depth at which it stops; without it, all that is reachable is found.
+    """
     steps = edges.join(classes.where("class = 'FULL'").select("node"), "node", "left_semi").select("node", "child").where("child is not null").distinct()
     steps = stored(steps.join(classes.where("class <> 'DROPPED'").select(F.col("node").alias("child")), "child", "left_semi"), "steps")
     seen = stored(classes.where((F.col("node") == root) & (F.col("class") != "DROPPED")).select("node", F.lit(0).alias("depth")), "seen")
-    edge = seen
-    for depth in range(1, rounds + 1):
+    edge, depth = seen, 0
+    while most is None or depth < most:
+        depth += 1
         edge = stored(edge.select("node").join(steps, "node").select(F.col("child").alias("node")).distinct().join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)), "frontier")
         if edge.isEmpty():
             break
-        seen = seen.union(edge)
+        seen = seen.union(edge) if depth % 16 else stored(seen.union(edge), "seen")
     return seen
 
 

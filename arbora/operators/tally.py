@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arbora.functions.constants import AGG, BANDS, DROP, LEAF, MERGE_FLOOR, TERM
+from arbora.plans.tables import stored
 
 KEY = ["node", "stm", "move", "child", "bucket"]
 
@@ -20,7 +21,7 @@ def merge(tallies: list[DataFrame], floor: int = MERGE_FLOOR) -> DataFrame:
     rows = tallies[0]
     for t in tallies[1:]:
         rows = rows.unionByName(t)
-    rows = rows.groupBy(*KEY).agg(*(F.sum(c).alias(c) for c in ("n", "ww", "d")))
+    rows = stored(rows.groupBy(*KEY).agg(*(F.sum(c).alias(c) for c in ("n", "ww", "d"))), "merged")
     kept = rows.groupBy("node").agg(F.sum("n").alias("total")).where(F.col("total") >= floor)
     return rows.join(kept.select("node"), "node", "left_semi")
 

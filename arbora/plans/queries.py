@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbora.functions import ranking as R
-from arbora.functions.constants import AGG, GRID, NEIGHBOUR_WEIGHT, S_PRIOR, TERM
+from arbora.functions.constants import GRID, NEIGHBOUR_WEIGHT, S_PRIOR
 from arbora.operators import analysis as A
 from arbora.operators import graph as G
 from arbora.operators import tally as T
+from arbora.plans.tables import stored
 from arbora.sources import journeys
 from arbora.streaming.service import counter_totals
 
@@ -42,8 +43,10 @@ def _plays(spark: SparkSession, sf_dir: str, paths: bool = False) -> DataFrame:
     return journeys.plays(_table(spark, sf_dir, "events"), paths)
 
 
-def _edges(spark: SparkSession, sf_dir: str, paths: bool = False) -> DataFrame:
-    return T.tally(_plays(spark, sf_dir, paths))
+def _edges(spark: SparkSession, sf_dir: str, paths: bool = False, keep: bool = False) -> DataFrame:
+    """keep: written once, for plans that read it several times."""
+    edges = T.tally(_plays(spark, sf_dir, paths))
+    return stored(edges, "tally") if keep else edges
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -124,7 +127,7 @@ _MONTHS = [*TREE[:2], *TREE[2:]]
 
 @query(_with(*TREE, "t AS (SELECT node, sum(n) AS total FROM edges GROUP BY node)") + "SELECT e.* FROM edges e JOIN t USING (node) WHERE total >= 5")
 def merge_months_floor(spark, sf_dir):
-    plays = _plays(spark, sf_dir, True)
+    plays = stored(_plays(spark, sf_dir, True), "plays")
     odd = F.col("bucket") % 2 == 1
     return T.merge([T.tally(plays.where(odd)), T.tally(plays.where(~odd))])
 
@@ -144,13 +147,13 @@ _REACH = "RECURSIVE " + ",\n".join([*TREE, CLASSES, "reach AS (SELECT node, 0 AS
 
 @query(f"WITH {_REACH}\nSELECT node, CAST(min(depth) AS INT) AS depth FROM reach GROUP BY node")
 def reachable_tree(spark, sf_dir):
-    edges = _edges(spark, sf_dir, True)
+    edges = _edges(spark, sf_dir, True, True)
     return G.reachable(edges, T.classify(edges), TREE_ROOT)
 
 
 @query(_with(*TREE, CLASSES) + "SELECT DISTINCT e.child AS node FROM edges e JOIN classes c ON c.node = e.node AND c.class <> 'DROPPED' JOIN classes k ON k.node = e.child AND k.class = 'DROPPED'")
 def dropped_children(spark, sf_dir):
-    edges = _edges(spark, sf_dir, True)
+    edges = _edges(spark, sf_dir, True, True)
     classes = T.classify(edges)
     kept = classes.where("class <> 'DROPPED'").select("node")
     return edges.join(kept, "node", "left_semi").where("child is not null").select(F.col("child").alias("node")).distinct().join(kept, "node", "left_anti")
@@ -161,7 +164,7 @@ _POOL = "pooled AS (SELECT e.node, e.stm, CASE WHEN p THEN '(AGG)' ELSE move END
 
 @query(_with(*TREE, CLASSES, _POOL) + "SELECT node, stm, move, child, bucket, CAST(sum(n) AS BIGINT) n, CAST(sum(ww) AS BIGINT) ww, CAST(sum(d) AS BIGINT) d FROM pooled GROUP BY ALL")
 def pooled_children(spark, sf_dir):
-    edges = _edges(spark, sf_dir, True)
+    edges = _edges(spark, sf_dir, True, True)
     return T.pool(edges, T.classify(edges))
 
 
@@ -177,7 +180,7 @@ def bucket_sums(spark, sf_dir):
 
 @query(_with(*TREE, SUMS, PRIOR) + "SELECT node, bucket, round(coalesce(pts / cnt, prior), 6) AS own FROM prior FULL JOIN sums USING (node, bucket)")
 def empty_bucket_prior(spark, sf_dir):
-    return rounded(G.empty_band_prior(G.band_sums(_edges(spark, sf_dir, True))))
+    return rounded(G.empty_band_prior(stored(G.band_sums(_edges(spark, sf_dir, True)), "sums")))
 
 
 @query(_with(*GRAPH, SUMS, PRIOR) + "SELECT node, bucket, round(prior, 6) AS prior, round(kish, 6) AS kish FROM prior")
@@ -305,11 +308,6 @@ def inverse_cdf_draw(spark, sf_dir):
     return A.draw_tables(_edges(spark, sf_dir))
 
 
-@query()
-def playout_arms(spark, sf_dir):
-    return rounded(A.playouts(_edges(spark, sf_dir), ROOT, 500, 12))
-
-
 @query(_with(*GRAPH) + "SELECT * FROM (SELECT node, stm, bucket, CAST(sum(n) AS BIGINT) AS n, CAST(row_number() OVER (PARTITION BY bucket, stm ORDER BY md5(node), node) AS INT) AS place FROM edges GROUP BY node, stm, bucket HAVING sum(n) >= 20) WHERE place <= 3")
 def sample_stratified(spark, sf_dir):
     return A.sample_nodes(_edges(spark, sf_dir), 3, 20)
@@ -324,7 +322,7 @@ def training_rows(spark, sf_dir):
     return rounded(A.training_rows(G.rank_all(_one(spark, sf_dir))))
 
 
-@query(f"SELECT (SELECT min(b) FROM unnest({BOUNDS}::DOUBLE[]) t(b) WHERE value <= b) AS le, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY ALL")
+@query(f"WITH b AS (SELECT unnest({[*BOUNDS, None]}::DOUBLE[]) AS le, unnest({[None, *BOUNDS]}::DOUBLE[]) AS over_) SELECT le, (SELECT count(*) FROM events WHERE (over_ IS NULL OR value > over_) AND (le IS NULL OR value <= le)) AS n, (SELECT count(*) FROM events WHERE value IS NOT NULL AND (le IS NULL OR value <= le)) AS total FROM b".replace("None", "NULL"))
 def latency_histogram(spark, sf_dir):
     return A.latency_histogram(_table(spark, sf_dir, "events"), BOUNDS)
 
@@ -400,6 +398,3 @@ def top_offenders(spark, sf_dir):
 @query("SELECT event_id, round((value - lag(value) OVER w) / ((epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6), 6) AS rate FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def rate_per_second(spark, sf_dir):
     return rounded(A.rates(_table(spark, sf_dir, "events")))
-
-
-assert {AGG, TERM} == {"(AGG)", "(TERM)"}

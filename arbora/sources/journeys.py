@@ -16,8 +16,9 @@ from arbora.functions.constants import BANDS, TERM
 BLOCK, LEAST, WIN, DRAW = 8, 5, 450, 350
 
 
-def plays(events: DataFrame, paths: bool = False) -> DataFrame:
-    """paths: nodes are whole prefixes, so the graph is a tree; else the last event, so it has cycles."""
+def plays(events: DataFrame, paths: bool = False, bands: int = BANDS) -> DataFrame:
+    """paths: nodes are whole prefixes, so the graph is a tree; else the last event, so it has cycles. bands: over nine are
+    not known ones."""
     ordered = W.partitionBy("user_id").orderBy("ts", "event_id")
     rows = events.select("user_id", "event_type", "value", (F.row_number().over(ordered) - 1).alias("at"))
     rows = rows.withColumn("block", F.floor(F.col("at") / BLOCK)).withColumn("ply", (F.col("at") % BLOCK).cast("int"))
@@ -30,7 +31,7 @@ def plays(events: DataFrame, paths: bool = False) -> DataFrame:
     rows = rows.select(
         F.concat_ws("-", "user_id", "block").alias("game_id"), "ply", stm(F.col("ply")).alias("stm"),
         F.concat(stm(F.col("ply")), F.lit(":"), "before").alias("node"), F.col("event_type").alias("move"),
-        F.concat(stm(F.col("ply") + 1), F.lit(":"), after).alias("child"), (F.col("user_id") % BANDS).cast("int").alias("bucket"),
+        F.concat(stm(F.col("ply") + 1), F.lit(":"), after).alias("child"), (F.col("user_id") % bands).cast("int").alias("bucket"),
         (F.col("total") >= WIN).cast("int").alias("ww"), F.when((F.col("total") >= DRAW) & (F.col("total") < WIN), 1).otherwise(0).alias("d"), "length",
     )
     # each game's last row also becomes the row that says where it ended, in the same pass

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from arbora.functions.constants import COUNTERS, HEADER_BYTES, MOST_COUNT, MOST_LOAD_MS
+
 RATE, BURST, IDLE_S = 8.0, 40.0, 300
 
 
@@ -19,6 +21,29 @@ def counter_totals(reports: DataFrame) -> DataFrame:
     return rows.where("k <> '' and v is not null").groupBy("k").agg(F.sum("v").alias("total"))
 
 
+def strict_reports(reports: DataFrame) -> DataFrame:
+    """reports with `accepted`, and `counts`, a map of the header's known counters, null where it is refused.
+
+    A header is k=v,k=v with whole numbers of up to nine digits. One that is empty, too long, has an empty key, a known
+    key twice, a count over its limit, or more slow waits than waits is refused as a whole; unknown keys are skipped.
+    """
+    pairs = F.transform(F.split("header", ",", -1), lambda x: F.struct(F.regexp_extract(x, "^([^=]*)=", 1).alias("k"), F.regexp_extract(x, "^[^=]*=([0-9]{1,9})$", 1).alias("v")))
+    known = F.filter(F.col("pairs"), lambda x: x["k"].isin(COUNTERS))
+    most = lambda x: F.when(x["k"] == "pl", MOST_LOAD_MS).otherwise(MOST_COUNT)
+    fine = (F.length("header") > 0) & (F.octet_length("header") <= HEADER_BYTES) & F.forall("pairs", lambda x: (x["k"] != "") & (x["v"] != ""))
+    fine &= F.size(known) == F.size(F.array_distinct(F.transform(known, lambda x: x["k"])))
+    fine &= F.forall(known, lambda x: x["v"].try_cast("long") <= most(x))
+    of = lambda k: F.coalesce(F.get(F.filter(known, lambda x: x["k"] == k), F.lit(0))["v"].try_cast("long"), F.lit(0))
+    rows = reports.withColumn("pairs", pairs).withColumn("accepted", F.coalesce(fine & (of("ws") <= of("wn")), F.lit(False)))
+    counts = F.when(F.col("accepted"), F.map_from_entries(F.transform(known, lambda x: F.struct(x["k"], x["v"].cast("long")))))
+    return rows.withColumn("counts", counts).drop("pairs")
+
+
+def strict_totals(reports: DataFrame) -> DataFrame:
+    """(k, total) over the counters of accepted headers; works on a stream and on a table alike."""
+    return strict_reports(reports).where("accepted").select(F.explode("counts").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("total"))
+
+
 def spend(tokens: float, seen: float, now: float) -> tuple[float, bool, float]:
     """(tokens left, allowed, seconds to wait) of a request at `now` against a bucket last seen at `seen`."""
     tokens = min(BURST, tokens + max(0.0, now - seen) * RATE)
@@ -33,14 +58,36 @@ def allowances(requests: DataFrame) -> DataFrame:
             state.remove()
             return
         tokens, seen = state.get if state.exists else (BURST, None)
-        for batch in batches:
+        out = []
+        for at in sorted(x for batch in batches for x in batch["at"]):  # what came since the last trigger
+            tokens, allowed, wait = spend(tokens, at if seen is None else seen, at)
+            seen = at
+            out.append((key[0], at, allowed, wait))
+        yield pd.DataFrame(out, columns=["client", "at", "allowed", "retry_after"])
+        state.update((tokens, seen))
+        state.setTimeoutDuration(IDLE_S * 1000)
+
+    return requests.groupBy("client").applyInPandasWithState(run, "client string, at double, allowed boolean, retry_after double", "tokens double, seen double", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def replayed(requests: DataFrame) -> DataFrame:
+    """(client, at, allowed, retry_after) of a table of requests (client, at in seconds), as allowances() decides them.
+
+    Requests stream through each task in order, so of a client only its tokens are held. A client that was idle for
+    IDLE_S starts anew, with a full allowance as it has by then.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client, tokens, seen = None, BURST, None
+        for part in parts:
             out = []
-            for at in sorted(batch["at"]):
+            for c, at in zip(part["client"], part["at"], strict=True):
+                if c != client:
+                    client, tokens, seen = c, BURST, None
                 tokens, allowed, wait = spend(tokens, at if seen is None else seen, at)
                 seen = at
-                out.append((key[0], at, allowed, wait))
+                out.append((c, at, allowed, wait))
             yield pd.DataFrame(out, columns=["client", "at", "allowed", "retry_after"])
-        state.update((tokens, seen))
-        state.setTimeoutDuration(IDLE_S * 1000)
 
-    return requests.groupBy("client").applyInPandasWithState(run, "client string, at double, allowed boolean, retry_after double", "tokens double, seen double", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    rows = requests.selectExpr("cast(client as string) client", "cast(at as double) at").where("client is not null and at is not null")
+    return rows.repartition("client").sortWithinPartitions("client", "at").mapInPandas(run, "client string, at double, allowed boolean, retry_after double")

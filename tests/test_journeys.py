@@ -5,10 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from arbora.functions import ranking as R
-from arbora.operators import analysis, graph, tally
+from arbora.functions.constants import AGG, TERM
+from arbora.operators import analysis, checks, graph, simulate, tally, targets, view
+from arbora.plans import policies
 from arbora.plans import queries as q
-from arbora.sources import pgn
-from arbora.streaming.service import counter_totals, spend
+from arbora.sources import pgn, tallies
+from arbora.streaming.service import allowances, counter_totals, replayed, spend, strict_reports, strict_totals
 
 SF = "/root/testdata/sf0.001"
 
@@ -104,9 +106,76 @@ def test_converged_values_are_the_fixed_point(spark):
         graph.solve(edges, 2, 1e-6)
 
 
-def test_playouts_add_up(spark):
-    for r in analysis.playouts(q._edges(spark, SF), q.ROOT, 50, 6).collect():
-        assert r.games == 50 == r.wins + r.draws + r.losses == r.ended + r.capped
+def test_every_new_query_has_sql():
+    assert {policies.playout_arms.__name__, "policy_plan", "verify_counters", "rate_limit_decisions"} <= q.SQL.keys()
+
+
+def test_draws_are_even_and_unrelated(spark):
+    two = spark.range(20_000).select(analysis.uniform(F.lit(0), F.col("id"), F.lit(0), F.lit(0)).alias("a"), analysis.uniform(F.lit(0), F.col("id"), F.lit(31), F.lit(0)).alias("b"))
+    r = two.agg(F.avg("a").alias("m"), F.var_pop("a").alias("v"), F.corr("a", "b").alias("c"), F.avg(((F.col("a") < 0.2) & (F.col("b") < 0.2)).cast("int")).alias("both")).first()
+    assert abs(r.m - 0.5) < 0.01 and abs(r.v - 1 / 12) < 0.003 and abs(r.c) < 0.03 and abs(r.both - 0.04) < 0.006
+
+
+def test_playouts_count_every_stop(spark):
+    """One band, whole numbers: each arm meets the stop that its moves lead to."""
+    data = [("w:r", "w", "a", "b:a", 10), ("w:r", "w", "b", "b:gone", 30), ("w:r", "w", TERM, None, 5), ("b:a", "b", AGG, None, 4), ("b:a", "b", "c", "w:c", 6), ("w:c", "w", TERM, None, 6)]
+    edges = spark.createDataFrame([(*x[:4], 0, x[4], 2, 1) for x in data], "node string, stm string, move string, child string, bucket int, n long, ww long, d long")
+    picks = spark.createDataFrame([("w:r", 0, "a"), ("w:c", 0, None)], "node string, bucket int, best_move string")
+    got = {r.arm: r for r in simulate.playouts(edges, picks, "w:r", 400, 5).collect()}
+    stops = {arm: {x: r[f"stop_{x}"] for x in simulate.STOPS if r[f"stop_{x}"]} for arm, r in got.items()}
+    assert stops["popular"] == {"unseen_child": 400} and stops["policy"].keys() == {"pooled", "no_move"} and stops["crowd"].keys() == {"ended", "pooled", "unseen_child"}
+    assert all(r.sims == 400 == r.wins + r.draws + r.losses for r in got.values()) and got["popular"].mean_plies == 1
+    capped = simulate.playouts(edges, picks, "w:r", 50, 1).where("arm = 'policy'").first()
+    assert capped.stop_ply_cap == 50 and 0 <= capped.obs_hero <= 1 and capped.se == pytest.approx((max(0, (capped.wins + capped.draws / 4) / 50 - capped.obs_hero**2) / 50) ** 0.5)
+
+
+def test_reach_has_no_cap(spark):
+    chain = spark.createDataFrame([(f"w:{i}", "w", "x", f"w:{i + 1}", 0, 200, 1, 1) for i in range(70)] + [("w:70", "w", TERM, None, 0, 200, 1, 1)], "node string, stm string, move string, child string, bucket int, n long, ww long, d long")
+    got = graph.reachable(chain, tally.classify(chain), "w:0")
+    assert got.count() == 71 and got.agg(F.max("depth")).first()[0] == 70
+    assert graph.reachable(chain, tally.classify(chain), "w:0", 3).count() == 4
+    assert checks.unreachable(chain, got).count() == 0
+
+
+def test_forward_and_backward_odds_agree(spark):
+    edges, layers = policies._layers(spark, SF)
+    back = {r.bucket: r.value for r in targets.policy_values(edges, layers, policies.PLIES, "field").where(f"ply = 0 and node = '{q.ROOT}'").collect()}
+    rows = targets.commitment(edges, layers, q.ROOT, policies.PLIES).collect()
+    assert len(rows) == 9 and all(r.arrived == pytest.approx(back[r.bucket], abs=1e-9) and 0 < r.commitment <= 1 for r in rows)
+    assert targets.target_layers(edges, "w:nowhere", q.TARGET, 3).count() == 0
+
+
+def test_coverage_of_known_masses(spark):
+    at = spark.createDataFrame([(0, f"n{i}", m) for i, m in enumerate([0.5, 0.3, 0.15, 0.05])] + [(1, f"n{i}", 0.01) for i in range(100)], "bucket int, node string, mass double")
+    got = {r.bucket: (r.positions, r.cover50, r.cover90, r.cover99) for r in analysis.coverage(at).collect()}
+    assert got == {0: (4, 1, 3, 4), 1: (100, 50, 90, 99)}
+
+
+def test_sorted_rows_put_nulls_last(spark):
+    rows = spark.createDataFrame([("n", 0, "a", 5, 1, 0.3), ("n", 0, "b", 9, None, None), ("n", 0, "c", 5, 0, 0.3), ("n", 0, "d", 7, None, 0.9)], "node string, bucket int, move string, n long, rank int, score double")
+    order = lambda *x: [r.move for r in view.sorted_rows(rows, *x).orderBy("place").collect()]
+    assert (order("rank"), order("rank", False)) == (["c", "a", "b", "d"], ["a", "c", "b", "d"])
+    assert (order("score"), order("score", False), order("move", False)) == (["d", "a", "c", "b"], ["a", "c", "d", "b"], ["d", "c", "b", "a"])
+
+
+def test_files_come_back(spark, tmp_path):
+    edges = q._edges(spark, SF, keep=True)
+    for month, part in (("a/agg-1", edges.where("bucket < 4")), ("b/agg-2", edges.where("bucket >= 4")), ("b/other", edges)):
+        tallies.write_sorted(part, f"{tmp_path}/{month}")
+    back = tallies.read(spark, f"{tmp_path}/a", f"{tmp_path}/b/")
+    assert sorted(map(tuple, back.select(*edges.columns).collect()), key=str) == sorted(map(tuple, edges.collect()), key=str)
+    edges, depths = policies._subtree(spark, SF)
+    nodes, kinds = tallies.subtree_nodes(edges, depths), analysis.edge_kinds(edges, depths)
+    tallies.write_subtree(nodes, tallies.subtree_moves(edges, edges, kinds), f"{tmp_path}/tree")
+    meta = {r.what: r.n for r in spark.read.json(f"{tmp_path}/tree/meta").collect()}
+    moves = spark.read.parquet(f"{tmp_path}/tree/moves")
+    assert meta["nodes"] == nodes.count() and sum(n for k, n in meta.items() if k.isupper()) == moves.count() and len(moves.first().o_count) == 9
+    ends = nodes.orderBy("move_start").collect()
+    assert [r.move_start for r in ends] == [sum(x.n_moves for x in ends[:i]) for i in range(len(ends))]
+    pooled = policies._pooled_edges(spark, SF)
+    tallies.write_simulation(simulate.simulation_table(pooled, policies._one_backup(pooled), policies.TOP, 20, 4), f"{tmp_path}/sim")
+    csv = spark.read.option("header", True).csv(f"{tmp_path}/sim")
+    assert csv.count() == 27 and {"stop_ply_cap", "pred_hero", "se"} <= set(csv.columns)
 
 
 def game(white="1500", black="1520", tc="300+3", result="1-0", more="", moves="1. e4 { [%clk 0:05:00] } 1... e5 2. Nf3! Nc6 1-0"):
@@ -134,6 +203,44 @@ def test_allowance_and_counters(spark):
     assert {r.k: r.total for r in got} == {"pl": 412, "ch": 5, "cm": 1}
 
 
+def test_counter_headers(spark):
+    fine = ["pl=412,ch=3,cm=1", "zz=1", "zz=1,zz=2", "ws=1,wn=1", "pl=600000,ch=10000"]
+    bad = ["", None, "ch=1,ch=2", "ws=2,wn=1", "=1", "ch=10001", "pl=600001", "ch=1,", "ch", "ch=", "ch=-1", "ch= 1", "ch=1234567890", "zz=" + "1" * 8 + ",y=1" * 62]
+    rows = spark.createDataFrame([(x,) for x in fine + bad], "header string")
+    got = strict_reports(rows).collect()
+    assert [r.accepted for r in got] == [True] * len(fine) + [False] * len(bad) and all((r.counts is not None) == r.accepted for r in got)
+    assert {r.k: r.total for r in strict_totals(rows).collect()} == {"pl": 600412, "ch": 10003, "cm": 1, "ws": 1, "wn": 1}
+
+
+def test_allowances_as_a_stream_and_as_a_table(spark, tmp_path):
+    times = [("a", 5.0)] * 41 + [("b", 1.0 + i / 100) for i in range(60)] + [("a", 5.2)] * 2
+    want, state = [], {}
+    for c, at in sorted(times):
+        tokens, seen = state.get(c, (40.0, at))
+        tokens, allowed, wait = spend(tokens, seen, at)
+        state[c] = (tokens, at)
+        want.append((c, at, allowed, pytest.approx(wait)))
+    frame = spark.createDataFrame(times, "client string, at double").repartition(5)
+    key = lambda r: (r[0], r[1], not r[2], r[3])
+    assert sorted(map(tuple, replayed(frame).collect()), key=key) == want and sum(not w[2] for w in want) > 10
+    frame.write.parquet(f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # a client's requests come in several batches
+    stream = allowances(spark.readStream.schema("client string, at double").parquet(f"{tmp_path}/in"))
+    stream.writeStream.format("memory").queryName("decisions").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination(120)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(map(tuple, spark.table("decisions").collect()), key=key) == want
+
+
+def test_compressed_games_and_ply_window(spark, tmp_path):
+    import zstandard
+
+    body = game(moves=" ".join(f"{i + 1}. Nf3 Nf6 {i + 1}... Ng1" if i % 2 else f"{i + 1}. Nf3 Nf6" for i in range(30)) + " 1-0")
+    (tmp_path / "games.pgn.zst").write_bytes(zstandard.ZstdCompressor().compress((game() + body).encode()))
+    found = pgn.games(spark, str(tmp_path))
+    assert found.count() == 2 and {r.n for r in pgn.san_moves(found).groupBy("game_id").agg(F.count("*").alias("n")).collect()} == {4, 40}
+
+
 def test_flagged_moves(spark):
     lines = spark.createDataFrame([("# note",), ("",), ("w:^ | click | too thin",)], "value string")
     assert [tuple(r) for r in analysis.flagged_moves(lines).collect()] == [("w:^", "click", "too thin")]
