@@ -1,12 +1,14 @@
 """Quality rules with robust multivariate outliers, in DataFrame functions only.
 
-Base rules need enough words and little repetition. Documents that pass are described by a few transformed rates,
-and for each language and source a minimum-covariance-determinant estimate of their centre and spread is refined by
-concentration steps: the documents nearest to the present estimate make the next one. Documents at a large
-Mahalanobis distance are rejected.
+Base rules need enough words and little repetition. Documents that pass are described by a few transformed rates, and
+for each language and source a minimum-covariance-determinant estimate of their centre and spread is sought from several
+starts by concentration steps: the documents nearest to the present estimate make the next one, as long as its
+determinant falls; the start with the smallest determinant wins. Documents at a large Mahalanobis distance are rejected.
+Groups that are too small for an estimate of their own are judged by that of their language, or of all documents.
 
 Vectors are whole multiples of 1/256, so every sum is exact and reruns agree. A concentration step is one aggregation
-of counts and moments by distance class; nothing is sorted and no group is gathered.
+of counts and moments by distance class, of which the class at the border counts in part; nothing is sorted and no
+group is gathered.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arbora.llm.text import word_array
-from arbora.llm.workspace import stored
+from arbora.llm.workspace import discard, stored
 
 UNIT = 256.0
 DIMENSIONS = 4
@@ -27,17 +29,22 @@ DIMENSIONS = 4
 
 @dataclass(frozen=True)
 class Params:
-    """coverage: share of a group that the estimate rests on. false_rate: of a normal group, rejected.
+    """coverage: share of a group that the estimate rests on. steps: concentration steps at most, after which the smallest
+    determinant so far stands. false_rate: of a normal group, rejected.
 
     floors: least standard deviation of log word length and of the three log rates, since most texts of a tidy source
-    have none of the faults that the rates count. least_group: smaller groups are not judged.
+    have none of the faults that the rates count. shrink: words by which a text counts as longer in its rates, so that
+    one sign in a short text is no high rate. least_group: documents of a group that is judged by its own estimate;
+    least_all: documents without which none is judged.
     """
 
     coverage: float = 0.75
-    steps: int = 3
+    steps: int = 30
     false_rate: float = 1e-4
-    floors: tuple[float, float, float, float] = (0.15, 0.8, 0.8, 0.8)
+    floors: tuple[float, float, float, float] = (0.1, 0.45, 0.45, 0.45)
+    shrink: int = 20
     least_group: int = 50
+    least_all: int = 10
 
 
 def chi2(x: float, dof: int) -> float:
@@ -84,8 +91,8 @@ def base_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select("kept.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"))
 
 
-def _vector() -> list[Column]:
-    per = lambda c: F.log1p(100.0 * F.col(c) / F.col("n_words"))
+def _vector(p: Params) -> list[Column]:
+    per = lambda c: F.log1p(100.0 * F.col(c) / (F.col("n_words") + p.shrink))
     values = [F.log(F.col("word_chars") / F.col("n_words")), per("n_symbols"), per("n_dup_lines"), per("n_repeat_words")]
     return [F.round(v * UNIT).alias(f"x{j}") for j, v in enumerate(values)]
 
@@ -110,23 +117,59 @@ MOMENTS = [(j, k) for j in range(DIMENSIONS) for k in range(j + 1)]
 
 
 def _estimate(classes: DataFrame, p: Params, whole: float) -> DataFrame:
-    """Centre and Cholesky factor of each group from the moments of its nearest classes."""
-    order = W.partitionBy("g").orderBy("class")
-    ranked = classes.withColumn("before", F.coalesce(F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("all", F.sum("n").over(W.partitionBy("g")))
-    near = ranked.where(F.col("before") < p.coverage * F.col("all"))
-    sums = near.groupBy("g").agg(F.max("all").alias("size"), F.sum("n").alias("n"), *(F.sum(f"s{j}").alias(f"s{j}") for j in range(DIMENSIONS)), *(F.sum(f"s{j}{k}").alias(f"s{j}{k}") for j, k in MOMENTS))
-    sums = sums.select("g", "size", *((F.col(f"s{j}") / F.col("n")).alias(f"m{j}") for j in range(DIMENSIONS)), *((F.col(f"s{j}{k}") / F.col("n")).alias(f"q{j}{k}") for j, k in MOMENTS))
+    """Centre, Cholesky factor and its determinant of each group and start, from the moments of its nearest classes.
+
+    Variances under a floor are raised to it. A small part of each floor is added to all, so that the factor exists.
+    """
+    order = W.partitionBy("g", "s").orderBy("class")
+    ranked = classes.withColumn("before", F.coalesce(F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("all", F.sum("n").over(W.partitionBy("g", "s")))
+    part = F.least(F.lit(1.0), (F.ceil(p.coverage * F.col("all")) - F.col("before")) / F.col("n"))
+    near = ranked.withColumn("part", part).where("part > 0")
+    total = lambda c: F.sum(F.col("part") * F.col(c)).alias(c)
+    sums = near.groupBy("g", "s").agg(F.max("all").alias("size"), total("n"), *(total(f"s{j}") for j in range(DIMENSIONS)), *(total(f"s{j}{k}") for j, k in MOMENTS))
+    sums = sums.select("g", "s", "size", *((F.col(f"s{j}") / F.col("n")).alias(f"m{j}") for j in range(DIMENSIONS)), *((F.col(f"s{j}{k}") / F.col("n")).alias(f"q{j}{k}") for j, k in MOMENTS))
     for j, k in MOMENTS:
-        value = whole * (F.col(f"q{j}{k}") - F.col(f"m{j}") * F.col(f"m{k}")) + (F.lit((p.floors[j] * UNIT) ** 2) if j == k else F.lit(0.0))
+        value = whole * (F.col(f"q{j}{k}") - F.col(f"m{j}") * F.col(f"m{k}"))
+        if j == k:
+            floor = (p.floors[j] * UNIT) ** 2
+            value = F.greatest(value, F.lit(floor)) + floor / 400
         for i in range(k):
             value = value - F.col(f"l{j}{i}") * F.col(f"l{k}{i}")
         sums = sums.withColumn(f"l{j}{k}", F.sqrt(value) if j == k else value / F.col(f"l{k}{k}"))
-    return sums.select("g", "size", *(f"m{j}" for j in range(DIMENSIONS)), *(f"l{j}{k}" for j, k in MOMENTS))
+    det = sum((F.log(f"l{j}{j}") for j in range(1, DIMENSIONS)), F.log("l00"))
+    return sums.select("g", "s", "size", *(f"m{j}" for j in range(DIMENSIONS)), *(f"l{j}{k}" for j, k in MOMENTS), det.alias("det"))
+
+
+def _best(fit: DataFrame, p: Params) -> DataFrame:
+    """The estimate of smallest determinant of each group in fit (g, x0, ...)."""
+    h = chi2_quantile(p.coverage, DIMENSIONS)
+    whole = p.coverage / chi2(h, DIMENSIONS + 2)
+    places = range(DIMENSIONS)
+    middle = stored(_medians(fit), "medians")
+    off = [F.col(f"x{j}") - F.col(f"m{j}") for j in places]
+    spread = _medians(fit.join(middle, "g").select("g", *(F.abs(off[j]).alias(f"x{j}") for j in places)))
+    start = stored(middle.join(spread.select("g", *(F.col(f"m{j}").alias(f"d{j}") for j in places)), "g"), "starts")
+    floor = [p.floors[j] * UNIT for j in places]
+    by_floor = [(off[j] / floor[j]) ** 2 for j in places]
+    by_spread = [(off[j] / F.greatest(F.lit(floor[j]), 1.4826 * F.col(f"d{j}"))) ** 2 for j in places]
+    ways = [sum(by_floor[1:], by_floor[0]), sum(by_spread[1:], by_spread[0]), F.greatest(*by_spread)]
+    placed = fit.join(start, "g").select("g", *(f"x{j}" for j in places), F.posexplode(F.array(*ways)).alias("s", "distance"))
+    best = stored(_estimate(_classes(placed, F.col("distance")), p, whole), "estimate")
+    for _ in range(p.steps):
+        new = _estimate(_classes(fit.join(best, "g"), _distance()), p, whole)
+        both = new.alias("b").join(best.select("g", "s", F.col("det").alias("old")), ["g", "s"])
+        better = stored(both.where("det < old - 1e-9").select(*best.columns), "better")
+        if better.isEmpty():
+            break
+        last, best = best, stored(best.join(better.select("g", "s"), ["g", "s"], "left_anti").unionByName(better), "estimate")
+        discard(last, better)
+    first = W.partitionBy("g").orderBy("det", "s")
+    return best.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place", "s")
 
 
 def _classes(rows: DataFrame, distance: Column) -> DataFrame:
-    """Counts and moments by group and class of distance."""
-    return rows.groupBy("g", F.floor(F.log1p(distance) * 64).alias("class")).agg(F.count("*").alias("n"), *(F.sum(f"x{j}").alias(f"s{j}") for j in range(DIMENSIONS)), *(F.sum(F.col(f"x{j}") * F.col(f"x{k}")).alias(f"s{j}{k}") for j, k in MOMENTS))
+    """Counts and moments by group, start and class of distance."""
+    return rows.groupBy("g", "s", F.floor(F.log1p(distance) * 64).alias("class")).agg(F.count("*").alias("n"), *(F.sum(f"x{j}").alias(f"s{j}") for j in range(DIMENSIONS)), *(F.sum(F.col(f"x{j}") * F.col(f"x{k}")).alias(f"s{j}{k}") for j, k in MOMENTS))
 
 
 def _medians(rows: DataFrame) -> DataFrame:
@@ -142,22 +185,28 @@ def judge(docs: DataFrame, p: Params = Params(), keep: tuple[str, ...] = ("doc_i
     """base_statistics() of each row with distance (squared Mahalanobis, null where not judged) and kept.
 
     Uses text, lang and source; other columns matter only where named in keep. A null or blank text has no words and
-    fails the base rules; a null lang or source is a group of its own; groups of fewer than p.least_group documents
-    that pass the base rules are kept as they are. Rows are neither merged nor dropped; equal rows get equal verdicts.
+    fails the base rules; a null lang or source is a group of its own. Groups of fewer than p.least_group documents that
+    pass the base rules are judged by the estimate of their language, or, where that is too small as well, of all;
+    with fewer than p.least_all documents all that pass are kept. Rows are neither merged nor dropped; equal rows get
+    equal verdicts. A kept column that is named like one of the new ones is returned as kept_ and its name.
     """
     inner = docs.select(*(F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)), _group("lang").alias("lang_key"), _group("source").alias("source_key"), "text")
     names = [f"kept_{i}" for i in range(len(keep))]
-    rows = base_statistics(inner.withColumn("g", F.concat_ws("\0", "lang_key", "source_key")), [*names, "g"])
-    rows = stored(rows, "statistics")
-    fit = stored(rows.where("not base_failed").select("g", *_vector()), "vectors")
-    h, cut = chi2_quantile(p.coverage, DIMENSIONS), chi2_quantile(1 - p.false_rate, DIMENSIONS)
-    whole = p.coverage / chi2(h, DIMENSIONS + 2)
-    start = stored(_medians(fit), "medians")
-    first = sum(((F.col(f"x{j}") - F.col(f"m{j}")) / (p.floors[j] * UNIT)) ** 2 for j in range(DIMENSIONS))
-    estimate = stored(_estimate(_classes(fit.join(start, "g"), first), p, whole), "estimate")
-    for _ in range(p.steps):
-        estimate = stored(_estimate(_classes(fit.join(estimate, "g"), _distance()), p, whole), "estimate")
-    judged = rows.select("*", *(F.when(~F.col("base_failed"), v).alias(f"x{j}") for j, v in enumerate(_vector()))).join(estimate, "g", "left")
-    distance = F.when(~F.col("base_failed") & (F.col("size") >= p.least_group), _distance())
-    out = judged.select(*(F.col(n).alias(c) for n, c in zip(names, keep, strict=True)), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", distance.alias("distance"))
+    levels = [F.concat_ws("\0", "lang_key", "source_key"), F.concat(F.lit("\1"), "lang_key"), F.lit("\2")]
+    rows = stored(base_statistics(inner.withColumns({f"g{i}": g for i, g in enumerate(levels)}), [*names, "g0", "g1", "g2"]), "statistics")
+    passed = rows.where("not base_failed").select("g0", "g1", "g2", *_vector(p))
+    sizes = stored(passed.groupBy("g0", "g1").agg(F.count("*").alias("n0")), "sizes")
+    sizes = sizes.withColumn("n1", F.sum("n0").over(W.partitionBy("g1")))
+    own = F.when(F.col("n0") >= p.least_group, F.col("g0")).when(F.col("n1") >= p.least_group, F.col("g1")).otherwise(F.lit("\2"))
+    owner = stored(sizes.select("g0", own.alias("g")), "owners")
+    every = F.array("g0", "g1", "g2")
+    fit = passed.select(F.explode(every).alias("g"), *(f"x{j}" for j in range(DIMENSIONS))).join(owner.select("g").distinct(), "g", "left_semi")
+    fit = stored(fit, "vectors")
+    best = stored(_best(fit, p), "best")
+    discard(fit)
+    cut = chi2_quantile(1 - p.false_rate, DIMENSIONS)
+    judged = rows.select("*", *(F.when(~F.col("base_failed"), v).alias(f"x{j}") for j, v in enumerate(_vector(p)))).join(owner, "g0", "left").join(best, "g", "left")
+    distance = F.when(~F.col("base_failed") & (F.col("size") >= p.least_all), _distance())
+    new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    out = judged.select(*(F.col(n).alias(f"kept_{c}" if c in (*new, "distance", "kept") else c) for n, c in zip(names, keep, strict=True)), *new, distance.alias("distance"))
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True)))
