@@ -20,14 +20,13 @@ most 257 ** 3 dishes whatever the corpus.
 
 from __future__ import annotations
 
+import functools
 import pickle
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -38,7 +37,7 @@ from arbora.llm.workspace import discard, stored
 
 #: The spelling of the token that ends a text; no word contains it.
 END = b"\n"
-END_HASH = np.uint64(xxhash.xxh3_64_intdigest(END))
+END_HASH = hashed(pa.array([END], pa.binary()))[0]
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Symbols of a spelling: bytes, and one for its end, which also stands before its beginning.
 SYMBOLS = 257
@@ -78,6 +77,7 @@ def uniform(keys: np.ndarray, draw: int) -> np.ndarray:
     return ((mix(mix(keys ^ salt) + ODD) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
 
 
+@functools.lru_cache(4)
 def stirling(most: int, d: float) -> np.ndarray:
     """Logarithms of the generalised Stirling numbers of c customers at t tables, in row c and column t."""
     out = np.full((most + 1, most + 1), -np.inf)
@@ -120,7 +120,7 @@ def draw_tables(customers: np.ndarray, others: np.ndarray, base: np.ndarray, d:
     small = np.flatnonzero((customers > 1) & (customers <= p.exact))
     if not len(small):
         return tables
-    ways = stirling(int(customers[small].max()), d)
+    ways = stirling(p.exact, d)
     order = small[np.argsort(customers[small], kind="stable")]
     for at in np.split(order, np.flatnonzero(np.diff(customers[order])) + 1):
         c = int(customers[at[0]])
@@ -215,22 +215,31 @@ def count_words(docs: DataFrame, p: Params) -> DataFrame:
     """(word, h, n) of every distinct word of docs with its hash, and of the end token that every text has."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: list[tuple[pa.Array, np.ndarray]] = []
+        size = 0
+
+        def merged() -> tuple[pa.Array, np.ndarray]:
+            words = pa.concat_arrays([w for w, _ in seen]).dictionary_encode()
+            n = np.bincount(words.indices.to_numpy(), np.concatenate([n for _, n in seen]), len(words.dictionary))
+            return words.dictionary, n.astype(np.int64)
 
         def out():
-            words = list(seen)
-            for at in range(0, len(words), 50_000):
-                some = pa.array(words[at : at + 50_000], pa.binary())
-                yield pa.record_batch([some, pa.array(signed(hashed(some))), pa.array([seen[w] for w in words[at : at + 50_000]], pa.int64())], names=["word", "h", "n"])
+            words, n = merged()
+            yield from pa.table([words.cast(pa.binary()), pa.array(signed(hashed(words))), pa.array(n)], names=["word", "h", "n"]).to_batches(max_chunksize=50_000)
             seen.clear()
 
         for part in few(parts, p.batch):
             words, index, _ = split_words(part.column("text"), folded=True)
-            seen.update(dict(zip(words.to_pylist(), np.bincount(index, minlength=len(words)).tolist(), strict=True)))
-            seen[END] += part.num_rows
-            if len(seen) > p.held:
-                yield from out()
-        yield from out()
+            seen += [(words, np.bincount(index, minlength=len(words))), (pa.array([END], pa.large_binary()), np.array([part.num_rows]))]
+            size += len(words)
+            if size > 2 * p.held:
+                seen[:] = [merged()]
+                size = len(seen[0][0])
+                if size > p.held:
+                    yield from out()
+                    size = 0
+        if seen:
+            yield from out()
 
     counted = docs.select("text").mapInArrow(tidy(run), "word binary, h long, n long")
     return counted.groupBy("word").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
@@ -285,6 +294,8 @@ class Deal:
         return cls(max(8, total // p.bucket), h[order], order.astype(np.uint16), n[order], parts[order])
 
     def bucket(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        if not (self.parts > 1).any():
+            return self.of_part(u, np.zeros(1, np.int64))
         hit, at = _find(self.words, u)
         parts = np.where(hit, self.parts[at], 1) if len(self.words) else np.ones(len(u), np.int64)
         return self.of_part(u, (mix(w) >> np.uint64(33)).astype(np.int64) % parts)
@@ -301,10 +312,20 @@ class Deal:
         found = np.unique(np.stack([index, self.of_part(u[index], part)]), axis=1)
         return found[0], found[1]
 
+    def by_bucket(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of pairs by bucket and nearly by first word, where each bucket begins among them)."""
+        to = self.bucket(u, w)
+        order = np.argsort(to.astype(np.uint64) << np.uint64(40) | u >> np.uint64(24))
+        return order, np.searchsorted(to[order], np.arange(self.buckets + 1))
+
     def shared(self) -> np.ndarray:
         """The words whose pairs are in several parts."""
         return self.words[self.parts > 1]
 
+    def rare(self, w: np.ndarray) -> np.ndarray:
+        """The words that have no code."""
+        return w[~_find(self.words, w)[0]]
+
     def pack(self, *columns: np.ndarray) -> bytes:
         """Arrays as bytes; those of unsigned 64-bit numbers are hashes of words."""
         out: list = []
@@ -381,7 +402,7 @@ def count_pairs(docs: DataFrame, deal, p: Params) -> DataFrame:
 
     PAIRS: word before, word, count of every pair. OFTEN: the same with tables, and their average, of those that occur
     twice or more; the others have one table. CONTEXTS: word, tokens after it, pairs that occur once. NEEDED,
-    NEEDED_OFTEN: the different words of PAIRS and OFTEN. FEW: tables that a word has in pairs that occur once. TABLES:
+    NEEDED_OFTEN: the different words of PAIRS and OFTEN that have no code. FEW: tables that a word has in pairs that occur once. TABLES:
     those in OFTEN. RATES: numbers of pairs that occur once and twice. SHARED: tables that a word before, dealt to
     several buckets, has in this one.
     """
@@ -391,9 +412,7 @@ def count_pairs(docs: DataFrame, deal, p: Params) -> DataFrame:
         for _, _, _, u, w, _ in _tokens(parts, p):
             _, first, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
             u, w = u[first], w[first]
-            to = d.bucket(u, w)
-            order = np.lexsort((u, to))
-            ends = np.searchsorted(to[order], np.arange(d.buckets + 1))
+            order, ends = d.by_bucket(u, w)
             rows = []
             for b in range(d.buckets):
                 if len(i := order[ends[b] : ends[b + 1]]):
@@ -406,7 +425,7 @@ def count_pairs(docs: DataFrame, deal, p: Params) -> DataFrame:
         _, first, index = np.unique(_pair(u, w), return_index=True, return_inverse=True)
         n = np.bincount(index, n, len(first)).astype(np.int64)
         u, w = u[first], w[first]
-        order = np.lexsort((w, u))
+        order = np.argsort(u)
         u, w, n = u[order], w[order], n[order]
         kinds, group = np.unique(u, return_inverse=True)
         once, often = n == 1, n > 1
@@ -414,9 +433,10 @@ def count_pairs(docs: DataFrame, deal, p: Params) -> DataFrame:
         ones = np.ones(often.sum(), np.int64)
         rows = d.blobs(b, PAIRS, u, w, n) + d.blobs(b, OFTEN, u[often], w[often], n[often], ones, 0 * ones)
         rows += d.blobs(b, CONTEXTS, kinds, np.bincount(group, n, len(kinds)).astype(np.int64), np.bincount(group, once, len(kinds)).astype(np.int64))
-        need, (need_often, at_first) = np.unique(w), np.unique(w[often], return_counts=True)
+        names, at_first = np.unique(w[often], return_counts=True)
+        need, need_often = d.rare(np.unique(w)), d.rare(names)
         mine, many = _shared(d, kinds, np.bincount(group, minlength=len(kinds)))
-        return _rows(rows, (b, FEW, few_, tables), (b, NEEDED, need, np.zeros(len(need))), (b, NEEDED_OFTEN, need_often, np.zeros(len(need_often))), (b, TABLES, need_often, at_first), (b, RATES, np.array([1, 2], np.uint64), np.array([once.sum(), (n == 2).sum()])), (b, SHARED, mine, many))
+        return _rows(rows, (b, FEW, few_, tables), (b, NEEDED, need, np.zeros(len(need))), (b, NEEDED_OFTEN, need_often, np.zeros(len(need_often))), (b, TABLES, names, at_first), (b, RATES, np.array([1, 2], np.uint64), np.array([once.sum(), (n == 2).sum()])), (b, SHARED, mine, many))
 
     return docs.select("text").mapInArrow(tidy(run), BUCKETED_SQL).groupBy("bucket").applyInArrow(merge, BUCKETED_SQL)
 
@@ -439,12 +459,29 @@ def _known(values: np.ndarray, kinds: np.ndarray, known: dict[int, float]) -> np
     return values
 
 
-def _probabilities(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """(words, probabilities) that came for a bucket, in the words' order."""
+def _probabilities(d: Deal, top: np.ndarray, table: pa.Table, kind: int, w: np.ndarray) -> np.ndarray:
+    """What is known of words: from top for those that have a code, else from the rows that came for a bucket."""
     own = table.filter(pa.array(table.column("kind").to_numpy() == kind))  # other kinds have nulls
-    w, v = own.column("w").to_numpy().view(np.uint64), own.column("v").to_numpy()
-    order = np.argsort(w)
-    return w[order], v[order]
+    names, v = own.column("w").to_numpy().view(np.uint64), own.column("v").to_numpy()
+    order = np.argsort(names)
+    hit, at = _find(d.words, w)
+    out = np.empty(len(w))
+    out[hit] = top[at[hit]]
+    out[~hit] = v[order][np.searchsorted(names[order], w[~hit])]
+    return out
+
+
+def _top(deal, words: DataFrame, value: str) -> np.ndarray:
+    """A column of the words that have a code, in the order of Deal.words; at most as many rows as there are codes."""
+    d = deal.value
+    if not len(d.words):
+        return np.zeros(0)
+    least = int(d.counts.min())
+    last = int(d.words[d.counts == least].view(np.int64).max())
+    rows = words.where((F.col("n") > least) | ((F.col("n") == least) & (F.col("h") <= last))).select("h", F.col(value).alias("v")).toPandas()
+    out = np.empty(len(d.words))
+    out[np.searchsorted(d.words, rows["h"].to_numpy(np.int64).view(np.uint64))] = rows["v"].to_numpy(float)
+    return out
 
 
 def _contexts(d: Deal, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -453,17 +490,16 @@ def _contexts(d: Deal, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndar
     return kinds[order], tokens[order], once[order]
 
 
-def _seat_pairs(state: DataFrame, known: DataFrame, deal, shared: dict[int, float], p: Params, rate_: float, sweep: int) -> DataFrame:
+def _seat_pairs(state: DataFrame, known: DataFrame, deal, top, shared: dict[int, float], p: Params, rate_: float, sweep: int) -> DataFrame:
     """OFTEN and CONTEXTS after a sweep over the restaurants of pairs, with TABLES and SHARED."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         b, d = key[0].as_py(), deal.value
         u, w, n, t, held = d.joined(left, OFTEN, np.uint64, np.uint64, *[np.int64] * 3)
         kinds, tokens, once = _contexts(d, left)
-        words, prob = _probabilities(right, NEEDED_OFTEN)
         at = np.searchsorted(kinds, u)
         everyone = _known(once + np.bincount(at, t, len(kinds)), kinds, shared)
-        base = prob[np.searchsorted(words, w)] if len(u) else np.zeros(0)
+        base = _probabilities(d, top.value, right, NEEDED_OFTEN, w)
         t = draw_tables(n, everyone[at] - t, base, rate_, _pair(u, w), sweep, p)
         held = held + t * (sweep > p.burn_in)
         names, index = np.unique(w, return_inverse=True)
@@ -540,7 +576,7 @@ def learn(docs: DataFrame, p: Params = Params()) -> Learned:
             sat_now = sat_now.withColumn("prob", F.col("prob") + F.col("now"))
         types = stored(sat_now, "words")
         discard(sat)
-        old, seated = seated, stored(_seat_pairs(state, _asked(need, types, "now"), deal, shared, p, rate_, sweep), "seated_pairs")
+        old, seated = seated, stored(_seat_pairs(state, _asked(need, types, "now"), deal, spark.sparkContext.broadcast(_top(deal, types, "now")), shared, p, rate_, sweep), "seated_pairs")
         if sweep > 1:
             discard(old)
         state, shared = seated.where(F.col("kind").isin(OFTEN, CONTEXTS)), _of_shared(seated)
@@ -581,6 +617,7 @@ def _answers(m: Learned, p: Params) -> DataFrame:
 
     own = m.words.select("h", "n", "log10_prob").mapInArrow(homes, BUCKETED_SQL)
     known = _asked(m.pairs.where(F.col("kind") == NEEDED), m.words, "log10_prob").unionByName(own)
+    top = m.words.sparkSession.sparkContext.broadcast(_top(deal, m.words, "log10_prob"))
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         b, d = key[0].as_py(), deal.value
@@ -595,10 +632,8 @@ def _answers(m: Learned, p: Params) -> DataFrame:
         order = np.argsort(pair)
         tables = np.ones(len(pair))
         tables[order[np.searchsorted(pair[order], often)]] = held
-        words, prob = _probabilities(right, NEEDED)
-        more = np.zeros(0, np.float32)
-        if len(pair):
-            more = np.log10(1 + (n - rate_ * tables) / (fresh[np.searchsorted(kinds, u)] * 10 ** prob[np.searchsorted(words, w)])).astype(np.float32)
+        prob = _probabilities(d, top.value, right, NEEDED, w)
+        more = np.log10(1 + (n - rate_ * tables) / (fresh[np.searchsorted(kinds, u)] * 10**prob)).astype(np.float32) if len(pair) else np.zeros(0, np.float32)
         own, count, prob = d.joined(right, WORDS, np.uint64, np.int64, np.float64)
         here, at = _find(kinds, own)
         back = np.zeros(len(own))
@@ -637,10 +672,8 @@ def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame
             fresh, spelled_ = h[new], log_unseen(spellings.value, words.filter(pa.array(new))) if new.any() else np.zeros(0)
             order = np.argsort(fresh)
             fresh, spelled_ = fresh[order], spelled_[order]
-            to = d.bucket(u[one], w[one])
             out = []
-            by = np.lexsort((u[one], to))
-            ends = np.searchsorted(to[by], np.arange(d.buckets + 1))
+            by, ends = d.by_bucket(u[one], w[one])
             for b in range(d.buckets):
                 if len(i := by[ends[b] : ends[b + 1]]):
                     at = np.repeat(first[i], many[i]) + np.arange(many[i].sum()) - np.repeat(np.cumsum(many[i]) - many[i], many[i])

@@ -21,3 +21,11 @@ def test_words_are_those_of_plain_splitting(kind, folded):
         seen += part.column("i").to_pylist()
         assert part.num_rows == 1 or sum(map(len, texts)) <= 900
     assert seen == [*range(len(TEXTS)), *range(40, 73)]
+
+
+def test_hashes_depend_on_the_whole_word_alone():
+    words = [b"", b"a", b"a\0", b"\0a", b"abcdefgh", b"abcdefg", b"abcdefghi", b"abcdefghj", b"x" * 1000, b"x" * 1001, "é".encode()] + [str(i).encode() * (i % 5 + 1) for i in range(3000)]
+    words = list(dict.fromkeys(words))
+    whole = hashed(pa.array(words, pa.binary()))
+    assert len(set(whole.tolist())) == len(words)
+    assert (hashed(pa.array(words[::-1], pa.large_binary()))[::-1] == whole).all() and (hashed(pa.array(words).slice(7, 90)) == whole[7:97]).all()
