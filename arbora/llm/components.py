@@ -9,7 +9,7 @@ from arbora.llm.workspace import discard, stored
 
 
 #: Ways in which the links of a node are dealt, so that a node with very many is no task of its own.
-SALTS = 8
+SALTS = 16
 
 
 def _state(edges: DataFrame) -> tuple:

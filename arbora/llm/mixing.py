@@ -30,7 +30,7 @@ class Params:
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     slopes: tuple[float, ...] = (0.5, 0.0, -0.5)
     most: int = 3
-    per_class: int = 4_000
+    per_class: int = 1_500
 
 
 def targets(sizes: DataFrame, p: Params) -> DataFrame:

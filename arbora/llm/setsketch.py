@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.components import connected
+from arbora.llm.components import SALTS, connected
 from arbora.llm.text import few, hashed, mix, signed, split_words, tidy
 from arbora.llm.workspace import discard, stored
 
@@ -204,7 +204,10 @@ def _crowd_links(members: DataFrame, reps: DataFrame, docs: DataFrame, p: Params
     bodies = bodies.withColumn("rows", blocks(F.col("size"), F.col("volume")))
     rest = (F.col("size") - F.col("own")) / F.col("size")
     bodies = bodies.withColumn("heads", F.greatest(F.lit(1), F.least("rows", F.ceil(F.col("rows") * rest).cast("int"))))
-    placed = crowds.join(bodies.select("crowd", "body", "rows", "heads"), "crowd").withColumn("loose", F.col("part") != F.col("body"))
+    # a large crowd's members meet its facts in several tasks
+    facts = bodies.select("crowd", "body", "rows", "heads", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = crowds.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+    placed = salted.join(facts, ["crowd", "salt"]).withColumn("loose", F.col("part") != F.col("body"))
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     columns = ["rep", "part", "loose", "n", "registers"]
     heads = placed.where("loose").select("crowd", *columns, own("heads").alias("i"), F.explode(F.expr("sequence(0, rows - 1)")).alias("j"), F.lit(True).alias("head"))
