@@ -245,11 +245,23 @@ def count_words(docs: DataFrame, p: Params) -> DataFrame:
     return counted.groupBy("word").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
 
 
+def _gathered(parts: Iterator[pa.RecordBatch], most: int = 40_000) -> Iterator[pa.RecordBatch]:
+    """Batches of words put together, since each call of the draws costs the same for few words as for many."""
+    held: list[pa.RecordBatch] = []
+    for part in parts:
+        held.append(part)
+        if sum(x.num_rows for x in held) >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _symbols(types: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(codes, customers) of the spelling restaurants' top level: each table of a word spells it once."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in _gathered(parts):
             owner, codes = spelled(part.column("word"))
             some, index = np.unique(codes, return_inverse=True)
             n = np.bincount(index, part.column("t").to_numpy()[owner], len(some)).astype(np.int64)
@@ -264,7 +276,7 @@ def _seat_words(types: DataFrame, spelling: Spelling, p: Params, d: float, every
     shared = types.sparkSession.sparkContext.broadcast(spelling)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in _gathered(parts):
             base = np.exp(shared.value.log_words(part.column("word")))
             c, t = part.column("c").to_numpy(), part.column("t").to_numpy()
             t = draw_tables(c, np.maximum(everyone - t, 0), base, d, part.column("h").to_numpy().view(np.uint64), sweep, p)
