@@ -1,9 +1,10 @@
 """Embedding near-duplicates by an epsilon grid order join.
 
 Unit vectors are projected on the leading principal axes and sorted by label and grid cell, cells being as wide as the
-largest distance of a link. The sorted sequence is cut into blocks with bounding boxes. Pairs of sequence intervals
-are split again and again from the whole sequence down to blocks, and pairs whose boxes are provably farther apart
-than a link are dropped on the way. The remaining pairs of blocks are compared in full.
+largest distance of a link. The sorted sequence is cut into blocks with bounding boxes, and consecutive blocks travel
+together as tiles. Pairs of sequence intervals are split again and again from the whole sequence down to tiles and, in
+tasks, to blocks; pairs whose boxes are provably farther apart than a link are dropped on the way. The remaining pairs
+of blocks are compared in full.
 """
 
 from __future__ import annotations
@@ -26,14 +27,23 @@ from arbora.llm.workspace import stored
 
 @dataclass(frozen=True)
 class Params:
-    """cosine: least of a link. axes: of the grid. block: vectors in a block. sample: vectors that place the axes,
-    which decide what is skipped and never what is found. fan: parts into which an interval is split."""
+    """cosine: least of a link. axes: of the grid. block: vectors in a block. tile: bytes of vectors, in double precision,
+    that make a tile. sample: vectors that place the axes, which decide what is skipped and never what is found. fan:
+    parts into which an interval is split. partners: successive tiles that one task group compares a tile with. spread:
+    vectors that share a task while they are sorted."""
 
     cosine: float = 0.93
     axes: int = 8
     block: int = 512
+    tile: int = 2_000_000
     sample: int = 20_000
     fan: int = 8
+    partners: int = 4
+    spread: int = 20_000
+
+    def vectors(self, dim: int) -> int:
+        """Vectors of a tile: whole blocks, one at least."""
+        return max(1, self.tile // (8 * dim * self.block)) * self.block
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
@@ -59,9 +69,8 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "vec_id long, label string, dim int, h1 long, h2 long, vector binary")
 
 
-def _axes(vectors: DataFrame, p: Params) -> dict[int, np.ndarray]:
+def _axes(vectors: DataFrame, n: int, p: Params) -> dict[int, np.ndarray]:
     """Principal axes for each dimension that occurs in the sample; the first coordinates serve elsewhere."""
-    n = vectors.count()
     taken = vectors.where(F.pmod("h1", F.lit(1 << 20)) < math.ceil((1 << 20) * min(1.0, p.sample / max(n, 1)))).select("dim", "vector").toPandas()
     found = {}
     for dim, own in taken.groupby("dim"):
@@ -76,12 +85,18 @@ def unit(vectors: list[bytes], dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-BLOCKS = "part int, seq int, label string, dim int, lo array<double>, hi array<double>, ids array<long>, times array<long>, vectors binary"
+BLOCKS = "part int, seq int, label string, dim int, lo array<double>, hi array<double>, ids array<long>, times array<long>, single boolean, leaves binary, vectors binary"
+BODY = ("dim", "ids", "times", "single", "leaves", "vectors")
 
 
 def _blocks(reps: DataFrame, p: Params) -> DataFrame:
-    """The representatives in epsilon grid order, cut into blocks of one label and dimension."""
-    axes = reps.sparkSession.sparkContext.broadcast(_axes(reps, p))
+    """The representatives in epsilon grid order, cut into tiles of one label and dimension.
+
+    leaves holds the corners of the boxes of a tile's blocks. single: whether the vectors are stored in single precision,
+    which they are where that changes none of them.
+    """
+    n = reps.count()
+    axes = reps.sparkSession.sparkContext.broadcast(_axes(reps, n, p))
     width = math.sqrt(2 - 2 * p.cosine)
 
     def project(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +115,7 @@ def _blocks(reps: DataFrame, p: Params) -> DataFrame:
     placed = reps.select("label", "dim", "rep", "times", "vector").mapInArrow(project, "label string, dim int, rep long, times long, vector binary, at array<double>")
     cells = [F.floor(F.col("at")[k] / width).alias(f"cell{k}") for k in range(p.axes)]
     order = ["label", "dim", *(f"cell{k}" for k in range(p.axes)), "rep"]
-    ordered = placed.select("*", *cells).repartitionByRange(*order).sortWithinPartitions(*order).select("label", "dim", "rep", "times", "vector", "at")
+    ordered = placed.select("*", *cells).repartitionByRange(max(8, n // p.spread), *order).sortWithinPartitions(*order).select("label", "dim", "rep", "times", "vector", "at")
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, seq, held, kind = TaskContext.get().partitionId(), 0, [], None
@@ -108,14 +123,20 @@ def _blocks(reps: DataFrame, p: Params) -> DataFrame:
         def block():
             nonlocal seq
             at = np.array([r[3] for r in held])
-            row = (number, seq, *kind, at.min(0).tolist(), at.max(0).tolist(), [r[0] for r in held], [r[1] for r in held], b"".join(r[2] for r in held))
+            starts = np.arange(0, len(held), p.block)
+            leaves = np.stack([np.minimum.reduceat(at, starts), np.maximum.reduceat(at, starts)])
+            x = np.frombuffer(b"".join(r[2] for r in held), float)
+            with np.errstate(all="ignore"):
+                short = x.astype(np.float32)
+            single = bool((short == x).all())
+            row = (number, seq, *kind, at.min(0).tolist(), at.max(0).tolist(), [r[0] for r in held], [r[1] for r in held], single, leaves.tobytes(), (short if single else x).tobytes())
             seq += 1
-            types = (pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
-            return pa.record_batch([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=["part", "seq", "label", "dim", "lo", "hi", "ids", "times", "vectors"])
+            types = (pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.bool_(), pa.binary(), pa.binary())
+            return pa.record_batch([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=["part", "seq", "label", "dim", "lo", "hi", "ids", "times", "single", "leaves", "vectors"])
 
         for part in parts:
             for label, dim, *row in zip(*(part.column(c).to_pylist() for c in ("label", "dim", "rep", "times", "vector", "at")), strict=True):
-                if held and ((label, dim) != kind or len(held) == p.block):
+                if held and ((label, dim) != kind or len(held) == p.vectors(dim)):
                     yield block()
                     held = []
                 kind = (label, dim)
@@ -130,7 +151,7 @@ NEAR = "aggregate(transform(sequence(0, size(a.lo) - 1), k -> greatest(0D, a.lo[
 
 
 def _near_pairs(blocks: DataFrame, p: Params) -> DataFrame:
-    """(i, j) of the blocks that may hold a link, found from the whole sequence downwards."""
+    """(i, j) of the tiles that may hold a link, found from the whole sequence downwards; each is paired with itself."""
     limit = 2 - 2 * p.cosine + 1e-9
     nodes = blocks.select("node", F.struct("label", "dim").alias("first"), F.struct("label", "dim").alias("last"), "lo", "hi")
     levels, n = [nodes], nodes.count()
@@ -172,6 +193,31 @@ def compare(x: np.ndarray, y: np.ndarray, ids_x: np.ndarray, ids_y: np.ndarray,
     return np.concatenate([left, right]), np.concatenate([reach, over]), np.concatenate([n_left, n_right])
 
 
+@dataclass
+class Tile:
+    x: np.ndarray
+    ids: np.ndarray
+    times: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+
+    @classmethod
+    def of(cls, row: dict, p: Params) -> Tile:
+        x = np.frombuffer(row["vectors"], np.float32 if row["single"] else float).astype(float)
+        lo, hi = np.frombuffer(row["leaves"], float).reshape(2, -1, p.axes)
+        return cls(unit([x.tobytes()], row["dim"]), np.array(row["ids"], np.int64), np.array(row["times"], np.int64), lo, hi)
+
+    def meet(self, other: Tile, p: Params) -> Iterator[tuple[np.ndarray, ...]]:
+        """What compare() finds in each pair of near blocks of two tiles, or of one with itself."""
+        gap = np.maximum(0, np.maximum(self.lo[:, None] - other.hi, other.lo - self.hi[:, None]))
+        near = (gap**2).sum(2) <= 2 - 2 * p.cosine + 1e-9
+        for s, t in np.argwhere(np.triu(near) if self is other else near):
+            a, b = (slice(k * p.block, (k + 1) * p.block) for k in (s, t))
+            found = compare(self.x[a], other.x[b], self.ids[a], other.ids[b], self.times[a], other.times[b], p, self is other and s == t)
+            if len(found[0]):
+                yield found
+
+
 def near_duplicates(rows: DataFrame, p: Params = Params()) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each row of (vec_id, embedding, label); other columns are ignored.
 
@@ -192,23 +238,23 @@ def near_duplicates(rows: DataFrame, p: Params = Params()) -> DataFrame:
     numbers = rows.sparkSession.createDataFrame(offsets, "part int, begin long")
     blocks = blocks.join(numbers, "part").withColumn("node", F.col("begin") + F.col("seq"))
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for r in part.to_pylist():
-                if r["a"]["label"] != r["b"]["label"] or r["a"]["dim"] != r["b"]["dim"]:
-                    continue
-                x, y = (unit([r[s]["vectors"]], r[s]["dim"]) for s in "ab")
-                ids, times = ([np.array(r[s][c], np.int64) for s in "ab"] for c in ("ids", "times"))
-                found = compare(x, y, *ids, *times, p, r["i"] == r["j"])
-                if len(found[0]):
-                    yield pa.record_batch([pa.array(v) for v in found], schema=LINKS)
-
-    body = F.struct("label", "dim", "ids", "times", "vectors")
-    pairs = _near_pairs(blocks, p)
-    met = pairs.join(blocks.select(F.col("node").alias("i"), body.alias("a")), "i").join(blocks.select(F.col("node").alias("j"), body.alias("b")), "j")
-    # few rows, each a task's worth of arithmetic
-    met = met.repartition(max(1, min(2000, pairs.count() // 4)))
-    links = stored(met.mapInArrow(run, "a long, b long, n long"), "links")
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        i, chunk = (k.as_py() for k in key)
+        nodes = table.column("node").to_pylist()
+        own = Tile.of(table.slice(nodes.index(i), 1).to_pylist()[0], p)
+        found = list(own.meet(own, p)) if i // p.partners == chunk else []
+        for k, node in enumerate(nodes):
+            if node != i:
+                found += own.meet(Tile.of(table.slice(k, 1).to_pylist()[0], p), p)
+        return pa.Table.from_batches([pa.record_batch([pa.array(v) for v in f], schema=LINKS) for f in found], LINKS)
+
+    # a group brings its tile once, and once each of the few tiles after it that it meets
+    pairs = _near_pairs(blocks, p).withColumn("chunk", F.floor(F.col("j") / p.partners))
+    groups = stored(pairs.select("i", "chunk").distinct(), "groups")
+    n = groups.count()
+    wanted = groups.withColumn("node", F.col("i")).unionByName(pairs.where("i < j").select("i", "chunk", F.col("j").alias("node")))
+    met = wanted.join(blocks.select("node", *BODY), "node").repartition(max(1, min(n, 2000) + n // 16), "i", "chunk")
+    links = stored(met.groupBy("i", "chunk").applyInArrow(run, "a long, b long, n long"), "links")
     counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     parts_of = connected(links)
     known = classes.join(counts, "rep", "left").join(parts_of, F.col("rep") == F.col("node"), "left")

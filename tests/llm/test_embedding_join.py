@@ -29,8 +29,8 @@ def brute(rows, cosine=0.93):
     return {i: (n[i], find(i), find(i) == i) for i in root}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_equals_comparing_every_pair(spark, seed):
+@pytest.mark.parametrize(("seed", "tile"), [(1, 0), (2, 16 * 12 * 8 * 3)])
+def test_equals_comparing_every_pair(spark, seed, tile):
     rng = np.random.default_rng(seed)
     rows, centres = [], rng.normal(size=(25, 12))
     for _ in range(300):
@@ -40,7 +40,7 @@ def test_equals_comparing_every_pair(spark, seed):
     order = rng.permutation(len(rows))
     rows = [(int(i) * 3 + 1, *rows[k]) for i, k in enumerate(order)]
     frame = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, rep string")
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in ej.near_duplicates(frame, Params(block=16, fan=3, axes=3)).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in ej.near_duplicates(frame, Params(block=16, fan=3, axes=3, tile=tile, partners=2)).collect()}
     assert got == brute(rows)
 
 
