@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.llm import embedding_join, langid, mixing, packing, pitman_yor, quality, repeats, rollup, setsketch, toxicity
+from arbora.llm import embedding_join, filter_audit, langid, mixing, packing, pitman_yor, quality, repeats, rollup, setsketch, toxicity
 from arbora.llm.text import fold
 from arbora.llm.workspace import stored, table_path
 
@@ -102,6 +102,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP4_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e) AND isfinite(list_dot_product(e, e)) AND list_dot_product(e, e) > 0),
@@ -128,10 +132,38 @@ SELECT w.doc_id, coalesce(k.k, 0) AS n_shingles, component AS component_id, w.do
 FROM w JOIN c ON c.x = w.doc_id LEFT JOIN k ON k.doc_id = w.doc_id
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, doc_id > min(doc_id) OVER (PARTITION BY t) AS late FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(w) < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN coalesce(late, false) THEN 16 ELSE 0 END) AS mask
+  FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) f(f, b)),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND bit_count(a.b | b.b | c.b | d.b | e.b) = 5),
+s AS (SELECT filter_order, step, bits[step] AS own, CAST(list_sum(bits[1:step]) AS INTEGER) - bits[step] AS before FROM o, range(1, 6) r(step)),
+g AS (SELECT part, f.b AS own, sum(CASE WHEN (mask & f.b) <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END) AS shapley FROM c, f GROUP BY part, f.b)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+  CAST(sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+  CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+  CAST(sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+  CAST(any_value(shapley) AS BIGINT) AS shapley
+FROM c JOIN s ON true JOIN g USING (part, own) GROUP BY part, filter_order, step
+"""
+
 
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_embedding_join": OP4_SQL, "op5_rollup": OP5_SQL, "op6_setsketch": OP6_SQL}
+    return {"op4_embedding_join": OP4_SQL, "op5_rollup": OP5_SQL, "op6_setsketch": OP6_SQL, "op11_filter_audit": OP11_SQL}
