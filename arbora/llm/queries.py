@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.llm import embedding_join, filter_audit, langid, mixing, packing, pitman_yor, quality, repeats, rollup, setsketch, toxicity
-from arbora.llm.text import fold
+from arbora.llm import embedding_join, filter_audit, langid, mixing, packing, periodic, pitman_yor, quality, repeats, rollup, setsketch, toxicity
+from arbora.llm.text import fold, word_array
 from arbora.llm.workspace import stored, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,32 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def planted_text(doc_id: Column, text: Column) -> Column:
+    """text; with h = crc32(doc_id as text) divisible by 10, its words with a periodic end that h chooses."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def periodic_end(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        end = F.transform(F.sequence(a, n - 1), lambda i: F.get(w, a + (i - a) % p))
+        return F.when(n > 0, F.concat_ws(" ", F.slice(w, F.lit(1), a), end)).otherwise(text)
+
+    return F.when(h % 10 == 0, F.transform(F.array(word_array(text)), periodic_end)[0]).otherwise(text)
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic.collapse(docs.select("doc_id", planted_text(F.col("doc_id"), F.col("text")).alias("text")))
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    top, digest = F.col("top"), lambda c: F.sha2(c.cast("binary"), 256)
+    return found.withColumn("top", periodic.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"), top["period"].alias("period"),
+        F.floor(1000 * top["length"] / top["period"]).cast("long").alias("exponent_milli"), digest(F.array_join(lines, "")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 OP4_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e) AND isfinite(list_dot_product(e, e)) AND list_dot_product(e, e) > 0),
