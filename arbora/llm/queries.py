@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.llm import embedding_join, filter_audit, langid, mixing, packing, periodic, pitman_yor, quality, repeats, rollup, setsketch, toxicity
+from arbora.llm import ann, embedding_join, filter_audit, langid, mixing, packing, periodic, pitman_yor, quality, repeats, rollup, setsketch, toxicity
 from arbora.llm.text import fold, word_array
 from arbora.llm.workspace import stored, table_path
 
@@ -132,6 +132,10 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 OP4_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e) AND isfinite(list_dot_product(e, e)) AND list_dot_product(e, e) > 0),
