@@ -89,34 +89,104 @@ def stirling(most: int, d: float) -> np.ndarray:
     return out
 
 
-def arrivals(customers: np.ndarray, fresh: np.ndarray, d: float, keys: np.ndarray, sweep: int) -> np.ndarray:
-    """Tables after customers came in one after another; fresh: weight of a new table.
-
-    From the 33rd on they come in groups of a quarter of those seated, within which the chance of a new table is that of
-    the one in the middle and the number of new tables is normal.
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the gamma function of positive numbers, by Stirling's series from 10 on."""
+    x = np.asarray(x, float)
+    up = np.maximum(np.ceil(10 - x), 0)
+    shift = sum(np.where(k < up, np.log(x + k), 0.0) for k in range(int(up.max(initial=0))))
+    y = x + up
+    i = 1 / (y * y)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (1 / 12 - i * (1 / 360 - i * (1 / 1260 - i / 1680))) / y - shift
+
+
+def log_together(c: np.ndarray, t: np.ndarray, d: float, nodes: int = 32) -> np.ndarray:
+    """Logarithm of the probability that t tables have c customers together, each by itself with Sibuya's distribution.
+
+    The generating function of a table's customers is 1 - (1 - x) ** d, so that this is the generalised Stirling number of
+    c and t times t! d ** t / c!. It is Cauchy's integral of the t-th power, on a parabola in 1 - x through the saddle
+    point that opens along the branch cut, by the trapezoid rule in a variable in which the integrand falls off doubly
+    exponentially.
     """
-    tables, seated, turn = (customers > 0).astype(np.int64), 1, 0
-    while seated < customers.max(initial=0):
-        step = 1 if seated < 32 else seated // 4
-        at = np.flatnonzero(customers > seated)
-        come = np.minimum(customers[at] - seated, step)
-        chance = np.clip(fresh[at] / (fresh[at] + seated + (come - 1) / 2 - d * tables[at]), 0, 1)
-        x = uniform(keys[at], sweep << 20 | turn << 1)
-        if step == 1:
-            tables[at] += x < chance
-        else:
-            normal = np.sqrt(-2 * np.log(x)) * np.cos(2 * np.pi * uniform(keys[at], sweep << 20 | turn << 1 | 1))
-            tables[at] += np.clip(np.rint(come * chance + normal * np.sqrt(come * chance * (1 - chance))), 0, come).astype(np.int64)
-        seated, turn = seated + step, turn + 1
-    return tables
+    c, t = np.broadcast_arrays(np.asarray(c, float), np.asarray(t, float))
+    low, high = np.full(c.shape, np.log(1e-13)), np.full(c.shape, np.log(700.0))
+    for _ in range(48):  # the saddle is at exp(-y)
+        middle = (low + high) / 2
+        y = np.exp(middle)
+        beyond = np.log(t * d) + (1 - d) * y - np.log(-np.expm1(-d * y)) + np.log(-np.expm1(-y)) - np.log(c + 1) > 0
+        low, high = np.where(beyond, low, middle), np.where(beyond, middle, high)
+    saddle = np.exp(-np.exp(high))
+    z0 = np.maximum(saddle, np.minimum(0.5, 0.5 / c))
+    zd = z0**d
+    bend = (c + 1) / (1 - z0) ** 2 - t * (d * (d - 1) * zd / z0**2 * (1 - zd) + (d * zd / z0) ** 2) / (1 - zd) ** 2
+    width = np.where(bend > 0, np.minimum(1, 1 / (2 * z0 * np.sqrt(np.maximum(bend, 1e-300)))), 1.0)
+    most = np.sqrt(np.expm1(60 / (c + 1 - d * t)) / z0) + 12 * width
+    step = np.arcsinh(most / width) / nodes
+    v = step[..., None] * np.arange(nodes + 1)
+    u = width[..., None] * np.sinh(v)
+    z = z0[..., None] * (1 + 1j * u) ** 2
+    value = t[..., None] * np.log(1 - z**d) - (c[..., None] + 1) * np.log(1 - z)
+    top = value.real.max(-1, keepdims=True)
+    rows = (np.exp(value - top) * (1 + 1j * u)).real * np.cosh(v) * width[..., None]
+    rows[..., 0] /= 2
+    found = top[..., 0] + np.log(np.maximum(np.abs(rows.sum(-1)) * step * 2 * z0 / np.pi, 1e-300))
+    return np.where(t == c, c * np.log(d), found)
+
+
+def draw_many(c: np.ndarray, fresh: np.ndarray, base: np.ndarray, d: float, x: np.ndarray, points: int = 32) -> np.ndarray:
+    """Tables of dishes with so many customers that their Stirling numbers are not tabulated; x: a uniform draw of each.
+
+    fresh: weight of a first table over the discount. The weight of t is log-concave. Where up to `points` tables hold all
+    but exp(-30) of it, each number is weighed; elsewhere the range that does is found from geometric points, and in a
+    range of more than twice `points` the logarithm is interpolated between so many, beside the parabola that fits best.
+    """
+    out = np.ones(len(c), np.int64)
+
+    def weight(i: np.ndarray, t: np.ndarray) -> np.ndarray:
+        a = fresh[i][:, None]
+        return log_together(c[i][:, None], t, d) + log_gamma(a + t) - log_gamma(t + 1.0) + t * np.log(base[i])[:, None]
+
+    def drawn(i: np.ndarray, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+        share = np.cumsum(np.exp(w - w.max(-1, keepdims=True)), -1)
+        return np.take_along_axis(t, (share < (x[i] * share[:, -1])[:, None]).sum(1)[:, None], 1)[:, 0]
+
+    for at in np.array_split(np.arange(len(c)), max(1, len(c) // 250)):
+        grid = np.broadcast_to(np.arange(1.0, points + 1), (len(at), points))
+        w = weight(at, grid)
+        small = w[:, -1] < w.max(1) - 30
+        out[at[small]] = drawn(at[small], grid[small], w[small])
+        at = at[~small]
+        if not len(at):
+            continue
+        low, high = np.ones(len(at)), c[at].astype(float)
+        for n in (points, 2 * points):
+            grid = np.rint(np.exp(np.log(high)[:, None] * np.linspace(0, 1, n))) if n == points else np.rint(low[:, None] + (high - low)[:, None] * np.linspace(0, 1, n))
+            w = weight(at, grid)
+            near = w > w.max(1, keepdims=True) - 30
+            first, last = near.argmax(1), n - 1 - near[:, ::-1].argmax(1)
+            low, high = np.take_along_axis(grid, np.maximum(first - 1, 0)[:, None], 1)[:, 0], np.take_along_axis(grid, np.minimum(last + 1, n - 1)[:, None], 1)[:, 0]
+        grid = np.rint(low[:, None] + (high - low)[:, None] * np.linspace(0, 1, 2 * points))
+        w = weight(at, grid)
+        for k, i in enumerate(at.tolist()):
+            t, own = np.unique(grid[k], return_index=True)
+            v, every = w[k][own], np.arange(t[0], t[-1] + 1)
+            if len(every) > len(t):
+                place = lambda y: (y - t[0]) / (t[-1] - t[0])  # noqa: B023, E731
+                curve = np.polynomial.Polynomial.fit(place(t), v, 2)
+                v = np.interp(every, t, v - curve(place(t))) + curve(place(every))
+            out[i] = drawn(np.array([i]), every[None], v[None])[0]
+    return out
 
 
 def draw_tables(customers: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, keys: np.ndarray, sweep: int, p: Params) -> np.ndarray:
-    """Tables of each dish, given the tables of the other dishes of its restaurant and its base probability."""
+    """Tables of each dish, given the tables of the other dishes of its restaurant and its base probability.
+
+    All are drawn from the same distribution: the Stirling numbers come from a table up to `exact` customers, and from an
+    integral beyond.
+    """
     tables = (customers > 0).astype(np.int64)
     large = np.flatnonzero(customers > p.exact)
     if len(large):
-        tables[large] = arrivals(customers[large], (p.strength + d * others[large]) * base[large], d, keys[large], sweep)
+        tables[large] = draw_many(customers[large], p.strength / d + others[large], base[large], d, uniform(keys[large], sweep << 20))
     small = np.flatnonzero((customers > 1) & (customers <= p.exact))
     if not len(small):
         return tables

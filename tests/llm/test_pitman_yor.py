@@ -87,17 +87,35 @@ def test_tables_follow_the_chinese_restaurant():
     assert np.abs(np.bincount(got, minlength=c + 1)[1:] / n - want).max() < 0.01
 
 
-def test_large_dishes_come_in_one_after_another():
-    rng, d, fresh, n = np.random.default_rng(5), 0.4, 3.0, 400
-    want = []
-    for _ in range(400):
-        t = 1
-        for i in range(1, n):
-            t += rng.random() < fresh / (fresh + i - d * t)
-        want.append(t)
-    got = py.arrivals(np.full(400, n), np.full(400, fresh), d, np.arange(400, dtype=np.uint64), 1)
-    assert abs(np.mean(want) - got.mean()) < 0.05 * np.mean(want)
-    assert py.arrivals(np.array([0, 1]), np.array([1.0, 1.0]), d, np.arange(2, dtype=np.uint64), 1).tolist() == [0, 1]
+@pytest.mark.parametrize("d", [0.05, 0.3, 0.8, 0.95])
+def test_integrals_equal_the_stirling_recursion(d):
+    most = 700
+    ways = py.stirling(most, d)
+    for c in (20, 513, most):
+        t = np.array(sorted({*range(1, min(c, 40)), *range(40, c, 37), c}))
+        got = py.log_together(np.full(len(t), c), t, d) + py.log_gamma(np.array([c + 1.0])) - py.log_gamma(t + 1.0) - t * np.log(d)
+        np.testing.assert_allclose(got[t <= 0.9 * c], ways[c, t[t <= 0.9 * c]], atol=1e-4)
+        np.testing.assert_allclose(got, ways[c, t], atol=0.02)
+
+
+def exact_tables(c, others, base, d, p):
+    t = np.arange(1, c + 1)
+    w = py.stirling(c, d)[c, 1:] + np.cumsum(np.log(p.strength + d * (others + t - 1)) + np.log(base))
+    q = np.exp(w - w.max())
+    return q / q.sum()
+
+
+@pytest.mark.parametrize(("d", "base", "others"), [(0.8, 0.05, 50), (0.5, 0.2, 5), (0.8, 0.05, 0), (0.5, 0.01, 20_000), (0.3, 0.5, 2000)])
+def test_large_dishes_follow_the_same_distribution_as_small_ones(d, base, others):
+    """At 600 customers against all numbers of tables, and level with what the table of Stirling numbers gives at 512."""
+    p, n = py.Params(), 500
+    keys = np.arange(n, dtype=np.uint64) * np.uint64(977)
+    draw = lambda c, p=p: py.draw_tables(np.full(n, c), np.full(n, others), np.full(n, base), d, keys, 1, p)
+    want, got = exact_tables(600, others, base, d, p), draw(600)
+    cells = np.searchsorted(np.cumsum(want), py.uniform(keys, 1 << 20)) + 1
+    assert (np.abs(got - cells) <= 1).all() and (got == cells).mean() > 0.97  # the same uniform draws, inverted
+    assert draw(513).mean() == pytest.approx(draw(512).mean(), rel=0.01)
+    assert draw(40, py.Params(exact=16)).tolist() == draw(40).tolist()
 
 
 def test_no_rows_and_nothing_to_learn(spark):
