@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from arbora.functions import ranking as R
 from arbora.functions.constants import BANDS, FREEZE_AFTER, MOST_SWEEPS, SETTLED, SOLID
-from arbora.plans.tables import stored
+from arbora.plans.tables import discard, stored
 
 
 def reachable(edges: DataFrame, classes: DataFrame, root: str, most: int | None = None) -> DataFrame:
@@ -129,7 +129,8 @@ def solve(edges: DataFrame, sweeps: int, tolerance: float | None = None, freeze_
             if moved is None or moved < tolerance:
                 return new
             if sweep == freeze_after:
-                frozen = new.select("node", "bucket", "best_move")
+                frozen = stored(new.select("node", "bucket", "best_move"), "frozen")
+        discard(evals)
         evals = new
     if tolerance is not None:
         raise RuntimeError(f"values still move by {moved} after {sweeps} sweeps")

@@ -59,3 +59,17 @@ def join_months(left: DataFrame, right: DataFrame) -> DataFrame:
     inside = right.join(left.select("node").distinct(), "node", "left_semi")
     rows = sums(left, "o").join(sums(inside, "m"), ["node", "move"], "full")
     return rows.select("node", "move", *(F.coalesce(f"{x}_{c}", F.lit(0)).alias(f"{x}_{c}") for x in "om" for c in ("n", "ww", "d")))
+
+
+def add(edges: DataFrame, delta: DataFrame) -> DataFrame:
+    """edges with the counts of delta; rows of nodes that delta does not have are passed on without a sum."""
+    changed = delta.select("node").distinct()
+    both = edges.join(changed, "node", "left_semi").unionByName(delta.select(edges.columns))
+    summed = both.groupBy(*KEY).agg(*(F.sum(c).alias(c) for c in ("n", "ww", "d")))
+    return edges.join(changed, "node", "left_anti").select(*KEY, "n", "ww", "d").unionByName(summed)
+
+
+def reclassify(classes: DataFrame, edges: DataFrame, delta: DataFrame, drop: int = DROP, leaf: int = LEAF) -> DataFrame:
+    """classify() of the edges, of which only the nodes in delta have changed since the classes were made."""
+    changed = delta.select("node").distinct()
+    return classes.join(changed, "node", "left_anti").select("node", "total", "class").unionByName(classify(edges.join(changed, "node", "left_semi"), drop, leaf))

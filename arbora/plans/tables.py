@@ -5,9 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame
 
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
@@ -19,4 +22,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/arbora-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Removes stored() tables that nothing will read again; what is made of them has to be stored already."""
+    for df in tables:
+        if df is not None and (path := _PATHS.pop(df, None)):
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path.rpartition("/")[0])
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)

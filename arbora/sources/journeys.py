@@ -40,3 +40,9 @@ def plays(events: DataFrame, paths: bool = False, bands: int = BANDS) -> DataFra
     pick = lambda ended, moved: F.when(F.col("ended"), ended).otherwise(moved)
     ply = pick(F.col("ply") + 1, F.col("ply"))
     return rows.select("game_id", ply.alias("ply"), stm(ply).alias("stm"), pick(F.col("child"), F.col("node")).alias("node"), pick(F.lit(TERM), F.col("move")).alias("move"), F.when(~F.col("ended"), F.col("child")).alias("child"), "bucket", "ww", "d")
+
+
+def staged(rows: DataFrame, length: int) -> DataFrame:
+    """plays() whose nodes also say in which stage of so many plies they are reached: states of a later stage never lead back."""
+    stage = lambda c, ply: F.concat(c, F.lit("@"), F.floor(ply / length).cast("string"))
+    return rows.withColumns({"node": stage(F.col("node"), F.col("ply")), "child": stage(F.col("child"), F.col("ply") + 1)})
