@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from arbora.operators import components as K
 from arbora.operators import tally as T
 from arbora.plans.queries import CLASSES, GRAPH, PRIOR, SUMS, TREE, _edges, _plays, _step_sql, _with, query, rounded
-from arbora.plans.tables import stored
-from arbora.sources import journeys
+from arbora.plans.tables import shared_dir, stored
+from arbora.sources import journeys, tallies
 
 STAGE, SWEEPS, DEPTH = 3, 45, 10
 STAGED = [GRAPH[0], *GRAPH[1:4], GRAPH[4].replace("plays AS", "flat AS"), f"plays AS (SELECT game_id, ply, stm, node || '@' || ply // {STAGE} AS node, move, child || '@' || (ply + 1) // {STAGE} AS child, bucket, ww, d FROM flat)", GRAPH[5]]
@@ -73,6 +75,18 @@ def month_added(spark, sf_dir):
     return rounded(K.add_month(old, values, delta)[1].drop("stm"))
 
 
+@query(_with(*TREE, "t AS (SELECT node, sum(n) AS total FROM edges GROUP BY node)") + "SELECT e.* FROM edges e JOIN t USING (node) WHERE total >= 5")
+def merge_months_bucketed(spark, sf_dir):
+    """Two months as bucketed tables, merged bucket by bucket."""
+    names = [f"arbora_month_{uuid.uuid4().hex}" for _ in range(2)]
+    for name, month in zip(names, months(spark, sf_dir), strict=True):
+        tallies.write_bucketed(month, name, 8, f"{shared_dir(spark).rstrip('/')}/{name}")
+    merged = stored(tallies.merge_bucketed(spark, *names), "merged")
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return merged
+
+
 @query(_with(*TREE, CLASSES) + "SELECT * FROM classes")
 def month_reclassed(spark, sf_dir):
     old, delta = months(spark, sf_dir)

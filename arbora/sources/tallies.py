@@ -7,7 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arbora.functions import ranking as R
-from arbora.functions.constants import BANDS
+from arbora.functions.constants import BANDS, MERGE_FLOOR
+from arbora.operators.tally import KEY
+from arbora.plans.tables import stored
 
 ORDER = ["node", "move", "bucket"]
 
@@ -37,19 +39,53 @@ def read(spark: SparkSession, *folders: str, pattern: str = "agg-*") -> DataFram
     return spark.read.parquet(*(f"{f.rstrip('/')}/{pattern}" for f in folders))
 
 
+def write_bucketed(edges: DataFrame, table: str, buckets: int, path: str) -> None:
+    """A tally as a table of so many buckets by node, sorted within; months with as many buckets merge where they lie."""
+    rows = edges.select(*KEY, "n", "ww", "d").repartition(buckets, "node")  # one file a bucket
+    rows.write.bucketBy(buckets, "node").sortBy(*ORDER).option("path", path).saveAsTable(table)
+
+
+def merge_bucketed(spark: SparkSession, left: str, right: str, floor: int = MERGE_FLOOR) -> DataFrame:
+    """merge() of two tables by write_bucketed() with as many buckets each, without a shuffle: bucket meets bucket.
+
+    What a node has in each is gathered, joined by node and summed within the node, which has a row for each move and band.
+    """
+    rest, counts = [c for c in KEY if c != "node"], ["n", "ww", "d"]
+    cells = lambda t, x: spark.table(t).groupBy("node").agg(F.collect_list(F.struct(F.struct(*rest).alias("k"), *counts)).alias(x))
+    none = F.array().cast(cells(left, "l").schema["l"].dataType)
+    rows = cells(left, "l").join(cells(right, "r"), "node", "full").select("node", F.concat(F.coalesce("l", none), F.coalesce("r", none)).alias("rows"))
+    total = lambda rows, c: F.aggregate(rows, F.lit(0).cast("long"), lambda a, x: a + x[c])
+
+    def summed(k):
+        own = F.filter("rows", lambda x: x["k"].eqNullSafe(k))
+        return F.struct(k.alias("k"), *(total(own, c).alias(c) for c in counts))
+
+    keys = F.array_distinct(F.transform("rows", lambda x: x["k"]))
+    kept = rows.where(total(F.col("rows"), "n") >= floor).select("node", F.explode(F.transform(keys, summed)).alias("x"))
+    return kept.select("node", "x.k.*", *(f"x.{c}" for c in counts)).select(*KEY, *counts)
+
+
+def running_total(rows: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """rows with the sum of value over all rows before, in a total order: ranges are summed by themselves, and a table of
+    one row a range carries the sums of those before."""
+    ranged = stored(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged")
+    sums = ranged.groupBy("_range").agg(F.sum(value).alias("_all"))
+    before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = sums.select("_range", before("_all", W.orderBy("_range")).alias("_offset"))
+    own = ranged.withColumn("_own", before(value, W.partitionBy("_range").orderBy(*order)))
+    return own.join(F.broadcast(offsets), "_range").withColumn(name, F.col("_offset") + F.col("_own")).drop("_range", "_own", "_offset")
+
+
 def subtree_nodes(edges: DataFrame, depths: DataFrame) -> DataFrame:
     """(node, depth, white_to_move, is_leaf, n_moves, move_start) of the nodes in depths, in the order of depth and node.
 
-    A leaf has no real move to a node of the subtree. move_start: the moves of all nodes before, counted layer by layer.
+    A leaf has no real move to a node of the subtree. move_start: the moves of all nodes before.
     """
     inside = depths.select(F.col("node").alias("child"), F.lit(True).alias("inside"))
     moves = edges.select("node", "move", "child").distinct().join(depths, "node").join(inside, "child", "left")
     rows = moves.groupBy("node", "depth").agg(F.count("*").alias("n_moves"), (~F.coalesce(F.bool_or("inside"), F.lit(False))).alias("is_leaf"))
-    layers = rows.groupBy("depth").agg(F.sum("n_moves").alias("all"))
-    offset = F.coalesce(F.sum("all").over(W.orderBy("depth").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each depth
-    before = F.coalesce(F.sum("n_moves").over(W.partitionBy("depth").orderBy("node").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.join(layers.select("depth", offset.alias("offset")), "depth")
-    return rows.select("node", "depth", (F.substring("node", 1, 1) == "w").alias("white_to_move"), "is_leaf", "n_moves", (F.col("offset") + before).alias("move_start"))
+    rows = running_total(rows, ["depth", "node"], "n_moves", "move_start")
+    return rows.select("node", "depth", (F.substring("node", 1, 1) == "w").alias("white_to_move"), "is_leaf", "n_moves", "move_start")
 
 
 def subtree_moves(left: DataFrame, right: DataFrame, kinds: DataFrame) -> DataFrame:

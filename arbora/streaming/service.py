@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -44,6 +44,43 @@ def strict_totals(reports: DataFrame) -> DataFrame:
     return strict_reports(reports).where("accepted").select(F.explode("counts").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("total"))
 
 
+def _fs(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _log(spark: SparkSession, folder: str, batch: int) -> None:
+    fs, path = _fs(spark, f"{folder}/log/{batch}")
+    fs.mkdirs(path)
+
+
+def ingest(reports: DataFrame, folder: str, checkpoint: str):
+    """Starts a stream that adds the counters of accepted reports to a folder, each batch once.
+
+    A batch's sums go to a folder named after it, which a repeated batch writes anew, and count from the moment at which
+    the batch is in the log; a batch in the log is passed over. So a failure between any two steps adds nothing twice and
+    loses nothing, and a report that is refused adds nothing at all.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fs, path = _fs(spark, f"{folder}/log/{number}")
+        if not fs.exists(path):
+            strict_totals(batch).write.mode("overwrite").parquet(f"{folder}/counts/{number}")
+            _log(spark, folder, number)
+
+    return reports.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def ingested(spark: SparkSession, folder: str) -> DataFrame:
+    """(k, total) over the batches in the log."""
+    fs, path = _fs(spark, f"{folder}/log")
+    batches = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+    if not batches:
+        return spark.createDataFrame([], "k string, total long")
+    return spark.read.schema("k string, total long").parquet(*(f"{folder}/counts/{b}" for b in batches)).groupBy("k").agg(F.sum("total").alias("total"))
+
+
 def spend(tokens: float, seen: float, now: float) -> tuple[float, bool, float]:
     """(tokens left, allowed, seconds to wait) of a request at `now` against a bucket last seen at `seen`."""
     tokens = min(BURST, tokens + max(0.0, now - seen) * RATE)
