@@ -116,6 +116,26 @@ def _distance() -> Column:
 MOMENTS = [(j, k) for j in range(DIMENSIONS) for k in range(j + 1)]
 
 
+def _bound(value: Column, then) -> Column:
+    """then(value), with the value computed once, however often it occurs there."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _factor(p: Params, whole: float, known: tuple[Column, ...] = ()) -> Column:
+    """The Cholesky factor, in the order of MOMENTS, of the second moments q00, q10, ... around the centre m0, ..."""
+    if len(known) == len(MOMENTS):
+        return F.array(*known)
+    j, k = MOMENTS[len(known)]
+    value = whole * (F.col(f"q{j}{k}") - F.col(f"m{j}") * F.col(f"m{k}"))
+    if j == k:
+        floor = (p.floors[j] * UNIT) ** 2
+        value = F.greatest(value, F.lit(floor)) + floor / 400
+    at = lambda a, b: known[MOMENTS.index((a, b))]
+    for i in range(k):
+        value = value - at(j, i) * at(k, i)
+    return _bound(F.sqrt(value) if j == k else value / at(k, k), lambda x: _factor(p, whole, (*known, x)))
+
+
 def _estimate(classes: DataFrame, p: Params, whole: float) -> DataFrame:
     """Centre, Cholesky factor and its determinant of each group and start, from the moments of its nearest classes.
 
@@ -128,14 +148,8 @@ def _estimate(classes: DataFrame, p: Params, whole: float) -> DataFrame:
     total = lambda c: F.sum(F.col("part") * F.col(c)).alias(c)
     sums = near.groupBy("g", "s").agg(F.max("all").alias("size"), total("n"), *(total(f"s{j}") for j in range(DIMENSIONS)), *(total(f"s{j}{k}") for j, k in MOMENTS))
     sums = sums.select("g", "s", "size", *((F.col(f"s{j}") / F.col("n")).alias(f"m{j}") for j in range(DIMENSIONS)), *((F.col(f"s{j}{k}") / F.col("n")).alias(f"q{j}{k}") for j, k in MOMENTS))
-    for j, k in MOMENTS:
-        value = whole * (F.col(f"q{j}{k}") - F.col(f"m{j}") * F.col(f"m{k}"))
-        if j == k:
-            floor = (p.floors[j] * UNIT) ** 2
-            value = F.greatest(value, F.lit(floor)) + floor / 400
-        for i in range(k):
-            value = value - F.col(f"l{j}{i}") * F.col(f"l{k}{i}")
-        sums = sums.withColumn(f"l{j}{k}", F.sqrt(value) if j == k else value / F.col(f"l{k}{k}"))
+    sums = sums.withColumn("factor", _factor(p, whole))
+    sums = sums.select("g", "s", "size", *(f"m{j}" for j in range(DIMENSIONS)), *(F.col("factor")[i].alias(f"l{j}{k}") for i, (j, k) in enumerate(MOMENTS)))
     det = sum((F.log(f"l{j}{j}") for j in range(1, DIMENSIONS)), F.log("l00"))
     return sums.select("g", "s", "size", *(f"m{j}" for j in range(DIMENSIONS)), *(f"l{j}{k}" for j, k in MOMENTS), det.alias("det"))
 

@@ -121,3 +121,20 @@ def test_empty_table_and_good_documents(spark):
     good = [r for r in passed if label.get(r.doc_id) == 1]
     assert len(got) == 1000 and all(r.distance is not None for r in passed)
     assert sum(r.kept for r in good) >= 0.97 * len(good) and sum(not r.kept for r in passed) > 0
+
+
+def test_factor_is_the_cholesky_factor_and_stays_small(spark):
+    """Each element is computed once: the plan's text grows with their number, not with the ways to expand them."""
+    p = quality.Params()
+    rng = np.random.default_rng(2)
+    n = quality.DIMENSIONS
+    x = rng.standard_normal((50, n)) @ rng.standard_normal((n, n)) * 4000
+    m, q = x.mean(0), x.T @ x / len(x)
+    row = {f"m{j}": float(m[j]) for j in range(n)} | {f"q{j}{k}": float(q[j, k]) for j, k in quality.MOMENTS}
+    rows = spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} double" for c in row)).withColumn("f", quality._factor(p, 1.0))
+    cov = q - np.outer(m, m)
+    floors = np.array([(f * quality.UNIT) ** 2 for f in p.floors])
+    cov[np.diag_indices(n)] = np.maximum(np.diag(cov), floors) + floors / 400
+    want = np.linalg.cholesky(cov)
+    np.testing.assert_allclose(rows.first().f, [want[j, k] for j, k in quality.MOMENTS], rtol=1e-8)
+    assert len(rows._jdf.queryExecution().optimizedPlan().toString()) < 20_000
