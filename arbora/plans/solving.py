@@ -12,7 +12,7 @@ from arbora.plans.queries import CLASSES, GRAPH, PRIOR, SUMS, TREE, _edges, _pla
 from arbora.plans.tables import shared_dir, stored
 from arbora.sources import journeys, tallies
 
-STAGE, SWEEPS, DEPTH = 3, 45, 10
+STAGE, SWEEPS, DEPTH = 3, 90, 10
 STAGED = [GRAPH[0], *GRAPH[1:4], GRAPH[4].replace("plays AS", "flat AS"), f"plays AS (SELECT game_id, ply, stm, node || '@' || ply // {STAGE} AS node, move, child || '@' || (ply + 1) // {STAGE} AS child, bucket, ww, d FROM flat)", GRAPH[5]]
 _LINKS = "links AS (SELECT DISTINCT node, child FROM edges WHERE move NOT IN ('(TERM)', '(AGG)') AND child <> node AND child IN (SELECT node FROM edges))"
 _PARTS = ["reach AS (SELECT node AS x, node AS y FROM (SELECT DISTINCT node FROM edges) UNION SELECT r.x, l.child FROM reach r JOIN links l ON l.node = r.y)", "parts AS (SELECT a.x AS node, min(a.y) AS component FROM reach a JOIN reach b ON a.x = b.y AND a.y = b.x GROUP BY a.x)", "sizes AS (SELECT component, count(*) AS size FROM parts GROUP BY component)"]
@@ -50,9 +50,9 @@ def component_layers(spark, sf_dir):
     return K.layers(edges, stored(K.strong_components(edges), "components"))
 
 
-@query(_swept(*STAGED, sweeps=SWEEPS) + f"SELECT node, bucket, best_move, round(eval_w, 3) AS eval_w, round(eval_b, 3) AS eval_b FROM v{SWEEPS}")
+@query(_swept(*STAGED, sweeps=SWEEPS) + f"SELECT node, bucket, best_move, round(eval_w, 4) AS eval_w, round(eval_b, 4) AS eval_b FROM v{SWEEPS}")
 def solve_by_component(spark, sf_dir):
-    return rounded(K.solve_by_component(_staged(spark, sf_dir), 1e-5)[0].drop("stm"), 3)
+    return rounded(K.solve_by_component(_staged(spark, sf_dir), 1e-9)[0].drop("stm"), 4)
 
 
 @query(_recursive(*STAGED, _LINKS, *_PARTS) + "SELECT count(*) AS components, count(*) FILTER (size > 1) AS cyclic, max(size) AS largest FROM sizes")
