@@ -298,7 +298,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     docs has doc_id and text; other columns are ignored. A document with fewer words than a shingle has its whole
     sequence as its one shingle; without words it has none and links with nothing. Documents with equal sets form one
     class, and only its smallest id is compared with others. Rows with the same doc_id are one document, linked where
-    any of them is; a null doc_id links with nothing, has a null component and is kept. Of no rows, none.
+    any of them is, even those without words; a null doc_id links with nothing, has a null component and is kept. Of no rows, none.
     """
     sk = stored(sketches(docs, p), "sketches")
     filled = sk.where("n > 0 and doc_id is not null")
@@ -341,7 +341,9 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     discard(every, rest, best, linked, crowd_links)
     named = classes.join(final, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("class_component"))
     out = sk.drop("registers").join(named, same, "left")
-    # rows that share an id share a component
-    out = out.withColumn("own", F.when(F.col("n") > 0, F.col("class_component")).otherwise(F.col("doc_id")))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("own", "doc_id"))
+    # rows that share an id share a component, those without words too
+    bare = sk.where("coalesce(n, 0) = 0 and doc_id is not null").select("doc_id").distinct()
+    beside = filled.join(bare, "doc_id", "left_semi").join(named, same).groupBy("doc_id").agg(F.min("class_component").alias("beside"))
+    out = out.join(beside, "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("class_component")), "beside", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

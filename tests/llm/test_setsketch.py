@@ -62,6 +62,12 @@ def test_no_documents_and_null_ids(spark):
     assert got == [(1, 1, True), (1, 1, True), (None, None, True)]
 
 
+def test_rows_of_one_id_share_a_component(spark):
+    frame = spark.createDataFrame([(2, None), (2, "a b c d e f"), (2, " "), (1, "a b c d e f"), (3, ""), (None, "")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in setsketch.near_duplicates(frame).collect()), key=str)
+    assert got == [(1, 1, True), (2, 1, False), (2, 1, False), (2, 1, False), (3, 3, True), (None, None, True)]
+
+
 def test_sketches_merge_and_estimate():
     s = Sketcher(Params(registers=2048))
     rng = np.random.default_rng(1)
