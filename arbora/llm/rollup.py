@@ -128,7 +128,7 @@ class Rollup:
 
     def _write(self, sums: DataFrame) -> str:
         folder = f"data-{uuid.uuid4().hex}"
-        sums.coalesce(1).write.parquet(f"{self.path}/{folder}")
+        sums.write.parquet(f"{self.path}/{folder}")
         return folder
 
     def _sums(self, folders: list[str]) -> DataFrame:
