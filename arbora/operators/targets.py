@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arbora.functions import ranking as R
-from arbora.functions.constants import BANDS
+from arbora.functions.constants import AGG, BANDS, TERM
 from arbora.operators.analysis import shares
 from arbora.plans.tables import stored
 
@@ -53,13 +53,14 @@ def _dense(alive: DataFrame) -> DataFrame:
     return alive.select("node", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("bucket"))
 
 
-def policy_values(edges: DataFrame, layers: DataFrame, plies: int, policy: str, plan: list[str] | None = None, hero: str = "w") -> DataFrame:
+def policy_values(edges: DataFrame, layers: DataFrame, plies: int, policy: str, plan: list[str] | None = None, hero: str = "w", book: DataFrame | None = None) -> DataFrame:
     """(ply, node, bucket, value): chance of reaching the target from each alive node of a layer, in every band.
 
     The crowd moves by its shares. The hero, by policy: `best` picks the alive child of the largest value; `plan` the
-    alive move that stands first in the plan, or none; `field` moves like the crowd among its alive moves.
+    alive move that stands first in the plan, or none; `field` moves like the crowd among its alive moves. Shares come from
+    `book`, if given.
     """
-    steps, field = stored(_steps(edges), "steps"), stored(shares(edges).where(R.is_real(F.col("move"))), "shares")
+    steps, field = stored(_steps(edges), "steps"), stored(shares(edges if book is None else book).where(R.is_real(F.col("move"))), "shares")
     own = F.substring("node", 1, 1) == hero
     last = layers.where(f"alive and ply = {plies}").select("node")
     value = stored(_dense(last).withColumn("value", F.lit(1.0)), "value")
@@ -111,3 +112,61 @@ def in_the_wild(edges: DataFrame, root: str, target: str) -> DataFrame:
     games = edges.where(F.col("node").isin(root, target)).groupBy("bucket")
     rows = games.agg(*(F.coalesce(F.sum(F.when(F.col("node") == n, F.col("n"))), F.lit(0)).alias(f"{c}_games") for n, c in ((root, "root"), (target, "target"))))
     return rows.where("root_games > 0").withColumn("ratio", F.col("target_games") / F.col("root_games"))
+
+
+SINKS = ["crowd_deviated", "ended", "pooled", "off_book", "band_dry", "hero_stuck", "hero_unplayed"]
+
+
+def _hero_moves(steps: DataFrame, alive: DataFrame, policy: str, ahead: DataFrame | None, plan: list[str] | None) -> DataFrame:
+    """(node, bucket, child): where the hero goes from a node in each band, by the plan or by the best value ahead."""
+    open_ = steps.join(alive, "child", "left_semi")
+    if policy == "plan":
+        place = F.array_position(F.array(*map(F.lit, plan or [""])), F.col("move"))
+        first = open_.withColumn("place", place).where("place > 0").groupBy("node").agg(F.min_by("child", "place").alias("child"))
+        return first.select("node", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("bucket"), "child")
+    order = F.struct((-F.round("value", 12)).alias("value"), F.col("move"))
+    return open_.join(ahead, "child").groupBy("node", "bucket").agg(F.min_by("child", order).alias("child"))
+
+
+def hero_flow(edges: DataFrame, book: DataFrame, layers: DataFrame, plies: int, policy: str, plan: list[str] | None = None, hero: str = "w", endings: bool = False) -> DataFrame:
+    """(bucket, sink, mass) of one unit of games in each band from the root of `layers`: `arrived`, or one of SINKS.
+
+    edges are the moves that layers were made of; shares come from `book`, which may lack nodes, bands and moves of them.
+    The crowd leaves by a move that gives the target up, by an end or a pooled move, where the book lacks the node, or
+    where the node has no games of the band. The hero, by policy (see policy_values): is stuck where no move is left that
+    the policy would take; under `field`, is unplayed where the book has none of the alive moves in the band. endings:
+    under `field` the hero's band may also end the game. Masses of a band add up to one; without a living root, no rows.
+    """
+    steps, field = stored(_steps(edges), "steps"), stored(shares(book), "shares")
+    known = stored(field.select("node").distinct().withColumn("known", F.lit(True)), "known")
+    values = stored(policy_values(edges, layers, plies, "best", hero=hero, book=book), "values") if policy == "best" else None
+    own = F.substring("node", 1, 1) == hero
+    at, done = _dense(layers.where("ply = 0 and alive")).withColumn("mass", F.lit(1.0)), []
+    for ply in range(plies):
+        alive = layers.where(f"alive and ply = {ply + 1}").select(F.col("node").alias("child"))
+        on = alive.withColumn("on", F.lit(True))
+        played = at.join(field, ["node", "bucket"], "left").join(on, "child", "left").join(known, "node", "left")
+        ends = F.when(F.col("move") == TERM, "ended").when(F.col("move") == AGG, "pooled")
+        lost = F.when(F.col("known").isNull(), "off_book").when(F.col("move").isNull(), "band_dry")
+        crowd = played.where(~own).select("bucket", F.col("child").alias("to"), F.coalesce(lost, ends, F.when(F.col("on").isNull(), "crowd_deviated")).alias("sink"), (F.col("mass") * F.coalesce("share", F.lit(1.0))).alias("mass"))
+        if policy == "field":
+            open_ = F.col("on").isNotNull() | (F.col("move") == TERM) if endings else F.col("on").isNotNull()
+            weighed = played.where(own).withColumn("weight", F.when(open_, F.col("share")).otherwise(0.0))
+            sums = weighed.groupBy("node", "bucket").agg(F.sum("weight").alias("all"))
+            moved = weighed.where("weight > 0").join(sums, ["node", "bucket"])
+            mine = moved.select("bucket", F.col("child").alias("to"), ends.alias("sink"), (F.col("mass") * F.col("weight") / F.col("all")).alias("mass"))
+            unplayed = at.where(own).join(sums.where("all > 0"), ["node", "bucket"], "left_anti")
+            mine = mine.unionByName(unplayed.select("bucket", F.lit(None).cast("string").alias("to"), F.lit("hero_unplayed").alias("sink"), "mass"))
+        else:
+            ahead = values.where(f"ply = {ply + 1}").select(F.col("node").alias("child"), "bucket", "value") if values else None
+            chosen = at.where(own).join(_hero_moves(steps, alive, policy, ahead, plan), ["node", "bucket"], "left")
+            mine = chosen.select("bucket", F.col("child").alias("to"), F.when(F.col("child").isNull(), "hero_stuck").alias("sink"), "mass")
+        # where a mass ends does not matter, only how
+        out = crowd.unionByName(mine).groupBy("bucket", F.when(F.col("sink").isNull(), F.col("to")).alias("node"), "sink").agg(F.sum("mass").alias("mass"))
+        out = stored(out, "flow")
+        done.append(out.where("sink is not null").select("bucket", "sink", "mass"))
+        at = out.where("sink is null").select("node", "bucket", "mass")
+    total = at.select("bucket", F.lit("arrived").alias("sink"), "mass")
+    for rows in done:
+        total = total.union(rows)
+    return total.groupBy("bucket", "sink").agg(F.sum("mass").alias("mass")).where("mass > 0")

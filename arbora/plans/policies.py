@@ -77,6 +77,47 @@ def _policy(policy: str):
 policy_field, policy_best, policy_plan = map(_policy, ("field", "best", "plan"))
 
 
+def _hero_flow_sql(policy: str, endings: bool = False) -> list[str]:
+    out = [CLASSES, _POOL, "book AS (SELECT node, stm, move, child, bucket, sum(n) AS n FROM pooled GROUP BY ALL HAVING sum(n) >= 4)", "known AS (SELECT DISTINCT node FROM book)"]
+    out += _policy_sql("best") if policy == "best" else [SHARES, "bands AS (SELECT unnest(range(9))::INT AS bucket)"]
+    out = [SHARES.replace("FROM edges", "FROM book") if x == SHARES else x for x in out]
+    out.append("f0 AS (SELECT node, bucket, 1.0::DOUBLE AS mass FROM a0, bands)")
+    for k in range(PLIES):
+        met = f"f{k} f LEFT JOIN shares s USING (node, bucket) LEFT JOIN a{k + 1} a ON a.node = s.child"
+        open_ = "(a.node IS NOT NULL OR s.move = '(TERM)')" if endings else "a.node IS NOT NULL"
+        ends = "WHEN s.move = '(TERM)' THEN 'ended' WHEN s.move = '(AGG)' THEN 'pooled'"
+        crowd = f"SELECT f.bucket, s.child AS node, CASE WHEN k.node IS NULL THEN 'off_book' WHEN s.move IS NULL THEN 'band_dry' {ends} WHEN a.node IS NULL THEN 'crowd_deviated' END AS sink, mass * coalesce(share, 1.0) AS mass FROM {met} LEFT JOIN known k ON k.node = f.node WHERE left(f.node, 1) = 'b'"
+        if policy == "field":
+            out.append(f"g{k} AS (SELECT f.node, f.bucket, f.mass, coalesce(sum(share) FILTER ({open_}), 0.0) AS total FROM {met} WHERE left(f.node, 1) = 'w' GROUP BY ALL)")
+            mine = f"SELECT bucket, NULL, 'hero_unplayed', mass FROM g{k} WHERE total = 0 UNION ALL SELECT f.bucket, s.child, CASE {ends} END, mass * share / total FROM {met.replace(f'f{k} f', f'g{k} f')} WHERE total > 0 AND {open_}"
+        else:
+            to = f"steps s JOIN a{k + 1} a ON a.node = s.child"
+            out.append(
+                f"p{k} AS (SELECT node, bucket, child FROM (SELECT s.node, v.bucket, s.child, row_number() OVER (PARTITION BY s.node, v.bucket ORDER BY -round(value, 12), move) AS rk FROM {to} JOIN v{k + 1} v ON v.node = s.child) WHERE rk = 1)"
+                if policy == "best"
+                else f"p{k} AS (SELECT * FROM (SELECT s.node, min_by(s.child, list_position({PLAN}, move)) AS child FROM {to} WHERE list_contains({PLAN}, move) GROUP BY s.node), bands)"
+            )
+            mine = f"SELECT f.bucket, p.child, CASE WHEN p.child IS NULL THEN 'hero_stuck' END, mass FROM f{k} f LEFT JOIN p{k} p USING (node, bucket) WHERE left(f.node, 1) = 'w'"
+        out.append(f"o{k} AS ({crowd} UNION ALL {mine})")
+        out.append(f"f{k + 1} AS (SELECT node, bucket, sum(mass) AS mass FROM o{k} WHERE sink IS NULL GROUP BY ALL)")
+    sinks = " UNION ALL ".join(f"SELECT bucket, sink, mass FROM o{k} WHERE sink IS NOT NULL" for k in range(PLIES))
+    return [*out, f"flow AS (SELECT bucket, sink, sum(mass) AS mass FROM (SELECT bucket, 'arrived' AS sink, mass FROM f{PLIES} UNION ALL {sinks}) GROUP BY ALL HAVING sum(mass) > 0)"]
+
+
+def _hero_flow(policy: str, endings: bool = False):
+    def run(spark, sf_dir):
+        edges, layers = _layers(spark, sf_dir)
+        book = stored(T.pool(edges, T.classify(edges)).where("n >= 4"), "book")
+        return rounded(X.hero_flow(edges, book, layers, PLIES, policy, PLAN, endings=endings))
+
+    run.__name__ = f"hero_flow_{policy}{'_endings' if endings else ''}"
+    return query(_with(*LAYERS, *_hero_flow_sql(policy, endings)) + "SELECT bucket, sink, round(mass, 6) AS mass FROM flow")(run)
+
+
+hero_flow_field, hero_flow_best, hero_flow_plan = map(_hero_flow, ("field", "best", "plan"))
+hero_flow_field_endings = _hero_flow("field", True)
+
+
 def _commitment_sql() -> list[str]:
     out = [SHARES, "bands AS (SELECT unnest(range(9))::INT AS bucket)", f"m0 AS (SELECT node, bucket, 1.0::DOUBLE AS mass FROM a0, bands WHERE node = '{ROOT}')"]
     for k in range(PLIES):

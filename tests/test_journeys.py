@@ -120,6 +120,33 @@ def test_draws_are_even_and_unrelated(spark):
     assert abs(r.m - 0.5) < 0.01 and abs(r.v - 1 / 12) < 0.003 and abs(r.c) < 0.03 and abs(r.both - 0.04) < 0.006
 
 
+def test_hero_flow_names_every_sink(spark):
+    """Masses by hand: the hero (w) moves from r; at b:x the crowd replies."""
+    schema = "node string, stm string, move string, child string, bucket int, n long, ww long, d long"
+    rows = [("w:r", "a", "b:x", 6), ("w:r", "c", "b:y", 2), ("w:r", "e", "b:z", 2), ("b:x", "t", "w:T", 5), ("b:x", "u", "w:O", 2), (("b:x"), TERM, None, 2), ("b:x", AGG, None, 1), ("b:y", "t", "w:T", 3), ("b:z", "o", "w:O", 9)]
+    edges = spark.createDataFrame([(n, n[0], m, c, 0, k, 0, 0) for n, m, c, k in rows] + [("b:y", "b", "t", "w:T", 1, 4, 0, 0), ("w:r", "w", "e", "b:z", 2, 4, 0, 0), ("w:r", "w", "a", "b:x", 3, 1, 0, 0), ("w:r", "w", TERM, None, 3, 3, 0, 0)], schema)
+    layers = targets.target_layers(edges, "w:r", "w:T", 2)
+    book = edges.where("node <> 'b:y'")
+
+    def flow(policy, plan=None, **more):
+        got = {}
+        for r in targets.hero_flow(edges, book, layers, 2, policy, plan, **more).collect():
+            got.setdefault(r.bucket, {})[r.sink] = round(r.mass, 9)
+        assert all(abs(sum(x.values()) - 1) < 1e-9 for x in got.values()) and len(got) == 9
+        return got
+
+    field = flow("field")
+    assert field[0] == {"arrived": 0.375, "crowd_deviated": 0.15, "ended": 0.15, "pooled": 0.075, "off_book": 0.25}
+    assert field[2] == field[5] == {"hero_unplayed": 1.0} and field[3] == {"band_dry": 1.0}
+    assert flow("field", endings=True)[3] == {"ended": 0.75, "band_dry": 0.25}
+    best = flow("best")
+    assert best[0] == {"arrived": 0.5, "crowd_deviated": 0.2, "ended": 0.2, "pooled": 0.1} and best[1] == {"band_dry": 1.0}
+    assert flow("plan", ["e", "c"])[0] == {"off_book": 1.0} and flow("plan", ["e"])[0] == {"hero_stuck": 1.0}
+    values = {r.bucket: r.value for r in targets.policy_values(edges, layers, 2, "best", book=book).where("ply = 0").collect()}
+    assert all(abs(values[b] - best[b].get("arrived", 0.0)) < 1e-9 for b in values)
+    assert targets.hero_flow(edges, book, targets.target_layers(edges, "w:r", "w:nowhere", 2), 2, "field").count() == 0
+
+
 def test_playouts_count_every_stop(spark):
     """One band, whole numbers: each arm meets the stop that its moves lead to."""
     data = [("w:r", "w", "a", "b:a", 10), ("w:r", "w", "b", "b:gone", 30), ("w:r", "w", TERM, None, 5), ("b:a", "b", AGG, None, 4), ("b:a", "b", "c", "w:c", 6), ("w:c", "w", TERM, None, 6)]
