@@ -120,6 +120,17 @@ def draw_tables(edges: DataFrame) -> DataFrame:
     return edges.select("node", "bucket", "move", "child", "n", "ww", "d", (to - F.col("n")).alias("low"), to.alias("high"), F.sum("n").over(w).alias("all"))
 
 
+def draw_rows(edges: DataFrame) -> DataFrame:
+    """One row for each node and band: all, ww and d in sum, and options (high, move, child, n, ww, d) in order of moves.
+
+    high is the running count of games, so that a draw looks into one row; a row holds as many options as its node has
+    moves.
+    """
+    option = F.struct("high", "move", "child", "n", "ww", "d")
+    sums = [F.max("all").alias("all"), F.sum("ww").alias("ww"), F.sum("d").alias("d")]
+    return draw_tables(edges).groupBy("node", "bucket").agg(*sums, F.sort_array(F.collect_list(option)).alias("options"))
+
+
 def sample_nodes(edges: DataFrame, per_side: int, least: int) -> DataFrame:
     """The same number of nodes for each band and side to move, without replacement, by a hash of the name."""
     rows = edges.groupBy("node", "stm", "bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)

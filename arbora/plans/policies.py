@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from arbora.functions.constants import COUNTERS
@@ -14,8 +16,8 @@ from arbora.operators import targets as X
 from arbora.operators import view as V
 from arbora.plans.queries import CLASSES, GRAPH, ONE, ROOT, SHARES, SOLVE, SWEEPS, TARGET, TREE, _edges, _step_sql, _table, _with, query, rounded
 from arbora.plans.queries import _BEST, _CAL, _POOL, _SPREAD, PRIOR, SUMS
-from arbora.plans.tables import stored
-from arbora.sources import tallies
+from arbora.plans.tables import shared_dir, stored
+from arbora.sources import flags, tallies
 from arbora.streaming import service
 
 PLIES, PLAN = 5, ["view", "purchase", "signup", "click"]
@@ -151,22 +153,23 @@ TOP = "w:^/"
 _DRAWS = "draws AS (SELECT *, h - n AS low, h AS high FROM (SELECT *, sum(n) OVER (PARTITION BY node, bucket ORDER BY move ROWS UNBOUNDED PRECEDING) AS h, sum(n) OVER (PARTITION BY node, bucket) AS total FROM edges))"
 
 
-def _playout_sql() -> list[str]:
+def _playout_sql(starts: list[str] | None = None) -> list[str]:
+    """starts: expressions that end in starts(bucket, start, hero, place); None: the root, for White."""
     out = [*_TREE_POOLED, SUMS, PRIOR, *_step_sql(1, None), _DRAWS, "totals AS (SELECT node, bucket, sum(n) AS n, sum(ww) AS ww, sum(d) AS d FROM edges GROUP BY ALL)"]
     out.append(f"chosen AS (SELECT node, bucket, 'policy' AS arm, best_move AS move FROM pick1 UNION ALL SELECT node, bucket, 'popular', move FROM (SELECT *, row_number() OVER (PARTITION BY node, bucket ORDER BY n DESC, move) AS rk FROM edges WHERE {REAL}) WHERE rk = 1)")
-    out.append(f"arms AS (SELECT unnest(['crowd', 'policy', 'popular']) AS arm, unnest([0, 1, 2]) AS nr), w0 AS (SELECT DISTINCT bucket, node, arm, nr, g.game FROM draws, arms, (SELECT unnest(range({GAMES})) AS game) g WHERE node = '{TOP}')")
+    out.append(f"arms AS (SELECT unnest(['crowd', 'policy', 'popular']) AS arm, unnest([0, 1, 2]) AS nr), {', '.join(starts or [f"starts AS (SELECT DISTINCT bucket, node AS start, 'w' AS hero, 0 AS place FROM edges WHERE node = '{TOP}')"])}, w0 AS (SELECT bucket, start AS node, start, hero, place, arm, nr, g.game FROM starts, arms, (SELECT unnest(range({GAMES})) AS game) g)")
     for k in range(CAP):
-        u = _uniform_sql("w.bucket * 7919", "w.game", str(k * 31), "w.nr * 101")
-        out.append(f"c{k} AS (SELECT w.bucket, w.arm, w.nr, w.game, w.node, d.move, d.child, d.n, d.ww, d.d FROM w{k} w JOIN draws d USING (node, bucket) WHERE (left(w.node, 1) <> 'w' OR w.arm = 'crowd') AND d.low <= {u} * d.total AND {u} * d.total < d.high UNION ALL SELECT w.bucket, w.arm, w.nr, w.game, w.node, d.move, d.child, d.n, d.ww, d.d FROM w{k} w LEFT JOIN chosen p ON p.node = w.node AND p.bucket = w.bucket AND p.arm = w.arm LEFT JOIN draws d ON d.node = w.node AND d.bucket = w.bucket AND d.move = p.move WHERE left(w.node, 1) = 'w' AND w.arm <> 'crowd')")
+        u = _uniform_sql("w.bucket * 7919", "w.game", f"({k * 31} + w.place * 613)", "w.nr * 101")
+        out.append(f"c{k} AS (SELECT w.bucket, w.start, w.hero, w.place, w.arm, w.nr, w.game, w.node, d.move, d.child, d.n, d.ww, d.d FROM w{k} w JOIN draws d USING (node, bucket) WHERE (left(w.node, 1) <> w.hero OR w.arm = 'crowd') AND d.low <= {u} * d.total AND {u} * d.total < d.high UNION ALL SELECT w.bucket, w.start, w.hero, w.place, w.arm, w.nr, w.game, w.node, d.move, d.child, d.n, d.ww, d.d FROM w{k} w LEFT JOIN chosen p ON p.node = w.node AND p.bucket = w.bucket AND p.arm = w.arm LEFT JOIN draws d ON d.node = w.node AND d.bucket = w.bucket AND d.move = p.move WHERE left(w.node, 1) = w.hero AND w.arm <> 'crowd')")
         out.append(f"s{k} AS (SELECT c.*, t.n AS tn, t.ww AS tww, t.d AS td, CASE WHEN c.move IS NULL THEN 'no_move' WHEN c.move = '(TERM)' THEN 'ended' WHEN c.move = '(AGG)' THEN 'pooled' WHEN x.node IS NULL THEN 'unseen_child' END AS stop FROM c{k} c JOIN totals t USING (node, bucket) LEFT JOIN totals x ON x.node = c.child AND x.bucket = c.bucket)")
-        out.append(f"w{k + 1} AS (SELECT bucket, child AS node, arm, nr, game FROM s{k} WHERE stop IS NULL)")
-    parts = [f"SELECT bucket, arm, nr, game, stop, CASE WHEN stop IN ('ended', 'pooled', 'no_move') THEN {k} ELSE {k + 1} END AS plies, CASE WHEN stop = 'no_move' THEN tn ELSE n END AS n, CASE WHEN stop = 'no_move' THEN tww ELSE ww END AS ww, CASE WHEN stop = 'no_move' THEN td ELSE d END AS d FROM s{k} WHERE stop IS NOT NULL" for k in range(CAP)]
-    parts.append(f"SELECT w.bucket, arm, nr, game, 'ply_cap', {CAP}, n, ww, d FROM w{CAP} w JOIN totals USING (node, bucket)")
-    u = _uniform_sql("bucket * 104729", "game", "17", "nr * 101")
+        out.append(f"w{k + 1} AS (SELECT bucket, child AS node, start, hero, place, arm, nr, game FROM s{k} WHERE stop IS NULL)")
+    parts = [f"SELECT bucket, start, hero, place, arm, nr, game, stop, CASE WHEN stop IN ('ended', 'pooled', 'no_move') THEN {k} ELSE {k + 1} END AS plies, CASE WHEN stop = 'no_move' THEN tn ELSE n END AS n, CASE WHEN stop = 'no_move' THEN tww ELSE ww END AS ww, CASE WHEN stop = 'no_move' THEN td ELSE d END AS d FROM s{k} WHERE stop IS NOT NULL" for k in range(CAP)]
+    parts.append(f"SELECT w.bucket, start, hero, place, arm, nr, game, 'ply_cap', {CAP}, n, ww, d FROM w{CAP} w JOIN totals USING (node, bucket)")
+    u = _uniform_sql("bucket * 104729", "game", "(17 + place * 613)", "nr * 101")
     out.append("over_ AS (" + " UNION ALL ".join(parts) + ")")
-    out.append(f"played AS (SELECT *, CASE WHEN {u} * n < ww THEN 1.0::DOUBLE WHEN {u} * n < ww + d THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS points FROM over_)")
+    out.append(f"played AS (SELECT *, CASE WHEN hero = 'w' THEN white ELSE 1 - white END AS points FROM (SELECT *, CASE WHEN {u} * n < ww THEN 1.0::DOUBLE WHEN {u} * n < ww + d THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS white FROM over_))")
     stops = ", ".join(f"count(*) FILTER (stop = '{s}') AS stop_{s}" for s in S.STOPS)
-    out.append(f"sims AS (SELECT bucket, arm, count(*) AS sims, count(*) FILTER (points = 1) AS wins, count(*) FILTER (points = 0.5) AS draws, count(*) FILTER (points = 0) AS losses, avg(points) AS obs_hero, sqrt(greatest(0.0, avg(points * points) - avg(points) * avg(points)) / count(*)) AS se, avg(plies) AS mean_plies, {stops} FROM played GROUP BY bucket, arm)")
+    out.append(f"sims AS (SELECT bucket, start, hero, arm, count(*) AS sims, count(*) FILTER (points = 1) AS wins, count(*) FILTER (points = 0.5) AS draws, count(*) FILTER (points = 0) AS losses, avg(points) AS obs_hero, sqrt(greatest(0.0, avg(points * points) - avg(points) * avg(points)) / count(*)) AS se, avg(plies) AS mean_plies, {stops} FROM played GROUP BY bucket, start, hero, arm)")
     return out
 
 
@@ -195,14 +198,39 @@ def simulation_table(spark, sf_dir):
     return rounded(S.simulation_table(edges, _one_backup(edges), TOP, GAMES, CAP))
 
 
-def _descent_sql(walks: int, depth: int) -> list[str]:
-    out = [_DRAWS, f"w0 AS (SELECT DISTINCT bucket, node, g.walk FROM draws, (SELECT unnest(range({walks})) AS walk) g WHERE node = '{ROOT}')"]
+def _descent_sql(walks: int, depth: int, root: str = ROOT, w: str = "w") -> list[str]:
+    out = [_DRAWS, f"{w}0 AS (SELECT DISTINCT bucket, node, g.walk FROM draws, (SELECT unnest(range({walks})) AS walk) g WHERE node = '{root}')"]
     for k in range(depth):
         u = _uniform_sql("w.bucket * 7919", "w.walk", str(k * 37))
-        out.append(f"w{k + 1} AS (SELECT w.bucket, d.child AS node, w.walk FROM w{k} w JOIN draws d USING (node, bucket) WHERE d.low <= {u} * d.total AND {u} * d.total < d.high AND {REAL} AND EXISTS (SELECT 1 FROM edges e WHERE e.node = d.child AND e.bucket = w.bucket))")
+        out.append(f"{w}{k + 1} AS (SELECT w.bucket, d.child AS node, w.walk FROM {w}{k} w JOIN draws d USING (node, bucket) WHERE d.low <= {u} * d.total AND {u} * d.total < d.high AND {REAL} AND EXISTS (SELECT 1 FROM edges e WHERE e.node = d.child AND e.bucket = w.bucket))")
     return out
 
 
+#: Walks, plies, starts for each side, least depth and games of the sampled positions.
+SAMPLE = (80, 4, 2, 1, 20)
+
+
+def _starts_sql() -> list[str]:
+    walks, depth, per_side, least_depth, least_games = SAMPLE
+    met = " UNION ALL ".join(f"SELECT bucket, node, {k} AS depth FROM walk{k}" for k in range(least_depth, depth))
+    return [
+        *_descent_sql(walks, depth - 1, TOP, "walk")[1:],
+        f"met AS (SELECT bucket, node, CAST(min(depth) AS INT) AS depth, count(*) AS visits, left(node, 1) AS hero FROM ({met}) m WHERE (SELECT sum(n) FROM edges e WHERE e.node = m.node AND e.bucket = m.bucket) >= {least_games} AND EXISTS (SELECT 1 FROM pick1 p WHERE p.node = m.node AND p.bucket = m.bucket) GROUP BY bucket, node)",
+        f"starts AS (SELECT * FROM (SELECT bucket, node AS start, hero, CAST(row_number() OVER (PARTITION BY bucket, hero ORDER BY md5(node), node) AS INT) AS place, depth, visits FROM met) WHERE place <= {per_side})",
+    ]
+
+
+@query(
+    _with(*_playout_sql(_starts_sql()), "here AS (SELECT node, bucket, CAST(sum(n) AS BIGINT) AS games, sum(ww + 0.5::DOUBLE * d) / sum(n) AS crowd FROM edges GROUP BY ALL)")
+    + f"SELECT s.bucket, s.start AS node, depth, hero = 'w' AS white_to_move, visits, hero, games, round(eval_w, 6) AS eval_w, round(eval_b, 6) AS eval_b, round(CASE WHEN hero = 'w' THEN eval_w ELSE 1 - eval_b END, 6) AS pred_hero, best_move, round(coalesce(e.n, 0) / games, 6) AS best_share, round(CASE WHEN hero = 'w' THEN crowd ELSE 1 - crowd END, 6) AS crowd_hero, {_SIM.replace('bucket, arm', 'arm')} FROM sims s JOIN starts USING (bucket, start, hero) JOIN here h ON h.node = s.start AND h.bucket = s.bucket JOIN v1 v ON v.node = s.start AND v.bucket = s.bucket LEFT JOIN edges e ON e.node = s.start AND e.bucket = s.bucket AND e.move = best_move"
+)
+def position_simulations(spark, sf_dir):
+    edges = _pooled_edges(spark, sf_dir)
+    evals = _one_backup(edges)
+    starts = stored(S.sampled_starts(edges, evals, TOP, *SAMPLE), "starts")
+    return rounded(S.simulated(edges, evals, starts, GAMES, CAP))
+
+
 @query(_with(*GRAPH, *_descent_sql(80, 6)) + " UNION ALL ".join(f"SELECT bucket, node, {k} AS depth, count(*) AS visits FROM w{k} GROUP BY ALL" for k in range(7)))
 def descent_walks(spark, sf_dir):
     return S.descents(_edges(spark, sf_dir), ROOT, 80, 6)
@@ -426,3 +454,27 @@ def rate_limit_decisions(spark, sf_dir):
     return rounded(service.replayed(requests))
 
 
+
+
+#: A line of each event, by its id: sound ones, comments, blanks, and one of each error. The same in Spark and DuckDB.
+_FLAG_LINE = (
+    "CASE event_id % 11 WHEN 0 THEN '# of ' || event_type WHEN 1 THEN '  ' WHEN 2 THEN 'w:^ | ' || event_type WHEN 3 THEN 'b:' || event_type || ' | click |  ' "
+    "WHEN 4 THEN 'w:^ | click view | two' WHEN 5 THEN 'w:nowhere | click | ' || event_type WHEN 6 THEN 'w:^ | castle | none' "
+    "ELSE CASE event_id % 2 WHEN 0 THEN 'b:' ELSE 'w:' END || event_type || ' | ' || CASE event_id % 3 WHEN 0 THEN 'click' WHEN 1 THEN 'view' ELSE 'purchase' END || ' | on | event # ' || CAST(event_id AS STRING) END"
+)
+_FLAGS = [
+    f"lines AS (SELECT CAST(user_id % 4 AS INT) AS part, CAST(row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS BIGINT) AS line, trim({_FLAG_LINE.replace('STRING', 'VARCHAR')}) AS text FROM events)",
+    "cut AS (SELECT part, line, string_split(text, '|') AS f FROM lines WHERE text <> '' AND text[1] <> '#')",
+    "named AS (SELECT part, line, len(f) >= 3 AS whole, CASE WHEN len(f) >= 3 THEN trim(f[1]) END AS node, CASE WHEN len(f) >= 3 THEN trim(f[2]) END AS move, CASE WHEN len(f) >= 3 THEN trim(array_to_string(f[3:], '|')) END AS reason FROM cut)",
+    f"judged AS (SELECT n.*, CASE WHEN NOT whole THEN 'expected three fields parted by |' WHEN reason = '' THEN 'the reason is empty' WHEN NOT EXISTS (SELECT 1 FROM edges e WHERE e.node = n.node) THEN 'no such node' WHEN move = '' OR contains(move, ' ') THEN 'the middle field must name one move' WHEN NOT EXISTS (SELECT 1 FROM edges e WHERE e.node = n.node AND e.move = n.move AND {REAL.replace('move', 'e.move')}) THEN 'no such move' END AS error FROM named n)",
+]
+
+
+@query(_with(*GRAPH, *_FLAGS) + "SELECT part, line, node, move, reason, coalesce(error, CASE WHEN row_number() OVER (PARTITION BY part, node, move, error IS NULL ORDER BY line) > 1 THEN 'already flagged' END) AS error FROM judged")
+def flagged_list(spark, sf_dir):
+    """Written as text, a file for each part in the order of event_id, and read with its line numbers."""
+    path = f"{shared_dir(spark).rstrip('/')}/arbora-{uuid.uuid4().hex}/flags"
+    lines = _table(spark, sf_dir, "events").select((F.col("user_id") % 4).cast("int").alias("part"), "event_id", F.expr(_FLAG_LINE).alias("value"))
+    lines.repartition("part").sortWithinPartitions("part", "event_id").select("part", "value").write.partitionBy("part").text(path)
+    found = flags.flagged_list(flags.numbered_lines(spark, path), _edges(spark, sf_dir))
+    return found.select(F.regexp_extract("file", r"part=(\d+)/", 1).cast("int").alias("part"), "line", "node", "move", "reason", "error")

@@ -1,5 +1,6 @@
 """Bucketed merges, running totals over ranges, and counters that a restart neither loses nor repeats."""
 
+import random
 import uuid
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from arbora.operators import tally
 from arbora.plans import policies, solving
-from arbora.sources import tallies
+from arbora.sources import flags, tallies
 from arbora.streaming import service
 from tests.test_components import EDGES, made
 from tests.test_journeys import SF, rows
@@ -77,3 +78,31 @@ def test_a_restart_counts_each_report_once(spark, tmp_path, monkeypatch, step):
     got = {r.k: r.total for r in service.ingested(spark, str(tmp_path / "out")).collect()}
     assert got == {"wn": 3, "ws": 1, "ch": 11, "pl": 100}
     assert got == {r.k: r.total for r in service.strict_totals(spark.read.parquet(source)).where(F.col("total").isNotNull()).collect()}
+
+
+def test_flagged_lists_number_lines_across_splits(spark, tmp_path):
+    rng = random.Random(3)
+    texts = {f"{k}.txt": [rng.choice(["", "# note", "w:r | a | why", "w:r | a", f"w:r | b | {'x' * rng.randint(0, 90)} | #"]) for _ in range(rng.randint(1, 60))] for k in range(4)}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n" * (name != "2.txt"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    try:
+        got = {(r.file.rpartition("/")[2], r.line): r.value for r in flags.numbered_lines(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = {(name, i + 1): x for name, lines in texts.items() for i, x in enumerate(lines)}
+    if texts["2.txt"][-1] == "":  # no line follows the last end of a line
+        del want["2.txt", len(texts["2.txt"])]
+    assert got == want
+
+
+def test_all_errors_of_a_list_are_told(spark, tmp_path):
+    (tmp_path / "list").write_text("# list\nw:r | a | thin | really #1\n\nw:r | a\nw:r | a | \nw:q | a | no\nw:r | a b | two\nw:r | z | no\n\tw:r |a| again\n")
+    edges = spark.createDataFrame([("w:r", "a")], "node string, move string")
+    lines = flags.numbered_lines(spark, str(tmp_path / "list"))
+    found = {r.line: r.error for r in flags.flagged_list(lines, edges).collect()}
+    assert found == {2: None, 4: "expected three fields parted by |", 5: "the reason is empty", 6: "no such node", 7: "the middle field must name one move", 8: "no such move", 9: "already flagged"}
+    with pytest.raises(ValueError, match=r"(?s)6 lines are wrong.*list:4: expected.*list:9: already"):
+        flags.sound(flags.flagged_list(lines, edges))
+    assert [tuple(r) for r in flags.sound(flags.flagged_list(lines.where("line < 4"))).collect()] == [("w:r", "a", "thin | really #1")]
+    assert flags.flagged_list(lines.where("false"), edges).count() == 0
