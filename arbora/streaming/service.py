@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from arbora.functions.constants import COUNTERS, HEADER_BYTES, MOST_COUNT, MOST_LOAD_MS
@@ -107,6 +109,65 @@ def allowances(requests: DataFrame) -> DataFrame:
     return requests.groupBy("client").applyInPandasWithState(run, "client string, at double, allowed boolean, retry_after double", "tokens double, seen double", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
+DECISIONS = "client string, at double, allowed boolean, retry_after double"
+
+
+class _InOrder(StatefulProcessor):
+    """Holds a client's requests, by the millisecond that they are over, until the watermark says that none before is missing."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "ms long", "times array<double>")
+        self.bucket = handle.getValueState("bucket", "tokens double, seen double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        came: dict[int, list[float]] = {}
+        for part in rows:
+            for at in part["at"].tolist():
+                came.setdefault(math.ceil(at * 1000), []).append(at)
+        for ms, times in came.items():
+            known = list(self.waiting.getValue((ms,))[0]) if self.waiting.containsKey((ms,)) else None
+            self.waiting.updateValue((ms,), ((known or []) + times,))
+            if known is None:
+                self.handle.registerTimer(ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        ms, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        tokens, seen = self.bucket.get() if self.bucket.exists() else (BURST, None)
+        if self.waiting.containsKey((ms,)):
+            over = sorted(k for (k,) in self.waiting.keys() if k <= timerValues.getCurrentWatermarkInMs())
+            for k in over:
+                for at in sorted(self.waiting.getValue((k,))[0]):
+                    tokens, allowed, wait = spend(tokens, at if seen is None else seen, at)
+                    seen = at
+                    out.append((key[0], at, allowed, wait))
+                self.waiting.removeKey((k,))
+            self.bucket.update((tokens, seen))
+            self.handle.registerTimer(over[-1] + IDLE_S * 1000)
+        elif seen is not None and ms >= math.ceil(seen * 1000) + IDLE_S * 1000:
+            self.bucket.clear()  # full again by now
+        if out:
+            # text as objects: an Arrow-backed column would come as chunks
+            yield pd.DataFrame(out, columns=["client", "at", "allowed", "retry_after"]).astype({"client": object})
+
+    def close(self) -> None:
+        pass
+
+
+def ordered_allowances(requests: DataFrame, late: str = "10 seconds") -> DataFrame:
+    """(client, at, allowed, retry_after) of a stream of requests (client, at in seconds), decided in the order of `at`.
+
+    A decision comes once the watermark, `late` behind the latest request of all clients, has passed; so requests may
+    come in any order over triggers, and the decisions are those of replayed(). What comes later than that has no
+    decision, as with any watermark. Clients without a request for IDLE_S of the stream's own time are forgotten by a
+    timer. Null clients and times are left out. The session has to keep its streams' state in RocksDB.
+    """
+    rows = requests.selectExpr("cast(client as string) client", "cast(at as double) at").where("client is not null and at is not null")
+    rows = rows.withColumn("time", F.timestamp_micros((F.col("at") * 1e6).cast("long"))).withWatermark("time", late)
+    return rows.groupBy("client").transformWithStateInPandas(_InOrder(), DECISIONS, "Append", "EventTime")
+
+
 def replayed(requests: DataFrame) -> DataFrame:
     """(client, at, allowed, retry_after) of a table of requests (client, at in seconds), as allowances() decides them.
 

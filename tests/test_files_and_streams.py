@@ -106,3 +106,27 @@ def test_all_errors_of_a_list_are_told(spark, tmp_path):
         flags.sound(flags.flagged_list(lines, edges))
     assert [tuple(r) for r in flags.sound(flags.flagged_list(lines.where("line < 4"))).collect()] == [("w:r", "a", "thin | really #1")]
     assert flags.flagged_list(lines.where("false"), edges).count() == 0
+
+
+def test_requests_in_any_order_are_decided_as_in_a_table(spark, tmp_path):
+    rng = random.Random(8)
+    times = [("a", round(100 + rng.random() * 4, 4)) for _ in range(120)] + [("b", 101.0)] * 45 + [("b", 103.0), ("c", 100.5), (None, 100.0)]
+    again = [("b", 900.0), ("b", 900.0), ("a", 901.0)]  # after the timers of idle clients
+    want = service.replayed(spark.createDataFrame(times + again, "client string, at double"))
+    key = lambda r: (r[0], r[1], not r[2], r[3])
+    want = sorted(map(tuple, want.collect()), key=key)
+    rng.shuffle(times)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for k, part in enumerate([times[:60], times[60:110], times[110:], [("z", 400.0)], again, [("z", 2000.0)]]):  # one trigger each
+            spark.createDataFrame(part, "client string, at double").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            stream = service.ordered_allowances(spark.readStream.schema("client string, at double").parquet(f"{tmp_path}/in"))
+            run = stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").option("path", f"{tmp_path}/out").trigger(availableNow=True).start()
+            assert run.awaitTermination(120)
+            if k == 2:  # nothing is decided before its time
+                assert spark.read.parquet(f"{tmp_path}/out").count() == 0
+    finally:
+        spark.conf.unset(provider)
+    got = sorted((tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect() if r.client != "z"), key=key)
+    assert got == want and sum(not r[2] for r in got) > 10
