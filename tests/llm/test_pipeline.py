@@ -90,3 +90,16 @@ def test_run_and_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in cp.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_nulls_repeats_and_other_columns(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string"
+    same = "a b c d e f g h"
+    rows = [(5, None, "en", "s", 0, "x"), (5, "", "en", None, 0, "y"), (None, same, "en", "s", 15, "z"), (7, same, None, "s", 15, "z"), (8, same, "en", "s", 15, "z"), (8, None, "en", "s", None, "z")]
+    docs = spark.createDataFrame(rows, schema)
+    near, cut = cp.drop_near_duplicates(spark, docs, SF), cp.cut_repeats(spark, docs, SF)
+    assert near.columns == cut.columns == cp.COLUMNS
+    assert sorted(map(str, near.collect())) == sorted(map(str, docs.where("coalesce(doc_id, 0) <> 8").select(*cp.COLUMNS).collect()))
+    assert sorted(map(str, cut.collect())) == sorted(map(str, docs.select(*cp.COLUMNS).collect()))
+    none = docs.where("false")
+    assert cp.drop_near_duplicates(spark, none, SF).count() == cp.cut_repeats(spark, none, SF).count() == 0
