@@ -79,6 +79,11 @@ def _policy(policy: str):
 policy_field, policy_best, policy_plan = map(_policy, ("field", "best", "plan"))
 
 
+def _black(sql: str) -> str:
+    """The same expression with the sides changed: Black is the hero, White the crowd."""
+    return sql.replace("= 'w'", "= '?'").replace("= 'b'", "= 'w'").replace("= '?'", "= 'b'")
+
+
 def _hero_flow_sql(policy: str, endings: bool = False) -> list[str]:
     out = [CLASSES, _POOL, "book AS (SELECT node, stm, move, child, bucket, sum(n) AS n FROM pooled GROUP BY ALL HAVING sum(n) >= 4)", "known AS (SELECT DISTINCT node FROM book)"]
     out += _policy_sql("best") if policy == "best" else [SHARES, "bands AS (SELECT unnest(range(9))::INT AS bucket)"]
@@ -103,14 +108,16 @@ def _hero_flow_sql(policy: str, endings: bool = False) -> list[str]:
         out.append(f"o{k} AS ({crowd} UNION ALL {mine})")
         out.append(f"f{k + 1} AS (SELECT node, bucket, sum(mass) AS mass FROM o{k} WHERE sink IS NULL GROUP BY ALL)")
     sinks = " UNION ALL ".join(f"SELECT bucket, sink, mass FROM o{k} WHERE sink IS NOT NULL" for k in range(PLIES))
-    return [*out, f"flow AS (SELECT bucket, sink, sum(mass) AS mass FROM (SELECT bucket, 'arrived' AS sink, mass FROM f{PLIES} UNION ALL {sinks}) GROUP BY ALL HAVING sum(mass) > 0)"]
+    return [*map(_black, out), f"flow AS (SELECT bucket, sink, sum(mass) AS mass FROM (SELECT bucket, 'arrived' AS sink, mass FROM f{PLIES} UNION ALL {sinks}) GROUP BY ALL HAVING sum(mass) > 0)"]
 
 
 def _hero_flow(policy: str, endings: bool = False):
+    """Black as the hero, so that the last move to the target is the crowd's."""
+
     def run(spark, sf_dir):
         edges, layers = _layers(spark, sf_dir)
         book = stored(T.pool(edges, T.classify(edges)).where("n >= 4"), "book")
-        return rounded(X.hero_flow(edges, book, layers, PLIES, policy, PLAN, endings=endings))
+        return rounded(X.hero_flow(edges, book, layers, PLIES, policy, PLAN, "b", endings))
 
     run.__name__ = f"hero_flow_{policy}{'_endings' if endings else ''}"
     return query(_with(*LAYERS, *_hero_flow_sql(policy, endings)) + "SELECT bucket, sink, round(mass, 6) AS mass FROM flow")(run)
