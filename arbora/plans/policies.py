@@ -403,7 +403,7 @@ def known_bands(spark, sf_dir):
 
 @query("SELECT event_id, CAST((event_id * 92233720368547) >> 58 AS INT) AS shard FROM events")
 def shard_ids(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select("event_id", tallies.shard(F.col("event_id") * F.lit(92233720368547)).alias("shard"))
+    return _table(spark, sf_dir, "events").select("event_id", tallies.shard(tallies.product64(F.col("event_id"), 92233720368547)).alias("shard"))
 
 
 _DEPTHS = ["RECURSIVE " + GRAPH[0], *GRAPH[1:], "kept AS (SELECT node FROM edges GROUP BY node HAVING sum(n) >= 50)", f"reach AS (SELECT node, 0 AS depth FROM kept WHERE node = '{ROOT}' UNION SELECT e.child, r.depth + 1 FROM reach r JOIN edges e ON e.node = r.node JOIN kept k ON k.node = e.child WHERE r.depth < 5)", "depths AS (SELECT node, CAST(min(depth) AS INT) AS depth FROM reach GROUP BY node)", "mv AS (SELECT DISTINCT e.node, e.move, e.child, a.depth, b.depth AS to_ FROM edges e JOIN depths a ON a.node = e.node LEFT JOIN depths b ON b.node = e.child)", "kinds AS (SELECT node, move, child, depth, CASE WHEN move = '(TERM)' THEN 'TERM' WHEN move = '(AGG)' THEN 'AGG' WHEN to_ IS NULL THEN 'THIN' WHEN to_ = depth + 1 THEN 'TREE' ELSE 'BACK' END AS kind FROM mv)", "subs AS (SELECT node, depth, count(*) AS n_moves, NOT coalesce(bool_or(to_ IS NOT NULL), false) AS is_leaf FROM mv GROUP BY node, depth)"]

@@ -19,6 +19,13 @@ def shard(key: Column) -> Column:
     return F.shiftrightunsigned(key, 58).cast("int")
 
 
+def product64(key: Column, factor: int) -> Column:
+    """key * factor modulo 2 ** 64, as a signed long; a plain product raises where it does not fit."""
+    whole = key.cast("decimal(19,0)") * F.lit(str(factor)).cast("decimal(19,0)")  # fits into 38 digits
+    rest = F.pmod(whole, F.lit(str(1 << 64)).cast("decimal(20,0)"))
+    return F.when(rest < F.lit(str(1 << 63)).cast("decimal(20,0)"), rest).otherwise(rest - F.lit(str(1 << 64)).cast("decimal(20,0)")).cast("long")
+
+
 def known_bands(rows: DataFrame) -> DataFrame:
     """Rows whose band is one of the nine."""
     return rows.where(F.col("bucket").between(0, BANDS - 1))

@@ -130,3 +130,10 @@ def test_requests_in_any_order_are_decided_as_in_a_table(spark, tmp_path):
         spark.conf.unset(provider)
     got = sorted((tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect() if r.client != "z"), key=key)
     assert got == want and sum(not r[2] for r in got) > 10
+
+
+def test_shards_of_ids_whose_product_does_not_fit(spark):
+    factor, ids = 92233720368547, [0, 1, 99_999, 100_000, 100_001, 6_000_000, 2**62, -1]
+    got = spark.createDataFrame([(x,) for x in ids], "id long").select(tallies.product64(F.col("id"), factor).alias("p")).select("p", tallies.shard(F.col("p")).alias("s")).collect()
+    wrapped = [x * factor % 2**64 for x in ids]
+    assert [r.p % 2**64 for r in got] == wrapped and [r.s for r in got] == [x >> 58 for x in wrapped]
