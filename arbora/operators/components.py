@@ -7,8 +7,8 @@ only links within one colour stay, and the rest is coloured again. All of it is
 
 Solving goes by layers of the graph of components, from those without a way out upwards, so every value is computed from
 settled ones. A single node takes one backup. Within the other components of a layer, a node is backed up again only if a
-child of it has moved by the tolerance or more since it last told its value; a component that has settled costs nothing
-more, and one that does not settle keeps its picks from its own sweep `freeze_after` on.
+child of it has moved by the tolerance or more since it last told its value; a component that does not settle keeps its
+picks from its own sweep `freeze_after` on. A band of a component is settled within one task if it has few enough rows.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from arbora.functions import ranking as R
 from arbora.functions.constants import FREEZE_AFTER, MOST_SWEEPS, SETTLED
-from arbora.operators.graph import band_sums, neighbour_prior
+from arbora.operators.graph import TOGETHER, VALUES, around, keeping, step, valued, weighed
+from arbora.operators.settling import settle, sized
 from arbora.operators.tally import add
 from arbora.plans.tables import discard, stored
 
@@ -134,83 +135,73 @@ def _together(tables: list[DataFrame]) -> DataFrame | None:
     return out
 
 
-def weighed(edges: DataFrame) -> DataFrame:
-    """The edges of a graph in which every child with games in the band has a value, with all that no sweep changes.
-
-    prior and kish are the child's, evidence, strength and sd those of ranking; own: the node's average in the band.
-    """
-    sums = stored(band_sums(edges), "sums")
-    own = sums.select("node", "bucket", (F.col("pts") / F.col("cnt")).alias("own"))
-    child = sums.select(F.col("node").alias("child"), "bucket", F.col("cnt").alias("child_cnt"))
-    prior = neighbour_prior(sums).select(F.col("node").alias("child"), "bucket", "prior", "kish")
-    rows = edges.join(own, ["node", "bucket"]).join(child, ["child", "bucket"], "left").join(prior, ["child", "bucket"], "left")
-    real = R.is_real(F.col("move"))
-    rows = rows.withColumns({"edge": R.edge_score(F.col("n"), F.col("ww"), F.col("d")), "real": real, "resolved": real & (F.coalesce("child_cnt", F.lit(0)) > 0), "prior": F.coalesce("prior", F.lit(0.5)), "kish": F.coalesce("kish", F.lit(0.0))})
-    rows = rows.withColumns({"evidence": F.when(F.col("resolved"), F.col("child_cnt")).otherwise(F.col("n")).cast("double"), "strength": R.effective_strength(F.col("bucket"), F.col("kish"))})
-    rows = rows.withColumn("sd", R.deviation(F.col("evidence"), F.col("strength"), F.col("kish")))
-    return rows.select("node", "stm", "bucket", "move", "child", "n", "own", "edge", "real", "resolved", "prior", "evidence", "strength", "sd")
-
-
-def swept(rows: DataFrame, values: DataFrame | None, picks: DataFrame | None = None) -> DataFrame:
-    """backup() of rows of weighed(), with one shuffle of them by node and band after the children's values have come in.
-
-    picks: (node, bucket, best_move) that are kept whatever the scores.
-    """
+def swept(rows: DataFrame, values: DataFrame | None) -> DataFrame:
+    """backup() of rows of weighed(), once, from the values of their children."""
     if values is None:
         met = rows.withColumns({"eval_w": F.lit(None).cast("double"), "eval_b": F.lit(None).cast("double")})
     else:
         met = rows.join(values.select(F.col("node").alias("child"), "bucket", "eval_w", "eval_b"), ["child", "bucket"], "left")
     x = lambda c: F.when(F.col("resolved"), F.col(c)).otherwise(F.col("edge"))
     met = met.withColumns({"x_w": x("eval_w"), "x_b": x("eval_b")})
-    white = F.col("stm") == "w"
-    moves = F.collect_list(F.when(F.col("real"), F.struct("move", F.when(white, F.col("x_w")).otherwise(F.col("x_b")).alias("value"), "prior", "evidence", "strength", "sd")))
+    moves = F.collect_list(F.when(F.col("real"), F.struct("move", F.when(F.col("stm") == "w", F.col("x_w")).otherwise(F.col("x_b")).alias("value"), "prior", "evidence", "strength", "sd")))
     sums = [(F.sum(F.col("n") * F.col(f"x_{c}")) / F.sum("n")).alias(f"chance_{c}") for c in "wb"]
     out = met.groupBy("node", "stm", "bucket").agg(F.first("own").alias("own"), *sums, moves.alias("moves"))
-    if picks is not None:
-        out = out.join(picks.select("node", "bucket", F.col("best_move").alias("kept")), ["node", "bucket"], "left")
-        out = out.withColumn("moves", F.filter("moves", lambda m: m["move"] == F.col("kept")))
-    chance = F.when(white, F.col("chance_w")).otherwise(F.col("chance_b"))
-
-    def ranked(m):
-        score = R.score(m["value"], m["evidence"], m["prior"], m["strength"], chance)
-        return F.struct((-R.side(F.col("stm")) * R.bound(score, m["sd"], F.col("stm"))).alias("b"), m["move"].alias("move"), score.alias("score"))
-
-    best = F.array_min(F.transform("moves", ranked))
-    out = out.withColumn("best", best).withColumn("mine", F.coalesce("best.score", "own"))
-    return out.select("node", "stm", "bucket", F.col("best.move").alias("best_move"), F.when(white, F.col("mine")).otherwise(F.col("chance_w")).alias("eval_w"), F.when(white, F.col("chance_b")).otherwise(F.col("mine")).alias("eval_b"))
-
-
-VALUES = ["node", "stm", "bucket", "best_move", "eval_w", "eval_b"]
+    return valued(out).select(VALUES)
 
 
-def _iterated(rows: DataFrame, inner: DataFrame, before: DataFrame | None, tolerance: float, freeze_after: int, most: int, kind) -> tuple[DataFrame, DataFrame | None]:
+def _iterated(rows: DataFrame, mine: DataFrame, inner: DataFrame, before: DataFrame | None, tolerance: float, freeze_after: int, most: int) -> tuple[DataFrame, DataFrame]:
     """(values with component, sweeps and backups, components whose picks were kept) of the cyclic components of a layer.
 
-    rows: weighed edges with their component. inner: (node, child) within a component.
+    rows: weighed edges. mine: (node, component). inner: (node, child) within a component. Small bands of components are
+    settled within a task each, the others by joins.
     """
-    start = {"best_move": F.lit(None).cast(kind), "eval_w": F.lit(0.5), "eval_b": F.lit(0.5), "sweeps": F.lit(0), "backups": F.lit(0).cast("long"), "moved": F.lit(True)}
-    told = stored(rows.select("node", "stm", "bucket", "component").distinct().withColumns(start), "told")
-    due, picks, late, sweep = None, None, None, 0
+    part = ["component", "bucket"]
+    rows = stored(around(rows, inner, before).join(mine, "node"), "around")
+    size = stored(sized(rows, part), "sized")
+    found = stored(settle(rows.join(size.where("small"), part, "left_semi"), part, tolerance, freeze_after, most, True), "settled")
+    if not found.where("moved").isEmpty():
+        raise RuntimeError(f"components have not settled after {most} sweeps, {found.where('moved').count()} values of them still move")
+    told, late = found.drop("moved", "frozen"), found.where("frozen").select("component").distinct()
+    if not size.where("not small").isEmpty():
+        more, late_ = _joined(rows.join(size.where("not small"), part, "left_semi").select(rows.columns), tolerance, freeze_after, most)
+        told = told.unionByName(more.select(told.columns))
+        late = late if late_ is None else late.union(late_).distinct()
+    discard(rows, size)
+    return told, late
+
+
+def _joined(rows: DataFrame, tolerance: float, freeze_after: int, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """_iterated() of rows of around() by joins. TOGETHER sweeps are one job; after it, what has settled takes no more part."""
+    rows = stored(rows, "around")
+    start = {"best_move": F.lit(None).cast(rows.schema["move"].dataType), "eval_w": F.lit(0.5), "eval_b": F.lit(0.5), "sweeps": F.lit(0), "backups": F.lit(0).cast("long"), "moved": F.lit(True)}
+    told = stored(rows.where("self").select("node", "stm", "bucket", "component").withColumns(start), "told")
+    still, late, sweep = [], None, 0
     while True:
-        sweep += 1
-        if sweep > most:
-            raise RuntimeError(f"components have not settled after {most} sweeps, {due.count()} values of them still move")
-        outside = told.select(VALUES) if before is None else before.unionByName(told.select(VALUES))
-        again = swept(rows if due is None else rows.join(due, ["node", "bucket"], "left_semi"), outside, picks)
-        new = again.select("node", "bucket", F.col("best_move").alias("m"), F.col("eval_w").alias("w"), F.col("eval_b").alias("b"))
-        met = told.drop("moved").join(new, ["node", "bucket"], "left")
-        hit = F.col("w").isNotNull()
-        moved = F.coalesce(F.greatest(F.abs(F.col("w") - F.col("eval_w")), F.abs(F.col("b") - F.col("eval_b"))) >= tolerance, F.lit(False))
-        now = lambda when, new_, old: F.when(when, F.col(new_)).otherwise(F.col(old)).alias(old)
-        after = met.select("node", "stm", "bucket", "component", now(hit, "m", "best_move"), now(moved, "w", "eval_w"), now(moved, "b", "eval_b"), F.when(hit, sweep).otherwise(F.col("sweeps")).alias("sweeps"), (F.col("backups") + hit.cast("long")).alias("backups"), moved.alias("moved"))
-        told, old = stored(after, "told"), told
+        if sweep >= most:
+            raise RuntimeError(f"components have not settled after {most} sweeps, {told.where('moved').count()} values of them still move")
+        until = min([most, sweep + TOGETHER] + ([freeze_after] if sweep < freeze_after else []))
+        new = told
+        for k in range(sweep + 1, until + 1):
+            hit = F.lit(True) if k == 1 else F.coalesce("asked", F.lit(False))
+            far = F.greatest(*(F.abs(F.col(c) - F.col(f"old.{c}")) for c in ("eval_w", "eval_b")))
+            moved = F.col("hit") & (far >= tolerance)
+            now = lambda when, c: F.when(F.col(when), F.col(c)).otherwise(F.col(f"old.{c}")).alias(c)
+            new = step(rows, new).withColumn("hit", hit).withColumn("moved", moved)
+            new = new.select("node", "stm", "bucket", F.col("old.component").alias("component"), now("hit", "best_move"), now("moved", "eval_w"), now("moved", "eval_b"), F.when(F.col("hit"), k).otherwise(F.col("old.sweeps")).alias("sweeps"), (F.col("old.backups") + F.col("hit").cast("long")).alias("backups"), "moved")
+        new, old, sweep = stored(new, "told"), told, until
         discard(old)
-        if told.where("moved").isEmpty():
-            return told, late
-        due = told.where("moved").select(F.col("node").alias("child"), "bucket").join(inner, "child").select("node", "bucket").distinct()
+        restless = stored(new.where("moved").select("component").distinct(), "restless")
+        if restless.isEmpty():
+            still.append(new)
+            return _together(still).drop("moved"), late
+        still.append(stored(new.join(restless, "component", "left_anti").select(new.columns), "still"))
+        told = stored(new.join(restless, "component", "left_semi").select(new.columns), "told")
+        discard(new)
+        _together(still)
         if sweep == freeze_after:  # what has settled is not asked for again, so it keeps its values
-            picks = stored(told.select("node", "bucket", "best_move"), "picks")
-            late = stored(told.join(due.select("node").distinct(), "node", "left_semi").select("component").distinct(), "late")
+            rows, before_ = stored(keeping(rows, told), "around"), rows
+            discard(before_)
+            late = restless
 
 
 def solve_by_component(edges: DataFrame, tolerance: float = SETTLED, freeze_after: int = FREEZE_AFTER, most: int = MOST_SWEEPS, known: DataFrame | None = None, within: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -244,15 +235,13 @@ def solve_by_component(edges: DataFrame, tolerance: float = SETTLED, freeze_afte
         if (layer, True) in kinds:
             mine = here.where("cyclic").select("node", "component")
             inner = stored(steps.join(mine, "node").join(mine.select(F.col("node").alias("child"), F.col("component").alias("to")), "child").where("component = to").select("node", "child"), "inner")
-            cyclic = stored(rows.join(mine, "node"), "cyclic")
-            told, late = _iterated(cyclic, inner, before, tolerance, freeze_after, most, edges.schema["move"].dataType)
+            told, late = _iterated(rows.join(mine.select("node"), "node", "left_semi"), mine, inner, before, tolerance, freeze_after, most)
             found.append(told.select(VALUES))
             sizes = here.where("cyclic").select("component", "size", "layer").distinct()
             own_facts = told.groupBy("component").agg(F.max("sweeps").alias("sweeps"), F.sum("backups").alias("backups")).join(sizes, "component")
-            mark = F.lit(False) if late is None else F.coalesce("late", F.lit(False))
-            own_facts = own_facts if late is None else own_facts.join(late.withColumn("late", F.lit(True)), "component", "left")
-            census.append(own_facts.withColumn("frozen", mark).select(facts))
-            discard(inner, cyclic)
+            own_facts = own_facts.join(late.withColumn("late", F.lit(True)), "component", "left")
+            census.append(own_facts.withColumn("frozen", F.coalesce("late", F.lit(False))).select(facts))
+            discard(inner)
         settled += found
     found = _together(settled)
     if found is None:

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from arbora.operators import components, graph, tally
+from arbora.operators import components, graph, settling, tally
 from arbora.plans import queries as q
 from arbora.plans import solving
 from arbora.plans.tables import stored
@@ -113,3 +113,20 @@ def test_queries_equal_duckdb(spark, name):
     cur = con.execute(q.SQL[name])
     got = getattr(solving, name)(spark, SF)
     assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows([c[0] for c in cur.description], cur.fetchall())
+
+
+def test_parts_settled_in_tasks_equal_joins(spark, monkeypatch):
+    """The same values, picks and counts of sweeps, whether bands are settled within tasks or by joins over all rows."""
+    edges = stored(spark.createDataFrame(made({("n0", "n1"), ("n1", "n2"), ("n2", "n1"), ("n1", "n1"), ("n2", "n0"), ("n2", "n3")}, 4), EDGES), "edges")
+
+    def got():
+        values, census = components.solve_by_component(edges, 1e-4, freeze_after=3)
+        both = [values, graph.solve(edges, 500, 1e-9, 5)]
+        return [{(r.node, r.bucket): (r.best_move, round(r.eval_w, 6), round(r.eval_b, 6)) for r in x.collect()} for x in both], sorted(map(tuple, census.collect()))
+
+    asked = []
+    monkeypatch.setattr(graph, "step", lambda *a, f=graph.step: asked.append(1) or f(*a))
+    here = got()
+    assert not asked  # no job by joins for a small graph
+    monkeypatch.setattr(settling, "MOST_ROWS", 0)
+    assert got() == here and asked
