@@ -49,3 +49,8 @@ def side(stm: Column) -> Column:
 
 def bound(score_: Column, deviation_: Column, stm: Column) -> Column:
     return score_ - side(stm) * Z * deviation_
+
+
+def place(bound_: Column, stm: Column) -> Column:
+    """What the best pick has least of: its bound from the side to move, to 12 places, so that equal ones tie whatever the order of sums."""
+    return F.round(-side(stm) * bound_, 12)

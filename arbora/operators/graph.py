@@ -84,7 +84,7 @@ def candidates(rows: DataFrame, crowd: DataFrame, prior: DataFrame) -> DataFrame
 
 def picks(ranked: DataFrame) -> DataFrame:
     """(node, bucket, best_move, best_score): the best bound for the side to move; the first move on a tie."""
-    key = F.struct((-R.side(F.col("stm")) * F.col("bound")).alias("b"), "move")
+    key = F.struct(R.place(F.col("bound"), F.col("stm")).alias("b"), "move")
     best = ranked.groupBy("node", "bucket").agg(F.min_by(F.struct("move", "score"), key).alias("x"))
     return best.select("node", "bucket", F.col("x.move").alias("best_move"), F.col("x.score").alias("best_score"))
 
@@ -182,7 +182,7 @@ def valued(out: DataFrame) -> DataFrame:
 
     def ranked(m):
         score = R.score(m["value"], m["evidence"], m["prior"], m["strength"], chance)
-        return F.struct((-R.side(F.col("stm")) * R.bound(score, m["sd"], F.col("stm"))).alias("b"), m["move"].alias("move"), score.alias("score"))
+        return F.struct(R.place(R.bound(score, m["sd"], F.col("stm")), F.col("stm")).alias("b"), m["move"].alias("move"), score.alias("score"))
 
     out = out.withColumn("best", F.array_min(F.transform("moves", ranked)))
     mine = F.coalesce("best.score", "own")

@@ -42,7 +42,7 @@ def sweeps(rows: pd.DataFrame, tolerance: float, freeze_after: int, most: int, a
         crowd = np.column_stack([np.bincount(at, n * y, count) / all_n for y in x])
         chance = np.where(white, crowd[:, 0], crowd[:, 1])[at]
         score = (evidence * np.where(side > 0, *x) + strength * prior + K0 * chance) / (evidence + strength + K0)
-        key = np.where(real, -side * (score - side * Z * sd), np.inf)
+        key = np.where(real, np.round(-side * (score - side * Z * sd), 12), np.inf)
         least = np.full(count, np.inf)
         np.minimum.at(least, at, key)
         firsts = np.flatnonzero(real & (key == least[at]))

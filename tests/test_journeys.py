@@ -1,12 +1,13 @@
 """Every query against DuckDB, golden values of the ranking rule, and game headers."""
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from arbora.functions import ranking as R
 from arbora.functions.constants import AGG, TERM
-from arbora.operators import analysis, checks, graph, simulate, tally, targets, view
+from arbora.operators import analysis, checks, graph, settling, simulate, tally, targets, view
 from arbora.plans import policies
 from arbora.plans import queries as q
 from arbora.sources import pgn, tallies
@@ -110,6 +111,19 @@ def test_converged_values_are_the_fixed_point(spark):
         graph.solve(edges, 2, 1e-6)
 
 
+def test_bounds_that_differ_by_rounding_only_tie(spark):
+    """The first move is picked, as in the SQL, by picks(), by the sweeps' joins and within a task."""
+    ranked = spark.createDataFrame([("a", 0, "w", "y", 0.1 + 0.2, 1.0), ("a", 0, "w", "x", 0.3, 2.0)], "node string, bucket int, stm string, move string, bound double, score double")
+    assert graph.picks(ranked).first().best_move == "x"
+    moves = [("y", 0.1 + 0.2, 0.5, 100.0, 10.0, 0.1), ("x", 0.3, 0.5, 100.0, 10.0, 0.1)]
+    one = spark.createDataFrame([("w", 0.5, 0.2, 0.2, moves)], "stm string, own double, chance_w double, chance_b double, moves array<struct<move: string, value: double, prior: double, evidence: double, strength: double, sd: double>>")
+    assert graph.valued(one).first().best_move == "x"
+    fact = {"node": "a", "stm": "w", "bucket": 0, "via": "a", "own": 0.5, "inside": False, "prior": 0.5, "evidence": 100.0, "strength": 10.0, "sd": 0.1}
+    part = [fact | {"move": m, "n": 5, "x_w": v, "x_b": v, "real": True, "self": False} for m, v in (("y", 0.1 + 0.2), ("x", 0.3))]
+    part.append(fact | {"move": None, "n": 0, "x_w": 0.0, "x_b": 0.0, "real": False, "self": True})
+    assert settling.sweeps(pd.DataFrame(part), 1e-6, 10, 10, False).best_move.tolist() == ["x"]
+
+
 def test_every_new_query_has_sql():
     assert {policies.playout_arms.__name__, "policy_plan", "verify_counters", "rate_limit_decisions"} <= q.SQL.keys()
 
