@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.text import byte_texts, few, mix, signed, split_words, tidy
+from arbora.llm.text import byte_texts, few, give_back, mix, signed, split_words, tidy
 from arbora.llm.workspace import discard, stored
 
 UNKNOWN = "und"
@@ -121,7 +121,8 @@ def kneser_ney(languages: list[str], rows: dict[str, np.ndarray], order: int) ->
     below = None
     counts, by = [], []
     for k in range(1, order + 1):
-        own = {c: v[rows["k"] == k] for c, v in rows.items()}
+        at = rows["k"] == k
+        own = {c: v[at] for c, v in rows.items()}
         keys, first, index = np.unique(own["gram"], return_index=True, return_inverse=True)
         raw = np.zeros((len(keys), width))
         np.add.at(raw, (index, own["language"]), own["n"])
@@ -145,6 +146,7 @@ def kneser_ney(languages: list[str], rows: dict[str, np.ndarray], order: int) ->
             weight = np.where(sums > 0, discount * kinds / sums, 1.0)
             own = np.where(sums[group] > 0, np.maximum(adjusted - discount, 0) / sums[group], 0.0)
         lower = np.full((len(keys), width), np.exp(model.floor)) if k == 1 else np.exp(below[1][_find(below[0], suffix)[1]])
+        counts[k - 1] = by[k - 1] = adjusted = None  # the driver's memory is small
         logs = np.log(own + weight[group] * lower)
         model.keys.append(keys)
         model.prob.append(logs)
@@ -224,6 +226,19 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
     return seen.groupBy("language", "k", "gram").agg(F.min("suffix").alias("suffix"), F.min("context").alias("context"), F.min("begins").alias("begins"), F.sum("n").alias("n"))
 
 
+def columns_of(counts: DataFrame, languages: list[str]) -> dict[str, np.ndarray]:
+    """The columns that kneser_ney() takes, from rows of _counts(); they come as Arrow, and no column is held twice."""
+    number = F.array_position(F.array(*map(F.lit, languages)), F.col("language")) - 1
+    table = counts.select(number.cast("int").alias("language"), F.col("k").cast("byte").alias("k"), "gram", "suffix", "context", "begins", "n").toArrow()
+    out = {}
+    for c in table.column_names:
+        out[c] = table.column(c).to_numpy()
+        table = table.drop_columns([c])
+        if c in ("gram", "suffix", "context"):
+            out[c] = out[c].view(np.uint64)
+    return out
+
+
 def train(docs: DataFrame, p: Params = Params()) -> Model:
     """A model from the columns text and lang of labelled documents.
 
@@ -238,10 +253,10 @@ def train(docs: DataFrame, p: Params = Params()) -> Model:
     share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(int(1_000_003 * min(1.0, p.documents / sizes[k])) + 1))])
     taken = stored(known.where(F.col("draw") < F.try_element_at(share, F.col("lang"))).dropDuplicates(["lang", "h"]).drop("h"), "sample")
     few_ = [k for k in languages if sizes[k] < 50]  # too few to set any aside
-    rows = _counts(taken.where((F.col("draw") % 5 != 0) | F.col("lang").isin(few_)), p.order).toPandas()
-    number = {k: i for i, k in enumerate(languages)}
-    columns = {c: rows[c].to_numpy(np.int64).view(np.uint64) for c in ("gram", "suffix", "context")} | {"k": rows["k"].to_numpy(np.int64), "n": rows["n"].to_numpy(float), "begins": rows["begins"].to_numpy(bool), "language": rows["language"].map(number).to_numpy(np.int64)}
+    columns = columns_of(_counts(taken.where((F.col("draw") % 5 != 0) | F.col("lang").isin(few_)), p.order), languages)
     model = kneser_ney(languages, columns, p.order)
+    del columns
+    give_back()
     _calibrate(model, taken.where("draw % 5 = 0"), p)
     discard(taken)
     return model

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from arbora.llm import langid
 from arbora.llm.text import byte_texts
-from arbora.llm.workspace import stored
+from arbora.llm.workspace import discard, stored
 
 #: What look-alike characters stand for.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i"}
@@ -37,13 +37,12 @@ SPACED = re.compile(rb"(?<![^\x20\x09-\x0d])" + ONE + rb"(?:[\x20\x09]" + ONE +
 
 @dataclass(frozen=True)
 class Params:
-    """labelled: documents to learn from, about. support: least share of toxic documents with a piece of evidence.
+    """support: least share of toxic documents with a piece of evidence.
 
     strong: least evidence of a word that counts. Costs are in nats; boundary: of a blank that does part two words where
     every letter stands by itself.
     """
 
-    labelled: int = 30_000
     support: float = 0.002
     strong: float = 2.0
     begins: tuple[int, int] = (4, 8)
@@ -248,20 +247,26 @@ def score_of(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -40, 40)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Weights by Newton steps; the ridge keeps them finite where the classes are apart."""
-    z = np.column_stack([np.ones(len(x)), x])
-    w, hold = np.zeros(z.shape[1]), np.diag([1e-6, *[ridge] * x.shape[1]])
+def logistic(seen: DataFrame, ridge: float = 0.05) -> np.ndarray:
+    """Weights by Newton steps; the ridge keeps them finite where the classes are apart.
+
+    seen: (evidence, n, toxic), a row for each evidence with its documents and the toxic ones; a step is one sum over all.
+    """
+    w, hold = np.zeros(2), np.diag([1e-6, ridge])
+    x, n = F.col("evidence"), F.col("n")
     for _ in range(40):
-        q = score_of(w, x)
-        step = np.linalg.solve(z.T @ (z * (q * (1 - q))[:, None]) + hold, z.T @ (y - q) - hold @ w)
+        margin = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), F.lit(float(w[0])) + F.lit(float(w[1])) * x))
+        q = 1 / (1 + F.exp(-margin))
+        curve, rest = n * q * (1 - q), F.col("toxic") - n * q
+        a, b, c, d, e = seen.agg(*(F.sum(y) for y in (curve, curve * x, curve * x * x, rest, rest * x))).first()
+        step = np.linalg.solve(np.array([[a, b], [b, c]]) + hold, np.array([d, e]) - hold @ w)
         w = w + np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def _evidence(sample: DataFrame, p: Params) -> tuple[dict[str, float], dict[str, float]]:
+def _evidence(known: DataFrame, p: Params) -> tuple[dict[str, float], dict[str, float]]:
     """Log odds of words and of beginnings of words that enough toxic documents have."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,9 +279,9 @@ def _evidence(sample: DataFrame, p: Params) -> tuple[dict[str, float], dict[str,
             names = list({**counts[0], **counts[1]})
             yield from pa.table([pa.array(names, pa.string()), *(pa.array([c[x] for x in names], pa.int64()) for c in counts)], names=["name", "clean", "toxic"]).to_batches(max_chunksize=50_000)
 
-    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
-    rows = sample.select("text", "toxic").mapInArrow(run, "name string, clean long, toxic long").groupBy("name").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    rows = known.select("text", "toxic").mapInArrow(run, "name string, clean long, toxic long").groupBy("name").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     rows = rows.where(F.col("toxic") >= max(2.0, p.support * toxic)).toPandas()
     sure = np.maximum(rows["toxic"] - 1.5 * np.sqrt(rows["toxic"]), 0.05)  # a few documents that share a word prove little
     odds = np.log(sure / (toxic + 1)) - np.log((rows["clean"] + 0.5) / (clean + 1))
@@ -287,19 +292,14 @@ def _evidence(sample: DataFrame, p: Params) -> tuple[dict[str, float], dict[str,
 def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     """A model from labels (doc_id, toxic) and the texts of those documents.
 
-    It takes about p.labelled labelled documents, by a hash of the id, and all where there are fewer; what comes to the
-    driver is bounded by that. A document with several labels is toxic if any says so; null labels are ignored.
+    It learns from all of them; what comes to the driver are counts of n-grams and words, and sums. A document with several
+    labels is toxic if any says so; null labels are ignored.
     """
     labels = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    n = labels.count()
-    few = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, p.labelled / max(n, 1))) + (n <= p.labelled))
-    few = stored(few, "labels")
-    # at most about p.labelled rows of two numbers
-    sample = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(few), "doc_id")
-    sample = stored(sample.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")), "labelled")
-    rows = langid._counts(sample.select("text", F.lit("x").alias("lang")), p.order).toPandas()
-    columns = {c: rows[c].to_numpy(np.int64).view(np.uint64) for c in ("gram", "suffix", "context")} | {"k": rows["k"].to_numpy(np.int64), "n": rows["n"].to_numpy(float), "begins": rows["begins"].to_numpy(bool), "language": np.zeros(len(rows), np.int64)}
-    model = Model(langid.kneser_ney(["x"], columns, p.order), *_evidence(sample, p))
+    known = docs.where("text is not null and doc_id is not null").select("doc_id", "text").join(labels, "doc_id")
+    known = stored(known.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")), "labelled")
+    columns = langid.columns_of(langid._counts(known.select("text", F.lit("x").alias("lang")), p.order), ["x"])
+    model = Model(langid.kneser_ney(["x"], columns, p.order), *_evidence(known, p))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,9 +308,11 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
             x = list(reader.evidence(byte_texts(part.column("text"))))
             yield pa.record_batch([pa.array(x, pa.float64()), part.column("toxic")], names=["evidence", "toxic"])
 
-    seen = sample.mapInArrow(run, "evidence double, toxic int").toPandas()
-    if len(seen):
-        model.weights = logistic(seen[["evidence"]].to_numpy(float), seen["toxic"].to_numpy(float))
+    seen = known.mapInArrow(run, "evidence double, toxic int").groupBy("evidence").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
+    seen = stored(seen, "evidence")
+    if not seen.isEmpty():
+        model.weights = logistic(seen)
+    discard(known, seen)
     return model
 
 

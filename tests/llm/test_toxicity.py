@@ -89,3 +89,19 @@ def test_nothing_to_learn(spark):
     assert [r.predicted for r in toxicity.score(docs, m, ["doc_id"]).collect()] == [0, 0]
     assert toxicity.score(docs.where("false"), m, ["doc_id"]).count() == 0
     assert np.isfinite(m.weights).all()
+
+
+def test_every_labelled_document_is_learned_from(spark, monkeypatch):
+    """Of 40,000 labelled documents all are counted, and the weights are those of Newton steps over every one."""
+    docs = spark.range(40_000).selectExpr("id doc_id", "if(id % 10 = 0, 'vile words', 'kind words') text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 10 = 0) toxic")
+    seen = []
+    monkeypatch.setattr(toxicity, "logistic", lambda x, f=toxicity.logistic: seen.append(x.agg({"n": "sum", "toxic": "sum"}).first()) or f(x))
+    m = toxicity.train(docs, labels)
+    assert sorted(seen[0]) == [4_000, 40_000]
+    table = spark.createDataFrame([(0.0, 6, 1), (2.5, 3, 1), (4.0, 4, 4)], "evidence double, n long, toxic long")
+    w = toxicity.logistic(table)
+    x, n, y = (np.array(c) for c in ([0.0, 2.5, 4.0], [6, 3, 4], [1, 1, 4]))
+    rest = y - n * toxicity.score_of(w, x[:, None])
+    assert abs(rest.sum() - 1e-6 * w[0]) < 1e-6 and abs((rest * x).sum() - 0.05 * w[1]) < 1e-6
+    assert [r.predicted for r in toxicity.score(docs.where("doc_id in (0, 1)"), m, ["doc_id"]).orderBy("doc_id").collect()] == [1, 0]
