@@ -156,6 +156,10 @@ def kneser_ney(languages: list[str], rows: dict[str, np.ndarray], order: int) ->
     return model
 
 
+#: Words that are scored at once, and bytes of text that are read at once, about. Results do not depend on them.
+TOGETHER, BYTES = 8_192, 1_000_000
+
+
 class Reader:
     """Scores texts word by word, remembering distinct words of up to `most` bytes in all."""
 
@@ -174,11 +178,12 @@ class Reader:
         if self.held > self.most:
             self._clear()
         if new := [w for w in words if w not in self.place]:
-            scores, lengths = self.model.score([letters(w) for w in new])
             k = len(self.place)
             while k + len(new) > len(self.lengths):
                 self.scores, self.lengths = np.concatenate([self.scores, np.zeros_like(self.scores)]), np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-            self.scores[k : k + len(new)], self.lengths[k : k + len(new)] = scores, lengths
+            for at in range(0, len(new), TOGETHER):  # a word has a dozen numbers for each of its letters
+                some = slice(k + at, k + min(at + TOGETHER, len(new)))
+                self.scores[some], self.lengths[some] = self.model.score([letters(w) for w in new[at : at + TOGETHER]])
             self.place.update(zip(new, range(k, k + len(new)), strict=True))
             self.held += sum(map(len, new)) + 16 * len(new)
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
@@ -222,7 +227,7 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
                     n = np.bincount(index, often[at], len(keys)).astype(np.int64)
                     yield pa.record_batch([pa.array([language] * len(keys), pa.string()), pa.array(np.full(len(keys), k, np.int32)), *(pa.array(signed(x)) for x in (keys, suffix, context)), pa.array(place[at_first] + 1 == k), pa.array(n)], names=["language", "k", "gram", "suffix", "context", "begins", "n"])
 
-    seen = docs.select("text", "lang").mapInArrow(run, COUNTS)
+    seen = docs.select("text", "lang").mapInArrow(tidy(run), COUNTS)
     return seen.groupBy("language", "k", "gram").agg(F.min("suffix").alias("suffix"), F.min("context").alias("context"), F.min("begins").alias("begins"), F.sum("n").alias("n"))
 
 
@@ -300,7 +305,7 @@ def _calibrate(model: Model, docs: DataFrame, p: Params) -> None:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
-        for part in few(parts):
+        for part in few(parts, BYTES):
             each, n, row = reader.words(part.column("text"))
             ends = np.searchsorted(row, np.arange(part.num_rows + 1))
             names = part.column("lang").to_pylist()
@@ -309,7 +314,7 @@ def _calibrate(model: Model, docs: DataFrame, p: Params) -> None:
             kind = pa.list_(pa.struct([("k", pa.int32()), ("entropy", pa.float64())]))
             yield pa.record_batch([part.column("lang"), pa.array(scores, pa.list_(pa.float64())), pa.array(sizes, pa.float64()), pa.array([[{"k": k, "entropy": x} for k, x in s] for s in own], kind)], names=["lang", "scores", "n", "stretches"])
 
-    rows = docs.select("text", "lang").mapInArrow(run, "lang string, scores array<double>, n double, stretches array<struct<k: int, entropy: double>>").where("n > 0").collect()  # of the sample
+    rows = docs.select("text", "lang").mapInArrow(tidy(run), "lang string, scores array<double>, n double, stretches array<struct<k: int, entropy: double>>").where("n > 0").collect()  # of the sample
     width = len(model.languages)
     model.limits = np.full((len(p.lengths), width), np.inf)
     if not rows:
@@ -343,12 +348,13 @@ def identify(docs: DataFrame, model: Model, keep: list[str], p: Params = Params(
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [docs.schema[c] for c in keep]
     names = [f"kept_{i}" for i in range(len(keep))]
+    column = names[keep.index("text")] if "text" in keep else "text"  # a text goes to the task once
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         reader = Reader(model)
-        for part in few(parts):
-            scores, n = reader.read(part.column("text"))
+        for part in few(parts, BYTES, column):
+            scores, n = reader.read(part.column(column))
             known = (n > 0) & bool(model.languages)
             at = scores.argmax(1) if model.languages else np.zeros(len(n), np.int64)
             best = scores[np.arange(len(n)), at] if model.languages else np.zeros(len(n))
@@ -362,7 +368,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str], p: Params = Params(
             cols = (pa.array(tags, pa.string()), pa.array(np.where(known, sure, 0.0)), pa.array(entropy, mask=~known), pa.array(rejected))
             yield pa.record_batch([*(part.column(c) for c in names), *cols], names=[*names, *NEW])
 
-    source = docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), F.col("text").alias("text"))
+    source = docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), *([] if "text" in keep else ["text"]))
     out = source.mapInArrow(tidy(run), ", ".join([*(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kept, strict=True)), PREDICTED]))
     return out.select(*(F.col(n).alias(f"kept_{c}" if c in NEW else c) for n, c in zip(names, keep, strict=True)), *NEW)
 

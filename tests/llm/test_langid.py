@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -132,3 +133,28 @@ def test_defined_results(spark):
     assert langid.identify(empty, langid.train(empty), ["doc_id"]).count() == 0
     assert [r.lang_pred for r in langid.identify(docs, langid.train(empty), ["doc_id"]).collect()] == ["und"] * len(rows)
     assert signed(np.array([2**64 - 1], np.uint64))[0] == -1
+
+
+def test_many_new_words_are_scored_in_little_memory():
+    rng = random.Random(7)
+    words = [" " + "".join(rng.choice("abcdefgh") for _ in range(9)) + " " for _ in range(60_000)]
+    model = langid.kneser_ney(["x"], table_of(words[:300], 3), 3)
+    reader = langid.Reader(model)
+    new = list(dict.fromkeys(w.strip().encode() for w in words))
+    tracemalloc.start()
+    at = reader.learn(new)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6, most
+    each, sizes = model.score([f" {w.decode()} " for w in new])
+    assert (reader.scores[at] == each).all() and (reader.lengths[at] == sizes).all()
+
+
+def test_a_kept_text_goes_to_the_tasks_once(spark):
+    docs = spark.createDataFrame([(1, "ein Text"), (2, None)], "doc_id long, text string")
+    out = langid.identify(docs, langid.Model([], 5), ["doc_id", "text"])
+    assert [(r.doc_id, r.text, r.lang_pred) for r in out.orderBy("doc_id").collect()] == [(1, "ein Text", "und"), (2, None, "und")]
+    plan = out._jdf.queryExecution().analyzed()
+    while not plan.nodeName().startswith("MapInArrow"):
+        plan = plan.children().head()
+    assert [x.split("#")[0] for x in plan.children().head().output().mkString(" ").split()] == ["kept_0", "kept_1"]
