@@ -74,7 +74,7 @@ def refined(narrow: DataFrame, total: int, steps: int) -> DataFrame:
     return classes
 
 
-def _sieved(rows: DataFrame, classes: DataFrame) -> DataFrame:
+def sieved(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows whose class may be one of the classes: a bitmap of a fixed size drops most others before any shuffle."""
     word, bit = F.pmod(F.shiftright("class", 6), F.lit(SIEVE)).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("class").bitwiseAND(63).cast("int"))
     bits = classes.select(word, bit.alias("b")).groupBy("word").agg(F.bit_or("b").alias("bits"))
@@ -94,7 +94,7 @@ def later_copies(docs: DataFrame, narrow: DataFrame, total: int, hashes, steps:
     of_row = F.col("n")
     for i in range(steps):
         of_row = F.xxhash64(of_row, F.col("blocks")[i])
-    rows = _sieved(_prepared(docs, hashes).select("doc_id", "part", "text", of_row.alias("class")), classes)
+    rows = sieved(_prepared(docs, hashes).select("doc_id", "part", "text", of_row.alias("class")), classes)
     heavy = F.broadcast(classes.where("heavy"))
     known = rows.join(heavy, "class", "left")
     light = known.where("heavy is null").drop("least", "heavy").join(classes.where("not heavy"), "class")

@@ -84,7 +84,8 @@ def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = toxicity.train(docs, labels.where(fold(F.col("doc_id"), 3) != 1).select("doc_id", "toxic"))
+    learned = fold(F.col("doc_id"), 3) != 1
+    model = toxicity.train(docs.where(learned), labels.where(learned).select("doc_id", "toxic"))
     return toxicity.score(docs, model, ["doc_id"]).withColumn("held_out", fold(F.col("doc_id"), 3) == 1)
 
 

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arbora.llm import langid
-from arbora.llm.text import byte_texts
+from arbora.llm.filter_audit import sieved
+from arbora.llm.text import byte_texts, tidy
 from arbora.llm.workspace import discard, stored
 
 #: What look-alike characters stand for.
@@ -266,23 +267,46 @@ def logistic(seen: DataFrame, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
-def _evidence(known: DataFrame, p: Params) -> tuple[dict[str, float], dict[str, float]]:
-    """Log odds of words and of beginnings of words that enough toxic documents have."""
+def _named(text: bytes, p: Params) -> set[str]:
+    """The words of a text that are letters only, and the beginnings of those, which end in ^."""
+    words = {x for w in set(text.split()) if (x := core(w)).isalpha()}
+    return words | {f"{x[:n]}^" for x in words for n in range(p.begins[0], min(p.begins[1], len(x)) + 1)}
+
+
+def _frequent(docs: DataFrame, p: Params, wanted=None, held: int = 300_000) -> DataFrame:
+    """(name, n): how many of the texts have each name, or each of the wanted ones. A task hands on what it has counted
+    when that is about `held` names, and at its end."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, only = Counter(), wanted.value if wanted else None
+
+        def out():
+            yield from pa.table([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["name", "n"]).to_batches(max_chunksize=50_000)
+            counts.clear()
+
         for part in parts:
-            counts = (Counter(), Counter())
-            for text, toxic in zip(byte_texts(part.column("text")), part.column("toxic").to_pylist(), strict=True):
-                words = {x for w in set(text.split()) if (x := core(w)).isalpha()}
-                begins = {f"{x[:n]}^" for x in words for n in range(p.begins[0], min(p.begins[1], len(x)) + 1)}
-                counts[toxic].update(words | begins)
-            names = list({**counts[0], **counts[1]})
-            yield from pa.table([pa.array(names, pa.string()), *(pa.array([c[x] for x in names], pa.int64()) for c in counts)], names=["name", "clean", "toxic"]).to_batches(max_chunksize=50_000)
+            for text in byte_texts(part.column("text")):
+                names = _named(text, p)
+                counts.update(names if only is None else names & only)
+            if len(counts) > held:
+                yield from out()
+        yield from out()
 
+    return docs.select("text").mapInArrow(tidy(run), "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
+
+
+def _evidence(known: DataFrame, p: Params) -> tuple[dict[str, float], dict[str, float]]:
+    """Log odds of words and of beginnings of words that enough toxic documents have.
+
+    Those are found in the toxic documents; of the others only they are counted. As each has its share of the toxic
+    documents, their number is bounded by a text's words over that share.
+    """
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
-    rows = known.select("text", "toxic").mapInArrow(run, "name string, clean long, toxic long").groupBy("name").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    rows = rows.where(F.col("toxic") >= max(2.0, p.support * toxic)).toPandas()
+    rows = _frequent(known.where("toxic = 1"), p).where(F.col("n") >= max(2.0, p.support * toxic)).withColumnRenamed("n", "toxic").toPandas()
+    wanted = known.sparkSession.sparkContext.broadcast(set(rows["name"]))
+    others = {r["name"]: r["n"] for r in _frequent(known.where("toxic = 0"), p, wanted).collect()}
+    rows["clean"] = rows["name"].map(others).fillna(0).astype(int)
     sure = np.maximum(rows["toxic"] - 1.5 * np.sqrt(rows["toxic"]), 0.05)  # a few documents that share a word prove little
     odds = np.log(sure / (toxic + 1)) - np.log((rows["clean"] + 0.5) / (clean + 1))
     found = dict(zip(rows["name"], odds.astype(float), strict=True))
@@ -296,7 +320,8 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     labels is toxic if any says so; null labels are ignored.
     """
     labels = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    known = docs.where("text is not null and doc_id is not null").select("doc_id", "text").join(labels, "doc_id")
+    texts = docs.where("text is not null and doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("class"))
+    known = sieved(texts, labels.select(F.xxhash64("doc_id").alias("class"))).drop("class").join(labels, "doc_id")
     known = stored(known.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")), "labelled")
     columns = langid.columns_of(langid._counts(known.select("text", F.lit("x").alias("lang")), p.order), ["x"])
     model = Model(langid.kneser_ney(["x"], columns, p.order), *_evidence(known, p))
@@ -308,7 +333,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
             x = list(reader.evidence(byte_texts(part.column("text"))))
             yield pa.record_batch([pa.array(x, pa.float64()), part.column("toxic")], names=["evidence", "toxic"])
 
-    seen = known.mapInArrow(run, "evidence double, toxic int").groupBy("evidence").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
+    seen = known.mapInArrow(tidy(run), "evidence double, toxic int").groupBy("evidence").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
     seen = stored(seen, "evidence")
     if not seen.isEmpty():
         model.weights = logistic(seen)

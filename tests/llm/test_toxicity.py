@@ -1,5 +1,6 @@
 import base64
 import itertools
+import math
 import random
 import time
 
@@ -105,3 +106,18 @@ def test_every_labelled_document_is_learned_from(spark, monkeypatch):
     rest = y - n * toxicity.score_of(w, x[:, None])
     assert abs(rest.sum() - 1e-6 * w[0]) < 1e-6 and abs((rest * x).sum() - 0.05 * w[1]) < 1e-6
     assert [r.predicted for r in toxicity.score(docs.where("doc_id in (0, 1)"), m, ["doc_id"]).orderBy("doc_id").collect()] == [1, 0]
+
+
+def test_only_names_of_enough_toxic_documents_are_counted_in_the_others(spark, monkeypatch):
+    rows = [(i, f"idiot text{i} plain words", 1) for i in range(20)] + [(100 + i, f"other clean{i} plain", 0) for i in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    known = spark.createDataFrame([(t, x) for _, t, x in rows], "text string, toxic int")
+    counted, plain = [], toxicity._frequent
+    monkeypatch.setattr(toxicity, "_frequent", lambda *a: counted.append(plain(*a)) or counted[-1])
+    words, begins = toxicity._evidence(known, Params())
+    of = lambda toxic, clean: math.log(max(toxic - 1.5 * math.sqrt(toxic), 0.05) / 21) - math.log((clean + 0.5) / 301)
+    assert words == pytest.approx({"idiot": of(20, 0), "words": of(20, 0), "plain": of(20, 300)})
+    assert set(begins) == {"idio", "idiot", "word", "words"}
+    assert {r["name"] for r in counted[1].collect()} == {"plain", "plain^", "plai^"}
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+    assert toxicity.train(docs, labels).evidence == pytest.approx(words)
