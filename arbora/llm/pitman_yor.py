@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.text import few, hashed, mix, signed, split_words, tidy
+from arbora.llm.text import few, hashed, mix, signed, split_words, tidy, tidy_group, tidy_groups
 from arbora.llm.workspace import discard, stored
 
 #: The spelling of the token that ends a text; no word contains it.
@@ -479,6 +479,16 @@ def _tokens(parts: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple]:
         yield part, words, h, np.concatenate([w[-1:], w[:-1]]), w, np.repeat(np.arange(part.num_rows), sizes + 1)
 
 
+def _grouped(u: np.ndarray, w: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first place of each different pair, its occurrences, where its rows begin, rows by pair), by one sort."""
+    pair = _pair(u, w)
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+    del pair
+    return order[first], np.diff(first, append=len(order)), first, row[order]
+
+
 def count_pairs(docs: DataFrame, deal, p: Params) -> DataFrame:
     """The pairs of neighbouring words of docs by bucket, counted, and what the sweeps need to know of them.
 
@@ -520,7 +530,7 @@ def count_pairs(docs: DataFrame, deal, p: Params) -> DataFrame:
         mine, many = _shared(d, kinds, np.bincount(group, minlength=len(kinds)))
         return _rows(rows, (b, FEW, few_, tables), (b, NEEDED, need, np.zeros(len(need))), (b, NEEDED_OFTEN, need_often, np.zeros(len(need_often))), (b, TABLES, names, at_first), (b, RATES, np.array([1, 2], np.uint64), np.array([once.sum(), (n == 2).sum()])), (b, SHARED, mine, many))
 
-    return docs.select("text").mapInArrow(tidy(run), BUCKETED_SQL).groupBy("bucket").applyInArrow(merge, BUCKETED_SQL)
+    return docs.select("text").mapInArrow(tidy(run), BUCKETED_SQL).groupBy("bucket").applyInArrow(tidy_group(merge), BUCKETED_SQL)
 
 
 def _shared(d: Deal, kinds: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -588,7 +598,7 @@ def _seat_pairs(state: DataFrame, known: DataFrame, deal, top, shared: dict[int,
         rows = d.blobs(b, OFTEN, u, w, n, t, held) + d.blobs(b, CONTEXTS, kinds, tokens, once)
         return _rows(rows, (b, TABLES, names, np.bincount(index, t, len(names))), (b, SHARED, *_shared(d, kinds, once + np.bincount(at, t, len(kinds)))))
 
-    return _cogrouped(state, known).applyInArrow(run, BUCKETED_SQL)
+    return _cogrouped(state, known).applyInArrow(tidy_groups(run), BUCKETED_SQL)
 
 
 def _cogrouped(left: DataFrame, right: DataFrame):
@@ -725,7 +735,7 @@ def _answers(m: Learned, p: Params) -> DataFrame:
         return _rows(d.blobs(b, PAIRS, u, w, more) + d.blobs(b, WORDS, own, np.log10((count + 0.1) / floor), prob + back))
 
     left = m.pairs.where(F.col("kind") == PAIRS).unionByName(m.state)
-    return _cogrouped(left, known).applyInArrow(run, BUCKETED_SQL)
+    return _cogrouped(left, known).applyInArrow(tidy_groups(run), BUCKETED_SQL)
 
 
 def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame:
@@ -746,23 +756,23 @@ def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame
         """Questions: what a batch of rows asks each bucket; one row has the facts of the batch."""
         batch, d = TaskContext.get().partitionId() << 33, deal.value
         for rows, words, h, u, w, row in _tokens(parts, p):
-            _, one, index, many = np.unique(_pair(u, w), return_index=True, return_inverse=True, return_counts=True)
-            by_pair = row[np.argsort(index, kind="stable")]
-            first = np.cumsum(many) - many
             # only rows that are not learned can have words that are not known
             new = np.isin(h, w[~rows.column("learn").to_numpy(zero_copy_only=False)[row]])
             fresh, spelled_ = h[new], log_unseen(spellings.value, words.filter(pa.array(new))) if new.any() else np.zeros(0)
             order = np.argsort(fresh)
             fresh, spelled_ = fresh[order], spelled_[order]
             out = []
-            by, ends = d.by_bucket(u[one], w[one])
+            tokens = np.bincount(row, minlength=rows.num_rows)
+            one, many, first, by_pair = _grouped(u, w, row)
+            u, w = u[one], w[one]
+            del one, row
+            by, ends = d.by_bucket(u, w)
             for b in range(d.buckets):
                 if len(i := by[ends[b] : ends[b + 1]]):
                     at = np.repeat(first[i], many[i]) + np.arange(many[i].sum()) - np.repeat(np.cumsum(many[i]) - many[i], many[i])
-                    own, first_own = np.unique(u[one[i]], return_index=True)
+                    own, first_own = np.unique(u[i], return_index=True)
                     hit, k = _find(fresh, own)
-                    out.append((b, batch, rows.num_rows, d.pack(u[one[i]], w[one[i]], many[i], by_pair[at], first_own[hit], spelled_[k[hit]]), None))
-            tokens = np.bincount(row, minlength=rows.num_rows)
+                    out.append((b, batch, rows.num_rows, d.pack(u[i], w[i], many[i], by_pair[at], first_own[hit], spelled_[k[hit]]), None))
             facts = [{"doc_id": i, "learn": own, "n_tokens": int(n)} for i, own, n in zip(rows.column("doc_id").to_pylist(), rows.column("learn").to_pylist(), tokens, strict=True)]
             out.append((int(batch % d.buckets), batch, rows.num_rows, None, facts))
             yield from pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), QUESTION, strict=True)], schema=QUESTION).to_batches(max_chunksize=64)
@@ -810,7 +820,7 @@ def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame
         return pa.table({"doc_id": pa.array([f["doc_id"] for f in facts], pa.int64()), "learned": pa.array([f["learn"] for f in facts], pa.bool_()), "n_tokens": pa.array([f["n_tokens"] for f in facts], pa.int64()), "n_known": known, "base_score": base, "score": prob})
 
     asked = docs.mapInArrow(tidy(run), QUESTION_SQL)
-    answered = _cogrouped(asked, answers).applyInArrow(answer, QUESTION_SQL)
+    answered = _cogrouped(asked, answers).applyInArrow(tidy_groups(answer), QUESTION_SQL)
     sums = answered.groupBy("batch").applyInArrow(add, "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double")
     return sums.select("doc_id", "learned", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -100,6 +100,30 @@ def tidy(run):
     return wrapped
 
 
+def tidy_group(run):
+    """An applyInArrow function of a group that gives its memory back after each."""
+
+    def wrapped(key, table):
+        try:
+            return run(key, table)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def tidy_groups(run):
+    """The same of two groups of one key."""
+
+    def wrapped(key, left, right):
+        try:
+            return run(key, left, right)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = x ^ (x >> np.uint64(30))

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -175,3 +176,18 @@ def test_unseen_words_are_spelled(spark):
     rows = [(i, t, True) for i, t in enumerate(texts)] + [(900, "the cats", False), (901, "the " + "xqzjvw" * 7, False), (902, "the cat", False)]
     got = {r.doc_id: r.score for r in py.score(spark.createDataFrame(rows, "doc_id long, text string, learn boolean"), "learn").collect()}
     assert got[902] > got[900] > got[901] + 20
+
+
+def test_pairs_are_grouped_by_one_sort_in_little_memory():
+    rng = np.random.default_rng(3)
+    n = 400_000
+    w = rng.zipf(1.3, n).astype(np.uint64) % np.uint64(50_000)
+    u, row = np.roll(w, 1), np.sort(rng.integers(0, 2_000, n))
+    tracemalloc.start()
+    one, many, first, by_pair = py._grouped(u, w, row)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    _, index, inverse, counts = np.unique(py._pair(u, w), return_index=True, return_inverse=True, return_counts=True)
+    assert (one == index).all() and (many == counts).all() and (first == np.cumsum(counts) - counts).all()
+    assert (by_pair == row[np.argsort(inverse, kind="stable")]).all()
+    assert most < 5 * 8 * n, most
