@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.text import few, hashed, mix, signed, split_words, tidy, tidy_group, tidy_groups
+from arbora.llm.text import few, hashed, mix, signed, spans, split_words, tidy, tidy_group, tidy_groups
 from arbora.llm.workspace import discard, stored
 
 #: The spelling of the token that ends a text; no word contains it.
@@ -109,10 +109,11 @@ def log_together(c: np.ndarray, t: np.ndarray, d: float, nodes: int = 32) -> np.
     """
     c, t = np.broadcast_arrays(np.asarray(c, float), np.asarray(t, float))
     low, high = np.full(c.shape, np.log(1e-13)), np.full(c.shape, np.log(700.0))
-    for _ in range(48):  # the saddle is at exp(-y)
+    ratio = np.log(t * d / (c + 1))
+    for _ in range(32):  # the saddle is at exp(-y); the integral needs it roughly
         middle = (low + high) / 2
         y = np.exp(middle)
-        beyond = np.log(t * d) + (1 - d) * y - np.log(-np.expm1(-d * y)) + np.log(-np.expm1(-y)) - np.log(c + 1) > 0
+        beyond = ratio + (1 - d) * y + np.log(np.expm1(-y) / np.expm1(-d * y)) > 0
         low, high = np.where(beyond, low, middle), np.where(beyond, middle, high)
     saddle = np.exp(-np.exp(high))
     z0 = np.maximum(saddle, np.minimum(0.5, 0.5 / c))
@@ -123,10 +124,14 @@ def log_together(c: np.ndarray, t: np.ndarray, d: float, nodes: int = 32) -> np.
     step = np.arcsinh(most / width) / nodes
     v = step[..., None] * np.arange(nodes + 1)
     u = width[..., None] * np.sinh(v)
-    z = z0[..., None] * (1 + 1j * u) ** 2
-    value = t[..., None] * np.log(1 - z**d) - (c[..., None] + 1) * np.log(1 - z)
-    top = value.real.max(-1, keepdims=True)
-    rows = (np.exp(value - top) * (1 + 1j * u)).real * np.cosh(v) * width[..., None]
+    # z is z0 * (1 + iu) ** 2; real and imaginary parts apart, as numpy's complex logarithms and powers are slow
+    grown, turn = np.exp(d * (np.log(z0)[..., None] + np.log1p(u * u))), 2 * d * np.arctan(u)
+    x1, y1 = 1 - grown * np.cos(turn), -grown * np.sin(turn)
+    x2, y2 = 1 - z0[..., None] * (1 - u * u), -2 * z0[..., None] * u
+    real = (t[..., None] * np.log(x1 * x1 + y1 * y1) - (c[..., None] + 1) * np.log(x2 * x2 + y2 * y2)) / 2
+    turn = t[..., None] * np.arctan2(y1, x1) - (c[..., None] + 1) * np.arctan2(y2, x2)
+    top = real.max(-1, keepdims=True)
+    rows = np.exp(real - top) * (np.cos(turn) - u * np.sin(turn)) * np.cosh(v) * width[..., None]
     rows[..., 0] /= 2
     found = top[..., 0] + np.log(np.maximum(np.abs(rows.sum(-1)) * step * 2 * z0 / np.pi, 1e-300))
     return np.where(t == c, c * np.log(d), found)
@@ -141,17 +146,18 @@ def draw_many(c: np.ndarray, fresh: np.ndarray, base: np.ndarray, d: float, x: n
     """
     out = np.ones(len(c), np.int64)
 
-    def weight(i: np.ndarray, t: np.ndarray) -> np.ndarray:
+    def weight(i: np.ndarray, t: np.ndarray, ways: np.ndarray | None = None) -> np.ndarray:
         a = fresh[i][:, None]
-        return log_together(c[i][:, None], t, d) + log_gamma(a + t) - log_gamma(t + 1.0) + t * np.log(base[i])[:, None]
+        return (log_together(c[i][:, None], t, d) if ways is None else ways) + log_gamma(a + t) - log_gamma(t + 1.0) + t * np.log(base[i])[:, None]
 
     def drawn(i: np.ndarray, t: np.ndarray, w: np.ndarray) -> np.ndarray:
         share = np.cumsum(np.exp(w - w.max(-1, keepdims=True)), -1)
         return np.take_along_axis(t, (share < (x[i] * share[:, -1])[:, None]).sum(1)[:, None], 1)[:, 0]
 
-    for at in np.array_split(np.arange(len(c)), max(1, len(c) // 250)):
+    for at in np.array_split(np.argsort(c), max(1, len(c) // 250)):
         grid = np.broadcast_to(np.arange(1.0, points + 1), (len(at), points))
-        w = weight(at, grid)
+        sizes, same = np.unique(c[at], return_inverse=True)
+        w = weight(at, grid, log_together(sizes[:, None], grid[:1], d)[same])
         small = w[:, -1] < w.max(1) - 30
         out[at[small]] = drawn(at[small], grid[small], w[small])
         at = at[~small]
@@ -204,12 +210,14 @@ def draw_tables(customers: np.ndarray, others: np.ndarray, base: np.ndarray, d:
 
 def spelled(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(word of each symbol, the symbol with the two before it as one number) of the spellings of words."""
-    each = words.to_pylist()
-    sizes = np.fromiter(map(len, each), np.int64, len(each))
-    data = np.frombuffer(b"".join(each), np.uint8).astype(np.int64)
-    text = np.insert(data, np.cumsum(sizes), SYMBOLS - 1)  # an end after each word
+    begin, sizes, data = spans(words)
+    text = np.full(sizes.sum() + len(words), SYMBOLS - 1)  # an end after each word
+    ends = np.cumsum(sizes + 1) - 1
+    inside = np.ones(len(text), bool)
+    inside[ends] = False
+    text[inside] = data[begin[0] : begin[-1] + sizes[-1]] if len(words) else 0
     owner = np.repeat(np.arange(len(words)), sizes + 1)
-    first = np.cumsum(sizes + 1) - sizes - 1
+    first = ends - sizes
     before = np.concatenate([[SYMBOLS - 1], text[:-1]])
     second = np.concatenate([[SYMBOLS - 1] * 2, text[:-2]])[: len(text)]
     second[first] = SYMBOLS - 1
@@ -226,6 +234,10 @@ class Spelling:
     prob: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0)] * 3)
     contexts: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.int64)] * 3)
     back: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0)] * 3)
+    places: dict[int, Lookup] = field(default_factory=dict)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"places": {}}
 
     def swept(self, codes: np.ndarray, customers: np.ndarray, sweep: int) -> Spelling:
         """After a sweep, with these customers at each code of the top level."""
@@ -259,7 +271,9 @@ class Spelling:
 
     def of(self, k: int, codes: np.ndarray) -> np.ndarray:
         """Probability of symbols in their context of k bytes."""
-        seen, index = _find(self.codes[k], codes)
+        if k not in self.places:
+            self.places[k] = Lookup(mix(self.codes[k].astype(np.uint64)))
+        seen, index = self.places[k].find(mix(codes.astype(np.uint64)))
         out = np.zeros(len(codes))
         out[seen] = self.prob[k][index[seen]]
         rest = codes[~seen]
@@ -269,9 +283,11 @@ class Spelling:
 
     def log_words(self, words: pa.Array) -> np.ndarray:
         """Logarithm of each word's probability."""
-        owner, codes = spelled(words)
-        some, index = np.unique(codes, return_inverse=True)
-        return np.bincount(owner, np.log(self.of(2, some))[index], len(words))
+        return self.log_spelled(*spelled(words), len(words))
+
+    def log_spelled(self, owner: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
+        """The same of n words' spellings."""
+        return np.bincount(owner, np.log(self.of(2, codes)), n)
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,6 +297,71 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[index] == wanted, index
 
 
+class Lookup:
+    """Places of different hashes in an array of them.
+
+    A hash's first bits lead to where those that share them begin among the sorted ones, mostly itself or the one before,
+    so that the steps of a search do not grow with the array.
+    """
+
+    def __init__(self, keys: np.ndarray):
+        self.order = None if (keys[1:] > keys[:-1]).all() else _order(keys)
+        own = keys if self.order is None else keys[self.order]
+        bits = (2 * len(own)).bit_length()
+        self.n, self.shift = len(own), np.uint64(64 - bits)
+        many = np.bincount((own >> self.shift).astype(np.int64), minlength=1 << bits) if len(own) else np.zeros(1, np.int64)
+        self.begin = (np.cumsum(many) - many).astype(np.int32)
+        self.keys = np.append(own, np.uint64(2**64 - 1))  # a search ends there
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether each is there, its place)."""
+        if not self.n:
+            return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+        at = self.begin[(wanted >> self.shift).view(np.int64)].astype(np.int64)
+        there = self.keys[at]
+        hit, on = there == wanted, np.flatnonzero(there < wanted)
+        while len(on):
+            at[on] += 1
+            there, want = self.keys[at[on]], wanted[on]
+            hit[on], on = there == want, on[there < want]
+        beyond = at == self.n
+        hit[beyond], at[beyond] = False, 0
+        return hit, at if self.order is None else self.order[at]
+
+
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Places of hashes in their order; equal ones stay as they are.
+
+    A hash's first bits and its place are sorted as one number, which is much faster than sorting places by a key. The few
+    hashes that share their first bits with others are put in order after that.
+    """
+    bits = np.uint64(len(keys).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    mixed = keys & ~low | np.arange(len(keys), dtype=np.uint64)
+    mixed.sort()
+    order = (mixed & low).view(np.int64)
+    mixed >>= bits
+    own = keys[order]
+    odd = np.flatnonzero((mixed[1:] == mixed[:-1]) & (own[1:] != own[:-1]))
+    if len(odd) > 1000:
+        return np.argsort(keys, kind="stable")
+    for first in np.unique(mixed[odd]):
+        part = slice(*np.searchsorted(mixed, [first, first + np.uint64(1)]))
+        order[part] = order[part][np.argsort(own[part], kind="stable")]
+    return order
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of hashes in their order, where each different one begins among them)."""
+    order = _order(keys)
+    return order, _begins(keys[order])
+
+
+def _begins(keys: np.ndarray) -> np.ndarray:
+    """Where each different key begins among sorted ones."""
+    return np.flatnonzero(np.concatenate([[len(keys) > 0], keys[1:] != keys[:-1]])[: len(keys)])
+
+
 def count_words(docs: DataFrame, p: Params) -> DataFrame:
     """(word, h, n) of every distinct word of docs with its hash, and of the end token that every text has."""
 
@@ -333,9 +414,9 @@ def _symbols(types: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _gathered(parts):
             owner, codes = spelled(part.column("word"))
-            some, index = np.unique(codes, return_inverse=True)
-            n = np.bincount(index, part.column("t").to_numpy()[owner], len(some)).astype(np.int64)
-            yield pa.record_batch([pa.array(some), pa.array(n)], names=["code", "n"])
+            order, first = _runs(mix(codes.astype(np.uint64)))
+            n = np.add.reduceat(part.column("t").to_numpy()[owner[order]], first)
+            yield pa.record_batch([pa.array(codes[order[first]]), pa.array(n)], names=["code", "n"])
 
     rows = types.select("word", "t").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     return rows["code"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
@@ -375,47 +456,57 @@ class Deal:
         parts = np.where(n > most, np.ceil(n / most), 1).astype(np.int64)
         return cls(max(8, total // p.bucket), h[order], order.astype(np.uint16), n[order], parts[order])
 
-    def bucket(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
-        if not (self.parts > 1).any():
-            return self.of_part(u, np.zeros(1, np.int64))
-        hit, at = _find(self.words, u)
-        parts = np.where(hit, self.parts[at], 1) if len(self.words) else np.ones(len(u), np.int64)
-        return self.of_part(u, (mix(w) >> np.uint64(33)).astype(np.int64) % parts)
+    @functools.cached_property
+    def places(self) -> Lookup:
+        return Lookup(self.words)
+
+    @functools.cached_property
+    def by_code(self) -> np.ndarray:
+        """The word of each code."""
+        out = np.zeros(RARE + 1, np.uint64)
+        out[self.ranks] = self.words
+        return out
+
+    def codes(self, h: np.ndarray) -> np.ndarray:
+        """Two-byte codes of words, RARE for those that have none."""
+        hit, at = self.places.find(h)
+        return np.where(hit, self.ranks[at], RARE).astype("<u2") if len(self.words) else np.full(len(h), RARE, "<u2")
+
+    def parts_of(self, h: np.ndarray) -> np.ndarray:
+        hit, at = self.places.find(h)
+        return np.where(hit, self.parts[at], 1) if len(self.words) else np.ones(len(h), np.int64)
 
     def of_part(self, u: np.ndarray, part: np.ndarray) -> np.ndarray:
         return ((mix(u + part.astype(np.uint64) * ODD) >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int64)
 
     def homes(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places in u, buckets) of every bucket that has a part of a word's restaurant."""
-        hit, at = _find(self.words, u)
-        parts = np.where(hit, self.parts[at], 1) if len(self.words) else np.ones(len(u), np.int64)
+        parts = self.parts_of(u)
         index = np.repeat(np.arange(len(u)), parts)
         part = np.arange(len(index)) - np.repeat(np.cumsum(parts) - parts, parts)
         found = np.unique(np.stack([index, self.of_part(u[index], part)]), axis=1)
         return found[0], found[1]
 
-    def by_bucket(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places of pairs by bucket and nearly by first word, where each bucket begins among them)."""
-        to = self.bucket(u, w)
-        order = np.argsort(to.astype(np.uint64) << np.uint64(40) | u >> np.uint64(24))
-        return order, np.searchsorted(to[order], np.arange(self.buckets + 1))
+    def by_bucket(self, h: np.ndarray, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of pairs by bucket, else as they are, where each bucket begins among them); u, w: places in the hashes h."""
+        parts, to = self.parts_of(h), self.of_part(h, np.zeros(1, np.int64))[u]
+        if (parts > 1).any():
+            many = np.flatnonzero(parts[u] > 1)
+            to[many] = self.of_part(h[u[many]], (mix(h) >> np.uint64(33)).astype(np.int64)[w[many]] % parts[u[many]])
+        order = np.argsort(to.astype(np.min_scalar_type(self.buckets)), kind="stable")
+        return order, np.concatenate([[0], np.cumsum(np.bincount(to, minlength=self.buckets))])
 
     def shared(self) -> np.ndarray:
         """The words whose pairs are in several parts."""
         return self.words[self.parts > 1]
 
-    def rare(self, w: np.ndarray) -> np.ndarray:
-        """The words that have no code."""
-        return w[~_find(self.words, w)[0]]
-
-    def pack(self, *columns: np.ndarray) -> bytes:
-        """Arrays as bytes; those of unsigned 64-bit numbers are hashes of words."""
+    def pack(self, *columns: np.ndarray | tuple[np.ndarray, np.ndarray]) -> bytes:
+        """Arrays as bytes; those of unsigned 64-bit numbers are hashes of words, and pairs of arrays their codes and hashes."""
         out: list = []
         for c in columns:
-            if c.dtype == np.uint64:
-                hit, at = _find(self.words, c)
-                code = np.where(hit, self.ranks[at], RARE).astype("<u2") if len(self.words) else np.full(len(c), RARE, "<u2")
-                out.append((code.view(np.uint8).reshape(-1, 2).T.tobytes(), c[~hit]))
+            if isinstance(c, tuple) or c.dtype == np.uint64:
+                code, h = c if isinstance(c, tuple) else (self.codes(c), c)
+                out.append((code.view(np.uint8).reshape(-1, 2).T.tobytes(), h[code == RARE]))
             elif c.dtype.kind in "iu":
                 out.append(c.astype(np.min_scalar_type(int(c.max(initial=0))) if c.min(initial=0) >= 0 else np.int64))
             else:
@@ -427,10 +518,7 @@ class Deal:
         for c in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)):
             if isinstance(c, tuple):
                 code = np.frombuffer(c[0], np.uint8).reshape(2, -1).T.copy().view("<u2")[:, 0] if len(c[0]) else np.zeros(0, np.uint16)
-                by_rank = np.zeros(len(self.words), np.uint64)
-                by_rank[self.ranks] = self.words
-                values = np.empty(len(code), np.uint64)
-                values[code != RARE] = by_rank[code[code != RARE]]
+                values = self.by_code[code]
                 values[code == RARE] = c[1]
                 out.append(values)
             else:
@@ -444,9 +532,10 @@ class Deal:
             return [np.zeros(0, t) for t in types]
         return [np.concatenate(x) for x in zip(*map(self.unpack, own), strict=True)]
 
-    def blobs(self, bucket: int, kind: int, *columns: np.ndarray, most: int = 250_000) -> list[tuple]:
+    def blobs(self, bucket: int, kind: int, *columns: np.ndarray | tuple[np.ndarray, np.ndarray], most: int = 250_000) -> list[tuple]:
         """Rows of BUCKETED with equally long arrays, in pieces."""
-        return [(bucket, kind, self.pack(*(c[at : at + most] for c in columns)), None, None) for at in range(0, len(columns[0]), most)]
+        n = len(columns[-1])
+        return [(bucket, kind, self.pack(*(tuple(x[at : at + most] for x in c) if isinstance(c, tuple) else c[at : at + most] for c in columns)), None, None) for at in range(0, n, most)]
 
 
 def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -456,7 +545,12 @@ def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 BUCKETED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary()), ("w", pa.int64()), ("v", pa.float64())])
 BUCKETED_SQL = "bucket int, kind int, blob binary, w long, v double"
-PAIRS, FEW, OFTEN, CONTEXTS, WORDS, NEEDED, NEEDED_OFTEN, TABLES, RATES, SHARED = range(10)
+PAIRS, FEW, OFTEN, CONTEXTS, WORDS, NEEDED, TABLES, RATES, SHARED = range(9)
+#: FEW and TABLES of words without a code; TABLES of such words that have no FEW.
+FEW_RARE, TABLES_RARE, TABLES_ONLY = range(9, 12)
+ALL_FEW, ALL_TABLES = (FEW, FEW_RARE), (TABLES, TABLES_RARE, TABLES_ONLY)
+#: Each word without a code of PAIRS once, and each of OFTEN.
+RARE_OF_PAIRS, RARE_OF_OFTEN = (FEW_RARE, TABLES_ONLY), (TABLES_RARE, TABLES_ONLY)
 
 
 def _rows(rows: list[tuple], *numbers: tuple[int, int, np.ndarray, np.ndarray]) -> pa.Table:
@@ -470,13 +564,44 @@ def _rows(rows: list[tuple], *numbers: tuple[int, int, np.ndarray, np.ndarray])
 
 
 def _tokens(parts: Iterator[pa.RecordBatch], p: Params) -> Iterator[tuple]:
-    """(rows, distinct words, their hashes, word before, word, row of each token) of about p.batch bytes at a time."""
+    """(rows, distinct words, places in these by hash, their hashes in order, word before, word, row of each token).
+
+    Of about p.batch bytes at a time. The word before and the word are places among the hashes; the end token has one too,
+    and comes after the last of the distinct words.
+    """
     for part in few(parts, p.batch):
         words, index, sizes = split_words(part.column("text"), folded=True)
-        h = hashed(words)
+        h = np.append(hashed(words), END_HASH)
+        order = np.argsort(h)
+        place = np.empty(len(h), np.int64)
+        place[order] = np.arange(len(h))
         # an end token after the words of each text; a first word comes after the end of the text before it
-        w = np.insert(h[index] if len(h) else np.empty(0, np.uint64), np.cumsum(sizes), END_HASH)
-        yield part, words, h, np.concatenate([w[-1:], w[:-1]]), w, np.repeat(np.arange(part.num_rows), sizes + 1)
+        w = place[np.insert(index, np.cumsum(sizes), len(words))]
+        yield part, words, order, h[order], np.concatenate([w[-1:], w[:-1]]), w, np.repeat(np.arange(part.num_rows), sizes + 1)
+
+
+def _grouped_places(u: np.ndarray, w: np.ndarray, row: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What _grouped gives, of pairs of places below `kinds`, in the order of u and then of w.
+
+    Where they fit, pair and token are one number, which sorts much faster than places do by a key.
+    """
+    pair, token = 2 * kinds.bit_length(), len(u).bit_length()
+    if pair + token > 64:
+        one, many, first, by_pair = _grouped(u.astype(np.uint64), w.astype(np.uint64), row)
+        order = np.lexsort((w[one], u[one]))
+        at = np.repeat(first[order], many[order]) + _within(many[order])
+        return one[order], many[order], np.cumsum(many[order]) - many[order], by_pair[at]
+    keys = (u.astype(np.uint64) << np.uint64(pair // 2) | w.astype(np.uint64)) << np.uint64(token) | np.arange(len(u), dtype=np.uint64)
+    keys.sort()
+    order = (keys & np.uint64((1 << token) - 1)).view(np.int64)
+    keys >>= np.uint64(token)
+    first = _begins(keys)
+    return order[first], np.diff(first, append=len(order)), first, row[order]
+
+
+def _within(many: np.ndarray) -> np.ndarray:
+    """0, 1, ... of each group of so many."""
+    return np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
 
 
 def _grouped(u: np.ndarray, w: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -493,42 +618,47 @@ def count_pairs(docs: DataFrame, deal, p: Params) -> DataFrame:
     """The pairs of neighbouring words of docs by bucket, counted, and what the sweeps need to know of them.
 
     PAIRS: word before, word, count of every pair. OFTEN: the same with tables, and their average, of those that occur
-    twice or more; the others have one table. CONTEXTS: word, tokens after it, pairs that occur once. NEEDED,
-    NEEDED_OFTEN: the different words of PAIRS and OFTEN that have no code. FEW: tables that a word has in pairs that occur once. TABLES:
-    those in OFTEN. RATES: numbers of pairs that occur once and twice. SHARED: tables that a word before, dealt to
+    twice or more; the others have one table. CONTEXTS: word, tokens after it, pairs that occur once. FEW, FEW_RARE:
+    tables that a word has in pairs that occur once. TABLES, TABLES_RARE, TABLES_ONLY: those in OFTEN. RATES: numbers of pairs that occur once and twice. SHARED: tables that a word before, dealt to
     several buckets, has in this one.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = deal.value
-        for _, _, _, u, w, _ in _tokens(parts, p):
-            _, first, n = np.unique(_pair(u, w), return_index=True, return_counts=True)
-            u, w = u[first], w[first]
-            order, ends = d.by_bucket(u, w)
+        for _, _, _, h, u, w, row in _tokens(parts, p):
+            one, n, _, _ = _grouped_places(u, w, row, len(h))
+            u, w, code = u[one], w[one], d.codes(h)
+            order, ends = d.by_bucket(h, u, w)
             rows = []
             for b in range(d.buckets):
                 if len(i := order[ends[b] : ends[b + 1]]):
-                    rows += d.blobs(b, PAIRS, u[i], w[i], n[i])
+                    rows += d.blobs(b, PAIRS, (code[u[i]], h[u[i]]), (code[w[i]], h[w[i]]), n[i])
             yield from _rows(rows).to_batches(max_chunksize=64)
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
         b, d = key[0].as_py(), deal.value
         u, w, n = d.joined(table, PAIRS, np.uint64, np.uint64, np.int64)
-        _, first, index = np.unique(_pair(u, w), return_index=True, return_inverse=True)
-        n = np.bincount(index, n, len(first)).astype(np.int64)
-        u, w = u[first], w[first]
-        order = np.argsort(u)
+        order, first = _runs(_pair(u, w))
+        n = np.add.reduceat(n[order], first)
+        u, w = u[order[first]], w[order[first]]
+        order, begin = _runs(u)
         u, w, n = u[order], w[order], n[order]
-        kinds, group = np.unique(u, return_inverse=True)
+        kinds, many = u[begin], np.diff(begin, append=len(u))
+        group = np.repeat(np.arange(len(kinds)), many)
         once, often = n == 1, n > 1
+        code_u, code_w = np.repeat(d.codes(kinds), many), d.codes(w)
         few_, tables = np.unique(w[once], return_counts=True)
         ones = np.ones(often.sum(), np.int64)
-        rows = d.blobs(b, PAIRS, u, w, n) + d.blobs(b, OFTEN, u[often], w[often], n[often], ones, 0 * ones)
+        rows = d.blobs(b, PAIRS, (code_u, u), (code_w, w), n)
+        rows += d.blobs(b, OFTEN, (code_u[often], u[often]), (code_w[often], w[often]), n[often], ones, 0 * ones)
         rows += d.blobs(b, CONTEXTS, kinds, np.bincount(group, n, len(kinds)).astype(np.int64), np.bincount(group, once, len(kinds)).astype(np.int64))
         names, at_first = np.unique(w[often], return_counts=True)
-        need, need_often = d.rare(np.unique(w)), d.rare(names)
-        mine, many = _shared(d, kinds, np.bincount(group, minlength=len(kinds)))
-        return _rows(rows, (b, FEW, few_, tables), (b, NEEDED, need, np.zeros(len(need))), (b, NEEDED_OFTEN, need_often, np.zeros(len(need_often))), (b, TABLES, names, at_first), (b, RATES, np.array([1, 2], np.uint64), np.array([once.sum(), (n == 2).sum()])), (b, SHARED, mine, many))
+        coded, coded_often = d.places.find(few_)[0], d.places.find(names)[0]
+        both = Lookup(few_).find(names)[0]
+        numbers = [(kind, few_[i], tables[i]) for kind, i in ((FEW, coded), (FEW_RARE, ~coded))]
+        numbers += [(kind, names[i], at_first[i]) for kind, i in ((TABLES, coded_often), (TABLES_RARE, ~coded_often & both), (TABLES_ONLY, ~coded_often & ~both))]
+        mine, many = _shared(d, kinds, many)
+        return _rows(rows, *((b, *x) for x in numbers), (b, RATES, np.array([1, 2], np.uint64), np.array([once.sum(), (n == 2).sum()])), (b, SHARED, mine, many))
 
     return docs.select("text").mapInArrow(tidy(run), BUCKETED_SQL).groupBy("bucket").applyInArrow(tidy_group(merge), BUCKETED_SQL)
 
@@ -551,15 +681,14 @@ def _known(values: np.ndarray, kinds: np.ndarray, known: dict[int, float]) -> np
     return values
 
 
-def _probabilities(d: Deal, top: np.ndarray, table: pa.Table, kind: int, w: np.ndarray) -> np.ndarray:
+def _probabilities(d: Deal, top: np.ndarray, table: pa.Table, w: np.ndarray) -> np.ndarray:
     """What is known of words: from top for those that have a code, else from the rows that came for a bucket."""
-    own = table.filter(pa.array(table.column("kind").to_numpy() == kind))  # other kinds have nulls
+    own = table.filter(pa.array(table.column("kind").to_numpy() == NEEDED))  # other kinds have nulls
     names, v = own.column("w").to_numpy().view(np.uint64), own.column("v").to_numpy()
-    order = np.argsort(names)
-    hit, at = _find(d.words, w)
+    hit, at = d.places.find(w)
     out = np.empty(len(w))
     out[hit] = top[at[hit]]
-    out[~hit] = v[order][np.searchsorted(names[order], w[~hit])]
+    out[~hit] = v[Lookup(names).find(w[~hit])[1]]
     return out
 
 
@@ -578,7 +707,7 @@ def _top(deal, words: DataFrame, value: str) -> np.ndarray:
 
 def _contexts(d: Deal, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kinds, tokens, once = d.joined(table, CONTEXTS, np.uint64, np.int64, np.int64)
-    order = np.argsort(kinds)
+    order = _order(kinds)
     return kinds[order], tokens[order], once[order]
 
 
@@ -589,14 +718,14 @@ def _seat_pairs(state: DataFrame, known: DataFrame, deal, top, shared: dict[int,
         b, d = key[0].as_py(), deal.value
         u, w, n, t, held = d.joined(left, OFTEN, np.uint64, np.uint64, *[np.int64] * 3)
         kinds, tokens, once = _contexts(d, left)
-        at = np.searchsorted(kinds, u)
+        at = Lookup(kinds).find(u)[1]
         everyone = _known(once + np.bincount(at, t, len(kinds)), kinds, shared)
-        base = _probabilities(d, top.value, right, NEEDED_OFTEN, w)
+        base = _probabilities(d, top.value, right, w)
         t = draw_tables(n, everyone[at] - t, base, rate_, _pair(u, w), sweep, p)
         held = held + t * (sweep > p.burn_in)
-        names, index = np.unique(w, return_inverse=True)
+        order, first = _runs(w)
         rows = d.blobs(b, OFTEN, u, w, n, t, held) + d.blobs(b, CONTEXTS, kinds, tokens, once)
-        return _rows(rows, (b, TABLES, names, np.bincount(index, t, len(names))), (b, SHARED, *_shared(d, kinds, once + np.bincount(at, t, len(kinds)))))
+        return _rows(rows, (b, TABLES, w[order[first]], np.add.reduceat(t[order], first) if len(w) else t), (b, SHARED, *_shared(d, kinds, once + np.bincount(at, t, len(kinds)))))
 
     return _cogrouped(state, known).applyInArrow(tidy_groups(run), BUCKETED_SQL)
 
@@ -607,8 +736,8 @@ def _cogrouped(left: DataFrame, right: DataFrame):
 
 
 def _asked(need: DataFrame, words: DataFrame, value: str) -> DataFrame:
-    """Rows of BUCKETED that bring a column of the words to the buckets that need them."""
-    return need.select("bucket", "kind", "w").join(words.select(F.col("h").alias("w"), F.col(value).alias("v")), "w").select("bucket", "kind", F.lit(None).cast("binary").alias("blob"), "w", "v")
+    """Rows NEEDED of BUCKETED that bring a column of the words to the buckets that need them."""
+    return need.select("bucket", "w").join(words.select(F.col("h").alias("w"), F.col(value).alias("v")), "w").select("bucket", F.lit(NEEDED).alias("kind"), F.lit(None).cast("binary").alias("blob"), "w", "v")
 
 
 @dataclass
@@ -632,7 +761,8 @@ class Learned:
 
 
 def log_unseen(spellings: list[tuple[float, Spelling]], words: pa.Array) -> np.ndarray:
-    each = np.stack([np.log(weight) + s.log_words(words) for weight, s in spellings])
+    owner, codes = spelled(words)
+    each = np.stack([np.log(weight) + s.log_spelled(owner, codes, len(words)) for weight, s in spellings])
     return (np.logaddexp.reduce(each, 0) - np.log(len(spellings))) / np.log(10)
 
 
@@ -640,34 +770,34 @@ def learn(docs: DataFrame, p: Params = Params()) -> Learned:
     """All restaurants after the last sweep. Of no rows nothing is known, and all words are spelled at random."""
     spark = docs.sparkSession
     types = stored(count_words(docs, p).select("word", "h", "n", F.lit(0).cast("long").alias("c"), F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("prob")), "words")
+    kept = types  # what types is made of
     total, kinds = (int(x or 0) for x in types.agg(F.sum("n"), F.count("*")).first())
     top = types.orderBy(F.desc("n"), "h").select("h", "n").limit(RARE).collect()
     deal = spark.sparkContext.broadcast(Deal.of([tuple(r) for r in top], total, p))
     pairs = stored(count_pairs(docs, deal, p), "pairs")
     rates = {r["w"]: r["n"] for r in pairs.where(F.col("kind") == RATES).groupBy("w").agg(F.sum("v").alias("n")).collect()}
     rate_ = rate(rates.get(1, 0), rates.get(2, 0))
-    few_ = stored(pairs.where(F.col("kind") == FEW).groupBy("w").agg(F.sum("v").alias("v")), "few")
-    need = stored(pairs.where(F.col("kind") == NEEDED_OFTEN).select("bucket", "kind", "w"), "needed")
+    few_ = stored(pairs.where(F.col("kind").isin(*ALL_FEW)).groupBy("w").agg(F.sum("v").alias("v")), "few")
+    need = stored(pairs.where(F.col("kind").isin(*RARE_OF_OFTEN)).select("bucket", "w"), "needed")
     state, seated = pairs.where(F.col("kind").isin(OFTEN, CONTEXTS)), pairs
     everyone, spelling, spellings = kinds, Spelling(p), []
     shared, average = _of_shared(pairs), {}
     for sweep in range(1, p.burn_in + p.samples + 1):
-        tables = seated.where(F.col("kind") == TABLES).select("w", "v")
+        tables = seated.where(F.col("kind").isin(*ALL_TABLES)).select("w", "v")
         customers = few_.unionByName(tables).groupBy("w").agg(F.sum("v").cast("long").alias("c")).withColumnRenamed("w", "h")
         came = stored(types.drop("c").join(customers, "h").select("word", "h", "n", "c", "t", "prob"), "customers")
         come, one, two = (int(x or 0) for x in came.agg(F.sum("c"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
         d = rate(one, two)
         spelling = spelling.swept(*_symbols(types), sweep)
         sat = stored(_seat_words(came, spelling, p, d, everyone, sweep), "seated_words")
-        discard(types, came)
+        discard(kept, came)
         everyone = int(sat.agg(F.sum("t")).first()[0] or 0)
         fresh = p.strength + d * everyone
         sat_now = sat.withColumn("now", (F.col("c") - d * F.col("t") + fresh * F.col("base")) / (p.strength + come))
         if sweep > p.burn_in:
             spellings.append((fresh / (p.strength + come), spelling))
             sat_now = sat_now.withColumn("prob", F.col("prob") + F.col("now"))
-        types = stored(sat_now, "words")
-        discard(sat)
+        types, kept = sat_now, sat
         old, seated = seated, stored(_seat_pairs(state, _asked(need, types, "now"), deal, spark.sparkContext.broadcast(_top(deal, types, "now")), shared, p, rate_, sweep), "seated_pairs")
         if sweep > 1:
             discard(old)
@@ -676,7 +806,7 @@ def learn(docs: DataFrame, p: Params = Params()) -> Learned:
             average = {k: average.get(k, 0) + v / p.samples for k, v in shared.items()}
     words = types.select("word", "h", "n", F.log10(F.col("prob") / p.samples).alias("log10_prob"))
     discard(few_, need)
-    return Learned(words, total, kinds, spellings, deal, rate_, pairs, state, average, (pairs, seated, types))
+    return Learned(words, total, kinds, spellings, deal, rate_, pairs, state, average, (pairs, seated, kept))
 
 
 def train(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, int, int, Learned]:
@@ -695,7 +825,7 @@ def _answers(m: Learned, p: Params) -> DataFrame:
 
     def homes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = deal.value
-        for part in parts:
+        for part in _gathered(parts):
             h, n, prob = (part.column(c).to_numpy() for c in ("h", "n", "log10_prob"))
             index, to = d.homes(h.view(np.uint64))
             order = np.argsort(to, kind="stable")
@@ -708,7 +838,7 @@ def _answers(m: Learned, p: Params) -> DataFrame:
             yield from _rows(rows).to_batches()
 
     own = m.words.select("h", "n", "log10_prob").mapInArrow(homes, BUCKETED_SQL)
-    known = _asked(m.pairs.where(F.col("kind") == NEEDED), m.words, "log10_prob").unionByName(own)
+    known = _asked(m.pairs.where(F.col("kind").isin(*RARE_OF_PAIRS)), m.words, "log10_prob").unionByName(own)
     top = m.words.sparkSession.sparkContext.broadcast(_top(deal, m.words, "log10_prob"))
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -717,17 +847,16 @@ def _answers(m: Learned, p: Params) -> DataFrame:
         often_u, often_w, _, _, held = d.joined(left, OFTEN, np.uint64, np.uint64, *[np.int64] * 3)
         held = held / p.samples
         kinds, tokens, once = _contexts(d, left)
-        everyone = _known(once + np.bincount(np.searchsorted(kinds, often_u), held, len(kinds)), kinds, shared)
+        place = Lookup(kinds)
+        everyone = _known(once + np.bincount(place.find(often_u)[1], held, len(kinds)), kinds, shared)
         tokens = _known(tokens, kinds, {int(h): int(d.counts[np.searchsorted(d.words, h)]) for h in d.shared()})
         fresh = p.strength + rate_ * everyone
-        pair, often = _pair(u, w), _pair(often_u, often_w)
-        order = np.argsort(pair)
-        tables = np.ones(len(pair))
-        tables[order[np.searchsorted(pair[order], often)]] = held
-        prob = _probabilities(d, top.value, right, NEEDED, w)
-        more = np.log10(1 + (n - rate_ * tables) / (fresh[np.searchsorted(kinds, u)] * 10**prob)).astype(np.float32) if len(pair) else np.zeros(0, np.float32)
+        tables = np.ones(len(u))
+        tables[Lookup(_pair(u, w)).find(_pair(often_u, often_w))[1]] = held
+        prob = _probabilities(d, top.value, right, w)
+        more = np.log10(1 + (n - rate_ * tables) / (fresh[place.find(u)[1]] * 10**prob)).astype(np.float32) if len(u) else np.zeros(0, np.float32)
         own, count, prob = d.joined(right, WORDS, np.uint64, np.int64, np.float64)
-        here, at = _find(kinds, own)
+        here, at = place.find(own)
         back = np.zeros(len(own))
         back[here] = np.log10(fresh / (p.strength + tokens))[at[here]]
         for k in np.flatnonzero(np.isin(own, d.shared())):  # a part of a frequent word's restaurant may be empty here
@@ -755,24 +884,28 @@ def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Questions: what a batch of rows asks each bucket; one row has the facts of the batch."""
         batch, d = TaskContext.get().partitionId() << 33, deal.value
-        for rows, words, h, u, w, row in _tokens(parts, p):
-            # only rows that are not learned can have words that are not known
-            new = np.isin(h, w[~rows.column("learn").to_numpy(zero_copy_only=False)[row]])
-            fresh, spelled_ = h[new], log_unseen(spellings.value, words.filter(pa.array(new))) if new.any() else np.zeros(0)
-            order = np.argsort(fresh)
-            fresh, spelled_ = fresh[order], spelled_[order]
+        for rows, words, order, h, u, w, row in _tokens(parts, p):
+            code = d.codes(h)
+            # only words without a code of rows that are not learned can be unknown; the end token is none of them
+            new = np.zeros(len(h), bool)
+            new[w[~rows.column("learn").to_numpy(zero_copy_only=False)[row]]] = True
+            new &= (code == RARE) & (order < len(words))
+            spelled_ = np.zeros(len(h))
+            if new.any():
+                spelled_[new] = log_unseen(spellings.value, words.take(pa.array(order[new])))
             out = []
             tokens = np.bincount(row, minlength=rows.num_rows)
-            one, many, first, by_pair = _grouped(u, w, row)
+            one, many, first, by_pair = _grouped_places(u, w, row, len(h))
             u, w = u[one], w[one]
-            del one, row
-            by, ends = d.by_bucket(u, w)
+            del one, row, order
+            by, ends = d.by_bucket(h, u, w)
             for b in range(d.buckets):
                 if len(i := by[ends[b] : ends[b + 1]]):
-                    at = np.repeat(first[i], many[i]) + np.arange(many[i].sum()) - np.repeat(np.cumsum(many[i]) - many[i], many[i])
-                    own, first_own = np.unique(u[i], return_index=True)
-                    hit, k = _find(fresh, own)
-                    out.append((b, batch, rows.num_rows, d.pack(u[i], w[i], many[i], by_pair[at], first_own[hit], spelled_[k[hit]]), None))
+                    at = np.repeat(first[i], many[i]) + _within(many[i])
+                    before, after = u[i], w[i]
+                    first_own = _begins(before)
+                    first_own = first_own[new[before[first_own]]]
+                    out.append((b, batch, rows.num_rows, d.pack((code[before], h[before]), (code[after], h[after]), many[i], by_pair[at], first_own, spelled_[before[first_own]]), None))
             facts = [{"doc_id": i, "learn": own, "n_tokens": int(n)} for i, own, n in zip(rows.column("doc_id").to_pylist(), rows.column("learn").to_pylist(), tokens, strict=True)]
             out.append((int(batch % d.buckets), batch, rows.num_rows, None, facts))
             yield from pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), QUESTION, strict=True)], schema=QUESTION).to_batches(max_chunksize=64)
@@ -782,22 +915,24 @@ def score(docs: DataFrame, learn_column: str, p: Params = Params()) -> DataFrame
         d = deal.value
         pair_u, pair_w, more = d.joined(right, PAIRS, np.uint64, np.uint64, np.float32)
         pair = _pair(pair_u, pair_w)
-        order = np.argsort(pair)
-        pair, more = pair[order], more[order]
+        del pair_u, pair_w
+        order = _order(pair)
+        pairs, more = Lookup(pair[order]), more[order]
+        del pair, order
         words, base, prob = d.joined(right, WORDS, np.uint64, np.float64, np.float64)
-        order = np.argsort(words)
-        words, base, prob = words[order], base[order], prob[order]
+        words = Lookup(words)
         out = []
         for b, batch, size, blob, facts in zip(*(left.column(c).to_pylist() for c in QUESTION.names), strict=True):
             if blob is not None:
                 u, w, many, row, at, spelled_ = d.unpack(blob)
-                known, i = _find(words, u)
-                hit, k = _find(pair, _pair(u, w))
-                own, group = np.unique(u, return_inverse=True)
-                unseen = np.zeros(len(own))
-                unseen[group[at]] = spelled_
-                of_base, of_score = np.full(len(u), np.log10(0.1 / floor)), unseen[group]
+                hit, k = pairs.find(_pair(u, w))
+                first = _begins(u)  # equal words before stand together
+                size_u = np.diff(first, append=len(u))
+                known, i = words.find(u[first])
+                of_base, of_score = np.full(len(first), np.log10(0.1 / floor)), np.zeros(len(first))
+                of_score[np.searchsorted(first, at)] = spelled_
                 of_base[known], of_score[known] = base[i[known]], prob[i[known]]
+                known, of_base, of_score = (np.repeat(x, size_u) for x in (known, of_base, of_score))
                 of_score[hit] += more[k[hit]]
                 sums = [np.bincount(row, np.repeat(x, many), size) for x in (known, of_base, of_score)]
                 at = np.flatnonzero(sums[1])

@@ -43,21 +43,32 @@ def split_words(column: pa.Array, folded: bool = False) -> tuple[pa.Array, np.nd
     """
     texts = pc.fill_null(column.cast(pa.large_string()), "").take(pa.array(np.arange(len(column))))  # Arrow splits no slice right
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if folded else texts)
-    flat = lists.flatten()
-    full = pc.greater(pc.binary_length(flat), 0)
-    ends = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-    words = flat.filter(full).dictionary_encode()
-    return words.dictionary.cast(pa.large_binary()), words.indices.to_numpy(), np.diff(ends)
+    flat = lists.flatten().dictionary_encode()
+    words, index, ends = flat.dictionary, flat.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    empty = pc.index(words, "").as_py()  # a text that begins or ends with a space has empty words there
+    if empty >= 0:
+        full = index != empty
+        ends = np.concatenate([[0], np.cumsum(full)])[ends]
+        words, index = words.filter(pc.not_equal(words, "")), index[full]
+        index = index - (index > empty)
+    return words.cast(pa.large_binary()), index, np.diff(ends)
+
+
+def spans(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(where each word begins, its size, bytes) of an array of bytes."""
+    words = words.cast(pa.large_binary())
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    offsets, data = (np.frombuffer(b or b"", kind) for b, kind in zip(words.buffers()[1:], (np.int64, np.uint8), strict=True))
+    begin = offsets[words.offset : words.offset + len(words)]
+    return begin, offsets[words.offset + 1 : words.offset + len(words) + 1] - begin, data
 
 
 def hashed(words: pa.Array) -> np.ndarray:
     """64-bit hashes of words, eight bytes of all words at a time."""
-    words = words.cast(pa.large_binary())
     if not len(words):
         return np.empty(0, np.uint64)
-    offsets, data = (np.frombuffer(b or b"", kind) for b, kind in zip(words.buffers()[1:], (np.int64, np.uint8), strict=True))
-    begin = offsets[words.offset : words.offset + len(words)]
-    size = offsets[words.offset + 1 : words.offset + len(words) + 1] - begin
+    begin, size, data = spans(words)
     data = np.concatenate([data, np.zeros(8, np.uint8)])
     out, at, done = mix(size.astype(np.uint64) + np.uint64(1)), np.arange(len(words)), 0
     while len(at := at[size[at] > done]):

@@ -1,4 +1,5 @@
 import math
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -10,6 +11,7 @@ import pytest
 from arbora.llm import pitman_yor as py
 from arbora.llm.pitman_yor import Params
 from arbora.llm.queries import op9_pitman_yor
+from arbora.llm.text import split_words
 
 SF = "/root/testdata/sf0.01"
 
@@ -191,3 +193,62 @@ def test_pairs_are_grouped_by_one_sort_in_little_memory():
     assert (one == index).all() and (many == counts).all() and (first == np.cumsum(counts) - counts).all()
     assert (by_pair == row[np.argsort(inverse, kind="stable")]).all()
     assert most < 5 * 8 * n, most
+
+
+def test_places_and_orders_of_hashes():
+    rng = np.random.default_rng(5)
+    keys = rng.integers(0, 2**64, 5000, np.uint64)
+    keys[:40] = (keys[0] & ~np.uint64(63)) + np.arange(40, dtype=np.uint64)[::-1]  # they share their first bits
+    keys = rng.permutation(np.unique(np.append(keys, np.uint64(2**64 - 1))))
+    for own in (keys, np.sort(keys), keys[keys < 2**64 - 1], keys[:1], keys[:0], np.arange(3000, dtype=np.uint64)):
+        place = {int(k): i for i, k in enumerate(own)}
+        wanted = np.concatenate([own, own + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+        hit, at = py.Lookup(own).find(wanted)
+        assert hit.tolist() == [int(k) in place for k in wanted]
+        assert at[hit].tolist() == [place[int(k)] for k in wanted[hit]]
+        twice = np.concatenate([own, own])
+        assert (py._order(twice) == np.argsort(twice, kind="stable")).all()
+
+
+def test_places_of_pairs_are_grouped_alike_whether_they_fit_one_number_or_not():
+    rng = np.random.default_rng(4)
+    n = 20_000
+    w = rng.zipf(1.3, n) % 700
+    u, row = np.roll(w, 1), np.sort(rng.integers(0, 200, n))
+    got, wide = py._grouped_places(u, w, row, 700), py._grouped_places(u, w, row, 2**25)
+    _, index, inverse, counts = np.unique(u * 1000 + w, return_index=True, return_inverse=True, return_counts=True)
+    want = (index, counts, np.cumsum(counts) - counts, row[np.argsort(inverse, kind="stable")])
+    for x, y, z in zip(got, wide, want, strict=True):
+        assert x.tolist() == y.tolist() == z.tolist()
+
+
+def test_lookups_and_integrals_take_few_cpu_seconds():
+    """The CPU seconds of the whole job go into these; both took several times as long."""
+    rng = np.random.default_rng(6)
+    keys = np.sort(rng.integers(0, 2**64, 2_000_000, np.uint64))
+    wanted = rng.choice(keys, 1_000_000)
+    place = py.Lookup(keys)
+    assert least_seconds(lambda: place.find(wanted)) < 0.6 * least_seconds(lambda: np.searchsorted(keys, wanted))
+    c, t = rng.integers(513, 5000, 200)[:, None], np.arange(1.0, 33)
+    z = rng.random((200, 32, 33)) * 0.4 * np.exp(1j)
+    complex_ = lambda: (np.log(1 - z**0.7), np.log(1 - z), np.exp(z))
+    assert least_seconds(lambda: py.log_together(c, t, 0.7)) < 1.2 * least_seconds(complex_)
+
+
+def least_seconds(run):
+    found = []
+    for _ in range(4):
+        start = time.process_time()
+        run()
+        found.append(time.process_time() - start)
+    return min(found)
+
+
+def test_words_between_spaces_are_split_without_empty_ones():
+    texts = pa.array(["xx", " A b  a\n", None, "", "  ", "b ", "\tA", "b a"])
+    for column in (texts[1:], texts[1:1], pa.array(["a b", "b"])):
+        words, index, sizes = split_words(column, folded=True)
+        spelled = [words[i].as_py() for i in index]
+        assert b"" not in words.to_pylist() and len(set(words.to_pylist())) == len(words)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        assert [spelled[a:b] for a, b in zip(at, at[1:])] == [(x or "").lower().encode().split() for x in column.to_pylist()]
