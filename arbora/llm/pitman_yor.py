@@ -129,9 +129,11 @@ def log_together(c: np.ndarray, t: np.ndarray, d: float, nodes: int = 32) -> np.
     x1, y1 = 1 - grown * np.cos(turn), -grown * np.sin(turn)
     x2, y2 = 1 - z0[..., None] * (1 - u * u), -2 * z0[..., None] * u
     real = (t[..., None] * np.log(x1 * x1 + y1 * y1) - (c[..., None] + 1) * np.log(x2 * x2 + y2 * y2)) / 2
-    turn = t[..., None] * np.arctan2(y1, x1) - (c[..., None] + 1) * np.arctan2(y2, x2)
     top = real.max(-1, keepdims=True)
-    rows = np.exp(real - top) * (np.cos(turn) - u * np.sin(turn)) * np.cosh(v) * width[..., None]
+    some = np.nonzero(real > top - 50)  # the others are lost in rounding
+    turn = t[some[:-1]] * np.arctan2(y1[some], x1[some]) - (c[some[:-1]] + 1) * np.arctan2(y2[some], x2[some])
+    rows = np.zeros(u.shape)
+    rows[some] = np.exp((real - top)[some]) * (np.cos(turn) - u[some] * np.sin(turn)) * np.cosh(v[some]) * width[some[:-1]]
     rows[..., 0] /= 2
     found = top[..., 0] + np.log(np.maximum(np.abs(rows.sum(-1)) * step * 2 * z0 / np.pi, 1e-300))
     return np.where(t == c, c * np.log(d), found)
@@ -154,7 +156,7 @@ def draw_many(c: np.ndarray, fresh: np.ndarray, base: np.ndarray, d: float, x: n
         share = np.cumsum(np.exp(w - w.max(-1, keepdims=True)), -1)
         return np.take_along_axis(t, (share < (x[i] * share[:, -1])[:, None]).sum(1)[:, None], 1)[:, 0]
 
-    for at in np.array_split(np.argsort(c), max(1, len(c) // 250)):
+    for at in np.array_split(np.argsort(c), max(1, len(c) // 60)):
         grid = np.broadcast_to(np.arange(1.0, points + 1), (len(at), points))
         sizes, same = np.unique(c[at], return_inverse=True)
         w = weight(at, grid, log_together(sizes[:, None], grid[:1], d)[same])
@@ -307,10 +309,12 @@ class Lookup:
     def __init__(self, keys: np.ndarray):
         self.order = None if (keys[1:] > keys[:-1]).all() else _order(keys)
         own = keys if self.order is None else keys[self.order]
-        bits = (2 * len(own)).bit_length()
-        self.n, self.shift = len(own), np.uint64(64 - bits)
-        many = np.bincount((own >> self.shift).astype(np.int64), minlength=1 << bits) if len(own) else np.zeros(1, np.int64)
-        self.begin = (np.cumsum(many) - many).astype(np.int32)
+        self.n, self.shift = len(own), np.uint64(64 - len(own).bit_length())
+        self.begin = np.zeros(1 << len(own).bit_length(), np.int32)  # built in little memory: there may be millions
+        if len(own):
+            many = np.bincount((own >> self.shift).view(np.int64))
+            np.cumsum(many[: len(self.begin) - 1], out=self.begin[1 : len(many) + 1], dtype=np.int32)
+            self.begin[len(many) :] = len(own)
         self.keys = np.append(own, np.uint64(2**64 - 1))  # a search ends there
 
     def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -342,6 +346,8 @@ def _order(keys: np.ndarray) -> np.ndarray:
     order = (mixed & low).view(np.int64)
     mixed >>= bits
     own = keys[order]
+    if not len(keys):
+        return order
     odd = np.flatnonzero((mixed[1:] == mixed[:-1]) & (own[1:] != own[:-1]))
     if len(odd) > 1000:
         return np.argsort(keys, kind="stable")
