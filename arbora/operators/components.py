@@ -9,6 +9,9 @@ Solving goes by layers of the graph of components, from those without a way out
 settled ones. A single node takes one backup. Within the other components of a layer, a node is backed up again only if a
 child of it has moved by the tolerance or more since it last told its value; a component that does not settle keeps its
 picks from its own sweep `freeze_after` on. A band of a component is settled within one task if it has few enough rows.
+
+Values after a given number of backups of the whole graph are no fixed point, so there a layer is computed from its
+children's values after every sweep instead: their courses.
 """
 
 from __future__ import annotations
@@ -19,7 +22,8 @@ from pyspark.sql import functions as F
 from arbora.functions import ranking as R
 from arbora.functions.constants import FREEZE_AFTER, MOST_SWEEPS, SETTLED
 from arbora.operators.graph import TOGETHER, VALUES, around, keeping, step, valued, weighed
-from arbora.operators.settling import settle, sized
+from arbora.operators import settling
+from arbora.operators.settling import courses, settle, sized
 from arbora.operators.tally import add
 from arbora.plans.tables import discard, stored
 
@@ -252,6 +256,63 @@ def solve_by_component(edges: DataFrame, tolerance: float = SETTLED, freeze_afte
     return found, counted
 
 
+def _followed(rows: DataFrame, most: int) -> DataFrame:
+    """courses() by joins. TOGETHER sweeps are one job; each job's values are a piece of the courses."""
+    told = stored(rows.where("self").select("node", "stm", "bucket", F.lit(None).cast(rows.schema["move"].dataType).alias("best_move"), F.lit(0.5).alias("eval_w"), F.lit(0.5).alias("eval_b")), "told")
+    none = {f"course_{c}": F.array().cast("array<double>") for c in "wb"}
+    pieces, done = [], 0
+    while done < most:
+        until, new = min(most, done + TOGETHER), told.select(VALUES).withColumns(none)
+        for k in range(done + 1, until + 1):
+            of = lambda c: F.lit(0.5) if k == 1 else F.element_at(c, F.least(F.lit(k - 1), F.size(c)))  # noqa: B023, E731
+            now = rows.withColumns({f"x_{c}": F.when(F.col(f"course_{c}").isNull(), F.col(f"x_{c}")).otherwise(of(f"course_{c}")) for c in "wb"})
+            new = step(now, new).select(*VALUES, *(F.array_append(f"old.course_{c}", F.col(f"eval_{c}")).alias(f"course_{c}") for c in "wb"))
+        told, done = stored(new, "told"), until
+        pieces.append(told.select("node", "stm", "bucket", F.lit(done).alias("piece"), "best_move", "course_w", "course_b"))
+    all_ = pieces[0]
+    for x in pieces[1:]:
+        all_ = all_.unionByName(x)
+    whole = [F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("piece", f"course_{c}"))), lambda x, c=c: x[f"course_{c}"])).alias(f"course_{c}") for c in "wb"]
+    return all_.groupBy("node", "stm", "bucket").agg(F.max_by("best_move", "piece").alias("best_move"), *whole)
+
+
+def backups_by_component(edges: DataFrame, most: int) -> DataFrame:
+    """backup() of the whole graph from 0.5, so many times (at least once), with all components of a layer at a time.
+
+    A node's value after sweep k hangs on its children's after sweep k - 1, so it takes the children's values of all sweeps,
+    not only the last ones. Bands of a component, and single nodes of a layer in groups, are swept within a task each if
+    they have few enough rows, and by joins otherwise.
+    """
+    rows = stored(weighed(edges), "weighed")
+    parts = stored(strong_components(edges), "components")
+    steps = stored(links(edges).unionByName(edges.where("node = child").select("node", "child").distinct()), "links")
+    placed = stored(parts.join(layers(edges, parts), "component").select("node", "component", "size", "layer"), "placed")
+    single = F.col("size") == 1
+    many = {r["layer"]: r["n"] for r in rows.join(placed.where(single), "node").groupBy("layer").agg(F.count("*").alias("n")).collect()}
+    known, part = [], ["part", "bucket"]
+    for (layer,) in sorted(placed.select("layer").distinct().collect()):
+        groups = -(-4 * many.get(layer, 1) // max(settling.MOST_ROWS, 4))
+        mine = placed.where(F.col("layer") == layer).select("node", "component", F.when(single, F.concat(F.lit("#"), F.pmod(F.xxhash64("node"), F.lit(groups)).cast("string"))).otherwise(F.concat(F.lit("="), F.col("component").cast("string"))).alias("part"))
+        inner = steps.join(mine.select("node", "component"), "node").join(mine.select(F.col("node").alias("child"), F.col("component").alias("to")), "child").where("component = to").select("node", "child")
+        own, before = rows.join(mine.select("node"), "node", "left_semi"), _together(known)
+        if before is None:
+            own = own.withColumns({f"course_{c}": F.lit(None).cast("array<double>") for c in "wb"})
+        else:
+            own = own.join(before.select(F.col("node").alias("child"), "bucket", *(F.col(f"course_{c}").alias(f"known_{c}") for c in "wb")), ["child", "bucket"], "left")
+            own = own.withColumns({f"course_{c}": F.when(F.col("resolved"), F.col(f"known_{c}")) for c in "wb"})
+        own = stored(around(own, stored(inner, "inner"), None, ("course_w", "course_b")).join(mine.select("node", "part"), "node"), "around")
+        size = stored(sized(own, part), "sized")
+        found = courses(own.join(size.where("small"), part, "left_semi"), part, most)
+        if not size.where("not small").isEmpty():
+            found = found.unionByName(_followed(stored(own.join(size.where("not small"), part, "left_semi").drop("part"), "large"), most))
+        known.append(stored(found, "courses"))
+        discard(own, size)
+    found = _together(known)
+    if found is None:
+        return swept(rows, None)  # of no rows
+    return found.select("node", "stm", "bucket", "best_move", *(F.element_at(f"course_{c}", -1).alias(f"eval_{c}") for c in "wb"))
+
+
 def census_totals(census: DataFrame) -> DataFrame:
     """(components, cyclic, largest, slowest, backups, frozen) over all components."""
     return census.agg(F.count("*").alias("components"), F.count_if(F.col("size") > 1).alias("cyclic"), F.max("size").alias("largest"), F.max("sweeps").alias("slowest"), F.sum("backups").alias("backups"), F.count_if("frozen").alias("frozen"))

@@ -132,11 +132,12 @@ def weighed(edges: DataFrame) -> DataFrame:
     return rows.select("node", "stm", "bucket", "move", "child", "n", "own", "edge", "real", "resolved", "prior", "evidence", "strength", "sd")
 
 
-def around(rows: DataFrame, inside: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+def around(rows: DataFrame, inside: DataFrame | None = None, known: DataFrame | None = None, kept: tuple[str, ...] = ()) -> DataFrame:
     """rows of weighed() for step(): each with the node whose value it waits for (`via`), and one more for the node itself.
 
     A row whose child's value no sweep changes waits for its own node, and has that value (x_w, x_b). inside: (node,
     child) of the links that sweeps change; without it, all that are resolved. known: values of the other children.
+    kept: further columns of rows that stay, null in a node's own row.
     """
     if inside is None:
         rows = rows.withColumn("inside", F.col("resolved"))
@@ -149,8 +150,9 @@ def around(rows: DataFrame, inside: DataFrame | None = None, known: DataFrame |
         rows = rows.join(known.select(F.col("node").alias("child"), "bucket", "eval_w", "eval_b"), ["child", "bucket"], "left")
     x = lambda c: F.when(F.col("resolved"), F.col(c)).otherwise(F.col("edge"))
     rows = rows.withColumns({"x_w": x("eval_w"), "x_b": x("eval_b"), "via": F.when(F.col("inside"), F.col("child")).otherwise(F.col("node")), "self": F.lit(False)})
-    rows = rows.select("node", "stm", "bucket", "via", "move", "n", "own", "x_w", "x_b", "inside", "real", "prior", "evidence", "strength", "sd", "self")
-    none = {"via": F.col("node"), "move": F.lit(None).cast(rows.schema["move"].dataType), "n": F.lit(0).cast("long"), "x_w": F.lit(0.0), "x_b": F.lit(0.0), "inside": F.lit(False), "real": F.lit(False), "self": F.lit(True)}
+    rows = rows.select("node", "stm", "bucket", "via", "move", "n", "own", "x_w", "x_b", "inside", "real", "prior", "evidence", "strength", "sd", "self", *kept)
+    none = {c: F.lit(None).cast(rows.schema[c].dataType) for c in kept}
+    none |= {"via": F.col("node"), "move": F.lit(None).cast(rows.schema["move"].dataType), "n": F.lit(0).cast("long"), "x_w": F.lit(0.0), "x_b": F.lit(0.0), "inside": F.lit(False), "real": F.lit(False), "self": F.lit(True)}
     own = rows.groupBy("node", "stm", "bucket").agg(F.first("own").alias("own"))
     own = own.withColumns(none | {k: F.lit(0.0) for k in ("prior", "evidence", "strength", "sd")})
     return rows.unionByName(own)

@@ -130,3 +130,25 @@ def test_parts_settled_in_tasks_equal_joins(spark, monkeypatch):
     assert not asked  # no job by joins for a small graph
     monkeypatch.setattr(settling, "MOST_ROWS", 0)
     assert got() == here and asked
+
+
+def test_backups_by_component_equal_those_of_the_whole_graph(spark, monkeypatch):
+    """Loops, cycles, single nodes above and beneath them, within tasks and by joins, before they have settled."""
+    links = {("n0", "n1"), ("n1", "n2"), ("n2", "n1"), ("n2", "n2"), ("n2", "n3"), ("n4", "n0"), ("n4", "n3"), ("n5", "n5"), ("n5", "n4"), ("n3", "n6")}
+    edges = stored(spark.createDataFrame(made(links, 6, 50), EDGES), "edges")
+    got = lambda t: {(r.node, r.stm, r.bucket): (r.best_move, round(r.eval_w, 9), round(r.eval_b, 9)) for r in t.collect()}
+    want = got(graph.solve(edges, 9))
+    assert got(components.backups_by_component(edges, 9)) == want
+    monkeypatch.setattr(settling, "MOST_ROWS", 12)
+    assert got(components.backups_by_component(edges, 9)) == want
+    assert components.backups_by_component(spark.createDataFrame([], EDGES), 3).count() == 0
+
+
+def test_unsettled_values_equal_duckdb(spark):
+    """At this size one band has not settled after the SQL's sweeps."""
+    sf = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet'")
+    cur = con.execute(q.SQL["solve_by_component"])
+    got = solving.solve_by_component(spark, sf)
+    assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows([c[0] for c in cur.description], cur.fetchall())
