@@ -37,15 +37,18 @@ from arbora.llm.workspace import discard, stored
 class Params:
     """k: neighbours of each query. confidence: of the stopping test. dims: projections. cell: vectors of a cell.
 
-    sample: vectors that the upper kd-tree is fitted on, at most; it has at most a cell for 64 of them. leaf: vectors of a
-    leaf. block: queries of a block. share: queries whose results meet in one group. reach: blocks that share one copy of
-    a cell.
+    cells: where there would be more, cells are larger, so that fewer copies of queries and cells travel, up to `room`
+    components each. sample: vectors that the upper kd-tree is fitted on, at most; it has at most a cell for 64 of them.
+    leaf: vectors of a leaf. block: queries of a block. share: queries whose results meet in one group. reach: blocks that
+    share one copy of a cell, at least; as many queries as a cell has vectors may.
     """
 
     k: int = 20
     confidence: float = 0.95
     dims: int = 8
     cell: int = 4096
+    cells: int = 64
+    room: int = 1 << 21
     leaf: int = 64
     sample: int = 65_536
     block: int = 256
@@ -180,32 +183,56 @@ class Best:
         self.score[rows], self.ids[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1)
 
 
-def search(space: Space, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, bound: np.ndarray, p: Params) -> Best:
-    """The best of a cell for each query, as far as they are at least as good as the query's bound.
-
-    vectors: in kd_order(). Each query takes the leaves from the nearest on until the stopping test holds.
-    """
-    best, limit = Best.none(len(queries), p.k + 1), chi_square_quantile(p.confidence, space.dims)
-    points, at = space.points(vectors), space.queries(queries)
-    far = box_distance(at, *boxes(points, p.leaf))
-    order = np.argsort(far, axis=1, kind="stable")
-    short = -len(vectors) % p.leaf
-    padded = np.concatenate([vectors, np.zeros((short, vectors.shape[1]))]).reshape(-1, p.leaf, vectors.shape[1])
-    names = np.concatenate([ids, np.full(short, np.iinfo(np.int64).max)]).reshape(-1, p.leaf)
-    real = (np.arange(len(vectors) + short) < len(vectors)).reshape(-1, p.leaf)
-    active = np.arange(len(queries))
-    for turn in range(order.shape[1]):
-        leaf = order[active, turn]
-        worst = space.distance(queries[active], np.maximum(best.score[active, -1], bound[active]))
-        goes = far[active, leaf] <= limit * worst
-        active, leaf = active[goes], leaf[goes]
-        if not len(active):
-            break
-        for k in range(0, len(active), p.block):
-            rows, which = active[k : k + p.block], leaf[k : k + p.block]
-            score = np.einsum("qld,qd->ql", padded[which], queries[rows])
-            best.take(rows, np.where(real[which], score, -np.inf), names[which])
-    return best
+class Cell:
+    """Vectors in kd_order(), by leaves, to be searched by many queries."""
+
+    def __init__(self, space: Space, vectors: np.ndarray, ids: np.ndarray, p: Params):
+        self.space, self.p = space, p
+        self.low, self.high = boxes(space.points(vectors), p.leaf)
+        short = -len(vectors) % p.leaf
+        self.vectors = np.concatenate([vectors, np.zeros((short, vectors.shape[1]))]).reshape(-1, p.leaf, vectors.shape[1])
+        self.ids = np.concatenate([ids, np.full(short, np.iinfo(np.int64).max)]).reshape(-1, p.leaf)
+        self.real = (np.arange(len(vectors) + short) < len(vectors)).reshape(-1, p.leaf)
+
+    def search(self, queries: np.ndarray, bound: np.ndarray) -> Best:
+        """The best of the cell for each query, as far as they are at least as good as the query's bound."""
+        most = max(1, (1 << 20) // len(self.low))  # so that a table of queries and leaves stays small
+        parts = [self._some(queries[i : i + most], bound[i : i + most]) for i in range(0, len(queries), most)]
+        return Best(*(np.concatenate([getattr(x, c) for x in parts]) for c in ("score", "ids"))) if parts else Best.none(0, self.p.k + 1)
+
+    def _some(self, queries: np.ndarray, bound: np.ndarray) -> Best:
+        """search(). Each query takes the leaves from the nearest on until the stopping test holds."""
+        p, space, limit = self.p, self.space, chi_square_quantile(self.p.confidence, self.space.dims)
+        best = Best.none(len(queries), p.k + 1)
+        far = box_distance(space.queries(queries), self.low, self.high)
+        order = np.argsort(far, axis=1, kind="stable")
+        squares = (queries * queries).sum(1)
+        slack = space.width * 1e-15 * np.sqrt(squares * space.most)  # by which a matrix product may be off
+        active = np.arange(len(queries))
+        for turn in range(order.shape[1]):
+            leaf, least = order[active, turn], np.maximum(best.score[active, -1], bound[active])
+            goes = far[active, leaf] <= limit * np.maximum(squares[active] + space.most - 2 * least, 0)
+            active, leaf, least = active[goes], leaf[goes], least[goes]
+            if not len(active):
+                break
+            by = np.argsort(leaf, kind="stable")
+            active, leaf, least = active[by], leaf[by], least[by]
+            x, about = queries[active], np.empty((len(active), p.leaf))
+            cuts = [0, *(np.flatnonzero(np.diff(leaf)) + 1).tolist(), len(leaf)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                np.matmul(x[a:b], self.vectors[leaf[a]].T, out=about[a:b])
+            row, place = np.nonzero((about >= (least - slack[active])[:, None]) & self.real[leaf])
+            if not len(row):
+                continue
+            exact = np.empty(len(row))  # summed in one order whatever the place, so that equal vectors tie
+            for k in range(0, len(row), 1 << 13):
+                r, c = row[k : k + (1 << 13)], place[k : k + (1 << 13)]
+                exact[k : k + (1 << 13)] = np.einsum("pd,pd->p", self.vectors[leaf[r], c], x[r])
+            some, at = np.unique(row, return_inverse=True)
+            score = np.full((len(some), p.leaf), -np.inf)
+            score[at, place] = exact
+            best.take(active[some], score, self.ids[leaf[some]])
+        return best
 
 
 def usable(v: Column) -> Column:
@@ -261,7 +288,9 @@ def neighbours(vectors: DataFrame, query: Column, p: Params = Params()) -> DataF
 
     few = points.select("vector", "key").where(F.pmod(F.xxhash64("key", "vec_id"), F.lit(1 << 20)) < math.ceil((1 << 20) * min(1.0, p.sample / max(total, 1))))
     sample = few.select("vector").limit(2 * p.sample).toArrow()
-    tree = Tree.of(space.points(_matrix(sample.column("vector"), space.width)), min(-(-total // p.cell), max(1, sample.num_rows // 64)))
+    size = min(max(p.cell, -(-total // p.cells)), max(p.leaf, p.room // space.width))
+    tree = Tree.of(space.points(_matrix(sample.column("vector"), space.width)), min(-(-total // size), max(1, sample.num_rows // 64)))
+    plain = np.float32 if isinstance(points.schema["vector"].dataType.elementType, T.FloatType) else np.float64  # in which vectors travel
     shared = spark.sparkContext.broadcast((space, tree))
 
     def placed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,12 +310,12 @@ def neighbours(vectors: DataFrame, query: Column, p: Params = Params()) -> DataF
         asking = table.column("asks").to_numpy()[order]
         names = np.array(table.column("key").to_pylist(), object)[order]
         cell = key[0].as_py()
-        out = [(CELL, cell, 0, pickle.dumps((ids, x), protocol=5), at.min(0).tolist(), at.max(0).tolist())]
+        out = [(CELL, cell, 0, pickle.dumps((ids, x.astype(plain)), protocol=5), at.min(0).tolist(), at.max(0).tolist())]
         q = np.flatnonzero(asking)
+        best = Cell(space, x, ids, p).search(x[q], np.full(len(q), -np.inf))
         for i in range(0, len(q), p.block):
-            own = q[i : i + p.block]
-            best = search(space, x, ids, x[own], np.full(len(own), -np.inf), p)
-            out.append((BLOCK, cell, cell << 32 | i // p.block, pickle.dumps((names[own].tolist(), x[own], best.score, best.ids), protocol=5), None, None))
+            own, at = q[i : i + p.block], slice(i, i + p.block)
+            out.append((BLOCK, cell, cell << 32 | i // p.block, pickle.dumps((names[own].tolist(), x[own].astype(plain), best.score[at], best.ids[at]), protocol=5), None, None))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), PACKED, strict=True)], schema=PACKED)
 
     dealt = points.mapInArrow(placed, T.StructType([*points.schema, T.StructField("cell", T.IntegerType())]))
@@ -296,34 +325,55 @@ def neighbours(vectors: DataFrame, query: Column, p: Params = Params()) -> DataF
     low, high = (np.array(known[c].tolist(), float).reshape(-1, p.dims) for c in ("low", "high"))
     around = spark.sparkContext.broadcast((known["cell"].to_numpy(np.int64), low, high))
 
-    def visits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The queries of a block that another cell may still have something for, by cell."""
+    def reached(parts: Iterator[pa.RecordBatch], more: float = 1.0) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(name, queries, the worst that each has, numbers of the other cells that may have something for them, which of the queries each may)."""
         cells, low, high = around.value
         space, limit = shared.value[0], chi_square_quantile(p.confidence, p.dims)
         for part in parts:
-            for cell, name, blob in zip(*(part.column(c).to_pylist() for c in ("cell", "name", "blob")), strict=True):
-                _, x, score, _ = pickle.loads(blob)
-                goes = box_distance(space.queries(x), low, high) <= limit * space.distance(x, score[:, -1])[:, None]
-                for c in np.flatnonzero(goes.any(0) & (cells != cell)):
-                    own = np.flatnonzero(goes[:, c])
-                    yield pa.record_batch([pa.array([int(cells[c])], pa.int32()), pa.array([zlib.crc32(b"%d" % name) % groups], pa.int64()), pa.array([name]), pa.array([pickle.dumps((own, x[own], score[own, -1]), protocol=5)], pa.binary())], names=["cell", "group", "name", "blob"])
+            for cell, name, blob in zip(*(part.column(c) for c in ("cell", "name", "blob")), strict=True):
+                _, x, score, _ = pickle.loads(blob.as_py())
+                wide = x.astype(float)
+                goes = box_distance(space.queries(wide), low, high) <= more * limit * space.distance(wide, score[:, -1])[:, None]
+                yield name.as_py(), x, score[:, -1], np.flatnonzero(goes.any(0) & (cells != cell.as_py())), goes
+
+    def group(name: int) -> int:
+        return zlib.crc32(b"%d" % name) % groups
+
+    def pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = around.value[0]
+        for name, _, _, to, _ in reached(parts, 1 + 1e-9):  # another machine may round otherwise; a guest needs its host
+            yield pa.record_batch([pa.array(cells[to], pa.int32()), pa.array(np.full(len(to), group(name)), pa.int64())], names=["cell", "group"])
+
+    def visits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The queries of a block that another cell may still have something for, by cell."""
+        cells = around.value[0]
+        for name, x, worst, to, goes in reached(parts):
+            for c in to:
+                own = np.flatnonzero(goes[:, c])
+                yield pa.record_batch([pa.array([int(cells[c])], pa.int32()), pa.array([group(name)], pa.int64()), pa.array([name]), pa.array([pickle.dumps((own.astype(np.int32), x[own], worst[own]), protocol=5)], pa.binary())], names=["cell", "group", "name", "blob"])
 
     blocks = packed.where(F.col("kind") == BLOCK).select("cell", "name", "blob")
-    groups = -(-blocks.count() // p.reach)
-    going = stored(blocks.mapInArrow(visits, "cell int, group long, name long, blob binary"), "visits")
-    hosts = packed.where(F.col("kind") == CELL).select("cell", "blob").join(going.select("cell", "group").distinct(), "cell")
+    groups = -(-blocks.count() // max(p.reach, total // max(1, len(known)) // p.block))
+    # what visits is sent as it is found: stored, its blobs would be read back thousands at a time
+    going = stored(blocks.mapInArrow(pairs, "cell int, group long").distinct(), "pairs")
+    hosts = packed.where(F.col("kind") == CELL).select("cell", "blob").join(going, "cell")
 
     def meet(key: tuple, host: pa.Table, guests: pa.Table) -> pa.Table:
+        if not guests.num_rows:
+            return FOUND.empty_table()
         space, _ = shared.value
         ids, x = pickle.loads(host.column("blob")[0].as_py())
-        out = []
-        for name, blob in zip(guests.column("name").to_pylist(), guests.column("blob").to_pylist(), strict=True):
-            own, queries, bound = pickle.loads(blob)
-            best = search(space, x, ids, queries, bound, p)
+        cell, out = Cell(space, x.astype(float), ids, p), []
+        each = [pickle.loads(b.as_py()) for b in guests.column("blob")]
+        ends = np.cumsum([len(own) for own, _, _ in each])
+        bounds = np.concatenate([bound for _, _, bound in each])
+        all_ = cell.search(np.concatenate([x for _, x, _ in each]).astype(float), bounds)
+        for name, (own, _, bound), end in zip(guests.column("name").to_pylist(), each, ends, strict=True):
+            best = Best(all_.score[end - len(own) : end], all_.ids[end - len(own) : end])
             row, place = np.nonzero((best.score >= bound[:, None]) & np.isfinite(best.score))
             for part in np.unique(own[row] // p.share):
                 i = own[row] // p.share == part
-                out.append((name, int(part), pickle.dumps((own[row][i].astype(np.int32), best.score[row[i], place[i]], best.ids[row[i], place[i]]), protocol=5)))
+                out.append((name, int(part), pickle.dumps((own[row][i], best.score[row[i], place[i]], best.ids[row[i], place[i]]), protocol=5)))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 3, FOUND, strict=True)], schema=FOUND)
 
     def opened(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,7 +402,7 @@ def neighbours(vectors: DataFrame, query: Column, p: Params = Params()) -> DataF
         best = [[{"vec_id": v, "score": s} for v, s in zip(ids[a:b][: p.k + 1].tolist(), score[a:b][: p.k + 1].tolist(), strict=True)] for a, b in zip(at[:-1], at[1:], strict=True)]
         return pa.table([pa.array(keys, pa.binary()), pa.array(best, pair)], names=["key", "best"])
 
-    guests = going.select(*(F.col(c).alias(c) for c in going.columns))  # both sides come from one table
+    guests = packed.select(*(F.col(c).alias(c) for c in packed.columns)).where(F.col("kind") == BLOCK).select("cell", "name", "blob").mapInArrow(visits, "cell int, group long, name long, blob binary")
     met = hosts.groupBy("cell", "group").cogroup(guests.groupBy("cell", "group")).applyInArrow(meet, FOUND_SQL)
     best = met.unionByName(blocks.mapInArrow(opened, FOUND_SQL)).groupBy("name", "part").applyInArrow(merge, best_type)
     best = stored(best, "best")

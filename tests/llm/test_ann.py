@@ -89,3 +89,35 @@ def test_few_rows(spark):
 def test_quantiles():
     for dims, share, x in ((2, 0.95, -2 * math.log(0.05)), (4, 0.9, 7.779440339734858), (8, 0.95, 15.507313055865453)):
         assert ann.chi_square_quantile(share, dims) == pytest.approx(x, rel=1e-9)
+
+
+def test_copies_of_queries_are_not_stored(spark, monkeypatch):
+    """Evenly spread vectors send most queries to most cells; what is stored, and so read back many blobs at once, follows the input."""
+    x = np.random.default_rng(2).standard_normal((2000, 16)).astype(np.float32)
+    rows = [(i, v, None, 3, "x") for i, v in enumerate(x.tolist())]
+    sizes = {}
+
+    def kept(df, name, f=ann.stored):
+        out = f(df, name)
+        if "blob" in out.columns:
+            sizes[name] = out.agg(F.sum(F.length("blob"))).first()[0]
+        return out
+
+    monkeypatch.setattr(ann, "stored", kept)
+    found = ann.neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 4 == 0, ann.Params(k=5, cell=16, leaf=8, block=8))
+    compare(found, by_hand(rows, lambda i: i % 4 == 0, 5), 5, 0.9)
+    assert sum(sizes.values()) <= 8 * x.nbytes, sizes
+
+
+def test_a_cell_searched_by_many_queries_equals_brute_force():
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.standard_normal((150, 7)), 2, axis=0)  # in pairs of equal vectors, so ties go by id
+    p = ann.Params(k=4, leaf=8, confidence=1 - 1e-12)
+    space = ann.Space(7, float((x * x).sum(1).max()), p.dims, p.seed)
+    order = ann.kd_order(space.points(x), p.leaf)
+    queries = rng.standard_normal((90, 7))
+    best = ann.Cell(space, x[order], order, p).search(queries, np.full(90, -np.inf))
+    for i, q in enumerate(queries):
+        score = np.array([float((q * v).sum()) for v in x[::2]])
+        want = [j for s in np.argsort(-score)[:3] for j in (2 * s, 2 * s + 1)][:5]
+        assert best.ids[i].tolist() == want
